@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessella.llm.chunking import fingerprints
 from tessella.llm.common import read_table
 from tessella.llm.hilbert import hilbert_shards
+from tessella.llm.langid import language_id
+from tessella.llm.media import text_media
 from tessella.llm.minhash import near_duplicates
 from tessella.llm.mixing import mix_sources
+from tessella.llm.token_counts import token_counts
+from tessella.llm.toxicity import toxicity
 
 
 def op1_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,9 +30,39 @@ def op3_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(read_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document, learned from the labels outside the held-out fifth."""
+    return toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op5_media_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text as a wave file, told by its signature and read back."""
+    return text_media(read_table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document by compression, learned outside the held-out third."""
+    return language_id(read_table(spark, sf_dir, "documents"))
+
+
+def op8_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunk fingerprints of every document and its edited text, with containments."""
+    return fingerprints(read_table(spark, sf_dir, "documents"))
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under piece_bpe_32k.model."""
+    return token_counts(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_hilbert_sharding": op1_hilbert_sharding,
     "op2_minhash_forest": op2_minhash_forest,
     "op3_temperature_mixing": op3_temperature_mixing,
+    "op4_toxicity": op4_toxicity,
+    "op5_media_sniffing": op5_media_sniffing,
+    "op7_language_id": op7_language_id,
+    "op8_chunk_fingerprints": op8_chunk_fingerprints,
+    "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}
