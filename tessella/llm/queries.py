@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tessella.llm.chunking import fingerprints
 from tessella.llm.common import read_table
 from tessella.llm.hilbert import hilbert_shards
+from tessella.llm.html_text import extract_main_text
 from tessella.llm.langid import language_id
+from tessella.llm.lattice import encode_documents
 from tessella.llm.media import text_media
 from tessella.llm.minhash import near_duplicates
 from tessella.llm.mixing import mix_sources
@@ -40,6 +42,11 @@ def op5_media_sniffing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_media(read_table(spark, sf_dir, "documents"))
 
 
+def op6_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article text of every page."""
+    return extract_main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document by compression, learned outside the held-out third."""
     return language_id(read_table(spark, sf_dir, "documents"))
@@ -50,6 +57,11 @@ def op8_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(read_table(spark, sf_dir, "documents"))
 
 
+def op9_sentencepiece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document under piece_bpe_32k.model, and whether they decode to the text."""
+    return encode_documents(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document under piece_bpe_32k.model."""
     return token_counts(read_table(spark, sf_dir, "documents"))
@@ -61,8 +73,10 @@ QUERIES = {
     "op3_temperature_mixing": op3_temperature_mixing,
     "op4_toxicity": op4_toxicity,
     "op5_media_sniffing": op5_media_sniffing,
+    "op6_html_main_text": op6_html_main_text,
     "op7_language_id": op7_language_id,
     "op8_chunk_fingerprints": op8_chunk_fingerprints,
+    "op9_sentencepiece_lattice": op9_sentencepiece_lattice,
     "op10_token_counts": op10_token_counts,
 }
 ORACLE: dict[str, str] = {}
