@@ -2,12 +2,12 @@
 
 Every distinct shingle set gets TREES * DEPTH minimum hashes. A tree is the list of all sets sorted by one
 order of the signature (its own DEPTH hashes, then those of the next tree), so sets that agree in many
-leading hashes lie next to each other. A region is a run with one prefix: where it has at most REGION
-sets every two of them are candidates; a fuller region is split by one hash more, and so on to twice the
-depth, so the depth adapts to how crowded a region is. What is still fuller there, and every region that had to be
-split, is handled by neighbours: each set with the sets of longest common prefix beside it in the order.
-A second pass does this for the split regions alone, and only between sets not yet linked, so large groups
-of near copies cost a few candidates a set and not all pairs.
+leading hashes lie next to each other. A region is a run with one prefix of DEPTH hashes. The first pass compares
+sets adjacent in the order, which have the longest common prefixes. A second pass takes all regions of three and more sets
+again, between sets not yet linked only: where a region has at most REGION sets every two of them are candidates; a fuller
+one is split by one hash more, and so on to twice the depth, until its parts have at most REGION sets, so the depth adapts to
+how crowded a region is, and there each set also meets the NEIGHBOURS sets of longest common prefix on either side. Large
+groups of near copies so cost a few candidates a set and not all pairs.
 
 Candidates are confirmed on the full sets; links are merged by alternating large and small stars. Sets that
 differ in no shingle are one class from the start, so exact copies never meet in one task.
@@ -38,8 +38,8 @@ from tessella.llm.common import materialise, partitions_of
 TREES = 24
 DEPTH = 4  # hashes a tree has of its own; the longest prefix is twice as long
 REGION = 64
-NEIGHBOURS = 8  # sets on either side in the second pass
-FIRST_TREES = 6  # trees whose neighbours the first pass takes in crowded regions
+NEIGHBOURS = 2  # sets on either side in the second pass
+FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions of three and more
 FILTER_BITS = 1 << 26  # fixed size of the filter of sets that have candidates: 8 MB
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -131,12 +131,21 @@ def _whole(frames: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     return pd.concat(kept, ignore_index=True) if kept else None
 
 
+def _within(run_of: np.ndarray, open_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows of one run where open_ holds; runs hold at most REGION open rows."""
+    for step in range(1, min(REGION, len(run_of))):
+        i = np.flatnonzero((run_of[step:] == run_of[:-step]) & open_[step:])
+        if not len(i):
+            return
+        yield i, i + step
+
+
 def _similar_sizes(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     return np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
 
 
 def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """kind 0: candidate pairs (a, b); kind 1: the rows of regions that had to be split (a = id)."""
+    """kind 0: candidate pairs (a, b) of adjacent rows, in regions of two and in the first trees; kind 1: the rows of regions of three and more (a = id)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = _whole(frames)
@@ -144,22 +153,11 @@ def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
             return
         tree, p1, p2, ids, n = (t[c].to_numpy() for c in ("tree", "p1", "p2", "id", "n"))
         region = _starts(tree, p1)
-        crowded = np.bincount(region)[region] > REGION
-        done = np.zeros(len(t), bool)
-        for depth in range(DEPTH + 1):  # the region's depth grows by a hash as long as it is too full
-            run_of = _starts(tree, p1, p2 >> (16 * (DEPTH - depth)) if depth else np.zeros(len(t), np.int64))
-            fits = (np.bincount(run_of)[run_of] <= REGION) & ~done
-            done |= fits
-            for step in range(1, REGION):
-                i = np.flatnonzero((run_of[step:] == run_of[:-step]) & fits[step:]) if len(t) > step else np.empty(0, int)
-                if not len(i):
-                    break
-                i = i[_similar_sizes(n, i, i + step, percent)]
-                yield _pairs(ids[i], ids[i + step])
-        i = np.flatnonzero(crowded[1:] & (region[1:] == region[:-1]) & (tree[1:] < FIRST_TREES))
+        size = np.bincount(region)[region]
+        i = np.flatnonzero((region[1:] == region[:-1]) & ((tree[1:] < FIRST_TREES) | (size[1:] == 2)))
         i = i[_similar_sizes(n, i, i + 1, percent)]
         yield _pairs(ids[i], ids[i + 1])
-        left = t[crowded]
+        left = t[size > 2]
         yield pd.DataFrame({"kind": np.int32(1), "a": left["id"], "b": np.int64(0), "tree": left["tree"], "p1": left["p1"], "p2": left["p2"], "n": left["n"]})
 
     return _sorted(rows).mapInPandas(run, PAIR_SCHEMA)
@@ -177,28 +175,36 @@ def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
 
 
 def second_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """Neighbours of longest common prefix in split regions, between sets of different components only.
-
-    For each row the NEIGHBOURS nearest rows of other components on either side of it in its region.
+    """Pairs between sets of different components only: all within regions of at most REGION rows and within the parts of
+    as many rows that a greater depth makes of fuller ones, and there the NEIGHBOURS rows of longest common prefix on either side.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = _whole(frames)
         if t is None:
             return
-        tree, p1, ids, n, comp = (t[c].to_numpy() for c in ("tree", "p1", "id", "n", "comp"))
+        tree, p1, p2, ids, n, comp = (t[c].to_numpy() for c in ("tree", "p1", "p2", "id", "n", "comp"))
+        done = np.zeros(len(t), bool)
+        for depth in range(DEPTH + 1):  # a region's depth grows by a hash as long as it is too full
+            run_of = _starts(tree, p1, p2 >> (16 * (DEPTH - depth)) if depth else np.zeros(len(t), np.int64))
+            fits = (np.bincount(run_of)[run_of] <= REGION) & ~done
+            done |= fits
+            for i, j in _within(run_of, fits):
+                new = (comp[i] != comp[j]) & _similar_sizes(n, i, j, percent)
+                yield _pairs(ids[i[new]], ids[j[new]])
         region, component = _starts(tree, p1), _starts(tree, p1, comp)
+        full = np.bincount(region)[region] > REGION
         change = np.flatnonzero(np.r_[True, component[1:] != component[:-1]])
         ends = np.r_[change[1:], len(t)]
         which = np.searchsorted(change, np.arange(len(t)), side="right") - 1
         for step in range(NEIGHBOURS):  # rows after the run of its own component
             j = ends[which] + step
-            i = np.flatnonzero(j < len(t))
+            i = np.flatnonzero((j < len(t)) & full)
             i = i[(region[j[i]] == region[i]) & (comp[j[i]] != comp[i])]
             i = i[_similar_sizes(n, i, j[i], percent)]
             yield _pairs(ids[i], ids[j[i]])
             j = change[which] - 1 - step
-            i = np.flatnonzero(j >= 0)
+            i = np.flatnonzero((j >= 0) & full)
             i = i[(region[j[i]] == region[i]) & (comp[j[i]] != comp[i])]
             i = i[_similar_sizes(n, i, j[i], percent)]
             yield _pairs(ids[i], ids[j[i]])
@@ -309,16 +315,16 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     pairs = found.filter("kind = 0").select("a", "b").distinct()
     crowded = found.filter("kind = 1").select("tree", "p1", "p2", F.col("a").alias("id"), "n")
     members = classes.select("id")
-    # The sets of split regions are kept beside those of the first candidates: the second pass may need them.
+    # The sets of regions that the second pass takes are kept beside those of the first candidates.
     wanted = found.select("a", F.when(F.col("kind") == 0, F.col("b")).otherwise(F.col("a")).alias("b"))
     sets = materialise(candidate_sets(docs, members, candidate_filter(wanted), words), "sets")
     links = materialise(confirm(pairs, sets, percent), "links")
-    labels = components(links)
+    labels = materialise(components(links), "labels")
     if crowded.limit(1).count():
-        labels = materialise(labels, "labels")
         marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         more = materialise(confirm(second_candidates(marked, percent), sets, percent), "links")
-        labels = components(links.union(more))
+        # The first components stand for the links that made them.
+        labels = components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
     labels = materialise(labels, "labels")
     # Classes that share a smallest doc_id (rows of one id with several texts) are one node, as are all rows of one id.
     of_class = classes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
@@ -331,7 +337,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row for each group of near-duplicates: that of the smallest doc_id.
 
-    Rows without words stay; of rows sharing a kept doc_id the one with the smallest text stays.
+    Rows without words and rows without doc_id stay; rows sharing a doc_id stay or go together.
     """
     kept = near_duplicates(docs, words, percent).filter("kept and doc_id is not null").select("doc_id").distinct()
     mine = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
