@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.llm.common import materialise
-from tessella.llm.pieces import SPACE, PieceTable, isolated, model_path, piece_table, read_model, segments
+from tessella.llm.pieces import SPACE, PieceTable, isolated, model_path, piece_table, read_model, segments_of_line
 
 HEAD = 1 << 17  # words encoded by the relational lattice and broadcast
 LONGEST_WORD = 32  # characters of such a word
 WIDTH = 64  # start * WIDTH + end is an edge's key
-REMEMBERED = 300_000
+BARE = 8  # the most frequent eighth of them also without the space sign, as they stand after a line feed
+REMEMBERED = 700_000
 SCHEMA = "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean"
 
 
@@ -115,71 +116,107 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """The corpus's most frequent words, with and without a space sign in front: at most HEAD, by a least count.
+    """The corpus's most frequent words with a space sign in front, the top ones without as well: at most HEAD, by a least count.
 
     Counts cover all rows. The least count comes from a histogram over eighths of octaves, so that no task ranks all words.
     """
-    words = docs.select(F.explode(F.split(F.col("text").cast("string"), f"[ \\n{SPACE}]+")).alias("w")).filter("w != ''")
+    words = docs.select(F.explode(F.split(F.translate(F.col("text").cast("string"), f"\n{SPACE}", "  "), " ")).alias("w")).filter("w != ''")
     counted = materialise(words.groupBy("w").agg(F.count("*").alias("n")).filter((F.col("n") > 1) & (F.char_length("w") < LONGEST_WORD)), "lattice-words")
     octave = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
     histogram = counted.groupBy(octave.alias("octave")).agg(F.count("*").alias("words")).orderBy(F.desc("octave")).collect()
     least, taken = None, 0
     for row in histogram:
         taken += row["words"]
-        if 2 * taken > HEAD:
+        if taken > HEAD - HEAD // BARE:
             break
         least = row["octave"]
     if least is None:
         return counted.limit(0).select(F.col("w").alias("word"))
-    kept = counted.filter(octave >= least)
-    return kept.select(F.explode(F.array(F.concat(F.lit(SPACE), F.col("w")), F.col("w"))).alias("word"))
+    spaced = counted.filter(octave >= least).select(F.concat(F.lit(SPACE), F.col("w")).alias("word"))
+    frequent = [row["octave"] for row, words in zip(histogram, _running(histogram)) if words <= HEAD // BARE]
+    return spaced.union(counted.filter(octave >= min(frequent)).select("w")) if frequent else spaced
+
+
+def _running(histogram: list) -> list[int]:
+    total, out = 0, []
+    for row in histogram:
+        total += row["words"]
+        out.append(total)
+    return out
 
 
 def fold_word(word: str, table: PieceTable) -> list[int]:
     """One word through the same lattice and fold as encode_words (BPE), outside Spark."""
-    score, n, longest = table.scores.get, len(word), table.longest
-    cuts = list(range(n + 1))
-    pairs = [score(word[i : i + 2]) for i in range(n - 1)]  # score of joining the symbols at cuts[i] and cuts[i + 1]
-    while True:
-        best, at = None, -1
-        for i, s in enumerate(pairs):
-            if s is not None and (best is None or s > best):
-                best, at = s, i
-        if best is None:
+    score, none = table.scores.get, float("-inf")
+    symbols = list(word)
+    pairs = [score(a + b, none) for a, b in zip(symbols, symbols[1:])]  # an edge's score, or none
+    while pairs:
+        best = max(pairs)
+        if best == none:
             break
-        del cuts[at + 1], pairs[at]
-        for i in (at - 1, at):
-            if 0 <= i < len(pairs):
-                a, b = cuts[i], cuts[i + 2]
-                pairs[i] = score(word[a:b]) if b - a <= longest else None
+        at = pairs.index(best)  # the leftmost
+        symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = score(symbols[at] + symbols[at + 1], none)
+        if at:
+            pairs[at - 1] = score(symbols[at - 1] + symbols[at], none)
     out: list[int] = []
-    for a, b in zip(cuts, cuts[1:]):
-        known = table.ids.get(word[a:b])
+    for symbol in symbols:
+        known = table.ids.get(symbol)
         if known is not None:
             out.append(known)
         else:
-            out.extend(table.bytes_at[x] for x in word[a:b].encode("utf-8", "surrogatepass"))
+            out.extend(table.bytes_at[x] for x in symbol.encode("utf-8", "surrogatepass"))
     return out
 
 
-class Encoder(dict):
-    """Segment -> its ids as little-endian 32-bit integers; starts from the broadcast words, forgets the rest when full."""
+class _Known(dict):
+    """Segment -> its ids as little-endian 32-bit integers; keeps the broadcast words and, until full, the others met.
 
-    def __init__(self, table: PieceTable, head: dict[str, bytes]):
+    Keys leave out the prefix that all of its segments begin with.
+    """
+
+    def __init__(self, table: PieceTable, prefix: str, head: dict[str, bytes]):
         super().__init__(head)
-        self.table, self.head = table, head
+        self.table, self.prefix, self.head = table, prefix, head
 
-    def __missing__(self, segment: str) -> bytes:
-        found = np.array(fold_word(segment, self.table), "<i4").tobytes()
+    def __missing__(self, rest: str) -> bytes:
+        found = np.array(fold_word(self.prefix + rest, self.table), "<i4").tobytes()
         if len(self) > REMEMBERED + len(self.head):
             self.clear()
             self.update(self.head)
-        if len(segment) <= 256:
-            self[segment] = found
+        if len(rest) <= 256:
+            self[rest] = found
         return found
 
+
+class Encoder:
+    """Texts to ids; head maps words, with or without a space sign in front, to their ids."""
+
+    def __init__(self, table: PieceTable, head: dict[str, bytes]):
+        self.table = table
+        self.spaced = _Known(table, SPACE, {w[1:]: i for w, i in head.items() if w[0] == SPACE})
+        self.bare = _Known(table, "", {w: i for w, i in head.items() if w[0] != SPACE})
+
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, segments(text, self.table)))
+        if not text:
+            return b""
+        out: list[bytes] = []
+        spaced, bare = self.spaced.__getitem__, self.bare.__getitem__
+        for k, line in enumerate(text.split("\n")):
+            words = line.split(" ")
+            if k:
+                out.append(bare("\n"))
+            if "" in words or SPACE in line:  # several space signs together
+                if line or not k:
+                    out.extend(map(bare, segments_of_line(line, self.table, not k)))
+            elif k:
+                out.append(bare(words[0]))
+                out.extend(map(spaced, words[1:]))
+            else:
+                out.extend(map(spaced, words) if self.table.dummy_prefix else (bare(words[0]), *map(spaced, words[1:])))
+        return b"".join(out)
 
 
 class Decoder:

@@ -68,11 +68,16 @@ def prepared(text: str, table: PieceTable) -> str:
     return (SPACE if table.dummy_prefix else "") + text.replace(" ", SPACE) if text else ""
 
 
+def segments_of_line(line: str, table: PieceTable, first: bool) -> list[str]:
+    """The segments of one line of a text: space signs with what follows them. The first line begins with the dummy prefix."""
+    return SEGMENT.findall((SPACE if first and table.dummy_prefix else "") + line.replace(" ", SPACE))
+
+
 def segments(text: str, table: PieceTable) -> list[str]:
-    """A prepared text's parts: space signs with what follows them, cut before and after line feeds."""
+    """All segments of a text, its line feeds among them."""
     parts: list[str] = []
-    for k, line in enumerate(prepared(text, table).split("\n")):
+    for k, line in enumerate(text.split("\n") if text else ()):
         if k:
             parts.append("\n")
-        parts.extend(SEGMENT.findall(line))
+        parts.extend(segments_of_line(line, table, not k))
     return parts
