@@ -2,13 +2,13 @@
 
 Features of a whole text: densities and counts of learned lexicon words in three strengths, second-person words near them, capitals, punctuation,
 and obfuscation (digits or signs inside words that hide a lexicon word). The lexicon holds words and word beginnings whose document frequency
-differs between toxic and clean labelled texts; near copies count once, by the least hash of a text's words. The trees see lexicon features
+differs between toxic and clean labelled texts; near copies count once, by the least hash of a text's pairs of words. The trees see lexicon features
 from a lexicon that leaves out the row's own fold, so memorised words earn no trust. Calibration uses out-of-fold scores.
 
 The model is fitted on at most MAX_TOXIC + MAX_CLEAN labelled rows (those of smallest hash); scoring covers every row.
 
-Defined cases: a null text is scored as an empty one; empty texts get the score of their features (all zero); without labelled rows of both classes
-every score is the toxic share, or 0 without labels; labels that contradict each other for one doc_id count as toxic; an empty table gives an empty
+Defined cases: a null text is scored as an empty one; empty texts get the score of their features (all zero); with fewer than LEAST_LABELS labelled rows of
+either class every score is the toxic share (0 without labels) and no document is filtered out; labels that contradict each other for one doc_id count as toxic; an empty table gives an empty
 result. Only doc_id and text are read; no label, lang, source or doc_id is an input of a score.
 """
 
@@ -30,12 +30,13 @@ from tessella.llm.common import crc_mod, materialise
 
 MAX_TOXIC, MAX_CLEAN = 4000, 8000
 MAX_LEXICON = 20_000
+LEAST_LABELS = 5  # rows of either class below which nothing is learned
 FOLDS = 4
 PREFIXES = range(3, 8)
 STRONG, MEDIUM, WEAK = 4.2, 2.8, 1.8  # lower bounds of an entry's log odds
 DEVIATIONS = 1.5  # standard errors that the bound lies below the estimate
 NEAR = 5  # words
-CACHE = 300_000
+CACHE = 150_000
 SECOND_PERSON = frozenset("you your yours yourself u ur tu te toi ton ta tes vous votre vos du dich dir dein deine ihr euch usted ustedes ti vosotros".split())
 LEET = str.maketrans("013457@$!8", "oieastasib")
 EDGES = string.punctuation + "«»“”‘’¡¿…"
@@ -142,14 +143,19 @@ def _words_of(text: str) -> set[str]:
     return found
 
 
+def group_of(text: str) -> int:
+    """The least hash of a text's pairs of words: mostly the same for near copies, mostly different for other texts."""
+    words = text.lower().split()
+    return min((zlib.crc32(f"{a} {b}".encode("utf-8", "replace")) for a, b in zip(words, words[1:])), default=zlib.crc32(" ".join(words).encode("utf-8", "replace")))
+
+
 def _entry_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         for text, toxic in zip(frame["text"], frame["toxic"]):
             words = _words_of(text)
             if words:
-                group = min(zlib.crc32(w.encode()) for w in words)
                 found = list({e for w in words for e in entries(w)})
-                yield pd.DataFrame({"entry": found, "toxic": np.int32(toxic), "grp": group})
+                yield pd.DataFrame({"entry": found, "toxic": np.int32(toxic), "grp": group_of(text)})
 
 
 def _lexicon(counts: pd.DataFrame, totals: dict[tuple[int, int], int], without: int | None) -> dict[str, float]:
@@ -171,8 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(chosen, "doc_id")
     texts = materialise(texts.select("text", F.col("toxic").cast("int").alias("toxic")), "toxicity-sample")
     classes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if len(classes) < 2:
-        return ToxicityModel({}, None, None, float(next(iter(classes), 0)))
+    if len(classes) < 2 or min(classes.values()) < LEAST_LABELS:
+        return ToxicityModel({}, None, None, classes.get(1, 0) / max(1, sum(classes.values())))
     fold = F.pmod(F.xxhash64("grp"), F.lit(FOLDS)).cast("int")
     seen = texts.mapInPandas(_entry_rows, "entry string, toxic int, grp long").distinct().withColumn("fold", fold)
     cells = [F.count_if((F.col("fold") == f) & (F.col("toxic") == t)).alias(f"c{f}_{t}") for f in range(FOLDS) for t in (0, 1)]
@@ -183,10 +189,6 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     bound = F.log((toxic + 0.5) / (clean + 0.5)) - DEVIATIONS * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
     counts = counts.filter(toxic >= 2).orderBy(bound.desc(), "entry").limit(MAX_LEXICON).toPandas()
 
-    def group_of(text: str) -> int:
-        words = _words_of(text)
-        return min((zlib.crc32(w.encode()) for w in words), default=0)
-
     def grouped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             yield pd.DataFrame({"text": f["text"], "toxic": f["toxic"], "grp": [group_of(t) for t in f["text"]]})
@@ -240,6 +242,8 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, every column kept; texts are read and passed on, not shuffled."""
     model = fit(docs, labels)
+    if model.trees is None:
+        return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
