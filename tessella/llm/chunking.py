@@ -25,8 +25,8 @@ from pyspark.sql import functions as F
 
 from tessella.llm.common import partitions_of
 
-MIN, AVERAGE, MAX = 32, 128, 512
-HARD, EASY = np.uint32(0xFF800000), np.uint32(0xF8000000)  # nine and five bits
+MIN, AVERAGE, MAX = 16, 64, 256
+HARD, EASY = np.uint32(0xFF000000), np.uint32(0xF0000000)  # eight and four bits
 GEAR = np.array([int.from_bytes(hashlib.blake2b(bytes([b]), digest_size=4).digest(), "little") for b in range(256)], np.uint32)
 SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -101,7 +101,7 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
         return F.struct(F.when(go & below, middle + 1).otherwise(acc["lo"]).alias("lo"), F.when(go & ~below, middle).otherwise(acc["hi"]).alias("hi"))
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step, lambda acc: acc["lo"])
-    return F.coalesce(found, F.lit(len(bounds)))
+    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(found)
 
 
 def with_next(docs: DataFrame) -> DataFrame:
