@@ -13,6 +13,7 @@ from tessella.llm.lattice import encode_documents
 from tessella.llm.media import text_media
 from tessella.llm.minhash import near_duplicates
 from tessella.llm.mixing import mix_sources
+from tessella.llm.oracle import hilbert_sql, mixing_sql, near_duplicates_sql
 from tessella.llm.token_counts import token_counts
 from tessella.llm.toxicity import toxicity
 
@@ -79,4 +80,8 @@ QUERIES = {
     "op9_sentencepiece_lattice": op9_sentencepiece_lattice,
     "op10_token_counts": op10_token_counts,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_hilbert_sharding": hilbert_sql(),
+    "op2_minhash_forest": near_duplicates_sql(),
+    "op3_temperature_mixing": mixing_sql(),
+}

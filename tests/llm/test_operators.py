@@ -1,0 +1,437 @@
+"""Operators against brute force, libraries, round trips and held-out labels."""
+
+import hashlib
+import io
+import itertools
+import random
+import struct
+import zipfile
+import zlib
+
+import gzip
+import numpy as np
+import pandas as pd
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+import parity
+from tessella.llm import boosting, chunking, hilbert, html_text, langid, lattice, media, minhash, mixing, pieces, queries, token_counts, toxicity
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def texts(docs):
+    return {r["doc_id"]: r["text"] or "" for r in docs.select("doc_id", "text").collect()}
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_query_equals_sql(spark, name):
+    assert parity.compare(queries.QUERIES[name](spark, SF), parity.connect(SF), queries.ORACLE[name]) == ""
+
+
+# --- sharding
+
+
+@pytest.mark.parametrize("n,bits", [(2, 4), (3, 3), (4, 2)])
+def test_hilbert_curve_visits_neighbours(spark, n, bits):
+    cells = list(itertools.product(range(1 << bits), repeat=n))
+    rows = spark.createDataFrame(cells, ", ".join(f"c{k} int" for k in range(n)))
+    order = [tuple(r)[:n] for r in rows.withColumn("h", hilbert.hilbert_index([F.col(f"c{k}") for k in range(n)], bits)).orderBy("h").collect()]
+    assert sorted(order) == cells and all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for p, q in zip(order, order[1:]))
+
+
+def test_shards(docs, texts):
+    got = hilbert.hilbert_shards(docs, 24).toPandas()
+    sizes = got.groupby("shard").size()
+    assert len(sizes) == 24 and sizes.max() - sizes.min() <= 1
+    for _, g in got.groupby("shard"):
+        assert sorted(g["slot"]) == list(range(len(g))) and g.sort_values("slot")["hilbert"].is_monotonic_increasing
+    assert got.groupby("shard")["hilbert"].min().iloc[1:].ge(got.groupby("shard")["hilbert"].max().iloc[:-1].to_numpy()).all()
+    assert all(c == zlib.crc32(texts[i].encode()) and s == len(texts[i].encode()) + 8 for i, c, s in zip(got["doc_id"], got["text_crc32"], got["size"]))
+    manifest = hilbert.shard_manifest(hilbert.hilbert_shards(docs, 24)).toPandas()
+    wide = sum(((manifest[f"{c}_max"] - manifest[f"{c}_min"]) < 40).mean() for c in hilbert.DIMENSIONS)
+    assert manifest["n_rows"].sum() == len(texts) and wide > 1
+
+
+# --- near-duplicates
+
+
+def shingles(text, k):
+    words = minhash.WORD.findall(text.encode().translate(minhash.LOWER))
+    return {tuple(words[i : i + k]) for i in range(len(words) - k + 1)} if len(words) >= k else ({tuple(words)} if words else set())
+
+
+def brute_components(texts, k, percent=80):
+    sets = {i: shingles(t, k) for i, t in texts.items()}
+    parent = {i: i for i in texts}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted((i for i in sets if sets[i]), key=lambda i: len(sets[i]))
+    for n, i in enumerate(ids):
+        for j in ids[n + 1 :]:
+            if percent * len(sets[j]) > 100 * len(sets[i]):
+                break
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                parent[b] = a
+    return {i: find(i) for i in texts}, {i: len(s) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_near_duplicates_equal_brute_force(docs, texts, k):
+    component, size = brute_components(texts, k)
+    got = minhash.near_duplicates(docs, k).collect()
+    assert {r["doc_id"]: (r["component_id"], r["n_shingles"], r["kept"]) for r in got} == {i: (component[i], size[i], component[i] == i) for i in texts}
+    assert {r["doc_id"] for r in minhash.deduplicated(docs, k).select("doc_id").collect()} == {i for i, c in component.items() if c == i}
+
+
+def test_large_group_of_near_copies(spark):
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = {}
+    for i in range(400):  # fuller than a region: the depth adapts
+        words = list(base)
+        for _ in range(rng.randrange(0, 8)):
+            words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
+        rows[i] = " ".join(words)
+    component, _ = brute_components(rows, 2)
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), 2).collect()}
+    assert sum(got[i] != c for i, c in component.items()) <= 2
+
+
+def test_components_of_chains(spark):
+    links = [(i, i + 1) for i in range(0, 60)] + [(100, 105), (105, 103)] + [(200, i) for i in range(201, 240)]
+    got = {r["id"]: r["comp"] for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(1, 61)) and got[105] == got[103] == 100 and all(got[i] == 200 for i in range(201, 240))
+
+
+# --- mixing
+
+
+def test_mixture_meets_budgets(docs):
+    got = mixing.mix_sources(docs.withColumn("source", F.when(F.col("doc_id") % 2 == 0, "big").otherwise(F.col("source"))), entropy=0.95, max_repeats=2.0).toPandas()
+    plan = got.groupby("source").agg(budget=("budget", "first"), weight=("weight", "first"))
+    spent = got.groupby("source")["tokens"].sum()
+    longest = got.groupby("source")["tokens"].max()
+    assert ((spent >= plan["budget"]) & (spent - plan["budget"] < longest)).all() and abs(plan["weight"].sum() - 1) < 1e-6
+    assert set(got["doc_id"]) == {r["doc_id"] for r in docs.select("doc_id").collect()} and got.groupby("doc_id").size().max() <= 3
+    half = got[got["position"] < 0.5].groupby("source")["tokens"].sum() / got[got["position"] < 0.5]["tokens"].sum()
+    assert (half - plan["weight"]).abs().max() < 0.02
+
+
+@pytest.mark.parametrize("entropy,repeats", [(0.9, 100.0), (1.0, 1.7), (0.0, 3.0)])
+def test_exponent_equals_plain_bisection(spark, entropy, repeats):
+    tokens = {"a": 900, "b": 50, "c": 30, "d": 20}
+    p = np.array(list(tokens.values())) / 1000
+    lo, hi = 0.0, 1.0
+
+    def fine(a):
+        w = p**a / (p**a).sum()
+        return -(w * np.log(w)).sum() <= entropy * np.log(4) + 1e-12 and (p[0] / p[3]) ** (1 - a) <= repeats * (1 + 1e-12)
+
+    for _ in range(60):
+        mid = (lo + hi) / 2
+        lo, hi = (lo, mid) if fine(mid) else (mid, hi)
+    rows = spark.createDataFrame([(s, 1, t) for s, t in tokens.items()], "source_key string, source_rows long, source_tokens long")
+    assert abs(mixing.find_alpha(rows, entropy, repeats, None) - hi) < 2e-6
+
+
+# --- classifiers
+
+
+def test_boosting_and_calibration():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(3000, 4))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 1] > 0)).astype(float)
+    model = boosting.BoostedTrees().fit(x[:2000], y[:2000])
+    assert ((model.decision(x[2000:]) > 0) == y[2000:]).mean() > 0.95
+    p = boosting.Isotonic().fit(model.decision(x), y, np.ones(len(y)))(model.decision(x))
+    assert (np.diff(p[np.argsort(model.decision(x), kind="stable")]) >= -1e-12).all() and 0 <= p.min() <= p.max() <= 1
+
+
+def made_labels(spark, n=600):
+    rng = random.Random(9)
+    vocabulary = [f"{a}{b}{c}" for a in ("ka", "lo", "mi", "tu") for b in ("ren", "sol", "dim") for c in ("a", "o", "us", "ent")]
+    rows, marks = [], []
+    for i in range(n):
+        toxic = i % 4 == 0
+        words = [rng.choice(vocabulary) for _ in range(rng.randrange(30, 200))]
+        if toxic:
+            for _ in range(rng.randrange(1, 4)):
+                words[rng.randrange(len(words))] = rng.choice(["grumbold", "grumbish", "zonker", "gr*mbold", "z0nker!"])
+        rows.append((i, " ".join(words), "en", "s", 1))
+        marks.append((i, 1, int(toxic)))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), spark.createDataFrame(marks, "doc_id long, quality int, toxic int")
+
+
+def test_toxicity_on_held_out_labels(spark):
+    docs, labels = made_labels(spark)
+    got = toxicity.toxicity(docs, labels).join(labels, "doc_id").toPandas()
+    held = got[got["held_out"]]
+    assert (held["predicted"] == held["toxic"]).mean() > 0.95 and got["score"].between(0, 1).all()
+    assert all(h == (zlib.crc32(str(i).encode()) % 5 == 0) for i, h in zip(got["doc_id"], got["held_out"]))
+    kept = {r["doc_id"] for r in toxicity.without_toxic(docs, labels).collect()}
+    assert kept == set(got[got["predicted"] == 0]["doc_id"])
+
+
+def test_held_out_labels_are_not_learned(spark):
+    docs, labels = made_labels(spark, 200)
+    turned = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
+    a, b = (toxicity.toxicity(docs, x).orderBy("doc_id").toPandas() for x in (labels, turned))
+    assert a["score"].equals(b["score"])
+
+
+def test_language_on_held_out_labels(docs):
+    got = langid.language_id(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
+    held = got[got["held_out"]]
+    assert (held["lang_pred"] == held["lang"]).mean() > 0.96 and got["score"].between(0, 1).all()
+
+
+# --- media
+
+
+def _png():
+    chunk = lambda kind, data: struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
+    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(b"\0\0")) + chunk(b"IEND", b"")
+
+
+def _zip():
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") as z:
+        z.writestr("a.txt", "hello")
+    return out.getvalue()
+
+
+SAMPLES = {
+    "image/png": _png(),
+    "image/gif": b"GIF89a\x01\0\x01\0\x80\0\0\0\0\0\xff\xff\xff,\0\0\0\0\x01\0\x01\0\0\x02\x02D\x01\0;",
+    "image/jpeg": b"\xff\xd8\xff\xe0\x00\x10JFIF\0\x01\x01\0\0\x01\0\x01\0\0\xff\xda\x00\x08\x01\x01\0\0\x3f\0\x12\xff\0\x34\xff\xd9",
+    "image/bmp": b"BM" + struct.pack("<IIIIiiHHIIiiII", 58, 0, 54, 40, 1, 1, 1, 24, 0, 4, 0, 0, 0, 0) + b"\0" * 4,
+    "audio/wav": media.store_wave(bytes(64)),
+    "image/webp": b"RIFF" + struct.pack("<I", 16) + b"WEBPVP8L" + struct.pack("<I", 4) + b"abcd",
+    "application/zip": _zip(),
+    "application/gzip": gzip.compress(b"hello" * 50),
+    "application/pdf": b"%PDF-1.4\n1 0 obj\nstartxref\n9\n%%EOF",
+    "application/ogg": b"OggS\0\x02" + b"\0" * 20 + b"\x01\x04abcd" + b"OggS\0\x04" + b"\0" * 20 + b"\x01\x02xy",
+    "video/mp4": struct.pack(">I4s4sI", 16, b"ftyp", b"isom", 0) + struct.pack(">I4s", 8, b"moov"),
+    "audio/flac": b"fLaC" + bytes([0x80, 0, 0, 34]) + b"\0" * 34 + b"\xff\xf8abc",
+}
+
+
+@pytest.mark.parametrize("kind", SAMPLES)
+def test_sniffing_tells_and_confirms(kind):
+    magic, data = media.automaton(), SAMPLES[kind]
+    told, length, _ = media.sniff(data, magic)
+    assert (told, length) == (kind, len(data))
+    assert media.sniff(data[: len(data) // 2], magic)[0] == media.UNKNOWN  # cut off: not confirmed
+    inside = b"some bytes BM RIFF GIF89a " + data + (b"" if kind in ("audio/flac", "application/pdf", "video/mp4") else b" and more")
+    assert (kind, 26, len(data)) in media.sniff(inside, magic)[2]
+
+
+def test_sniffed_column_corrects_and_carves(spark):
+    rows = [(1, bytearray(SAMPLES["image/png"]), "image/gif"), (2, bytearray(b"zz" + SAMPLES["image/gif"] + SAMPLES["image/png"]), "image/gif"), (3, None, None)]
+    got = {r["k"]: r for r in media.sniffed(spark.createDataFrame(rows, "k int, content binary, declared string"), "content", "declared").collect()}
+    assert got[1]["detected_type"] == "image/png" and got[1]["corrected"] and [e["type"] for e in got[2]["embedded"]] == ["image/gif", "image/png"]
+    assert bytes(got[2]["embedded"][1]["content"]) == SAMPLES["image/png"] and got[3]["detected_type"] == media.UNKNOWN
+
+
+def test_text_media_round_trip(docs, texts):
+    for r in media.text_media(docs).collect():
+        raw = texts[r["doc_id"]].encode()
+        payload = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
+        stored = media.store_wave(payload)
+        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
+        assert r["media_bytes"] == len(stored) and r["media_sha256"] == hashlib.sha256(stored).hexdigest() and f"length={len(stored)}" in r["feature"]
+
+
+# --- pages
+
+
+def test_main_text_of_tables_pages(spark):
+    import html
+    import re
+
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    got = {r["page_id"]: r for r in html_text.extract_main_text(pages).collect()}
+    for r in pages.collect():
+        inside = re.search(r"<article>(.*?)</article>", r["html"], re.S)[1]
+        blocks = [" ".join(html.unescape(re.sub(r"<br>", " ", re.sub(r"</?b>", "", b))).split()) for b in re.split(r"</?(?:p|h1)>", inside)]
+        text = "\n\n".join(b for b in blocks if b)
+        assert got[r["page_id"]]["text"] == text and got[r["page_id"]]["n_chars"] == len(text)
+
+
+def test_main_text_leaves_surroundings_out():
+    page = (
+        "<html><head><title>T</title><style>p{}</style></head><body><header><p>Site name</p></header><nav><ul><li><a href=/>Home</a></li></ul></nav>"
+        "<div id='cookie-notice'><p>We use cookies to give you the best of all experiences.</p></div><div class=ad>Buy now, it is cheap!</div>"
+        "<main><article><h1>Rivers &amp; hills</h1><p>The river runs from the hills,\n  past three towns.<p>It is long.<script>var p = '</p>';</script></article></main>"
+        "<aside class=sidebar><h3>More</h3><ul><li><a href=/b>Another</a></li></ul></aside><form class=search><p>Search here</p></form>"
+        "<section class=comments><div class=comment><p>I liked this article, thanks a lot for it.</p></div></section><footer>&copy; 2026 Someone</footer></body></html>"
+    )
+    assert html_text.main_text(page, html_text.fitted_model()) == "Rivers & hills\n\nThe river runs from the hills, past three towns.\n\nIt is long."
+
+
+def test_hierarchical_decoding_is_consistent():
+    page = html_text.Page("<div><div><p>a</p><p>b</p></div><p>c</p></div>")
+    keep_all = page.decode(np.full(len(page.tag), 3.0))
+    assert keep_all == ["a", "b", "c"] and page.decode(np.full(len(page.tag), -3.0)) == []
+    odds = np.array([0.0, -0.5, 4.0, -1.0, 4.0, -6.0])  # the inner div is kept whole although one paragraph alone would go
+    assert page.decode(odds) == ["a", "b"]
+
+
+def test_page_classifier_on_other_pages():
+    rng, model, right, total = random.Random(77), html_text.fitted_model(), 0, 0
+    for _ in range(60):
+        made = html_text.training_page(rng)
+        page = html_text.Page("".join(m for m, _ in made))
+        labels, source = [], ""
+        for markup, label in made:
+            source += markup
+            labels.extend([label] * (len(html_text.Page(source).tag) - 1 - len(labels)))
+        odds = model.decision(page.features())[1:]
+        for o, y in zip(odds, labels):
+            if y >= 0:
+                right, total = right + ((o > 0) == (y > 0)), total + 1
+    assert right / total > 0.95
+
+
+# --- fingerprints
+
+
+def test_gear_hash_and_cuts_equal_plain_loops():
+    rng = random.Random(2)
+    for n in (0, 1, chunking.MIN, 100, 3000):
+        data = bytes(rng.randrange(97, 123) for _ in range(n))
+        h, hashes = 0, []
+        for b in data:
+            h = ((h << 1) + int(chunking.GEAR[b])) & 0xFFFFFFFF
+            hashes.append(h)
+        assert n == 0 or chunking.gear_hashes(np.frombuffer(data, np.uint8)).tolist() == hashes
+        ends, start = [], 0
+        while start < n:
+            end = min(n, start + chunking.MAX)
+            for at in range(start + chunking.MIN, end + 1):
+                mask = int(chunking.HARD if at < start + chunking.AVERAGE else chunking.EASY)
+                if n - start > chunking.MIN and hashes[at - 1] & mask == 0:
+                    end = at
+                    break
+            ends.append(end)
+            start = end
+        assert chunking.cuts(data) == ends
+
+
+def test_fingerprints_equal_brute_force(docs, texts):
+    ids = sorted(texts)
+    got = {r["doc_id"]: r for r in chunking.fingerprints(docs).collect()}
+    sets = {i: chunking.chunk_set(texts[i].encode()) for i in ids}
+    for k, i in enumerate(ids):
+        following = ids[(k + 1) % len(ids)]
+        half = len(texts[i]) // 2
+        edited = (texts[i][: len(texts[i]) - half] + texts[following][:half]).encode()
+        r = got[i]
+        assert r["edited_sha256"] == hashlib.sha256(edited).hexdigest() and r["fingerprint"] == chunking.encoded(sets[i])
+        assert r["near_next"] == chunking.containment(sets[i], sets[following]) and r["near_edited"] == chunking.containment(sets[i], chunking.chunk_set(edited))
+
+
+def test_chunks_resist_shifts():
+    rng = random.Random(4)
+    text = bytes(rng.randrange(97, 123) for _ in range(20_000))
+    assert chunking.containment(chunking.chunk_set(text), chunking.chunk_set(b"shift" + text)) > 0.9
+
+
+# --- SentencePiece
+
+
+@pytest.fixture(scope="module")
+def model():
+    return pieces.read_model(pieces.model_path())
+
+
+HARD = list("ab \n\t▁  é日<s>\n\n .,'1") + ["the", " of", "</s>", "<0x0A>", "\r\n", "  ", "▁▁", "🙂", "aaaa", "-----"]
+
+
+def hard_texts(n):
+    rng = random.Random(8)
+    return ["".join(rng.choice(HARD) for _ in range(rng.randrange(0, 16))) for _ in range(n)]
+
+
+def test_encoding_equals_the_library(spark, docs, texts, model):
+    tool = sentencepiece.SentencePieceProcessor(model_proto=model)
+    table = pieces.piece_table(model)
+    encoder, decoder = lattice.Encoder(table, {}), lattice.Decoder(table)
+    for text in hard_texts(3000):
+        ids = np.frombuffer(encoder.encode(text), "<i4").tolist()
+        assert ids == tool.encode(text) and decoder.decode(ids) == tool.decode(ids)
+        assert "".join(pieces.segments(text, table)) == pieces.prepared(text, table)
+    for r in lattice.encode_documents(docs).collect():
+        assert r["token_ids"] == tool.encode(texts[r["doc_id"]]) and r["round_trip"] and r["n_tokens"] == len(r["token_ids"])
+
+
+def test_relational_lattice_equals_the_library(spark, texts, model):
+    table, tool = pieces.piece_table(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    words = sorted({w for t in list(texts.values())[:40] for w in t.split() if len(w) < 30})[:400] + ["日本", "🙂x", "a"]
+    got = {r["word"]: r["ids"] for r in lattice.encode_words(spark.createDataFrame([("▁" + w,) for w in words], "word string"), table).collect()}
+    assert got == {"▁" + w: tool.encode(w) for w in words}
+
+
+def test_viterbi_fold_equals_brute_force(spark):
+    rng = random.Random(6)
+    scores = {p: -rng.random() * 5 for p in ["a", "b", "ab", "ba", "aab", "bb", "abab", "bab"]}
+    table = pieces.PieceTable(scores, {p: i for i, p in enumerate(scores)}, tuple(range(100, 356)), 0, False, 4, False)
+    words = ["".join(rng.choice("abc") for _ in range(rng.randrange(1, 8))) for _ in range(40)]
+    low = min(scores.values()) - 10.0
+
+    def best(word):
+        if not word:
+            return 0.0
+        return max(s + best(word[len(p) :]) for p, s in [*scores.items(), *([(word[0], low)] if word[0] not in scores else [])] if word.startswith(p))
+
+    names = {i: p for p, i in table.ids.items()} | {100 + ord(c): c for c in "abc"}
+    for r in lattice.encode_words(spark.createDataFrame([(w,) for w in words], "word string"), table).collect():
+        parts = [names[i] for i in r["ids"]]
+        assert "".join(parts) == r["word"] and abs(sum(scores.get(p, low) for p in parts) - best(r["word"])) < 1e-9
+
+
+def test_token_counts_equal_the_library(docs, texts, model):
+    tool = sentencepiece.SentencePieceProcessor(model_proto=model)
+    counter = token_counts.TokenCounter(model, token_counts.whole_tokens(model))
+    for text in hard_texts(5000):
+        assert counter(text) == len(tool.encode(text))
+    for r in token_counts.token_counts(docs).collect():
+        n = len(tool.encode(texts[r["doc_id"]]))
+        assert (r["n_tokens"], r["n_bytes"], r["over_limit"]) == (n, len(texts[r["doc_id"]].encode()), n > 4096)
+
+
+# --- pipeline
+
+
+def test_pipeline_stages(spark, docs, texts):
+    import corpus_pipeline as c
+
+    at = docs
+    seen = {}
+    for name, stage in c.STAGES:
+        out = stage(spark, at, SF)
+        seen[name] = out.toPandas()
+        assert name == "encoding" or out.columns == docs.columns
+        at = spark.createDataFrame(seen[name], at.schema) if name != "encoding" else at
+    assert [n for n, _ in c.STAGES] == ["toxicity", "language", "near_duplicates", "mixture", "encoding"]
+    scores = toxicity.toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet")).toPandas()
+    assert set(seen["toxicity"]["doc_id"]) == set(scores[scores["predicted"] == 0]["doc_id"])
+    left = {i: texts[i] for i in seen["language"]["doc_id"]}
+    component, _ = brute_components(left, 5)
+    assert set(seen["near_duplicates"]["doc_id"]) == {i for i, k in component.items() if k == i}
+    assert set(seen["mixture"]["doc_id"]) == set(seen["near_duplicates"]["doc_id"]) and len(seen["encoding"]) == len(seen["mixture"])
+    assert isinstance(seen["encoding"], pd.DataFrame) and seen["encoding"]["round_trip"].all()
