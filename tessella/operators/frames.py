@@ -69,3 +69,12 @@ def pool_small_groups(rows: DataFrame, group: str, least: int = 5, pooled: str =
     """Groups of fewer rows than `least` as one group."""
     sizes = rows.groupBy(group).agg(F.count("*").alias("__n"))
     return rows.join(sizes, group).withColumn(group, F.when(F.col("__n") < least, pooled).otherwise(F.col(group))).drop("__n")
+
+
+def build_frames(states: dict[str, DataFrame], frozen: dict[str, DataFrame] | None = None) -> DataFrame:
+    """The canonical frame of all states (tables with pos); a state with a frozen frame must rebuild to it exactly."""
+    built = []
+    for state, rows in states.items():
+        frame = normalize_frame(rows, ["pos"])
+        built.append(assert_frozen(frame, frozen[state], state) if frozen and state in frozen else frame)
+    return union_frames(built)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -94,11 +95,11 @@ def _by_tiers(frame: DataFrame, design: Design, seed: int, key: str) -> DataFram
     spark, group, tier = frame.sparkSession, design.group, design.tier
     quotas = spark.createDataFrame(list(design.tier_quotas.items()), f"{tier} string, __quota int")
     assert_empty(frame.join(quotas, tier, "left_anti").select(tier), "tier without quota")
-    certain = quotas.filter(F.col(tier).isin(*design.certainty_tiers))
+    certain = [F.struct(F.lit(t).alias(tier), F.lit(q).alias("__quota")) for t, q in design.tier_quotas.items() if t in design.certainty_tiers]
     cells = frame.groupBy(group, tier).agg(F.count("*").alias("__n"))
-    wanted = frame.select(group).distinct().crossJoin(F.broadcast(certain))  # departments times the few certainty tiers
-    short = wanted.join(cells, [group, tier], "left").filter("coalesce(__n, 0) != __quota")
-    assert_empty(short, "certainty tier")
+    if certain:
+        wanted = frame.select(group).distinct().select(group, F.explode(F.array(*certain)).alias("__c")).select(group, f"__c.{tier}", "__c.__quota")
+        assert_empty(wanted.join(cells, [group, tier], "left").filter("coalesce(__n, 0) != __quota"), "certainty tier")
     place = F.row_number().over(Window.partitionBy(group, tier).orderBy(draw_hash(seed, "select", key), key))
     chosen = frame.withColumn("__place", place).join(F.broadcast(quotas), tier).filter("__place <= __quota").select(frame.columns)
     more = design.n - chosen.count()
@@ -144,11 +145,9 @@ def batch_margins(assignments: DataFrame, tier: str = "tier") -> DataFrame:
 
 def contingency(rows: DataFrame, first: str, first_levels: list[str], second: str, second_levels: list[str]) -> DataFrame:
     """Counts for every pair of declared levels, zeros included."""
-    spark = rows.sparkSession
-    a = spark.createDataFrame([(x,) for x in first_levels], f"{first} string")
-    b = spark.createDataFrame([(x,) for x in second_levels], f"{second} string")
+    cells = rows.sparkSession.createDataFrame(list(product(first_levels, second_levels)), f"{first} string, {second} string")
     counted = rows.groupBy(first, second).agg(F.count("*").alias("n"))
-    return a.crossJoin(b).join(counted, [first, second], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return cells.join(counted, [first, second], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 __all__ = ["Design", "apportion", "assign_assistants", "assign_treatments", "batch_margins", "contingency", "draw_batch", "draw_hash", "sample_per_group", "sample_rows", "select_offices", "table_digest"]

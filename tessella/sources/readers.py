@@ -39,6 +39,28 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"))
 
 
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The manifest of sources: a CSV with at least path and sha256."""
+    rows = read_csv_text(spark, path)
+    if not {"path", "sha256"} <= set(rows.columns):
+        raise DataError("a manifest has path and sha256")
+    return rows
+
+
+def tracked_files(root: str) -> list[str]:
+    """Paths under version control, from the driver."""
+    import subprocess
+
+    return subprocess.run(["git", "-C", root, "ls-files", "-z"], capture_output=True, text=True, check=True).stdout.split("\0")[:-1]
+
+
+def file_texts(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """(path, text, sha256) of listed files, read by the tasks."""
+    base = os.path.abspath(root)
+    files = spark.read.format("binaryFile").load([os.path.join(base, p) for p in paths])
+    return files.select(F.expr(f"substring(path, locate('{base}/', path) + {len(base) + 1})").alias("path"), F.decode("content", "UTF-8").alias("text"), F.sha2("content", 256).alias("sha256"))
+
+
 def verify_manifest(actual: DataFrame, manifest: DataFrame) -> DataFrame:
     """(path, problem) of files that a manifest of (path, sha256) names and that are missing or changed."""
     joined = manifest.select("path", F.col("sha256").alias("expected")).join(actual, "path", "left")
