@@ -70,19 +70,19 @@ def department_group(office: Column | str, code: str) -> Column:
     name = normalize_text(F.replace(F.upper(part), F.lit("&"), F.lit(" AND ")))
     name = F.regexp_replace(name, r"^[ .\-]+|[ .\-]+$", "")
     if code == STATE_WITH_TRAILING_GROUP:
-        name = F.regexp_replace(name, "^(DEPARTMENT|DEPT) OF ", "")
+        name = F.regexp_replace(name, r"^(DEPARTMENT|DEPT\.?) OF ", "")
     name = F.regexp_replace(name, r" (DEPARTMENT|DEPT\.?)$", "")
     return F.when(name == "", F.lit("UNKNOWN")).otherwise(name)
 
 
 def clean_office_text(c: Column | str) -> Column:
-    """Squeezed, without surrounding double quotes; a double quote between two word characters becomes an apostrophe."""
-    return F.regexp_replace(F.regexp_replace(normalize_text(c), '^"+|"+$', ""), r'(?<=\w)"(?=\w)', "'")
+    """Squeezed, without one pair of double quotes around it; a double quote between two letters becomes an apostrophe."""
+    return F.regexp_replace(F.regexp_replace(normalize_text(c), '^"(.*)"$', "$1"), '(?<=[A-Za-z])"(?=[A-Za-z])', "'")
 
 
 def clean_location(c: Column | str) -> Column:
-    """Squeezed; blank where it only says that nothing is known."""
-    text = normalize_text(c)
+    """clean_office_text, blank where it only says that nothing is known."""
+    text = clean_office_text(c)
     return F.when(F.upper(text).isin(*NULL_LIKE), F.lit("")).otherwise(text)
 
 
@@ -107,5 +107,5 @@ def render(template: Column, values: dict[str, Column]) -> Column:
 
 
 def safe_file_name(c: Column | str) -> Column:
-    """Whether a name may be a file's: letters, digits, dot, dash and underscore, not starting with a dot."""
-    return _text(c).rlike(r"^[A-Za-z0-9_\-][A-Za-z0-9._\-]*$")
+    """Whether a name may be a file's: letters, digits, dash and underscore only."""
+    return _text(c).rlike(r"^[A-Za-z0-9_\-]+$")

@@ -19,19 +19,23 @@ def blank(name: str, rows: DataFrame) -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")) if name in rows.columns else F.lit("")
 
 
-def flat_frame(names: DataFrame, legacy: DataFrame, code: str, state: str, portal: str, headquarters: str = "") -> DataFrame:
-    """Offices of a portal list with details of an older list, matched by stripped name; of repeated older rows the last counts.
+def flat_frame(names: DataFrame, legacy: DataFrame, code: str, state: str, portal: str) -> DataFrame:
+    """Offices of a portal list with places from an older list, matched by stripped name; of repeated older rows the last counts.
 
-    An unmatched long name in a state whose names end in the department gets the district written at its end.
+    In the state whose office names begin with a place, an unmatched office gets what stands before its first dash, unless that is long or lists several.
     """
-    listed = names.select("office_name", match_key("office_name").alias("key"))
+    values = F.col("portal_value_id") if "portal_value_id" in names.columns else F.lit("")
+    listed = names.select("office_name", values.alias("portal_value_id"), match_key("office_name").alias("key"))
     older = legacy.select(match_key("office_name").alias("key"), *[F.col(c).alias(f"old_{c}") for c in ("district", "block")], F.col("pos"), F.lit(True).alias("matched"))
     joined = lookup_keep_last(listed, older, ["key"], "pos")
-    guessed = F.when((F.length("office_name") > LONG_NAME) & F.col("office_name").contains(","), F.trim(F.element_at(F.split("office_name", ","), -1))).otherwise(F.lit(headquarters))
-    district = F.when(F.col("matched"), F.col("old_district")).otherwise(guessed if code == "KA" else F.lit(headquarters))
+    guess = F.trim(F.regexp_replace("office_name", r"\s*-.*", ""))
+    guess = F.when((F.char_length(guess) > LONG_NAME) | guess.contains(","), F.lit("")).otherwise(guess)
+    district = F.coalesce("old_district", F.lit(""))
+    if code == "KA":
+        district = F.when(F.col("matched"), district).otherwise(guess)
     return joined.select(
-        "office_name", F.lit(code).alias("state_code"), F.lit(state).alias("state"), F.lit(portal).alias("portal"), F.coalesce(district, F.lit("")).alias("district"),
-        F.coalesce("old_block", F.lit("")).alias("block"), department_group("office_name", code).alias("dept_group"),
+        "office_name", F.lit(code).alias("state_code"), F.lit(state).alias("state"), F.lit(portal).alias("portal"), district.alias("district"), F.coalesce("old_block", F.lit("")).alias("block"),
+        department_group("office_name", code).alias("dept_group"), "portal_value_id",
     )
 
 
@@ -43,13 +47,19 @@ def normalize_frame(frame: DataFrame, order: list[str]) -> DataFrame:
     return keyed.withColumn("authority_id", authority_id(F.col("__key"), F.col("__n"))).select(FRAME_COLUMNS)
 
 
-def categorized_frame(offices: DataFrame, categories: DataFrame) -> DataFrame:
-    """Offices with the categories of a list that must match them one to one, k-th repeat with k-th repeat; unknown places become blank."""
-    left = offices.withColumn("office_name", clean_office_text("office_name"))
-    left = left.withColumn("__key", normalize_key("office_name"))
-    right = categories.select(normalize_key(clean_office_text("office_name")).alias("__key"), F.col("pos").alias("__pos"), "tier", "dept_group", "tree_department")
-    joined = one_to_one(left, right, "__key", "pos", "__pos").drop("__key", "__pos")
-    return joined.withColumn("district", clean_location("district")).withColumn("block", clean_location("block"))
+def categorized_frame(tree: DataFrame, places: DataFrame, code: str, state: str, portal: str) -> DataFrame:
+    """A tree of categorised offices with places from a list that must match it one to one, the k-th repeat of a name with its k-th repeat.
+
+    tree has office_name, node_id, tree_department, tier and pos; places has office_name, district, block and pos. Offices are told by their node.
+    """
+    left = tree.withColumn("__key", normalize_key(clean_office_text("office_name")))
+    right = places.select(normalize_key(clean_office_text("office_name")).alias("__key"), F.col("pos").alias("__pos"), "district", "block")
+    joined = one_to_one(left, right, "__key", "pos", "__pos")
+    department = clean_office_text("tree_department")
+    values = {"authority_id": F.concat(F.lit(f"{code}-"), F.col("node_id").cast("string")), "state": F.lit(state), "state_code": F.lit(code), "office_name": clean_office_text("office_name")}
+    values |= {"district": clean_location("district"), "block": clean_location("block"), "portal": F.lit(portal), "node_id": F.col("node_id").cast("string")}
+    values |= {"tree_department": department, "tier": clean_office_text("tier"), "dept_group": department}
+    return joined.select([values[c].alias(c) for c in FRAME_COLUMNS])
 
 
 def union_frames(frames: list[DataFrame]) -> DataFrame:

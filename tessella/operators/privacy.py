@@ -15,8 +15,10 @@ PUBLIC_COLUMNS = [
     "application_id", "authority_id", "batch_id", "state", "state_code", "office_name", "dept_group", "district", "block", "portal", "node_id", "tree_department", "tier", "treatment", "assigned_ra",
     "randomization_stratum", "template_version", "language", "channel",
 ]
-PRIVATE_COLUMNS = ["registration_number", "payment_reference", "filed_by", "evidence_url", "screen_recording_url", "pio_name", "notes"]
-PRIVATE_PATH = r"(^|/)(private|intake|letters_out)/|\.rds$|filer\.ya?ml$"
+# Columns that must be empty in published files, paths that must not be published, and files that are searched.
+PRIVATE_COLUMNS = ["registration_number", "filed_by", "pio_name", "pio_email", "pio_phone", "payment_reference", "evidence_url", "screen_recording_url", "document_url"]
+PRIVATE_PATH = r"(^|/)(private|intake_raw)/|^config/filers?\.yaml$|\.(rds|sqlite|db|zip)$"
+SEARCHED = r"\.(csv|txt|json|md|yaml|yml|html)$"
 
 
 def public_assignments(rows: DataFrame) -> DataFrame:
@@ -44,19 +46,19 @@ def check_public(rows: DataFrame) -> DataFrame:
 def private_findings(files: DataFrame, manifest: DataFrame) -> DataFrame:
     """(path, reason) of files that must not be published; files has path, text and sha256.
 
-    Files whose digest equals the manifest's are known and exempt; the content below renv/ is not searched.
+    Paths are checked for every file. Contents are searched in text files outside renv/, except files whose digest equals the manifest's.
     """
-    known = manifest.select(F.col("path").alias("__path"), F.col("sha256").alias("__sha"))
-    open_files = files.join(known, (F.col("path") == F.col("__path")) & (F.col("sha256") == F.col("__sha")), "left_anti")
-    searched = ~F.col("path").startswith("renv/")
+    known = manifest.select(F.col("path").alias("__path"), F.col("sha256").alias("__sha"), F.lit(True).alias("__known"))
+    marked = files.join(known, (F.col("path") == F.col("__path")) & (F.col("sha256") == F.col("__sha")), "left")
+    searched = F.col("__known").isNull() & F.col("path").rlike(SEARCHED) & ~F.col("path").startswith("renv/")
     checks: list[tuple[str, Column]] = [
         ("private path", F.col("path").rlike(PRIVATE_PATH)),
-        ("populated private column", searched & populated_private_column(F.col("text"))),
+        ("populated private column", searched & F.col("path").endswith(".csv") & populated_private_column(F.col("text"))),
         ("contact details", searched & has_contact_details("text")),
-        ("registration number", searched & F.col("text").rlike(REGISTRATION)),
+        ("registration number", searched & F.coalesce(F.col("text").rlike(REGISTRATION), F.lit(False))),
     ]
     reasons = F.filter(F.array(*[F.when(test, F.lit(name)) for name, test in checks]), lambda r: r.isNotNull())
-    return open_files.select("path", F.explode(reasons).alias("reason"))
+    return marked.select("path", F.explode(reasons).alias("reason"))
 
 
 def populated_private_column(text: Column) -> Column:

@@ -95,12 +95,12 @@ def department_group_parse(spark, sf_dir):
 
 
 @query(
-    "with s as (select s_suppkey, '  \"Office \"' || s_name || '\"s  Hall\"' as v, case s_suppkey % 6 when 0 then ' na ' when 1 then 'N/A' when 2 then '-' when 3 then 'none' else s_name end as l from supplier) "
+    "with s as (select s_suppkey, '  \"Office \"' || s_name || 'x\"s  Hall\"' as v, case s_suppkey % 6 when 0 then ' na ' when 1 then 'N/A' when 2 then '-' when 3 then 'none' else s_name end as l from supplier) "
     "select s_suppkey, regexp_replace('Office \"' || ltrim(substr(v, 12)), '^Office \"(.*)\"s +Hall\"$', 'Office \"\\1''s Hall') as office, case when upper(trim(l)) in ('NA', 'N/A', 'NIL', 'NONE', '-') then '' else trim(l) end as place from s"
 )
 def clean_office_names(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
-    office = F.concat(F.lit('  "Office "'), "s_name", F.lit('"s  Hall"'))
+    office = F.concat(F.lit('  "Office "'), "s_name", F.lit('x"s  Hall"'))
     k = F.col("s_suppkey") % 6
     place = F.when(k == 0, " na ").when(k == 1, "N/A").when(k == 2, "-").when(k == 3, "none").otherwise(F.col("s_name"))
     return s.select("s_suppkey", tx.clean_office_text(office).alias("office"), tx.clean_location(place).alias("place"))
@@ -463,14 +463,14 @@ def html_links_extract(spark, sf_dir):
 
 @query("select n_nationkey, 'v' || n_nationkey as value, n_name || ' &amp; Co' as label from nation")
 def html_select_options(spark, sf_dir):
-    n = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit('<SELECT><option  class="x" value="v'), F.col("n_nationkey").cast("string"), F.lit('">  '), "n_name", F.lit("  &amp;\n Co </option></SELECT>")).alias("page"))
+    n = table(spark, sf_dir, "nation").select("n_nationkey", F.concat(F.lit('<SELECT class="f" name="MinistryId"><option value="0">--Select--</option><option  class="x" value="v'), F.col("n_nationkey").cast("string"), F.lit('">  <b>'), "n_name", F.lit("</b>  &amp;\n Co </option></SELECT>")).alias("page"))
     return n.select("n_nationkey", F.explode(readers.select_options(F.col("page"))).alias("o")).select("n_nationkey", "o.value", "o.label")
 
 
 def _portal_pages(spark, sf_dir) -> DataFrame:
     """A portal page for each nation: its suppliers as offices, every third with sub-offices."""
     s = table(spark, sf_dir, "supplier").withColumn("row", F.concat(
-        F.lit("<tr><td>"), F.col("s_suppkey").cast("string"), F.lit('</td><td><div class="text-primary">'), "s_name", F.lit("</div><div>Hall "), F.col("s_nationkey").cast("string"), F.lit("</div>"),
+        F.lit("<tr><td>"), F.col("s_suppkey").cast("string"), F.lit('</td><td><div class="text-primary">'), "s_name", F.lit("</div><div>Hall "), F.col("s_nationkey").cast("string"), F.lit("</div></td><td>"),
         F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit('<a href="/show_sub_office/'), F.col("s_suppkey").cast("string"), F.lit('">more</a>'))).otherwise(""), F.lit("</td></tr>"),
     ))
     pages = s.groupBy("s_nationkey").agg(F.concat_ws("", F.collect_list("row")).alias("rows"))
@@ -542,12 +542,12 @@ def facet_labels(spark, sf_dir):
 
 @query(
     "with o as (select s_suppkey, s_name as office_name, lower(regexp_replace(s_name, '[^A-Za-z0-9]', '', 'g')) as k from supplier), l as (select arg_max(s_nationkey, s_suppkey) as d, lower(regexp_replace(s_name, '[^A-Za-z0-9]', '', 'g')) as k from supplier where s_suppkey % 2 = 0 group by 2), "
-    "f as (select distinct office_name, k from o) select office_name, 'TG' as state_code, case when l.k is null then 'HQ' else 'D' || d end as district from f left join l using (k)"
+    "f as (select distinct office_name, k from o) select office_name, 'TG' as state_code, case when l.k is null then '' else 'D' || d end as district from f left join l using (k)"
 )
 def flat_frame_lookup(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     legacy = s.filter("s_suppkey % 2 = 0").select(F.upper("s_name").alias("office_name"), F.concat(F.lit("D"), F.col("s_nationkey").cast("string")).alias("district"), F.lit("").alias("block"), F.col("s_suppkey").alias("pos"))
-    return frames.flat_frame(s.select(F.col("s_name").alias("office_name")).distinct(), legacy, "TG", "Telangana", "portal", "HQ").select("office_name", "state_code", "district")
+    return frames.flat_frame(s.select(F.col("s_name").alias("office_name")).distinct(), legacy, "TG", "Telangana", "portal").select("office_name", "state_code", "district")
 
 
 @query(

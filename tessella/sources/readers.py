@@ -5,15 +5,16 @@ from __future__ import annotations
 import html.parser
 import json
 import os
+import re
 from collections.abc import Iterator
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.functions.text import normalize_text
+from tessella.functions.text import match_key, normalize_text
 from tessella.operators.keys import DataError, assert_empty
 
 
@@ -48,10 +49,10 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tracked_files(root: str) -> list[str]:
-    """Paths under version control, from the driver."""
+    """Paths under version control or about to be, from the driver."""
     import subprocess
 
-    return subprocess.run(["git", "-C", root, "ls-files", "-z"], capture_output=True, text=True, check=True).stdout.split("\0")[:-1]
+    return subprocess.run(["git", "-C", root, "ls-files", "-z", "--cached", "--others", "--exclude-standard"], capture_output=True, text=True, check=True).stdout.split("\0")[:-1]
 
 
 def file_texts(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
@@ -72,7 +73,7 @@ def assert_sources(actual: DataFrame, manifest: DataFrame) -> None:
     assert_empty(verify_manifest(actual, manifest).orderBy("path"), "source differs from its manifest")
 
 
-def read_json_names(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+def read_json_names(spark: SparkSession, path: str, glob: str = "page_*.json") -> DataFrame:
     """Distinct squeezed names of JSON pages (arrays of strings); raw control characters, which JSON forbids, count as spaces."""
     pages = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
     repaired = F.regexp_replace("value", r"\p{Cntrl}", " ")
@@ -80,20 +81,43 @@ def read_json_names(spark: SparkSession, path: str, glob: str = "*.json") -> Dat
     return names.select(normalize_text("name").alias("office_name")).distinct()
 
 
-def select_options(page: Column) -> Column:
-    """array<struct<value, label>> of the options in a page's markup; entities stay as they are."""
-    found = F.regexp_extract_all(page, F.lit(r"(?is)(<option[^>]*>[^<]*)"), F.lit(1))
-    value = lambda o: F.regexp_extract(o, r"(?is)<option[^>]*?value\s*=\s*[\"']?([^\"'\s>]*)", 1)
-    return F.transform(found, lambda o: F.struct(value(o).alias("value"), normalize_text(F.regexp_replace(o, r"(?is)^<option[^>]*>", "")).alias("label")))
+def select_options(page: Column, name: str = "MinistryId") -> Column:
+    """array<struct<value, label>> of the options of a page's named select; entities stay as they are. Null without the select."""
+    inside = F.regexp_extract(page, rf"(?is)<select[^>]*(?:name|id)=\"{name}\"[^>]*>(.*?)</select>", 1)
+    option = r"(?s)<option[^>]*value=\"([^\"]*)\"[^>]*>(.*?)</option>"
+    values, labels = (F.regexp_extract_all(inside, F.lit(option), F.lit(k)) for k in (1, 2))
+    pairs = F.zip_with(values, labels, lambda v, t: F.struct(normalize_text(v).alias("value"), normalize_text(F.regexp_replace(t, "<[^>]+>", " ")).alias("label")))
+    found = F.filter(pairs, lambda o: (o["value"] != "") & (o["label"] != "") & ~o["label"].contains("--Select--"))
+    return F.when(page.rlike(rf"(?is)<select[^>]*(?:name|id)=\"{name}\""), found)
+
+
+def portal_options(pages: DataFrame, page: str = "html") -> DataFrame:
+    """(office_name, portal_value_id) of the pages' options; of names equal but for case and signs the first in byte order stays."""
+    found = pages.withColumn("__o", select_options(F.col(page)))
+    assert_empty(found.filter("__o is null").select(F.lit(page).alias("page")), "select not found")
+    options = found.select(F.explode("__o").alias("o")).select(F.col("o.label").alias("office_name"), F.col("o.value").alias("portal_value_id"))
+    first = F.row_number().over(Window.partitionBy(match_key("office_name")).orderBy("office_name", "portal_value_id"))
+    return options.withColumn("__n", first).filter("__n = 1").drop("__n")
+
+
+def portal_rows(pages: DataFrame, page: str = "html") -> DataFrame:
+    """Distinct office names in the second cells of the pages' tables."""
+
+    @F.pandas_udf("array<string>")
+    def cells(content: pd.Series) -> pd.Series:
+        return pd.Series([second_cells(c) for c in content])
+
+    return pages.select(F.explode(cells(F.col(page))).alias("office_name")).filter("office_name != ''").distinct()
 
 
 class _Rows(html.parser.HTMLParser):
-    """Table rows as lists of cells (text, text of the primary block, other text, first link)."""
+    """Table rows as lists of cells: kind, text, text of the primary block, text of the block after it, links."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.rows: list[list[dict]] = []
-        self.cell, self.primary, self.linked = None, 0, False
+        self.cell: dict | None = None
+        self.block, self.depth = "", 0  # the block whose text is read, and the open div elements in it
 
     def handle_starttag(self, tag, attrs):
         given = dict(attrs)
@@ -101,32 +125,33 @@ class _Rows(html.parser.HTMLParser):
             self.rows.append([])
             self.cell = None
         elif tag in ("td", "th") and self.rows:
-            self.cell = {"text": "", "primary": "", "rest": "", "link": None}
+            self.cell = {"kind": tag, "text": "", "primary": None, "address": None, "links": []}
             self.rows[-1].append(self.cell)
-            self.primary = 0
+            self.block, self.depth = "", 0
         elif tag == "div" and self.cell is not None:
-            if self.primary:
-                self.primary += 1
-            elif "text-primary" in (given.get("class") or "").split():
-                self.primary = 1
-        elif tag == "a" and self.cell is not None:
-            self.linked = True
-            if self.cell["link"] is None:
-                self.cell["link"] = given.get("href")
+            if self.block:
+                self.depth += 1
+            else:
+                name = "primary" if self.cell["primary"] is None and "text-primary" in (given.get("class") or "").split() else "address" if self.cell["primary"] is not None and self.cell["address"] is None else ""
+                if name:
+                    self.cell[name] = ""
+                    self.block, self.depth = name, 1
+        elif tag == "a" and self.cell is not None and given.get("href"):
+            self.cell["links"].append(given["href"])
 
     def handle_endtag(self, tag):
-        if tag == "div" and self.primary:
-            self.primary -= 1
-        elif tag == "a":
-            self.linked = False
+        if tag == "div" and self.block:
+            self.depth -= 1
+            if not self.depth:
+                self.block = ""
         elif tag in ("td", "th"):
-            self.cell, self.primary, self.linked = None, 0, False
+            self.cell, self.block, self.depth = None, "", 0
 
     def handle_data(self, data):
         if self.cell is not None:
             self.cell["text"] += data
-            if self.primary or not self.linked:
-                self.cell["primary" if self.primary else "rest"] += data
+            if self.block:
+                self.cell[self.block] += data
 
 
 def table_rows(page: str | None) -> list[list[dict]]:
@@ -143,15 +168,16 @@ def second_cells(page: str | None) -> list[str]:
 
 
 def office_rows(page: str | None, page_url: str) -> list[dict]:
-    """Offices of a portal page: rows whose first cell is a number. A row with a link to sub-offices is no leaf."""
+    """Offices of a portal page: rows of three cells or more whose first is a number. A row whose last cell links to sub-offices is no leaf."""
     out = []
     for row in table_rows(page):
-        if len(row) < 2 or not row[0]["text"].strip().isdigit():
+        cells = [c for c in row if c["kind"] == "td"]
+        if len(cells) < 3 or not re.fullmatch("[0-9]+", " ".join(cells[0]["text"].split())):
             continue
-        name = " ".join((row[1]["primary"] or row[1]["text"]).split())
-        address = " ".join(row[1]["rest"].split()) if row[1]["primary"] else ""
-        link = next((c["link"] for c in row if c["link"] and "show_sub_office" in c["link"]), None)
-        out.append({"office_name": name, "address": address, "url": urljoin(page_url, link) if link else "", "is_leaf": link is None})
+        office = cells[1]
+        name = office["text"] if office["primary"] is None else office["primary"]
+        link = next((h for h in cells[-1]["links"] if "show_sub_office" in h), None)
+        out.append({"office_name": " ".join(name.split()), "address": " ".join((office["address"] or "").split()), "url": urljoin(page_url, link) if link else "", "is_leaf": link is None})
     return out
 
 

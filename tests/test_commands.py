@@ -54,7 +54,7 @@ def test_privacy_scan_of_tracked_files(spark, tmp_path, capsys):
 
 
 def test_collect_goes_on(spark, tmp_path):
-    page = '<table><tr><td>1</td><td><div class="text-primary">Head</div><a href="/show_sub_office/1">m</a></td></tr></table>'
-    leaf = "<table><tr><td>1</td><td>Sub</td></tr></table>"
+    page = '<table><tr><td>1</td><td><div class="text-primary">Head</div></td><td><a href="/show_sub_office/1">m</a></td></tr></table>'
+    leaf = "<table><tr><td>1</td><td>Sub</td><td></td></tr></table>"
     assert commands.collect(spark, "https://x.org/", str(tmp_path / "s"), lambda u: leaf if "sub" in u else page) == 3
     assert commands.collect(spark, "https://x.org/", str(tmp_path / "s"), lambda u: 1 / 0) == 3

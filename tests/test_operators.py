@@ -115,19 +115,23 @@ def test_keys(spark):
 
 
 def test_frames(spark):
-    names = spark.createDataFrame([("Roads Office",), ("Very long name of an office of works, Mysuru",)], "office_name string")
+    names = spark.createDataFrame([("Roads Office",), ("Mysuru  - Office of works",), ("A, B - Office",), ("A name of more than thirty characters - Office",)], "office_name string")
     legacy = spark.createDataFrame([("ROADS-OFFICE", "Old", "b", 1), ("roads office", "New", "c", 2)], "office_name string, district string, block string, pos int")
     flat = frames.flat_frame(names, legacy, "KA", "Karnataka", "p")
-    assert {(r["office_name"][:5], r["district"], r["block"]) for r in flat.collect()} == {("Roads", "New", "c"), ("Very ", "Mysuru", "")}
+    assert {(r["office_name"][:5], r["district"], r["block"]) for r in flat.collect()} == {("Roads", "New", "c"), ("Mysur", "Mysuru", ""), ("A, B ", "", ""), ("A nam", "", "")}
     doubled = flat.union(flat).withColumn("pos", F.monotonically_increasing_id())
     full = frames.normalize_frame(doubled, ["pos"])
-    assert full.columns == frames.FRAME_COLUMNS and full.select("authority_id").distinct().count() == 4
-    assert frames.union_frames([full]).count() == 4
+    assert full.columns == frames.FRAME_COLUMNS and full.select("authority_id").distinct().count() == 8
+    assert frames.union_frames([full]).count() == 8
     with pytest.raises(DataError):
         frames.union_frames([full, full])
-    offices = spark.createDataFrame([('"An" office', "NA", "x", 1), ("an  Office", "d", "-", 2)], "office_name string, district string, block string, pos int").withColumn("office_name", F.regexp_replace("office_name", '"', ""))
-    cats = spark.createDataFrame([("an office", "T1", "G", "D", 1), ("An Office", "T2", "G", "D", 2)], "office_name string, tier string, dept_group string, tree_department string, pos int")
-    assert [(r["tier"], r["district"], r["block"]) for r in frames.categorized_frame(offices, cats).orderBy("pos").collect()] == [("T1", "", "x"), ("T2", "d", "")]
+    places = spark.createDataFrame([('"An office"', "NA", "x", 1), ("an  Office", "d", "-", 2)], "office_name string, district string, block string, pos int")
+    cats = spark.createDataFrame([("an office", 7, "T1", "D", 1), ("An Office", 9, "T2", 'Dep"t', 2)], "office_name string, node_id int, tier string, tree_department string, pos int")
+    found = frames.categorized_frame(cats, places, "TN", "Tamil Nadu", "p")
+    assert found.columns == frames.FRAME_COLUMNS
+    assert [(r["authority_id"], r["tier"], r["district"], r["block"], r["dept_group"]) for r in found.orderBy("authority_id").collect()] == [("TN-7", "T1", "", "x", "D"), ("TN-9", "T2", "d", "", "Dep't")]
+    with pytest.raises(DataError, match="one to one"):
+        frames.categorized_frame(cats, places.limit(1), "TN", "Tamil Nadu", "p")
 
 
 # --- intake
@@ -258,8 +262,8 @@ def test_privacy(spark):
         privacy.check_public(rows)
     with pytest.raises(DataError, match="contact"):
         privacy.check_public(register(spark).withColumn("assigned_ra", F.lit("me@x.org")))
-    files = spark.createDataFrame([("a.csv", "application_id,filed_by\nA,Someone", "1"), ("b.csv", "application_id,filed_by\nA,", "2"), ("c.txt", "see /R/2026/12345", "3"), ("renv/d", "a@b.org", "4"), ("private/e", "", "5"), ("k", "a@b.org", "6")], "path string, text string, sha256 string")
-    known = files.filter("path = 'k'").select("path", "sha256")
+    files = spark.createDataFrame([("a.csv", "application_id,filed_by\nA,Someone", "1"), ("b.csv", "application_id,filed_by\nA,", "2"), ("c.txt", "see /R/2026/12345", "3"), ("renv/d.txt", "a@b.org", "4"), ("private/e", "", "5"), ("k.txt", "a@b.org", "6"), ("l.bin", "a@b.org", "7")], "path string, text string, sha256 string")
+    known = files.filter("path = 'k.txt'").select("path", "sha256")
     assert {tuple(r) for r in privacy.private_findings(files, known).collect()} == {("a.csv", "populated private column"), ("c.txt", "registration number"), ("private/e", "private path")}
 
 
@@ -277,11 +281,16 @@ def test_csv_and_json(spark, tmp_path):
     (pages / "page_1.json").write_text('["A \n B", "C"]')
     (pages / "page_2.json").write_text(json.dumps(["C ", "D"]))
     assert {r[0] for r in readers.read_json_names(spark, str(pages)).collect()} == {"A B", "C", "D"}
+    options = '<select id="MinistryId"><option value="0">--Select--</option><option value="2">b &amp; c</option><option value="1">B &amp; C</option><option value="">x</option></select>'
+    assert [tuple(r) for r in readers.portal_options(spark.createDataFrame([(options,)], "html string")).collect()] == [("B &amp; C", "1")]
+    with pytest.raises(DataError, match="select"):
+        readers.portal_options(spark.createDataFrame([("<p>",)], "html string"))
+    assert [r[0] for r in readers.portal_rows(spark.createDataFrame([("<table><tr><th>n<th>x</tr><tr><td>1</td><td> A  B</td></tr></table>",)], "html string")).collect()] == ["A B"]
     assert readers.second_cells("<table><tr><th>n<th>x</tr><tr><td>1</td><td> A  <b>B</b></td></tr></table>") == ["A B"]
 
 
-PAGE = '<table><tr><th>No</th><th>Office</th></tr><tr><td>1</td><td><div class="x text-primary">Head</div><div>Hall</div><a href="/show_sub_office/1">m</a></td></tr><tr><td>2</td><td>Leaf</td></tr></table>'
-LEAF = "<table><tr><td>1</td><td>Sub</td></tr></table>"
+PAGE = '<table><tr><th>No</th><th>Office</th></tr><tr><td>1</td><td><div class="x text-primary">Head</div><div>Hall</div><div>else</div></td><td><a href="/show_sub_office/1">m</a></td></tr><tr><td>2</td><td>Leaf</td><td></td></tr><tr><td>x</td><td>no</td><td></td></tr></table>'
+LEAF = "<table><tr><td>1</td><td>Sub</td><td></td></tr></table>"
 
 
 def test_crawl_resumes(spark):
