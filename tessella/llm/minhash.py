@@ -6,8 +6,9 @@ leading hashes lie next to each other. A region is a run with one prefix of DEPT
 sets adjacent in the order, which have the longest common prefixes. A second pass takes all regions of three and more sets
 again, between sets not yet linked only: where a region has at most REGION sets every two of them are candidates; a fuller
 one is split by one hash more, and so on to twice the depth, until its parts have at most REGION sets, so the depth adapts to
-how crowded a region is, and there each set also meets the NEIGHBOURS sets of longest common prefix on either side. Large
-groups of near copies so cost a few candidates a set and not all pairs.
+how crowded a region is, and there each set also meets the NEIGHBOURS sets of longest common prefix on either side. Pairs
+whose whole signatures share fewer than LEAST_EQUAL hashes go: at a similarity of 0.8 that happens once in 100,000 pairs.
+Large groups of near copies so cost a few candidates a set and not all pairs.
 
 Candidates are confirmed on the full sets; links are merged by alternating large and small stars. Sets that
 differ in no shingle are one class from the start, so exact copies never meet in one task.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,8 +39,10 @@ from tessella.llm.common import materialise, partitions_of
 TREES = 24
 DEPTH = 4  # hashes a tree has of its own; the longest prefix is twice as long
 REGION = 64
+LEAST_EQUAL = 60  # of the 96 hashes that a pair must share in the second pass: 4.3 deviations below the mean at 0.8
 NEIGHBOURS = 2  # sets on either side in the second pass
 FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions of three and more
+SORTED_ROWS = 1_000_000  # rows of a sorted order that one task holds (48 bytes each)
 FILTER_BITS = 1 << 26  # fixed size of the filter of sets that have candidates: 8 MB
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -144,7 +147,7 @@ def _similar_sizes(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) ->
     return np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
 
 
-def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
+def first_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """kind 0: candidate pairs (a, b) of adjacent rows, in regions of two and in the first trees; kind 1: the rows of regions of three and more (a = id)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -160,12 +163,17 @@ def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
         left = t[size > 2]
         yield pd.DataFrame({"kind": np.int32(1), "a": left["id"], "b": np.int64(0), "tree": left["tree"], "p1": left["p1"], "p2": left["p2"], "n": left["n"]})
 
-    return _sorted(rows).mapInPandas(run, PAIR_SCHEMA)
+    return _sorted(rows, parts).mapInPandas(run, PAIR_SCHEMA)
 
 
-def _sorted(rows: DataFrame) -> DataFrame:
+def _parts(spark: SparkSession, rows: int) -> int:
+    """Partitions for a sorted order: the session's number, more where they would hold over SORTED_ROWS rows each."""
+    return max(partitions_of(spark), -(-rows // SORTED_ROWS))
+
+
+def _sorted(rows: DataFrame, parts: int) -> DataFrame:
     order = ["tree", "p1", "p2", "id"]
-    return rows.repartitionByRange(partitions_of(rows.sparkSession), *order).sortWithinPartitions(*order)
+    return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
 
 def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
@@ -174,7 +182,7 @@ def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"kind": np.int32(0), "a": np.minimum(x, y), "b": np.maximum(x, y), "tree": np.int32(0), "p1": np.int64(0), "p2": np.int64(0), "n": np.int64(0)})
 
 
-def second_candidates(rows: DataFrame, percent: int) -> DataFrame:
+def second_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """Pairs between sets of different components only: all within regions of at most REGION rows and within the parts of
     as many rows that a greater depth makes of fuller ones, and there the NEIGHBOURS rows of longest common prefix on either side.
     """
@@ -184,14 +192,22 @@ def second_candidates(rows: DataFrame, percent: int) -> DataFrame:
         if t is None:
             return
         tree, p1, p2, ids, n, comp = (t[c].to_numpy() for c in ("tree", "p1", "p2", "id", "n", "comp"))
+        sig = np.frombuffer(b"".join(t["signature"]), np.uint16).reshape(len(t), TREES * DEPTH)
+        least = LEAST_EQUAL * percent // 80
+
+        def plausible(i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
+            i, j = (x[(comp[i] != comp[j]) & _similar_sizes(n, i, j, percent)] for x in (i, j))
+            same = [(sig[i[k : k + 65_536]] == sig[j[k : k + 65_536]]).sum(axis=1) >= least for k in range(0, len(i), 65_536)]
+            keep = np.concatenate(same) if same else np.zeros(0, bool)
+            return _pairs(ids[i[keep]], ids[j[keep]])
+
         done = np.zeros(len(t), bool)
         for depth in range(DEPTH + 1):  # a region's depth grows by a hash as long as it is too full
             run_of = _starts(tree, p1, p2 >> (16 * (DEPTH - depth)) if depth else np.zeros(len(t), np.int64))
             fits = (np.bincount(run_of)[run_of] <= REGION) & ~done
             done |= fits
             for i, j in _within(run_of, fits):
-                new = (comp[i] != comp[j]) & _similar_sizes(n, i, j, percent)
-                yield _pairs(ids[i[new]], ids[j[new]])
+                yield plausible(i, j)
         region, component = _starts(tree, p1), _starts(tree, p1, comp)
         full = np.bincount(region)[region] > REGION
         change = np.flatnonzero(np.r_[True, component[1:] != component[:-1]])
@@ -200,16 +216,14 @@ def second_candidates(rows: DataFrame, percent: int) -> DataFrame:
         for step in range(NEIGHBOURS):  # rows after the run of its own component
             j = ends[which] + step
             i = np.flatnonzero((j < len(t)) & full)
-            i = i[(region[j[i]] == region[i]) & (comp[j[i]] != comp[i])]
-            i = i[_similar_sizes(n, i, j[i], percent)]
-            yield _pairs(ids[i], ids[j[i]])
+            i = i[region[j[i]] == region[i]]
+            yield plausible(i, j[i])
             j = change[which] - 1 - step
             i = np.flatnonzero((j >= 0) & full)
-            i = i[(region[j[i]] == region[i]) & (comp[j[i]] != comp[i])]
-            i = i[_similar_sizes(n, i, j[i], percent)]
-            yield _pairs(ids[i], ids[j[i]])
+            i = i[region[j[i]] == region[i]]
+            yield plausible(i, j[i])
 
-    return _sorted(rows).mapInPandas(run, PAIR_SCHEMA)
+    return _sorted(rows, parts).mapInPandas(run, PAIR_SCHEMA)
 
 
 def _slots(ids: np.ndarray) -> np.ndarray:
@@ -311,7 +325,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     live = base.filter("n_shingles > 0 and doc_id is not null")
     classes = live.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("s"))
     classes = materialise(classes.select("digest", F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), F.col("s.signature").alias("signature")), "classes")
-    found = materialise(first_candidates(forest_rows(classes), percent), "candidates")
+    spark = docs.sparkSession
+    found = materialise(first_candidates(forest_rows(classes), percent, _parts(spark, classes.count() * TREES)), "candidates")
     pairs = found.filter("kind = 0").select("a", "b").distinct()
     crowded = found.filter("kind = 1").select("tree", "p1", "p2", F.col("a").alias("id"), "n")
     members = classes.select("id")
@@ -320,9 +335,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     sets = materialise(candidate_sets(docs, members, candidate_filter(wanted), words), "sets")
     links = materialise(confirm(pairs, sets, percent), "links")
     labels = materialise(components(links), "labels")
-    if crowded.limit(1).count():
-        marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        more = materialise(confirm(second_candidates(marked, percent), sets, percent), "links")
+    if n_crowded := crowded.count():
+        marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "signature"), "id")
+        more = materialise(confirm(second_candidates(marked, percent, _parts(spark, 4 * n_crowded)), sets, percent), "links")
         # The first components stand for the links that made them.
         labels = components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
     labels = materialise(labels, "labels")
