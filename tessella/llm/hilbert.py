@@ -138,6 +138,10 @@ def shard_manifest(assigned: DataFrame) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, assigned: DataFrame, path: str) -> None:
-    """Write docs as one folder per shard in curve order (joined by doc_id, which must be unique here)."""
+    """Write docs as one folder per shard, in curve order inside its files (joined by doc_id, which must be unique and not null here).
+
+    Ranges of (shard, slot) are dealt to tasks, so a shard larger than a task becomes several files.
+    """
     keyed = docs.join(assigned.select("doc_id", "shard", "slot"), "doc_id")
-    keyed.repartition(F.col("shard")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    ranged = keyed.repartitionByRange(partitions_of(docs.sparkSession), "shard", "slot")
+    ranged.sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

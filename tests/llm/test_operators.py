@@ -47,7 +47,7 @@ def test_hilbert_curve_visits_neighbours(spark, n, bits):
     assert sorted(order) == cells and all(sum(abs(a - b) for a, b in zip(p, q)) == 1 for p, q in zip(order, order[1:]))
 
 
-def test_shards(docs, texts):
+def test_shards(docs, texts, tmp_path):
     got = hilbert.hilbert_shards(docs, 24).toPandas()
     sizes = got.groupby("shard").size()
     assert len(sizes) == 24 and sizes.max() - sizes.min() <= 1
@@ -55,6 +55,8 @@ def test_shards(docs, texts):
         assert sorted(g["slot"]) == list(range(len(g))) and g.sort_values("slot")["hilbert"].is_monotonic_increasing
     assert got.groupby("shard")["hilbert"].min().iloc[1:].ge(got.groupby("shard")["hilbert"].max().iloc[:-1].to_numpy()).all()
     assert all(c == zlib.crc32(texts[i].encode()) and s == len(texts[i].encode()) + 8 for i, c, s in zip(got["doc_id"], got["text_crc32"], got["size"]))
+    hilbert.write_shards(docs, hilbert.hilbert_shards(docs, 3), str(tmp_path / "shards"))
+    assert docs.sparkSession.read.parquet(str(tmp_path / "shards")).groupBy("shard").count().count() == 3
     manifest = hilbert.shard_manifest(hilbert.hilbert_shards(docs, 24)).toPandas()
     wide = sum(((manifest[f"{c}_max"] - manifest[f"{c}_min"]) < 40).mean() for c in hilbert.DIMENSIONS)
     assert manifest["n_rows"].sum() == len(texts) and wide > 1
