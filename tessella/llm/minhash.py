@@ -10,11 +10,15 @@ how crowded a region is, and there each set also meets the NEIGHBOURS sets of lo
 whose whole signatures share fewer than LEAST_EQUAL hashes go: at a similarity of 0.8 that happens once in 100,000 pairs.
 Large groups of near copies so cost a few candidates a set and not all pairs.
 
+What the split leaves out is made good exactly: the sets of regions fuller than REGION that hold several components, and of
+regions cut by a partition's end, are joined on the rarest shingles of each (a prefix filter with bounds of length and
+position), between components only. A list of one shingle holding over BLOCK sets is dealt over cells of its blocks.
+
 Candidates are confirmed on the full sets; links are merged by alternating large and small stars. Sets that
 differ in no shingle are one class from the start, so exact copies never meet in one task.
 
 A pair of similarity 0.8 shares a tree's first four hashes with probability 0.41, hence is missed by all 24
-trees with probability 3e-6; in split regions the chance is larger (see the README for measured recall).
+trees with probability 3e-6; of the sets that met in a crowded region no pair is missed.
 
 Defined cases: null and empty texts, and texts without words, have the empty set, 0 shingles, and are linked with nothing;
 rows sharing a doc_id count as one document holding the links of all of them; a null doc_id is linked with
@@ -42,11 +46,14 @@ REGION = 64
 LEAST_EQUAL = 60  # of the 96 hashes that a pair must share in the second pass: 4.3 deviations below the mean at 0.8
 NEIGHBOURS = 2  # sets on either side in the second pass
 FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions of three and more
+RARITY = 1 << 20  # hashed counts by which shingles are ordered; any order gives the same pairs
+BLOCK = 2048  # sets of one shingle's list that a task compares with as many others
 SORTED_ROWS = 1_000_000  # rows of a sorted order that one task holds (48 bytes each)
 FILTER_BITS = 1 << 26  # fixed size of the filter of sets that have candidates: 8 MB
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+SKETCH = 1024  # bits of a set's sketch
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, digest binary, signature binary"
 PAIR_SCHEMA = "kind int, a long, b long, tree int, p1 long, p2 long, n long"
 
@@ -81,6 +88,22 @@ def signature(hashes: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((low * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(48)).astype(np.uint16)
 
 
+def sketch(hashes: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls on each of SKETCH bits: two sketches differ in no more bits than their sets in shingles."""
+    odd = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % SKETCH, minlength=SKETCH) & 1
+    return np.packbits(odd.astype(bool)).view(np.uint64)
+
+
+def _alike(sketches: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sketches leave it possible that rows i and j are similar enough; False is certain."""
+    out = np.zeros(len(i), bool)
+    for k in range(0, len(i), 65_536):
+        x, y = i[k : k + 65_536], j[k : k + 65_536]
+        differ = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=1, dtype=np.int64)
+        out[k : k + 65_536] = differ * (100 + percent) <= (n[x] + n[y]) * (100 - percent)
+    return out
+
+
 def signatures(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, set size, set digest and signature of every row; texts are read once and never shuffled."""
 
@@ -148,7 +171,7 @@ def _similar_sizes(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) ->
 
 
 def first_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """kind 0: candidate pairs (a, b) of adjacent rows, in regions of two and in the first trees; kind 1: the rows of regions of three and more (a = id)."""
+    """kind 0: candidate pairs (a, b) of adjacent rows, in regions of two and in the first trees; kind 1: the rows of regions of three and more, or cut by the partition's end (a = id)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = _whole(frames)
@@ -157,10 +180,11 @@ def first_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         tree, p1, p2, ids, n = (t[c].to_numpy() for c in ("tree", "p1", "p2", "id", "n"))
         region = _starts(tree, p1)
         size = np.bincount(region)[region]
+        cut = (region == region[0]) | (region == region[-1])  # may go on in the next partition
         i = np.flatnonzero((region[1:] == region[:-1]) & ((tree[1:] < FIRST_TREES) | (size[1:] == 2)))
         i = i[_similar_sizes(n, i, i + 1, percent)]
         yield _pairs(ids[i], ids[i + 1])
-        left = t[size > 2]
+        left = t[(size > 2) | cut]
         yield pd.DataFrame({"kind": np.int32(1), "a": left["id"], "b": np.int64(0), "tree": left["tree"], "p1": left["p1"], "p2": left["p2"], "n": left["n"]})
 
     return _sorted(rows, parts).mapInPandas(run, PAIR_SCHEMA)
@@ -184,7 +208,8 @@ def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
 
 def second_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
     """Pairs between sets of different components only: all within regions of at most REGION rows and within the parts of
-    as many rows that a greater depth makes of fuller ones, and there the NEIGHBOURS rows of longest common prefix on either side.
+    as many rows that a greater depth makes of fuller ones, and there the NEIGHBOURS rows of longest common prefix on either side (kind 0); kind 1: the sets (a = id) whose pairs that leaves open,
+    those of fuller regions with several components and of regions cut by the partition's end.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,6 +235,10 @@ def second_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
                 yield plausible(i, j)
         region, component = _starts(tree, p1), _starts(tree, p1, comp)
         full = np.bincount(region)[region] > REGION
+        mixed = np.zeros(region[-1] + 1, bool)
+        mixed[region[1:][(region[1:] == region[:-1]) & (comp[1:] != comp[:-1])]] = True
+        open_ = np.unique(ids[(full & mixed[region]) | (region == region[0]) | (region == region[-1])])
+        yield pd.DataFrame({"kind": np.int32(1), "a": open_, "b": open_, "tree": np.int32(0), "p1": np.int64(0), "p2": np.int64(0), "n": np.int64(0)})
         change = np.flatnonzero(np.r_[True, component[1:] != component[:-1]])
         ends = np.r_[change[1:], len(t)]
         which = np.searchsorted(change, np.arange(len(t)), side="right") - 1
@@ -274,6 +303,11 @@ def candidate_sets(docs: DataFrame, members: DataFrame, keep: bytes, words: int)
     return found.join(members.select("id"), "id", "left_semi")
 
 
+@F.pandas_udf(T.BinaryType())
+def _sketches(sets: pd.Series) -> pd.Series:
+    return sets.map(lambda s: sketch(np.frombuffer(s, np.uint64)).tobytes())
+
+
 @F.pandas_udf(T.BooleanType())
 def _linked(a: pd.Series, b: pd.Series, percent: pd.Series) -> pd.Series:
     out = np.zeros(len(a), bool)
@@ -292,6 +326,113 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(_linked("set_a", "set_b", F.lit(percent))).select("a", "b").distinct()
 
 
+def rarity(sets: DataFrame) -> bytes:
+    """How many sets hold a shingle, counted by hash in RARITY places: a fixed size however many shingles there are."""
+    block = RARITY // 16
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(RARITY, np.int64)
+        for frame in frames:
+            for s in frame["shingles"]:
+                np.add.at(counts, (np.frombuffer(s, np.uint64) % np.uint64(RARITY)).astype(np.int64), 1)
+        if counts.any():
+            yield pd.DataFrame({"block": np.arange(16, dtype=np.int32), "counts": [counts[k * block : (k + 1) * block].tobytes() for k in range(16)]})
+
+    def total(frame: pd.DataFrame) -> pd.DataFrame:
+        counts = sum(np.frombuffer(c, np.int64) for c in frame["counts"])
+        return pd.DataFrame({"block": frame["block"].iloc[:1], "counts": [np.minimum(counts, 2**31 - 1).astype(np.int32).tobytes()]})
+
+    parts = sets.select("shingles").mapInPandas(run, "block int, counts binary").groupBy("block").applyInPandas(total, "block int, counts binary")
+    found = dict(parts.collect())
+    return b"".join(bytes(found.get(k, bytes(4 * block))) for k in range(16))
+
+
+def prefixes(sets: DataFrame, counts: bytes, percent: int) -> DataFrame:
+    """shingle, id, key (hash of the set), comp, n and place in the set for the rarest shingles of every set: two sets of the wanted likeness share one.
+
+    Of n shingles at least percent are shared, so one shared shingle has at least as many at or after it.
+    """
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        often = np.frombuffer(shared.value, np.int32)
+        for frame in frames:
+            if not len(frame):
+                continue
+            shingle, place, size = [], [], []
+            for s in frame["shingles"]:
+                h = np.frombuffer(s, np.uint64)
+                c = often[(h % np.uint64(RARITY)).astype(np.int64)]
+                order = np.lexsort((h, c))[: len(h) * (100 - percent) // 100 + 1]
+                at = np.flatnonzero(c[order] > 1)  # counted once: no other set has it
+                shingle.append(h[order[at]].view(np.int64))
+                place.append(at.astype(np.int32))
+                size.append(len(h))
+            times = [len(at) for at in place]
+            of_set = {"id": frame["id"].to_numpy(np.int64), "key": frame["key"].to_numpy(np.int64), "comp": frame["comp"].to_numpy(np.int64), "n": np.array(size, np.int32)}
+            yield pd.DataFrame({"shingle": np.concatenate(shingle), **{c: np.repeat(v, times) for c, v in of_set.items()}, "place": np.concatenate(place)})
+
+    return sets.select("id", "key", "comp", "shingles").mapInPandas(run, "shingle long, id long, key long, comp long, n int, place int")
+
+
+def cells(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The rows of every shingle that can make a pair, with their sketches, dealt over cells: each two rows of a shingle meet in exactly one.
+
+    The smaller set of a pair shares at least 2 * percent / (100 + percent) of itself; a list without such a row has no pair.
+    """
+    small = (F.col("n") - F.col("place")).cast("long") * (100 + percent) >= F.col("n").cast("long") * (2 * percent)
+    lists = rows.groupBy("shingle").agg(F.count("*").alias("rows"), F.max(small).alias("able"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+    lists = lists.filter("able and least != most").select("shingle", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+    salted = rows.join(lists, "shingle").join(sketches, ["id", "key"]).withColumn("salt", F.pmod(F.xxhash64("id", "shingle"), F.col("blocks")).cast("int"))
+    other = salted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return other.select("shingle", F.least("salt", "other").alias("lo"), F.greatest("salt", "other").alias("hi"), "salt", "id", "comp", "n", "place", "sketch")
+
+
+def cell_pairs(rows: DataFrame, percent: int, parts: int) -> DataFrame:
+    """Pairs (a, b) of different components that bounds of length, of the first shared shingle's place and of sketches leave possible."""
+    order = ["shingle", "lo", "hi", "n", "id"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        t = _whole(frames)
+        if t is None:
+            return
+        shingle, lo, hi, salt, ids, comp, n, place = (t[c].to_numpy() for c in ("shingle", "lo", "hi", "salt", "id", "comp", "n", "place"))
+        n = n.astype(np.int64)
+        sketches = np.frombuffer(b"".join(t["sketch"]), np.uint64).reshape(len(t), SKETCH // 64)
+        cell, left = _starts(shingle, lo, hi), n - place
+        found, j, step = [], np.arange(len(t)), 0
+        while len(j):  # the larger set of a pair is step rows after the smaller
+            step += 1
+            j = j[j >= step]
+            i = j - step
+            j = j[(cell[i] == cell[j]) & (100 * n[i] >= percent * n[j])]  # sizes ascend in a cell: no row further up fits either
+            i = j - step
+            good = (comp[i] != comp[j]) & (ids[i] != ids[j]) & (np.minimum(left[i], left[j]) * (100 + percent) >= percent * (n[i] + n[j]))
+            good &= (lo[i] == hi[i]) | (salt[i] != salt[j])
+            x, y = i[good], j[good]
+            good = _alike(sketches, n, x, y, percent)
+            x, y = ids[x[good]], ids[y[good]]
+            found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+            if sum(map(len, found)) > 4 * SORTED_ROWS:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                if len(found[0]) > 2 * SORTED_ROWS:
+                    yield pd.DataFrame(found.pop(), columns=["a", "b"])
+        if found:
+            yield pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    return rows.repartition(parts, "shingle", "lo", "hi").sortWithinPartitions(*order).mapInPandas(run, "a long, b long")
+
+
+def exact_links(open_: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links between different components among the sets open_."""
+    spark = sets.sparkSession
+    marked = sets.join(open_, "id", "left_semi").join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    marked = materialise(marked.withColumn("key", F.xxhash64("shingles")).withColumn("sketch", _sketches("shingles")), "open")
+    rows = materialise(prefixes(marked, rarity(marked), percent), "prefixes")
+    dealt = materialise(cells(rows, marked.select("id", "key", "sketch").distinct(), percent), "cells")
+    return confirm(cell_pairs(dealt, percent, _parts(spark, 4 * dealt.count())), marked, percent)
+
+
 def components(links: DataFrame) -> DataFrame:
     """id and the smallest id that links reach, for every id in a link: alternating large and small stars.
 
@@ -337,9 +478,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     labels = materialise(components(links), "labels")
     if n_crowded := crowded.count():
         marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "signature"), "id")
-        more = materialise(confirm(second_candidates(marked, percent, _parts(spark, 4 * n_crowded)), sets, percent), "links")
+        second = materialise(second_candidates(marked, percent, _parts(spark, 4 * n_crowded)), "candidates")
+        more = materialise(confirm(second.filter("kind = 0"), sets, percent), "links")
         # The first components stand for the links that made them.
-        labels = components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more))
+        labels = materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more)), "labels")
+        open_ = second.filter("kind = 1").select(F.col("a").alias("id")).distinct()
+        last = materialise(exact_links(open_, labels, sets, percent), "links")
+        if not last.isEmpty():
+            labels = components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(last))
     labels = materialise(labels, "labels")
     # Classes that share a smallest doc_id (rows of one id with several texts) are one node, as are all rows of one id.
     of_class = classes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))

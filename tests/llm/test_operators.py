@@ -113,6 +113,28 @@ def test_large_group_of_near_copies(spark):
     assert sum(got[i] != c for i, c in component.items()) <= 2
 
 
+@pytest.mark.parametrize("block", [minhash.BLOCK, 400])
+def test_templated_texts_lose_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)  # lists of one shingle in one and in several blocks
+    rng = random.Random(11)
+    template = [f"t{k}" for k in range(200)]
+    rows = {}
+    for i in range(900):
+        words = list(template)
+        for k in rng.sample(range(200), 9):  # any two about 0.7 alike: every region is crowded
+            words[k] = f"x{rng.randrange(10**9)}"
+        rows[i] = " ".join(words)
+        if i % 2:
+            for k in rng.sample(range(200), 11):
+                words[k] = f"x{rng.randrange(10**9)}"
+            rows[1000 + i] = " ".join(words)
+    sets = {i: shingles(t, 2) for i, t in rows.items()}
+    pairs = {i: i - 1000 for i in rows if i > 999 and len(sets[i] & sets[i - 1000]) / len(sets[i] | sets[i - 1000]) >= 0.8}
+    assert len(pairs) > 400
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), 2).collect()}
+    assert got == {i: pairs.get(i, i) for i in rows}
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 105), (105, 103)] + [(200, i) for i in range(201, 240)]
     got = {r["id"]: r["comp"] for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
