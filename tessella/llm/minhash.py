@@ -7,7 +7,7 @@ sets adjacent in the order, which have the longest common prefixes. A second pas
 again, between sets not yet linked only: where a region has at most REGION sets every two of them are candidates; a fuller
 one is split by one hash more, and so on to twice the depth, until its parts have at most REGION sets, so the depth adapts to
 how crowded a region is, and there each set also meets the NEIGHBOURS sets of longest common prefix on either side. Pairs
-whose whole signatures share fewer than LEAST_EQUAL hashes go: at a similarity of 0.8 that happens once in 100,000 pairs.
+whose sketches differ in more bits than the sets may differ in shingles go, which no pair of the wanted similarity does.
 Large groups of near copies so cost a few candidates a set and not all pairs.
 
 What the split leaves out is made good exactly: the sets of regions fuller than REGION that hold several components, and of
@@ -43,7 +43,6 @@ from tessella.llm.common import materialise, partitions_of
 TREES = 24
 DEPTH = 4  # hashes a tree has of its own; the longest prefix is twice as long
 REGION = 64
-LEAST_EQUAL = 60  # of the 96 hashes that a pair must share in the second pass: 4.3 deviations below the mean at 0.8
 NEIGHBOURS = 2  # sets on either side in the second pass
 FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions of three and more
 RARITY = 1 << 20  # hashed counts by which shingles are ordered; any order gives the same pairs
@@ -54,7 +53,8 @@ FILTER_BITS = 1 << 26  # fixed size of the filter of sets that have candidates:
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SKETCH = 1024  # bits of a set's sketch
-SIGNATURE_SCHEMA = "doc_id long, n_shingles long, digest binary, signature binary"
+SIGNATURE_COLUMNS = ["doc_id", "n_shingles", "digest", "signature", "sketch"]
+SIGNATURE_SCHEMA = "doc_id long, n_shingles long, digest binary, signature binary, sketch binary"
 PAIR_SCHEMA = "kind int, a long, b long, tree int, p1 long, p2 long, n long"
 
 
@@ -105,7 +105,7 @@ def _alike(sketches: np.ndarray, n: np.ndarray, i: np.ndarray, j: np.ndarray, pe
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, set size, set digest and signature of every row; texts are read once and never shuffled."""
+    """doc_id, set size, set digest, signature and sketch of every row; texts are read once and never shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = _multipliers(TREES * DEPTH)
@@ -113,9 +113,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 h = shingle_hashes(text, words)
-                rows.append((doc_id, len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest(), signature(h, a, b).tobytes() if len(h) else b""))
-            ids, n, digest, sig = zip(*rows) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "digest", "signature"])
+                rows.append((doc_id, len(h), hashlib.blake2b(h.tobytes(), digest_size=16).digest(), signature(h, a, b).tobytes() if len(h) else b"", sketch(h).tobytes()))
+            ids, n, digest, sig, bits = zip(*rows) if rows else ((), (), (), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), pa.array(bits, pa.binary())], SIGNATURE_COLUMNS)
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, SIGNATURE_SCHEMA)
 
@@ -217,13 +217,11 @@ def second_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         if t is None:
             return
         tree, p1, p2, ids, n, comp = (t[c].to_numpy() for c in ("tree", "p1", "p2", "id", "n", "comp"))
-        sig = np.frombuffer(b"".join(t["signature"]), np.uint16).reshape(len(t), TREES * DEPTH)
-        least = LEAST_EQUAL * percent // 80
+        sketches = np.frombuffer(b"".join(t["sketch"]), np.uint64).reshape(len(t), SKETCH // 64)
 
         def plausible(i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
             i, j = (x[(comp[i] != comp[j]) & _similar_sizes(n, i, j, percent)] for x in (i, j))
-            same = [(sig[i[k : k + 65_536]] == sig[j[k : k + 65_536]]).sum(axis=1) >= least for k in range(0, len(i), 65_536)]
-            keep = np.concatenate(same) if same else np.zeros(0, bool)
+            keep = _alike(sketches, n, i, j, percent)
             return _pairs(ids[i[keep]], ids[j[keep]])
 
         done = np.zeros(len(t), bool)
@@ -464,8 +462,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     """doc_id, n_shingles, component_id (smallest doc_id reachable), kept (whether it is its own)."""
     base = materialise(signatures(docs, words), "signatures")
     live = base.filter("n_shingles > 0 and doc_id is not null")
-    classes = live.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("s"))
-    classes = materialise(classes.select("digest", F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), F.col("s.signature").alias("signature")), "classes")
+    classes = live.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "sketch")).alias("s"))
+    classes = materialise(classes.select("digest", F.col("s.doc_id").alias("id"), F.col("s.n_shingles").alias("n"), "s.signature", "s.sketch"), "classes")
     spark = docs.sparkSession
     found = materialise(first_candidates(forest_rows(classes), percent, _parts(spark, classes.count() * TREES)), "candidates")
     pairs = found.filter("kind = 0").select("a", "b").distinct()
@@ -477,7 +475,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = materialise(confirm(pairs, sets, percent), "links")
     labels = materialise(components(links), "labels")
     if n_crowded := crowded.count():
-        marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "signature"), "id")
+        marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "n", "sketch"), ["id", "n"])
         second = materialise(second_candidates(marked, percent, _parts(spark, 4 * n_crowded)), "candidates")
         more = materialise(confirm(second.filter("kind = 0"), sets, percent), "links")
         # The first components stand for the links that made them.

@@ -135,6 +135,21 @@ def test_templated_texts_lose_no_link(spark, monkeypatch, block):
     assert got == {i: pairs.get(i, i) for i in rows}
 
 
+@pytest.mark.parametrize("percent", [30, 50, 80])
+def test_sketches_drop_no_similar_pair(percent):
+    rng = np.random.default_rng(3)
+    union, both = 200, 2 * percent  # exactly at the threshold
+    sets = []
+    for _ in range(2000):
+        h = rng.integers(0, 1 << 63, union, dtype=np.uint64)
+        cut = both + (union - both) // 2
+        sets += [h[:cut], np.concatenate([h[:both], h[cut:]])]
+    sketches, n = np.stack([minhash.sketch(h) for h in sets]), np.array([len(h) for h in sets])
+    i = np.arange(0, len(sets), 2)
+    assert minhash._alike(sketches, n, i, i + 1, percent).all()
+    assert percent < 80 or not minhash._alike(sketches, n, i[:-1], i[1:], percent).any()
+
+
 def test_components_of_chains(spark):
     links = [(i, i + 1) for i in range(0, 60)] + [(100, 105), (105, 103)] + [(200, i) for i in range(201, 240)]
     got = {r["id"]: r["comp"] for r in minhash.components(spark.createDataFrame(links, "a long, b long")).collect()}
