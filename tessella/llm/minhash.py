@@ -1,18 +1,18 @@
 """Near-duplicates by an LSH forest over MinHash signatures.
 
-Every distinct shingle set gets TREES * DEPTH minimum hashes. A tree is the list of all sets sorted by one
-order of the signature (its own DEPTH hashes, then those of the next tree), so sets that agree in many
-leading hashes lie next to each other. A region is a run with one prefix of DEPTH hashes. The first pass compares
-sets adjacent in the order, which have the longest common prefixes. A second pass takes all regions of three and more sets
-again, between sets not yet linked only: where a region has at most REGION sets every two of them are candidates; a fuller
-one is split by one hash more, and so on to twice the depth, until its parts have at most REGION sets, so the depth adapts to
-how crowded a region is, and there each set also meets the NEIGHBOURS sets of longest common prefix on either side. Pairs
-whose sketches differ in more bits than the sets may differ in shingles go, which no pair of the wanted similarity does.
-Large groups of near copies so cost a few candidates a set and not all pairs.
-
-What the split leaves out is made good exactly: the sets of regions fuller than REGION that hold several components, and of
-regions cut by a partition's end, are joined on the rarest shingles of each (a prefix filter with bounds of length and
-position), between components only. A list of one shingle holding over BLOCK sets is dealt over cells of its blocks.
+Every distinct shingle set gets TREES * DEPTH minimum hashes. A tree is the list of all sets sorted by one order of the signature (its own DEPTH hashes,
+then those of the trees after it), so sets that agree in many leading hashes lie next to each other: the neighbours of a set have the longest common
+prefixes with it. A region is a run with one prefix of DEPTH hashes; in a crowded region neighbours share longer prefixes, so the depth adapts to it.
+
+The first pass sorts all sets by eight hashes and compares adjacent ones. The regions of three and more sets that then still hold several components
+are taken again in rounds, sorted by the whole signature: each set meets the NEIGHBOURS sets of other components before and after it, the candidates are
+confirmed, components merge, and the next round looks across the merged ones, until a round finds no link. A set so has at most 2 * NEIGHBOURS * TREES
+candidates a round, however large its group is. Pairs whose sketches differ in more bits than the sets may differ in shingles go, which no pair of
+the wanted similarity does.
+
+What windows of NEIGHBOURS leave out is made good exactly: the sets of regions of more sets, or cut by a partition's end, that hold several
+components at the end are joined on the rarest shingles of each (a prefix filter with bounds of length and position), between components only. A list
+of one shingle holding over BLOCK sets is dealt over cells of its blocks.
 
 Candidates are confirmed on the full sets; links are merged by alternating large and small stars. Sets that
 differ in no shingle are one class from the start, so exact copies never meet in one task.
@@ -41,9 +41,8 @@ from pyspark.sql import types as T
 from tessella.llm.common import materialise, partitions_of
 
 TREES = 24
-DEPTH = 4  # hashes a tree has of its own; the longest prefix is twice as long
-REGION = 64
-NEIGHBOURS = 2  # sets on either side in the second pass
+DEPTH = 4  # hashes a tree has of its own
+NEIGHBOURS = 8  # sets of other components on either side that a set meets in a round
 FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions of three and more
 RARITY = 1 << 20  # hashed counts by which shingles are ordered; any order gives the same pairs
 BLOCK = 2048  # sets of one shingle's list that a task compares with as many others
@@ -55,7 +54,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 SKETCH = 1024  # bits of a set's sketch
 SIGNATURE_COLUMNS = ["doc_id", "n_shingles", "digest", "signature", "sketch"]
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, digest binary, signature binary, sketch binary"
-PAIR_SCHEMA = "kind int, a long, b long, tree int, p1 long, p2 long, n long"
+PAIR_SCHEMA = "kind int, a long, b long, tree int, p1 long"
 
 
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
@@ -157,15 +156,6 @@ def _whole(frames: Iterator[pd.DataFrame]) -> pd.DataFrame | None:
     return pd.concat(kept, ignore_index=True) if kept else None
 
 
-def _within(run_of: np.ndarray, open_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """All pairs of rows of one run where open_ holds; runs hold at most REGION open rows."""
-    for step in range(1, min(REGION, len(run_of))):
-        i = np.flatnonzero((run_of[step:] == run_of[:-step]) & open_[step:])
-        if not len(i):
-            return
-        yield i, i + step
-
-
 def _similar_sizes(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) -> np.ndarray:
     return np.minimum(n[i], n[j]) * 100 >= percent * np.maximum(n[i], n[j])
 
@@ -185,9 +175,9 @@ def first_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         i = i[_similar_sizes(n, i, i + 1, percent)]
         yield _pairs(ids[i], ids[i + 1])
         left = t[(size > 2) | cut]
-        yield pd.DataFrame({"kind": np.int32(1), "a": left["id"], "b": np.int64(0), "tree": left["tree"], "p1": left["p1"], "p2": left["p2"], "n": left["n"]})
+        yield pd.DataFrame({"kind": np.int32(1), "a": left["id"], "b": np.int64(0), "tree": left["tree"], "p1": left["p1"]})
 
-    return _sorted(rows, parts).mapInPandas(run, PAIR_SCHEMA)
+    return _sorted(rows, ["tree", "p1", "p2", "id"], parts).mapInPandas(run, PAIR_SCHEMA)
 
 
 def _parts(spark: SparkSession, rows: int) -> int:
@@ -195,62 +185,80 @@ def _parts(spark: SparkSession, rows: int) -> int:
     return max(partitions_of(spark), -(-rows // SORTED_ROWS))
 
 
-def _sorted(rows: DataFrame, parts: int) -> DataFrame:
-    order = ["tree", "p1", "p2", "id"]
+def _sorted(rows: DataFrame, order: list[str], parts: int) -> DataFrame:
     return rows.repartitionByRange(parts, *order).sortWithinPartitions(*order)
 
 
 def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
+    """Each pair of different ids once."""
     keep = x != y
     x, y = x[keep], y[keep]
-    return pd.DataFrame({"kind": np.int32(0), "a": np.minimum(x, y), "b": np.maximum(x, y), "tree": np.int32(0), "p1": np.int64(0), "p2": np.int64(0), "n": np.int64(0)})
+    found = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1), axis=0)
+    return pd.DataFrame({"kind": np.int32(0), "a": found[:, 0], "b": found[:, 1], "tree": np.int32(0), "p1": np.int64(0)})
+
+
+def mixed_regions(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """tree, p1 and number of sets of the regions that hold several components."""
+    marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    # Counts and bounds combine before the shuffle, so that a large region is a few rows.
+    found = marked.groupBy("tree", "p1").agg(F.count("*").alias("sets"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+    return found.filter("least != most").select("tree", "p1", "sets")
+
+
+def round_rows(crowded: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows of mixed regions, with component, sketch and the signature in the order of their tree."""
+    rows = crowded.join(mixed_regions(crowded, labels).select("tree", "p1"), ["tree", "p1"])
+    marked = rows.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "n", "signature", "sketch"), "id")
+    turned = F.concat(F.expr(f"substring(signature, tree * {2 * DEPTH} + 1)"), F.expr(f"substring(signature, 1, tree * {2 * DEPTH})"))
+    return marked.select("tree", "p1", turned.alias("order"), "id", "comp", "n", "sketch")
+
+
+def _others(comp: np.ndarray, region: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For every row, the NEIGHBOURS next rows of its region that are of other components."""
+    size = len(comp)
+    change = np.flatnonzero(np.r_[comp[1:] != comp[:-1], True]) + 1
+    after = change[np.searchsorted(change, np.arange(size), side="right")]  # the first row behind the run of one component
+    i = np.arange(size)
+    j = after.copy()
+    for _ in range(NEIGHBOURS):
+        fits = j < size
+        i, j = i[fits], j[fits]
+        own = comp[i] == comp[j]
+        j[own] = after[j[own]]
+        fits = j < size
+        fits[fits] = region[i[fits]] == region[j[fits]]
+        i, j = i[fits], j[fits]
+        if not len(i):
+            return
+        yield i, j
+        j = j + 1
 
 
-def second_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """Pairs between sets of different components only: all within regions of at most REGION rows and within the parts of
-    as many rows that a greater depth makes of fuller ones, and there the NEIGHBOURS rows of longest common prefix on either side (kind 0); kind 1: the sets (a = id) whose pairs that leaves open,
-    those of fuller regions with several components and of regions cut by the partition's end.
-    """
+def round_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
+    """kind 0: pairs (a, b) of neighbours of different components; kind 1: the regions (tree, p1) at a partition's ends."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = _whole(frames)
         if t is None:
             return
-        tree, p1, p2, ids, n, comp = (t[c].to_numpy() for c in ("tree", "p1", "p2", "id", "n", "comp"))
+        tree, p1, ids, n, comp = (t[c].to_numpy() for c in ("tree", "p1", "id", "n", "comp"))
         sketches = np.frombuffer(b"".join(t["sketch"]), np.uint64).reshape(len(t), SKETCH // 64)
+        region, last = _starts(tree, p1), len(t) - 1
+        found = []
+        for i, j in _others(comp, region):
+            found.append((i, j))
+        for i, j in _others(comp[::-1], region[::-1]):
+            found.append((last - i, last - j))
+        if found:
+            i, j = (np.concatenate(x) for x in zip(*found))
+            fits = _similar_sizes(n, i, j, percent)
+            i, j = i[fits], j[fits]
+            fits = _alike(sketches, n, i, j, percent)
+            yield _pairs(ids[i[fits]], ids[j[fits]])
+        ends = [0, last]
+        yield pd.DataFrame({"kind": np.int32(1), "a": np.int64(0), "b": np.int64(0), "tree": tree[ends], "p1": p1[ends]})
 
-        def plausible(i: np.ndarray, j: np.ndarray) -> pd.DataFrame:
-            i, j = (x[(comp[i] != comp[j]) & _similar_sizes(n, i, j, percent)] for x in (i, j))
-            keep = _alike(sketches, n, i, j, percent)
-            return _pairs(ids[i[keep]], ids[j[keep]])
-
-        done = np.zeros(len(t), bool)
-        for depth in range(DEPTH + 1):  # a region's depth grows by a hash as long as it is too full
-            run_of = _starts(tree, p1, p2 >> (16 * (DEPTH - depth)) if depth else np.zeros(len(t), np.int64))
-            fits = (np.bincount(run_of)[run_of] <= REGION) & ~done
-            done |= fits
-            for i, j in _within(run_of, fits):
-                yield plausible(i, j)
-        region, component = _starts(tree, p1), _starts(tree, p1, comp)
-        full = np.bincount(region)[region] > REGION
-        mixed = np.zeros(region[-1] + 1, bool)
-        mixed[region[1:][(region[1:] == region[:-1]) & (comp[1:] != comp[:-1])]] = True
-        open_ = np.unique(ids[(full & mixed[region]) | (region == region[0]) | (region == region[-1])])
-        yield pd.DataFrame({"kind": np.int32(1), "a": open_, "b": open_, "tree": np.int32(0), "p1": np.int64(0), "p2": np.int64(0), "n": np.int64(0)})
-        change = np.flatnonzero(np.r_[True, component[1:] != component[:-1]])
-        ends = np.r_[change[1:], len(t)]
-        which = np.searchsorted(change, np.arange(len(t)), side="right") - 1
-        for step in range(NEIGHBOURS):  # rows after the run of its own component
-            j = ends[which] + step
-            i = np.flatnonzero((j < len(t)) & full)
-            i = i[region[j[i]] == region[i]]
-            yield plausible(i, j[i])
-            j = change[which] - 1 - step
-            i = np.flatnonzero((j >= 0) & full)
-            i = i[region[j[i]] == region[i]]
-            yield plausible(i, j[i])
-
-    return _sorted(rows, parts).mapInPandas(run, PAIR_SCHEMA)
+    return _sorted(rows, ["tree", "p1", "order", "id"], parts).mapInPandas(run, PAIR_SCHEMA)
 
 
 def _slots(ids: np.ndarray) -> np.ndarray:
@@ -467,24 +475,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     found = materialise(first_candidates(forest_rows(classes), percent, _parts(spark, classes.count() * TREES)), "candidates")
     pairs = found.filter("kind = 0").select("a", "b").distinct()
-    crowded = found.filter("kind = 1").select("tree", "p1", "p2", F.col("a").alias("id"), "n")
-    members = classes.select("id")
-    # The sets of regions that the second pass takes are kept beside those of the first candidates.
+    crowded = found.filter("kind = 1").select("tree", "p1", F.col("a").alias("id"))
+    # The sets of crowded regions are kept beside those of the first candidates.
     wanted = found.select("a", F.when(F.col("kind") == 0, F.col("b")).otherwise(F.col("a")).alias("b"))
-    sets = materialise(candidate_sets(docs, members, candidate_filter(wanted), words), "sets")
-    links = materialise(confirm(pairs, sets, percent), "links")
-    labels = materialise(components(links), "labels")
-    if n_crowded := crowded.count():
-        marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "n", "sketch"), ["id", "n"])
-        second = materialise(second_candidates(marked, percent, _parts(spark, 4 * n_crowded)), "candidates")
-        more = materialise(confirm(second.filter("kind = 0"), sets, percent), "links")
-        # The first components stand for the links that made them.
-        labels = materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more)), "labels")
-        open_ = second.filter("kind = 1").select(F.col("a").alias("id")).distinct()
-        last = materialise(exact_links(open_, labels, sets, percent), "links")
-        if not last.isEmpty():
-            labels = components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(last))
-    labels = materialise(labels, "labels")
+    sets = materialise(candidate_sets(docs, classes.select("id"), candidate_filter(wanted), words), "sets")
+    labels = materialise(components(confirm(pairs, sets, percent)), "labels")
+    labels = linked_regions(crowded, labels, classes, sets, pairs, percent)
     # Classes that share a smallest doc_id (rows of one id with several texts) are one node, as are all rows of one id.
     of_class = classes.select("digest", "id").join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     rows = base.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest"))
@@ -493,6 +489,31 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     return joined.select("doc_id", "n_shingles", component.alias("component_id"), (F.coalesce(component == F.col("doc_id"), F.lit(True))).alias("kept"))
 
 
+def linked_regions(crowded: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, tested: DataFrame, percent: int) -> DataFrame:
+    """id and component after the rounds over crowded regions and the exact join of what their windows leave out."""
+
+    def merged(more: DataFrame) -> DataFrame:
+        # Earlier components stand for the links that made them.
+        return materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more)), "labels")
+
+    n_crowded = crowded.count()
+    while n_crowded:
+        parts = _parts(crowded.sparkSession, 8 * n_crowded)  # rows are wider than the first pass's
+        found = materialise(round_candidates(round_rows(crowded, labels, classes), percent, parts), "candidates")
+        fresh = materialise(found.filter("kind = 0").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        more = materialise(confirm(fresh, sets, percent), "links")
+        if more.isEmpty():
+            cut = found.filter("kind = 1").select("tree", "p1", F.lit(True).alias("cut")).distinct()
+            left = mixed_regions(crowded, labels).join(cut, ["tree", "p1"], "left").filter(f"cut or sets > {NEIGHBOURS + 1}").select("tree", "p1")
+            open_ = materialise(crowded.join(left, ["tree", "p1"]).select("id").distinct(), "open-ids")
+            if not open_.isEmpty():
+                last = materialise(exact_links(open_, labels, sets, percent), "links")
+                labels = labels if last.isEmpty() else merged(last)
+            break
+        labels, tested = merged(more), tested.union(fresh)
+    return labels
+
+
 def deduplicated(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """docs with one row for each group of near-duplicates: that of the smallest doc_id.
 

@@ -103,14 +103,22 @@ def test_large_group_of_near_copies(spark):
     rng = random.Random(5)
     base = [f"w{rng.randrange(5000)}" for _ in range(150)]
     rows = {}
-    for i in range(400):  # fuller than a region: the depth adapts
+    for i in range(400):  # far more than a window holds
         words = list(base)
         for _ in range(rng.randrange(0, 8)):
             words[rng.randrange(150)] = f"x{rng.randrange(10**6)}"
         rows[i] = " ".join(words)
     component, _ = brute_components(rows, 2)
     got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(spark.createDataFrame(list(rows.items()), "doc_id long, text string"), 2).collect()}
-    assert sum(got[i] != c for i, c in component.items()) <= 2
+    assert got == component
+
+
+def test_rounds_meet_a_constant_number_of_others(monkeypatch):
+    monkeypatch.setattr(minhash, "NEIGHBOURS", 2)
+    rng, size = np.random.default_rng(4), 40
+    comp, region = rng.integers(0, 3, size), np.repeat([7, 9], [30, 10])
+    got = [(int(i), int(j)) for x, y in minhash._others(comp, region) for i, j in zip(x, y)]
+    assert sorted(got) == [(i, j) for i in range(size) for j in [j for j in range(i + 1, size) if region[j] == region[i] and comp[j] != comp[i]][:2]]
 
 
 @pytest.mark.parametrize("block", [minhash.BLOCK, 400])
