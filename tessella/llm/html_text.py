@@ -2,14 +2,16 @@
 
 A tolerant parser builds the tree of block elements (inline elements only mark text); scripts, styles, heads, form controls and other elements without
 readable content are left out. Each block element gets features: subtree text, link and tag density, tokens of its and its ancestors' tag, class, id and role,
-depth, and statistics of its siblings. The trees give the probability that its subtree is article text. Decoding picks the likeliest labelling in which an
+phrases of adverts and notices, depth, and statistics of its siblings. Tokens of the page as a whole (on html, body, and containers around the article) say how
+the page is laid out and not what the element is, so neither these elements nor those below them get them as features; words of a class name after `has`, `no`,
+`with` and the like go as well. The trees give the probability that an element's subtree is article text. Decoding picks the likeliest labelling in which an
 element is kept whole, dropped whole or mixed; below a whole element no descendant can say otherwise.
 
 The model is fitted on TRAINING_PAGES pages made by a generator of common layouts (no labelled pages exist), the same at every input size.
 
 Defined cases: null, empty and text-free pages give an empty text with 0 characters; white space is any Unicode white space; a line break tag is white space; character
-references are decoded once; unclosed tags end with their parent; comments and markup left open run to the page's end; an empty table gives an empty result. Only page_id,
-url and html are read.
+references are decoded once; unclosed tags end with their parent; comments and markup left open run to the page's end; repeated rows and rows without page_id are rows of
+their own; an empty table gives an empty result. Only page_id, url and html are read. Time grows with a page's length, times its depth at worst.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 import html as html_module
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,15 +33,18 @@ from tessella.llm.boosting import BoostedTrees
 TRAINING_PAGES = 600
 MIXED = 1.5  # log probability that a mixed element costs
 
-TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S)
-ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label|hidden|style)\b(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
+NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)")
+SPECIAL = re.compile(r"[>\"']")
+ATTRIBUTE = re.compile(r"([^\s\"'<>/=]++)(?:\s*+=\s*+(\"[^\"]*+\"|'[^']*+'|[^\s\"'>]++))?+")
 TOKEN = re.compile(r"[a-z]+")
+NAMING = frozenset(("class", "id", "role", "itemprop", "aria-label"))
 #: Elements by how the parser treats them.
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-UNREAD = frozenset("head script style noscript template svg math select textarea title button input object embed canvas audio video iframe datalist dialog map".split())
+UNREAD = frozenset("head script style noscript template svg select textarea title button input embed canvas audio video iframe datalist dialog map annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
+    "math mi mn mo ms mtext mrow mfrac msqrt mroot mstyle merror mpadded mphantom mfenced msub msup msubsup munder mover munderover mmultiscripts mtable mtr mtd maction semantics".split()
 )
 CLOSES = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "tbody": "thead tbody tr td th", "tfoot": "tbody tr td th"}
 SCOPES = {"li": "ul ol menu", "dt": "dl", "dd": "dl", "tr": "table", "td": "tr table", "th": "tr table", "tbody": "table", "tfoot": "table", "option": "select"}
@@ -60,6 +66,90 @@ GROUPS = (
 )
 
 
+#: Words of a class name after which the others tell what a page has or lacks.
+STATES = frozenset("has have no not non with without is".split())
+#: Phrases (in lower case) of notices of rights, of consent, of adverts and of appeals, in the languages of the pages.
+PHRASES = (
+    ("©", "copyright", "all rights reserved", "alle rechte vorbehalten", "tous droits réservés", "todos los derechos reservados"),
+    ("cookie", "privacy policy", "terms of use", "terms of service", "datenschutz", "confidentialité", "privacidad"),
+    ("advertisement", "sponsored", "buy now", "buy one", "buy yours", "order now", "order yours", "shop now", "free shipping", "limited offer", "special offer", "discount", "% off", "anzeige", "werbung", "publicité", "publicidad"),
+    ("subscribe", "sign up", "newsletter", "share this", "follow us", "click here", "read more", "abonnez", "suscríbete", "abonnieren"),
+)
+#: Words that name the article's own element beyond doubt.
+NAMED = frozenset("articlebody maincontent".split())
+WHOLE = 0.6  # share of the page's text from which a container with a top heading is around the article
+LARGE = 0.3  # the same for a container of the article's named element
+
+
+def tags(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, slash, name, attributes) of every tag, comment and declaration (these without a name), each found in one pass.
+
+    A tag ends at the first > outside quotes; if quotes are left open, at the first > at all. What a failing search has seen is not searched again.
+    """
+    size, at = len(source), 0
+    last = source.rfind(">")
+    seen_from, seen_to = 0, -1  # no sign of SPECIAL in between
+    dead: set[int] = set()  # opening quotes from which no tag ends
+
+    def special(p: int) -> int:
+        nonlocal seen_from, seen_to
+        if not seen_from <= p <= seen_to:
+            found = SPECIAL.search(source, p)
+            seen_from, seen_to = p, found.start() if found else size
+        return seen_to
+
+    def end_of(p: int) -> int:
+        opened = []
+        start = p
+        while (p := special(p)) < size:
+            if source[p] == ">":
+                return p + 1
+            opened.append(p)
+            q = -1 if p in dead else source.find(source[p], p + 1)
+            if q < 0:
+                break
+            p = q + 1
+        dead.update(opened)
+        return source.find(">", start) + 1
+
+    while 0 <= (at := source.find("<", at)) <= last:
+        if source.startswith("<!--", at):
+            end = source.find("-->", at + 4)
+            end = size if end < 0 else end + 3
+            yield at, end, "", "", ""
+        elif source.startswith("<![CDATA[", at):
+            end = source.find("]]>", at)
+            end = size if end < 0 else end + 3
+            yield at, end, "", "", ""
+        elif source[at + 1] in "!?":
+            end = source.find(">", at) + 1
+            yield at, end, "", "", ""
+        elif m := NAME.match(source, at):
+            end = end_of(m.end())
+            yield at, end, m[1], m[2].lower(), source[m.end() : end - 1]
+            if not m[1] and m[2].lower() in RAW:
+                close = re.compile(rf"</{re.escape(m[2])}(?=[\s/>])", re.I).search(source, end)
+                end = close.start() if close else size
+        else:
+            end = at + 1
+        at = end
+    if at >= 0 and source.startswith("<!--", at):  # a comment left open, no > after it
+        yield at, size, "", "", ""
+
+
+def role_tokens(values: list[str]) -> set[str]:
+    """Words of class names and other names; those that say what a page has or lacks are left out."""
+    out: set[str] = set()
+    for name in " ".join(values).split():
+        words = TOKEN.findall(name)
+        cut = next((k for k, w in enumerate(words) if w in STATES), len(words))
+        out.update(words[:cut])
+    return out
+
+
+PAGE = frozenset(("#page", "html", "body"))
+
+
 class Page:
     """Block elements in page order (a parent before its children) and runs of text (element, text, of it in links)."""
 
@@ -68,6 +158,8 @@ class Page:
         self.runs: list[list] = []
         stack, links, at, fresh = [0], 0, 0, True
         skip: list[str] = []  # open elements of an unread subtree
+        opened: Counter[str] = Counter()  # open elements by name, those of an unread subtree apart
+        skipped: Counter[str] = Counter()
 
         def text(piece: str) -> None:
             nonlocal fresh
@@ -83,42 +175,38 @@ class Page:
 
         def pop_to(position: int) -> None:
             nonlocal fresh
+            opened.subtract(self.tag[k] for k in stack[position:])
             del stack[position:]
             fresh = True
 
-        raw: str | None = None
-        for m in TAG.finditer(source):
-            if raw and not (m[0][:2] == "</" and (m[2] or m[5] or "").lower() == raw):
-                continue
-            if not raw:
-                text(source[at : m.start()])
-            at = m.end()
-            name = (m[2] or m[5] or "").lower()
+        def leave(name: str) -> None:
+            while skipped[name]:
+                gone = skip.pop()
+                skipped[gone] -= 1
+                if gone == name:
+                    return
+
+        for start, end, closing, name, rest in tags(source):
+            text(source[at:start])
+            at = end
             if not name:
                 continue
-            closing, rest = m[1] or m[4], m[3] or m[6] or ""
             if closing:
-                raw = None
                 if skip:
-                    if name in skip:
-                        del skip[len(skip) - 1 - skip[::-1].index(name) :]
+                    leave(name)
                     continue
                 if name == "a":
                     links = max(0, links - 1)
-                elif name not in INLINE:
-                    for k in range(len(stack) - 1, 0, -1):
-                        if self.tag[stack[k]] == name:
-                            pop_to(k)
-                            links = 0
-                            break
+                elif opened[name] > 0:
+                    pop_to(next(k for k in range(len(stack) - 1, 0, -1) if self.tag[stack[k]] == name))
+                    links = 0
                 continue
             if skip or name in UNREAD:
                 if name == "body":  # a head left open
-                    skip.clear()
+                    skip.clear(), skipped.clear()
                 elif name not in VOID and not rest.rstrip().endswith("/"):
-                    if name in RAW:
-                        raw = name
                     skip.append(name)
+                    skipped[name] += 1
                     continue
                 else:
                     continue
@@ -132,60 +220,62 @@ class Page:
                 continue
             if name in ("html", "body") and len(stack) < 3:
                 fresh = True
-            closed = CLOSES.get(name)
-            limit = SCOPES.get(name, "").split()
-            for k in range(len(stack) - 1, 0, -1):
-                kind = self.tag[stack[k]]
-                if kind in limit:
-                    break
-                if kind == "p" and not closed or closed and kind in closed.split():
+            closes, limit = CLOSES.get(name, "").split(), SCOPES.get(name, "").split()
+            if not closes and self.tag[stack[-1]] == "p":
+                pop_to(len(stack) - 1)
+            k = len(stack) - 1
+            while k > 0 and any(opened[c] > 0 for c in closes) and self.tag[stack[k]] not in limit:
+                if self.tag[stack[k]] in closes:
                     pop_to(k)
-                    if not closed:
-                        break
-                elif not closed:
-                    break
-            found = {name}
-            hidden = False
+                k -= 1
+            values, hidden = [], False
             for key, value in ATTRIBUTE.findall(rest):
-                value = value.strip("\"'").lower()
-                if key.lower() in ("style", "hidden"):
-                    hidden |= key.lower() == "hidden" or "display:none" in value.replace(" ", "")
-                else:
-                    found.update(TOKEN.findall(value))
+                key, value = key.lower(), value.strip("\"'").lower()
+                if key in NAMING:
+                    values.append(value)
+                hidden |= key == "hidden" or key == "style" and "display:none" in value.replace(" ", "")
+            found = {name} | role_tokens(values)
             if hidden:
                 skip.append(name)
+                skipped[name] += 1
                 continue
             self.tag.append(name), self.parent.append(stack[-1]), self.depth.append(len(stack)), self.tokens.append(frozenset(found))
             stack.append(len(self.tag) - 1)
+            opened[name] += 1
             links, fresh = 0, True
-        if not raw:
-            text(source[at:])
+        text(source[at:])
         self.texts = [" ".join("".join(r[1]).split()) for r in self.runs]
 
     def features(self) -> np.ndarray:
         """One row for each block element."""
         n = len(self.tag)
         parent = np.array(self.parent)
-        own, own_links, runs, stops, commas, words = (np.zeros(n) for _ in range(6))
+        own, own_links, runs, stops, words = (np.zeros(n) for _ in range(5))
+        said = np.zeros((n, len(PHRASES)))
         for (node, _, linked), t in zip(self.runs, self.texts):
             own[node] += len(t)
             own_links[node] += min(linked, len(t))
             runs[node] += bool(t)
             stops[node] += t.count(". ") + t.count("! ") + t.count("? ") + t.endswith((".", "!", "?"))
-            commas[node] += t.count(",")
             words[node] += t.count(" ") + bool(t)
-        size, linked, blocks, marks, word, tags = own.copy(), own_links.copy(), runs.copy(), stops.copy(), words.copy(), np.ones(n)
+            low = t.lower()
+            said[node] += [sum(map(low.count, p)) for p in PHRASES]
+        size, linked, blocks, marks, word, elements = own.copy(), own_links.copy(), runs.copy(), stops.copy(), words.copy(), np.ones(n)
         paragraphs = np.array([t == "p" for t in self.tag], float)
         for k in range(n - 1, 0, -1):
             p = parent[k]
-            for column in (size, linked, blocks, marks, word, tags, paragraphs):
+            for column in (size, linked, blocks, marks, word, elements, paragraphs, said):
                 column[p] += column[k]
         children = np.bincount(parent[1:], minlength=n).astype(float) if n > 1 else np.zeros(n)
         good, bad = np.zeros(n), np.zeros(n)
         group = np.zeros((n, len(GROUPS)))
         up_good, up_bad = np.zeros(n), np.zeros(n)
+        around = self.around_article(size)
         for k, tokens in enumerate(self.tokens):
             good[k], bad[k] = len(tokens & GOOD), len(tokens & BAD)
+            if around[k]:
+                bad[k] = 0
+                good[k] *= self.tag[k] not in PAGE
             if bad[k]:
                 group[k] = [bool(tokens & g) for g in GROUPS]
             p = parent[k]
@@ -202,11 +292,29 @@ class Page:
         heading = np.array([len(t) == 2 and t[0] == "h" and t[1].isdigit() for t in self.tag], float)
         listed = np.array([t in ("li", "ul", "ol", "dl", "dd", "dt") for t in self.tag], float)
         x = [
-            np.log1p(size), size / total, linked / safe, size / np.maximum(1, tags), np.log1p(own), own_links / np.maximum(1, own), marks / np.maximum(1, word) * 10,
+            np.log1p(size), size / total, linked / safe, size / np.maximum(1, elements), np.log1p(own), own_links / np.maximum(1, own), marks / np.maximum(1, word) * 10,
             np.log1p(word), np.log1p(blocks), np.log1p(paragraphs), np.array(self.depth, float), children, np.log1p(children[up]), order / np.maximum(1, children[up]),
             size / np.maximum(1, size[up]), size[up] / np.maximum(1, children[up]), good, bad, up_good, up_bad, heading, listed, (np.array(self.tag) == "p").astype(float), stops,
         ]
-        return np.column_stack([*x, group])
+        # What the element stands among: its parent's share of the page, links, paragraphs, sentences, and a top heading beside it.
+        headed = np.bincount(up[1:], np.array([t == "h1" for t in self.tag[1:]], float), minlength=n) if n > 1 else np.zeros(n)
+        beside = [(size / total)[up], (linked / safe)[up], np.log1p(paragraphs[up]), (marks / np.maximum(1, word))[up] * 10, headed[up]]
+        share = said / np.maximum(1, word)[:, None] * 10
+        return np.column_stack([*x, *beside, group, share, np.minimum(said, 3)])
+
+    def around_article(self, size: np.ndarray) -> np.ndarray:
+        """Whether an element is html or body, holds LARGE of the page's text and the article's named element with at least half of its own, or a top heading and WHOLE of the page's text."""
+        n = len(self.tag)
+        clean = np.array([t in ("article", "main") or bool(k & NAMED) for t, k in zip(self.tag, self.tokens)]) & np.array([not k & BAD for k in self.tokens])
+        heading = np.array([t == "h1" for t in self.tag])
+        largest = np.zeros(n)  # text of the largest element below that is an article by its name
+        for k in range(n - 1, 0, -1):
+            p = self.parent[k]
+            largest[p] = max(largest[p], size[k] if clean[k] else 0, largest[k])
+            heading[p] |= heading[k]
+        page = np.array([t in PAGE for t in self.tag])
+        share = size / max(1, size[0])
+        return page | ((share >= LARGE) & (2 * largest >= np.maximum(1, size))) | (heading & (share >= WHOLE))
 
     def decode(self, log_odds: np.ndarray) -> list[str]:
         """Texts of the likeliest labelling: every element kept whole, dropped whole or mixed."""
@@ -247,7 +355,9 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
     """Pieces (markup, label) of a made page: label 1 article, 0 surroundings, -1 containers of both."""
     link = lambda: f'<a href="/{rng.randint(1, 99)}">{_words(rng, 1, 3)}</a>'
     links = lambda tag="li": "".join(f"<{tag}>{link()}</{tag}>" for _ in range(rng.randint(2, 9)))
-    out: list[tuple[str, int]] = [("<html><body>", -1)]
+    out: list[tuple[str, int]] = [(f"<html><body{rng.choice(['', '', f' class={rng.choice(LAYOUTS)!r}'])}>", -1)]
+    appeal = lambda group: f"{_words(rng, 1, 6)} {rng.choice(PHRASES[group])} {_words(rng, 1, 8)}"
+    unmarked = lambda group: f"<{(t := rng.choice(['p', 'div', 'div']))}>{appeal(group)}</{t}>"
 
     def outside(where: str) -> None:
         options = {
@@ -258,11 +368,14 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
                 lambda: f"<div id='{rng.choice(['cookie-notice', 'gdpr', 'consent', 'alert-banner', 'notice'])}'><p>{_words(rng, 6, 40)}</p><p>{link()}</p></div>",
                 lambda: f"<div class='{rng.choice(['breadcrumbs', 'menu', 'toolbar', 'nav-bar'])}'>{link()} {link()} {link()}</div>",
                 lambda: f"<form class=search><p>{_words(rng, 1, 5)}</p></form>",
+                lambda: unmarked(rng.choice((1, 2, 3))),
             ],
             "middle": [
                 lambda: f"<div class='{rng.choice(['ad', 'ads', 'advertisement', 'sponsored', 'promo'])}'><p>{_words(rng, 2, 40)}</p></div>",
                 lambda: f"<aside{rng.choice(['', ' class=related', ' class=pullout'])}><h3>{_words(rng, 1, 3)}</h3><ul>{links()}</ul></aside>",
                 lambda: f"<div class='{rng.choice(['share', 'social', 'newsletter', 'subscribe'])}'><p>{_words(rng, 1, 12)}</p></div>",
+                lambda: unmarked(2),
+                lambda: unmarked(3),
             ],
             "end": [
                 lambda: f"<footer{rng.choice(['', ' class=footer'])}>{rng.choice(['&copy; ', ''])}{_words(rng, 2, 30)}</footer>",
@@ -273,6 +386,8 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
                 + "".join(f"<div class=comment><p>{_words(rng, 4, 60)}</p></div>" for _ in range(rng.randint(1, 4))) + f"</{t}>",
                 lambda: f"<form class={rng.choice(['login', 'signup', 'respond'])}><p>{_words(rng, 1, 8)}</p></form>",
                 lambda: f"<div class=pagination>{link()} {link()}</div>",
+                lambda: unmarked(0),
+                lambda: unmarked(rng.choice((1, 2, 3))),
             ],
         }[where]
         out.append((rng.choice(options)(), 0))
@@ -281,6 +396,8 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
         text = _words(rng, 1, 120) if rng.random() < 0.9 else _words(rng, 1, 4)
         if rng.random() < 0.15:
             text += f" {link()} {_words(rng, 2, 20)}"
+        if rng.random() < 0.05:  # an article may speak of such things
+            text = f"{_words(rng, 15, 60)} {rng.choice(rng.choice(PHRASES))} {_words(rng, 15, 60)}"
         if rng.random() < 0.15:
             text = f"<b>{text}<br>" if rng.random() < 0.5 else f"<b>{text}</b>"
         kind = rng.random()
@@ -298,7 +415,7 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
     for _ in range(rng.randint(0, 3)):
         outside("top")
     wrap = rng.choice(["<article>", "<article>", "<article class=post>", "<main>", "<div id=content>", "<div class='entry-content'>", "<div class='article-body'>", "<section>", "<div>"])
-    around = rng.choice(["", "", "<main>", "<div id=page>", "<div class=wrapper>"])
+    around = rng.choice(["", "", "<main>", "<div id=page>", "<div class=wrapper>", f"<div class={rng.choice(LAYOUTS)!r}>"])
     end = lambda t: f"</{re.match('<([a-z]+)', t)[1]}>" if t else ""
     out.append((around, -1))
     pure = rng.random() < 0.7
@@ -318,6 +435,10 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
     return out
 
 
+#: Class names of containers around the article that speak of its surroundings.
+LAYOUTS = ("has-sidebar", "content-with-sidebar", "no-ads", "menu-open", "page-header", "social", "header-fixed", "without-comments", "widget-area-left")
+
+
 @cache
 def fitted_model() -> BoostedTrees:
     """The trees fitted on the made pages; labels come from the pieces, elements of both kinds are left out."""

@@ -5,6 +5,7 @@ import io
 import itertools
 import random
 import struct
+import time
 import zipfile
 import zlib
 
@@ -287,6 +288,19 @@ def test_sniffing_tells_and_confirms(kind):
     assert (kind, 26, len(data)) in media.sniff(inside, magic)[2]
 
 
+@pytest.mark.parametrize("unit", [b"%PDF-", b"PK\x03\x04", b"PK\x03\x04PK\x05\x06", b"startxref%PDF-%%EOF", b"GIF89a!abcdefg!x\x01y", b"OggS\0\0" + b"\0" * 20 + b"\x01\x04abcd", b"\0\0\0\x10ftypisom\0\0\0\0", b"RIFF\x10\0\0\0WAVE", _png()[:33] + b"\0\0\0\0abcd", b"BM"])
+def test_ten_megabytes_of_magic_bytes_take_seconds(unit):
+    data = b"text " + unit * (10_000_000 // len(unit))
+    began = time.perf_counter()
+    media.sniff(data, media.automaton())
+    assert time.perf_counter() - began < 40
+
+
+def test_many_media_one_after_the_other():
+    data = b"x".join(SAMPLES[k] for k in ("image/png", "application/zip", "image/gif", "application/ogg", "application/zip", "image/png"))
+    assert [t for t, _, _ in media.sniff(b"y" + data, media.automaton())[2]] == ["image/png", "application/zip", "image/gif", "application/ogg", "application/zip", "image/png"]
+
+
 def test_sniffed_column_corrects_and_carves(spark):
     rows = [(1, bytearray(SAMPLES["image/png"]), "image/gif"), (2, bytearray(b"zz" + SAMPLES["image/gif"] + SAMPLES["image/png"]), "image/gif"), (3, None, None)]
     got = {r["k"]: r for r in media.sniffed(spark.createDataFrame(rows, "k int, content binary, declared string"), "content", "declared").collect()}
@@ -300,7 +314,14 @@ def test_text_media_round_trip(docs, texts):
         payload = raw + bytes(max(64, -(-len(raw) // 64) * 64) - len(raw))
         stored = media.store_wave(payload)
         assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-64:]))
-        assert r["media_bytes"] == len(stored) and r["media_sha256"] == hashlib.sha256(stored).hexdigest() and f"length={len(stored)}" in r["feature"]
+        assert r["media_bytes"] == len(stored) and r["media_sha256"] == hashlib.sha256(stored).hexdigest()
+        # The features, sample by sample.
+        mean = sum(payload) / len(payload)
+        variance = sum((x - mean) ** 2 for x in payload) / len(payload)
+        crossings = sum((x >= 128) != (y >= 128) for x, y in zip(payload, payload[1:]))
+        found = dict(part.split("=", 1) for part in r["feature"].split(";"))
+        assert found["type"] == "audio/wav" and found["length"] == str(len(stored)) and found["embedded"] == "[]" and found["crossings"] == str(crossings)
+        assert abs(float(found["mean"]) - mean) < 1e-4 and abs(float(found["variance"]) - variance) < 1e-3 + 1e-9 * variance
 
 
 # --- pages
@@ -330,6 +351,67 @@ def test_main_text_leaves_surroundings_out():
     assert html_text.main_text(page, html_text.fitted_model()) == "Rivers & hills\n\nThe river runs from the hills, past three towns.\n\nIt is long."
 
 
+PARAGRAPHS = [
+    "The river runs from the hills past three towns before it meets the sea.",
+    "Its water drove forty mills in the last century, and two of them still stand.",
+    "Every spring the meadows along the lower course are flooded for some weeks.",
+    "A bridge of stone was built in the north, after the old ferry had sunk.",
+    "Fishermen say that salmon have come back since the weirs were taken down.",
+    "The valley is now a reserve, and the path beside the water is open to all.",
+]
+
+
+def around(body: str = "", wrapper: str = "", extra: str = "") -> str:
+    inner = f"<article><h1>The river</h1>{''.join(f'<p>{p}</p>' for p in PARAGRAPHS)}</article>{extra}"
+    inner = f"<div class='{wrapper}'>{inner}</div>" if wrapper else inner
+    return f"<html><body class='{body}'><nav><ul><li><a href=/>Home</a></li><li><a href=/x>Other</a></li></ul></nav>{inner}<footer><p>Some city, some street</p></footer></body></html>"
+
+
+@pytest.mark.parametrize("body", ["", "post", "has-sidebar", "menu-open", "no-ads", "social", "page-header", "home header-fixed widget"])
+@pytest.mark.parametrize("wrapper", ["", "content-with-sidebar", "page-header", "social", "layout ads-enabled"])
+def test_class_names_of_the_page_do_not_erase_the_article(body, wrapper):
+    assert html_text.main_text(around(body, wrapper), html_text.fitted_model()) == "\n\n".join(["The river", *PARAGRAPHS])
+
+
+LAYOUT_PAGES = {
+    "division without article": "<body class=home><div class=top><a href=/>Start</a> <a href=/b>Blog</a></div><div class='col-left'><h1>The river</h1>@</div><div class='sidebar'><p>Other posts of this month</p></div></body>",
+    "sidebar inside the wrapper": "<body><div class='wrap has-sidebar'><main><h1>The river</h1>@</main><aside class=sidebar><h3>More</h3><ul><li><a href=/1>One</a><li><a href=/2>Two</a></ul></aside></div></body>",
+    "comments longer than the article": "<body><article><h1>The river</h1>@</article><section class=comments>" + "<div class=comment><p>I walked there with my family last summer and we all liked it a lot, thank you for telling of it.</p></div>" * 9 + "</section></body>",
+    "unmarked advert": "<body><main><article><h1>The river</h1>@</article></main><div>Buy now, special offer, 40% off all boots!</div></body>",
+    "unmarked notice of rights": "<body><article><h1>The river</h1>@</article><p>© 2026 The Journal. All rights reserved.</p></body>",
+    "hidden in other attributes": "<body><article title='the hidden city' data-hidden=0><h1 aria-hidden=false>The river</h1>@</article><div hidden><p>Never seen by anyone at all here.</p></div></body>",
+}
+
+
+@pytest.mark.parametrize("name", LAYOUT_PAGES)
+def test_layouts_written_by_hand(name):
+    page = LAYOUT_PAGES[name].replace("@", "".join(f"<p>{p}</p>" for p in PARAGRAPHS))
+    assert html_text.main_text(page, html_text.fitted_model()) == "\n\n".join(["The river", *PARAGRAPHS])
+
+
+def test_formulas_are_read():
+    page = around().replace(PARAGRAPHS[2], "Here <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds for every spring and every meadow.")
+    assert "\n\nHere x=2 holds for every spring" in html_text.main_text(page, html_text.fitted_model())
+
+
+@pytest.mark.parametrize("unit", ["<a x='", "<div", "<!", "<!--", '<p title="', "<a 'b\"", "</x>", "<svg>", "<script>", "<a x='>", "<b\"'>'", "<ul><li>", "<table><td>"])
+def test_time_grows_with_length_only(unit):
+    def seconds(n: int) -> float:
+        began = time.perf_counter()
+        html_text.Page("<p>begin</p>" + unit * n + "<p>end</p>")
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(40_000) < 8 * max(seconds(10_000), 0.02)
+
+
+def test_tags_end_outside_quotes():
+    found = lambda s: [(name, s[a:b]) for a, b, _, name, _ in html_text.tags(s)]
+    assert found('<a t="x>y">z</a>') == [("a", '<a t="x>y">'), ("a", "</a>")]
+    assert found("<a t='x>y</a>") == [("a", "<a t='x>"), ("a", "</a>")]  # quotes left open
+    assert found("1 < 2 <b>x</b> <!-- <i> --><script>'</b>'<</script>") == [("b", "<b>"), ("b", "</b>"), ("", "<!-- <i> -->"), ("script", "<script>"), ("script", "</script>")]
+
+
 def test_hierarchical_decoding_is_consistent():
     page = html_text.Page("<div><div><p>a</p><p>b</p></div><p>c</p></div>")
     keep_all = page.decode(np.full(len(page.tag), 3.0))
