@@ -1,11 +1,14 @@
 """Media columns: signature sniffing, with declared types corrected and embedded media carved.
 
 An Aho-Corasick automaton finds all magic bytes in one pass; a validator for each format confirms the structure at a hit and gives its length.
-A type is told by the format confirmed at the start of the bytes; further confirmed hits are embedded media, the outermost only. Text bytes are stored
-losslessly as 8-bit mono samples of a wave file, whose reader goes by what sniffing confirms and not by the declared type.
+A type is told by the format confirmed at the start of the bytes; further confirmed hits are embedded media, the outermost only (what lies in a confirmed one
+is not validated). End marks are found by the same automaton, once for all hits, and chains of blocks remember where they lead, so that many magic bytes
+in one long text are no more work than one. Text bytes are stored losslessly as 8-bit mono samples of a wave file, whose reader goes by what sniffing confirms and
+not by the declared type.
 
 Defined cases: null bytes are empty; empty or unknown bytes have type application/octet-stream and no embedded media; a format whose structure is cut off or
-whose lengths disagree is not confirmed; equal bytes give equal values; an empty table gives an empty result.
+whose lengths disagree is not confirmed; equal bytes give equal values; repeated rows and rows without doc_id are rows of their own; an empty table gives an
+empty result. text_media reads only doc_id and text; sniffed keeps all columns and raises ValueError where one has the name of a result column.
 """
 
 from __future__ import annotations
@@ -13,7 +16,10 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import ahocorasick
 import numpy as np
@@ -25,21 +31,81 @@ UNKNOWN = "application/octet-stream"
 UNIT = 64
 
 
-def _png(b: bytes, at: int) -> int:
-    """End of the IEND chunk; every chunk's checksum must hold."""
-    p = at + 8
-    while p + 12 <= len(b):
+class Bytes:
+    """One value's bytes with the positions of its end marks and the ends of chains of blocks already walked."""
+
+    def __init__(self, data: bytes, marks: dict[bytes, list[int]]):
+        self.data, self.marks = data, marks
+        self.chains: dict[str, dict[int, tuple]] = {}
+        self._zip_ends: dict[int, int] | None = None
+
+    def chain(self, kind: str, p: int, step: Callable[[int], tuple[int, bool]]) -> tuple[int, bool]:
+        """Follow step, from a position to (the next one, or -1 at the end; a mark to keep), to the last position, and whether any mark was set.
+
+        The last position is given as the value of the step that ended there.
+        """
+        known, path = self.chains.setdefault(kind, {}), []
+        while p not in known:
+            following, mark = step(p)
+            if following < 0:
+                known[p] = (p, mark)
+            else:
+                path.append((p, mark))
+                p = following
+        end, marked = known[p]
+        for q, mark in reversed(path):
+            marked |= mark
+            known[q] = (end, marked)
+        return end, marked
+
+    def zip_end(self, at: int) -> int:
+        """End of the archive beginning at `at`: its end-of-directory record says where the archive begins."""
+        if self._zip_ends is None:
+            self._zip_ends, b = {}, self.data
+            for p in self.marks.get(ZIP_END, []):
+                if p + 22 <= len(b):
+                    size, offset, comment = struct.unpack_from("<IIH", b, p + 12)
+                    if p + 22 + comment <= len(b):
+                        self._zip_ends.setdefault(p - offset - size, p + 22 + comment)
+        return self._zip_ends.get(at, 0)
+
+
+ZIP_END, PDF_START, PDF_END = b"PK\x05\x06", b"startxref", b"%%EOF"
+
+
+def _png(x: Bytes, at: int) -> int:
+    """End of the IEND chunk; the chunks lead there, and every chunk's checksum holds."""
+    b = x.data
+    if b[at + 8 : at + 16] != b"\x00\x00\x00\rIHDR":
+        return 0
+
+    def step(p: int) -> tuple[int, bool]:
+        if p + 12 > len(b):
+            return -1, False
         n, kind = struct.unpack_from(">I4s", b, p)
-        if p + 12 + n > len(b) or zlib.crc32(b[p + 4 : p + 8 + n]) != struct.unpack_from(">I", b, p + 8 + n)[0] or (p == at + 8) != (kind == b"IHDR"):
+        if kind == b"IEND" or p + 12 + n > len(b) or not kind.isalpha():
+            return -1, False
+        return p + 12 + n, False
+
+    last, _ = x.chain("png", at + 8, step)
+    if b[last + 4 : last + 8] != b"IEND":
+        return 0
+    p, sums = at + 8, x.chains.setdefault("png sums", {})
+    while p <= last:
+        n = struct.unpack_from(">I", b, p)[0]
+        if p + 12 + n > len(b):
+            return 0
+        if p not in sums:
+            sums[p] = (zlib.crc32(memoryview(b)[p + 4 : p + 8 + n]) == struct.unpack_from(">I", b, p + 8 + n)[0],)
+        if not sums[p][0]:
             return 0
         p += 12 + n
-        if kind == b"IEND":
-            return p - at
-    return 0
+    return p - at
 
 
-def _jpeg(b: bytes, at: int) -> int:
+def _jpeg(x: Bytes, at: int) -> int:
     """Segments with their lengths up to the end marker."""
+    b = x.data
     p, seen = at + 2, False
     while p + 4 <= len(b) and b[p] == 0xFF:
         marker = b[p + 1]
@@ -61,32 +127,30 @@ def _jpeg(b: bytes, at: int) -> int:
     return p + 2 - at if seen and b[p : p + 2] == b"\xff\xd9" else 0
 
 
-def _gif(b: bytes, at: int) -> int:
+def _gif(x: Bytes, at: int) -> int:
     """Blocks and sub-blocks up to the trailer."""
+    b = x.data
 
     def blocks(p: int) -> int:
-        while p < len(b) and b[p]:
-            p += b[p] + 1
-        return p + 1
+        return x.chain("gif blocks", p, lambda q: (q + b[q] + 1, False) if q < len(b) and b[q] else (-1, False))[0] + 1
+
+    def step(p: int) -> tuple[int, bool]:
+        if p < len(b) and b[p] == 0x21:
+            return blocks(p + 2), False
+        if p + 10 <= len(b) and b[p] == 0x2C:
+            return blocks(p + 11 + (3 << ((b[p + 9] & 7) + 1) if b[p + 9] & 128 else 0)), False
+        return -1, False
 
     if at + 13 > len(b):
         return 0
     flags = b[at + 10]
-    p = at + 13 + (3 << ((flags & 7) + 1) if flags & 128 else 0)
-    while p < len(b):
-        if b[p] == 0x3B:
-            return p + 1 - at
-        if b[p] == 0x21:
-            p = blocks(p + 2)
-        elif b[p] == 0x2C and p + 10 <= len(b):
-            p = blocks(p + 11 + (3 << ((b[p + 9] & 7) + 1) if b[p + 9] & 128 else 0))
-        else:
-            return 0
-    return 0
+    end, _ = x.chain("gif", at + 13 + (3 << ((flags & 7) + 1) if flags & 128 else 0), step)
+    return end + 1 - at if end < len(b) and b[end] == 0x3B else 0
 
 
-def _bmp(b: bytes, at: int) -> int:
+def _bmp(x: Bytes, at: int) -> int:
     """File size, zero reserved fields, a known header and an offset inside the file."""
+    b = x.data
     if at + 30 > len(b):
         return 0
     size, reserved, offset, header = struct.unpack_from("<IIII", b, at + 2)
@@ -95,8 +159,9 @@ def _bmp(b: bytes, at: int) -> int:
     return size if fits and 14 + header <= offset <= size <= len(b) - at else 0
 
 
-def _riff(b: bytes, at: int, form: bytes, needs: tuple[bytes, ...]) -> int:
+def _riff(x: Bytes, at: int, form: bytes, needs: tuple[bytes, ...]) -> int:
     """RIFF size, form and the chunk lengths inside it."""
+    b = x.data
     if at + 12 > len(b) or b[at + 8 : at + 12] != form:
         return 0
     end = at + 8 + struct.unpack_from("<I", b, at + 4)[0]
@@ -108,27 +173,23 @@ def _riff(b: bytes, at: int, form: bytes, needs: tuple[bytes, ...]) -> int:
     return end - at if p == end <= len(b) and all(k in kinds for k in needs) else 0
 
 
-def _wav(b: bytes, at: int) -> int:
-    return _riff(b, at, b"WAVE", (b"fmt ", b"data"))
+def _wav(x: Bytes, at: int) -> int:
+    return _riff(x, at, b"WAVE", (b"fmt ", b"data"))
 
 
-def _webp(b: bytes, at: int) -> int:
-    return _riff(b, at, b"WEBP", ())
+def _webp(x: Bytes, at: int) -> int:
+    return _riff(x, at, b"WEBP", ())
 
 
-def _zip(b: bytes, at: int) -> int:
+def _zip(x: Bytes, at: int) -> int:
     """Ends with the end-of-directory record whose directory lies just before it."""
-    p = b.find(b"PK\x05\x06", at)
-    while p >= 0 and p + 22 <= len(b):
-        size, offset, comment = struct.unpack_from("<IIH", b, p + 12)
-        if offset + size == p - at and p + 22 + comment <= len(b):
-            return p + 22 + comment - at
-        p = b.find(b"PK\x05\x06", p + 1)
-    return 0
+    end = x.zip_end(at)
+    return end - at if end > at else 0
 
 
-def _gzip(b: bytes, at: int) -> int:
+def _gzip(x: Bytes, at: int) -> int:
     """One member that inflates and passes its checksum."""
+    b = x.data
     tool = zlib.decompressobj(31)
     try:
         p = at
@@ -142,40 +203,50 @@ def _gzip(b: bytes, at: int) -> int:
     return min(p, len(b)) - len(tool.unused_data) - at if tool.eof else 0
 
 
-def _pdf(b: bytes, at: int) -> int:
+def _pdf(x: Bytes, at: int) -> int:
     """A cross-reference pointer and the last end mark after it."""
-    start, end = b.find(b"startxref", at), b.rfind(b"%%EOF", at)
-    return end + 5 - at if at < start < end else 0
+    starts, ends = x.marks.get(PDF_START, []), x.marks.get(PDF_END, [])
+    k = bisect_right(starts, at)
+    return ends[-1] + len(PDF_END) - at if ends and k < len(starts) and starts[k] < ends[-1] else 0
 
 
-def _ogg(b: bytes, at: int) -> int:
+def _ogg(x: Bytes, at: int) -> int:
     """Pages one after the other, from a first to a last one of the stream."""
-    p, last = at, False
-    while p + 27 <= len(b) and b[p : p + 4] == b"OggS" and b[p + 4] == 0:
-        n = b[p + 26]
-        last = bool(b[p + 5] & 4)
-        p += 27 + n + sum(b[p + 27 : p + 27 + n])
-        if last:
-            break
-    return p - at if last and p <= len(b) else 0
+    b = x.data
+
+    def page_end(p: int) -> int:
+        """End of the page at p, or -1 where none begins."""
+        if b[p : p + 4] != b"OggS" or p + 27 > len(b) or b[p + 4]:
+            return -1
+        return p + 27 + b[p + 26] + sum(b[p + 27 : p + 27 + b[p + 26]])
+
+    last, _ = x.chain("ogg", at, lambda p: (-1, False) if page_end(p) < 0 or b[p + 5] & 4 else (page_end(p), False))
+    end = page_end(last)
+    return end - at if end <= len(b) and end > 0 and b[last + 5] & 4 else 0
 
 
-def _mp4(b: bytes, at: int) -> int:
+def _mp4(x: Bytes, at: int) -> int:
     """Boxes of known kinds after the file type box, whose size stands before its name."""
-    p, kinds = at, set()
-    while p + 8 <= len(b):
+    b = x.data
+
+    def step(p: int) -> tuple[int, bool]:
+        if p + 8 > len(b):
+            return -1, False
         n, kind = struct.unpack_from(">I4s", b, p)
-        if n < 8 or kind not in (b"ftyp", b"moov", b"mdat", b"free", b"skip", b"moof", b"mfra", b"uuid", b"meta", b"sidx", b"styp", b"wide"):
-            break
-        if p + n > len(b):
-            return 0
-        kinds.add(kind)
-        p += n
-    return p - at if b"moov" in kinds or b"moof" in kinds else 0
+        if n < 8 or kind not in BOXES:
+            return -1, False
+        return p + n, kind in (b"moov", b"moof")
 
+    end, playable = x.chain("mp4", at, step)
+    return end - at if playable and end <= len(b) else 0
 
-def _flac(b: bytes, at: int) -> int:
+
+BOXES = frozenset((b"ftyp", b"moov", b"mdat", b"free", b"skip", b"moof", b"mfra", b"uuid", b"meta", b"sidx", b"styp", b"wide"))
+
+
+def _flac(x: Bytes, at: int) -> int:
     """A stream-information block of 34 bytes and the metadata after it; frames carry no length, so the stream runs to the end."""
+    b = x.data
     p, kind = at + 4, None
     while p + 4 <= len(b):
         head, n = b[p], int.from_bytes(b[p + 1 : p + 4], "big")
@@ -188,7 +259,7 @@ def _flac(b: bytes, at: int) -> int:
 
 
 #: Fixed values: (magic bytes, their offset from the start, type, validator).
-FORMATS: tuple[tuple[bytes, int, str, Callable[[bytes, int], int]], ...] = (
+FORMATS: tuple[tuple[bytes, int, str, Callable[[Bytes, int], int]], ...] = (
     (b"\x89PNG\r\n\x1a\n", 0, "image/png", _png),
     (b"\xff\xd8\xff", 0, "image/jpeg", _jpeg),
     (b"GIF87a", 0, "image/gif", _gif),
@@ -206,32 +277,39 @@ FORMATS: tuple[tuple[bytes, int, str, Callable[[bytes, int], int]], ...] = (
 
 
 def automaton() -> ahocorasick.Automaton:
-    """All magic bytes; the automaton works on characters, one a byte."""
+    """All magic bytes and end marks; the automaton works on characters, one a byte."""
     found = ahocorasick.Automaton()
-    by_magic: dict[bytes, list[int]] = {}
+    by_magic: dict[bytes, list[int]] = {m: [] for m in (ZIP_END, PDF_START, PDF_END)}
     for k, (magic, *_) in enumerate(FORMATS):
         by_magic.setdefault(magic, []).append(k)
     for magic, ks in by_magic.items():
-        found.add_word(magic.decode("latin-1"), (len(magic), ks))
+        found.add_word(magic.decode("latin-1"), (magic, ks))
     found.make_automaton()
     return found
 
 
 def sniff(data: bytes, magic: ahocorasick.Automaton) -> tuple[str, int, list[tuple[str, int, int]]]:
-    """(type, length of the confirmed structure, embedded media as (type, offset, length))."""
-    hits = []
-    for end, (size, formats) in magic.iter(data.decode("latin-1")):
-        for k in formats:
-            at = end + 1 - size - FORMATS[k][1]
-            if at >= 0 and (n := FORMATS[k][3](data, at)):
-                hits.append((at, -n, FORMATS[k][2]))
+    """(type, length of the confirmed structure, embedded media as (type, offset, length)); of several formats confirmed at one place the longest."""
+    hits = array("q")  # position and format in one number each
+    marks: dict[bytes, list[int]] = {}
+    for end, (word, formats) in magic.iter(data.decode("latin-1")):
+        at = end + 1 - len(word)
+        if not formats:
+            marks.setdefault(word, []).append(at)
+        hits.extend((at - FORMATS[k][1]) * len(FORMATS) + k for k in formats if at >= FORMATS[k][1])
+    x = Bytes(data, marks)
     kind, length, embedded, free = UNKNOWN, 0, [], 0
-    for at, n, name in sorted(hits):
-        if at == 0 and not length:
+    for at, group in groupby(map(int, np.sort(np.frombuffer(hits, np.int64)) if hits else ()), key=lambda h: h // len(FORMATS)):
+        if at < free:
+            continue
+        n, name = min((-FORMATS[h % len(FORMATS)][3](x, at), FORMATS[h % len(FORMATS)][2]) for h in group)
+        if not n:
+            continue
+        if at == 0:
             kind, length = name, -n
             # What lies in a compressed or indexed container is its content; samples may hold foreign media.
-            free = 0 if name in ("audio/wav", "application/octet-stream") else length
-        elif at >= free and at > 0:
+            free = 0 if name == "audio/wav" else length
+        else:
             embedded.append((name, at, -n))
             free = at - n
     return kind, length, embedded
