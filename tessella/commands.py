@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import json
-import os
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -12,43 +11,42 @@ from pyspark.sql import functions as F
 from tessella.operators import intake, letters, privacy, release, sampling, tree
 from tessella.operators.keys import DataError, differing_rows
 from tessella.session import build_session
-from tessella.sources import readers
+from tessella.sources import readers, shared
 
 
 def draw(spark: SparkSession, frame: str, issued: str, config: str, out: str) -> dict:
     """Draw a batch into a new folder: assignments, worklists and metadata."""
-    if os.path.exists(out):
+    if shared.exists(spark, out):
         raise DataError(f"{out} exists")
     c = readers.read_yaml(config)
     register = readers.read_csv_text(spark, issued)
     if "batch_id" in register.columns and register.filter(F.col("batch_id") == c["batch_id"]).limit(1).count():
         raise DataError("batch_id is taken")
     design = sampling.Design(**c["design"])
-    rows, meta = sampling.draw_batch(readers.read_csv_text(spark, frame), register, design, c["seed"], c["batch_id"], c["n_treated"], c.get("blocks", []), c["assistants"], c.get("stamp", {}))
+    rows, meta = sampling.draw_batch(readers.read_csv_text(spark, frame), register, design, c["seed"], c["batch_id"], c["n_treated"], c.get("blocks", []), c["assistants"], c.get("stamp", {}), c.get("state_codes", []))
     readers.write_csv_text(rows, f"{out}/assignments")
     release.write_worklists(rows, f"{out}/worklists")
     written = readers.read_csv_text(spark, f"{out}/assignments")
-    meta |= {"config": c, "assignments_sha256": sampling.table_digest(written, "application_id")}
-    with open(os.path.join(out, "meta.json"), "w") as file:
-        json.dump(meta, file, indent=1)
+    meta |= {"config": c, "assignments_sha256": sampling.table_digest(written)}
+    shared.put_text(spark, f"{out}/meta.json", json.dumps(meta, indent=1))
     return meta
 
 
 def issue(spark: SparkSession, batch: str, issued: str, out: str) -> int:
     """Add an untouched batch to the register, written as a new version."""
     rows = readers.read_csv_text(spark, f"{batch}/assignments")
-    with open(os.path.join(batch, "meta.json")) as file:
-        meta = json.load(file)
-    if sampling.table_digest(rows, "application_id") != meta["assignments_sha256"]:
+    meta = json.loads(shared.get_text(spark, f"{batch}/meta.json"))
+    if sampling.table_digest(rows) != meta["assignments_sha256"]:
         raise DataError("assignments were changed after the draw")
     return readers.VersionedState(spark, out).save({"issued": release.register_batch(rows, readers.read_csv_text(spark, issued))})
 
 
 def render(spark: SparkSession, batch: str, template: str, paragraph: str, filer: str, out: str) -> None:
-    """One letter for each assignment of a batch."""
-    with open(template) as a, open(paragraph) as b:
-        texts = a.read(), b.read()
-    letters.write_letters(letters.render_letters(readers.read_csv_text(spark, f"{batch}/assignments"), *texts, readers.read_yaml(filer)), out)
+    """One letter for each assignment of a batch: a table in out/table, files in out/files."""
+    config = json.loads(shared.get_text(spark, f"{batch}/meta.json"))["config"]
+    texts = shared.get_text(spark, template), shared.get_text(spark, paragraph)
+    letters.write_letters(letters.render_letters(readers.read_csv_text(spark, f"{batch}/assignments"), *texts, readers.read_yaml(filer), config.get("letter")), f"{out}/table")
+    letters.export_letters(spark, f"{out}/table", f"{out}/files")
 
 
 def ingest(spark: SparkSession, state: str, issued: str, form: str, export: str, config: str) -> int:
@@ -79,24 +77,24 @@ def check_privacy(spark: SparkSession, root: str, manifest: str) -> int:
     return found
 
 
-def collect(spark: SparkSession, url: str, state: str, fetch=readers.fetch_portal) -> int:
-    """Crawl a portal, saving the nodes after every level; a second run goes on from there."""
-    store = readers.VersionedState(spark, state)
+def collect(spark: SparkSession, url: str, state: str, fetch=readers.fetch_portal, pause: float = 1.0) -> int:
+    """Crawl a portal, keeping every page and saving the nodes after every level; a second run goes on from there."""
+    store = readers.VersionedState(spark, f"{state}/nodes")
 
     def save(nodes):
         store.save({"nodes": nodes})
         return store.load()["nodes"]
 
     start = store.load()["nodes"] if store.version() else tree.start_crawl(spark, url)
-    return tree.crawl(start, fetch, save).count()
+    return tree.crawl(start, fetch, save, tree.PageCache(spark, f"{state}/pages"), pause=pause).count()
 
 
 def publish(spark: SparkSession, sources: str, manifest: str, frame: str, assignments: str, instruments: str, out: str) -> None:
-    """Release and site from verified sources."""
-    found = readers.file_digests(spark, sources).withColumn("path", F.element_at(F.split("path", "/"), -1))
+    """Release and site from verified sources, whose paths in the manifest are relative to their folder."""
+    found = readers.relative_digests(spark, sources)
     offices, rows = readers.read_csv_text(spark, frame), readers.read_csv_text(spark, assignments)
     release.build_release(found, readers.read_manifest(spark, manifest), offices, rows, f"{out}/release")
-    release.build_site({"authorities": offices, "assignments": privacy.public_assignments(rows)}, readers.read_csv_text(spark, instruments), f"{out}/site")
+    release.build_site({"authorities": offices, "assignments": rows}, readers.read_csv_text(spark, instruments), f"{out}/site")
 
 
 def compare(spark: SparkSession, left: str, right: str) -> int:

@@ -10,6 +10,10 @@ SPACES = r"[\p{Z}\t-\r\x85]+"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(^|[^0-9A-Za-z.])(?:[6-9][0-9]{9}|0[0-9]{10})([^0-9A-Za-z]|$)"
 REGISTRATION = r"TGRTI/APP/|/R/20[0-9]{2}/[0-9]{4,}"
+SELECT = r"(?is)<select[^>]*(?:name|id)=\"{name}\"[^>]*>(.*?)</select>"
+OPTION = r"(?s)<option[^>]*value=\"([^\"]*)\"[^>]*>(.*?)</option>"
+QUOTED, INNER_QUOTE = '^"(.*)"$', '(?<=[A-Za-z])"(?=[A-Za-z])'
+DEPARTMENT_HEAD, DEPARTMENT_TAIL, EDGE_SIGNS = r"^(DEPARTMENT|DEPT\.?) OF ", r" (DEPARTMENT|DEPT\.?)$", r"^[ .\-]+|[ .\-]+$"
 NULL_LIKE = ("NA", "N/A", "NIL", "NONE", "-")
 STATE_WITH_TRAILING_GROUP = "KA"
 
@@ -68,16 +72,16 @@ def department_group(office: Column | str, code: str) -> Column:
     else:
         part = F.element_at(F.split(raw, r"[(,]"), 1)
     name = normalize_text(F.replace(F.upper(part), F.lit("&"), F.lit(" AND ")))
-    name = F.regexp_replace(name, r"^[ .\-]+|[ .\-]+$", "")
+    name = F.regexp_replace(name, EDGE_SIGNS, "")
     if code == STATE_WITH_TRAILING_GROUP:
-        name = F.regexp_replace(name, r"^(DEPARTMENT|DEPT\.?) OF ", "")
-    name = F.regexp_replace(name, r" (DEPARTMENT|DEPT\.?)$", "")
+        name = F.regexp_replace(name, DEPARTMENT_HEAD, "")
+    name = F.regexp_replace(name, DEPARTMENT_TAIL, "")
     return F.when(name == "", F.lit("UNKNOWN")).otherwise(name)
 
 
 def clean_office_text(c: Column | str) -> Column:
     """Squeezed, without one pair of double quotes around it; a double quote between two letters becomes an apostrophe."""
-    return F.regexp_replace(F.regexp_replace(normalize_text(c), '^"(.*)"$', "$1"), '(?<=[A-Za-z])"(?=[A-Za-z])', "'")
+    return F.regexp_replace(F.regexp_replace(normalize_text(c), QUOTED, "$1"), INNER_QUOTE, "'")
 
 
 def clean_location(c: Column | str) -> Column:
@@ -94,9 +98,9 @@ def is_iso_date(c: Column | str, required: bool = False) -> Column:
 
 
 def has_contact_details(c: Column | str) -> Column:
-    """An e-mail address or an Indian telephone number."""
+    """An e-mail address or an Indian telephone number. The patterns run only on texts with a sign @ or ten digits in a row, which every match has."""
     text = _text(c)
-    return text.rlike(EMAIL) | text.rlike(PHONE)
+    return (text.contains("@") & text.rlike(EMAIL)) | (text.rlike("[0-9]{10}") & text.rlike(PHONE))
 
 
 def render(template: Column, values: dict[str, Column]) -> Column:

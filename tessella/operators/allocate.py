@@ -1,18 +1,25 @@
 """Integer apportionment by largest remainders, with floors and caps.
 
-The group table may itself be large, so the rounds are window steps over it; a table whose caps equal its weights and whose floors are 0 always
-closes in one round, for which apportion_once is a single expression.
+A design's groups are few: a table of at most DRIVER_GROUPS groups is apportioned on the driver, in one job. A larger one goes through rounds of
+window steps, each written once.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.operators.keys import DataError, assert_empty, key_violations
 
+DRIVER_GROUPS = 10_000
+
+
+def _byte_order(group):
+    return group.encode() if isinstance(group, str) else group
+
 
 def apportion(weights: dict[str, float], total: int, capacity: dict[str, float] | None = None, minimum: dict[str, float] | None = None) -> dict[str, int]:
     """Driver-side form for a design's few groups."""
@@ -20,23 +27,23 @@ def apportion(weights: dict[str, float], total: int, capacity: dict[str, float]
     if set(caps) != set(weights) or set(floors) != set(weights):
         raise DataError("weights, capacity and minimum name different groups")
     numbers = [total, *weights.values(), *caps.values(), *floors.values()]
-    if any(not math.isfinite(x) for x in numbers) or any(x < 0 for x in numbers):
-        raise DataError("Invalid allocation: values must be finite and not negative")
+    if any(x is None or not math.isfinite(x) or x < 0 for x in numbers):
+        raise DataError("allocation values must be finite and not negative")
     if any(x != int(x) for x in [total, *caps.values(), *floors.values()]) or any(floors[g] > caps[g] for g in weights):
-        raise DataError("Invalid allocation: whole numbers with minimum at most capacity are needed")
+        raise DataError("an allocation needs whole numbers with minimum at most capacity")
     if not sum(floors.values()) <= total <= sum(caps.values()):
-        raise DataError("Infeasible allocation")
+        raise DataError(f"allocation of {total} cannot be met")
     given = {g: int(floors[g]) for g in weights}
     while (left := total - sum(given.values())) > 0:
         live = [g for g in weights if weights[g] > 0 and given[g] < caps[g]]
         if not live:
-            raise DataError("No open group with positive weight")
+            raise DataError("no open group with positive weight")
         mass = sum(weights[g] for g in live)
         share = {g: weights[g] / mass * left for g in live}
         for g in live:
             given[g] += int(min(math.floor(share[g]), caps[g] - given[g]))
         left = total - sum(given.values())
-        by_fraction = sorted((g for g in live if given[g] < caps[g]), key=lambda g: (-(share[g] - math.floor(share[g])), g.encode()))
+        by_fraction = sorted((g for g in live if given[g] < caps[g]), key=lambda g: (-(share[g] - math.floor(share[g])), _byte_order(g)))
         for g in by_fraction[:left]:
             given[g] += 1
     return given
@@ -44,24 +51,34 @@ def apportion(weights: dict[str, float], total: int, capacity: dict[str, float]
 
 def apportion_once(groups: DataFrame, total: int, group: str, weight: str) -> DataFrame:
     """groups with `allocated`, where every cap is the weight and every floor 0."""
-    everything = Window.partitionBy(F.lit(1))
-    quota = F.col(weight) / F.sum(weight).over(everything) * F.lit(total)
-    rows = groups.withColumn("__quota", quota).withColumn("__floor", F.floor("__quota"))
-    rows = rows.withColumn("__left", F.lit(total) - F.sum("__floor").over(everything))
-    place = F.row_number().over(Window.partitionBy(F.lit(1)).orderBy((F.col("__quota") - F.col("__floor")).desc(), F.col(group)))
-    given = F.col("__floor") + F.when((place <= F.col("__left")) & (F.col(weight) > 0), 1).otherwise(0)
-    return rows.withColumn("allocated", given.cast("long")).drop("__quota", "__floor", "__left")
+    return apportion_table(groups, total, group, weight, weight)
 
 
 def apportion_table(groups: DataFrame, total: int, group: str, weight: str, cap: str, floor: str | None = None) -> DataFrame:
-    """groups with `allocated`; rounds as window steps, one small aggregate a round tells whether it closed."""
-    assert_empty(key_violations(groups, group), "groups: duplicate key")
-    rows = groups.withColumn("allocated", (F.col(floor) if floor else F.lit(0)).cast("long"))
-    facts = rows.agg(F.sum("allocated").alias("low"), F.sum(cap).alias("high"), F.count_if((F.col(weight) < 0) | (F.col("allocated") < 0) | (F.col("allocated") > F.col(cap))).alias("bad")).first()
+    """groups with `allocated`; blank and repeated groups, and totals outside floors and caps, fail."""
+    few = groups.limit(DRIVER_GROUPS + 1).collect()
+    if len(few) > DRIVER_GROUPS:
+        return _apportion_rounds(groups, total, group, weight, cap, floor)
+    names = [r[group] for r in few]
+    if len(set(names)) < len(names) or any(n is None or n == "" for n in names):
+        raise DataError(f"groups: duplicate key or blank {group}")
+    column = lambda c: {r[group]: r[c] for r in few}
+    given = apportion(column(weight), total, column(cap), column(floor) if floor else None)
+    schema = T.StructType([*groups.schema.fields, T.StructField("allocated", T.LongType())])
+    return groups.sparkSession.createDataFrame([Row(*r, given[r[group]]) for r in few], schema)
+
+
+def _apportion_rounds(groups: DataFrame, total: int, group: str, weight: str, cap: str, floor: str | None) -> DataFrame:
+    from tessella.sources.shared import written
+
+    rows = written(groups.withColumn("allocated", (F.col(floor) if floor else F.lit(0)).cast("long")), "groups")
+    assert_empty(key_violations(rows, group), "groups: duplicate key")
+    wrong = F.col(weight).isNull() | (F.col(weight) < 0) | (F.col("allocated") < 0) | (F.col("allocated") > F.col(cap)) | (F.col(cap) != F.floor(F.col(cap)))
+    facts = rows.agg(F.sum("allocated").alias("low"), F.sum(cap).alias("high"), F.count_if(wrong).alias("bad")).first()
     if facts["bad"]:
-        raise DataError("Invalid allocation")
+        raise DataError("an allocation needs whole numbers with minimum at most capacity")
     if not (facts["low"] or 0) <= total <= (facts["high"] or 0):
-        raise DataError("Infeasible allocation")
+        raise DataError(f"allocation of {total} cannot be met")
     everything = Window.partitionBy(F.lit(1))
     # Every round but the last fills at least one group.
     while True:
@@ -69,7 +86,7 @@ def apportion_table(groups: DataFrame, total: int, group: str, weight: str, cap:
         if (state["given"] or 0) >= total:
             return rows
         if not state["live"]:
-            raise DataError("No open group with positive weight")
+            raise DataError("no open group with positive weight")
         live = (F.col("allocated") < F.col(cap)) & (F.col(weight) > 0)
         left = F.lit(total) - F.sum("allocated").over(everything)
         quota = F.when(live, F.col(weight) / F.sum(F.when(live, F.col(weight))).over(everything) * left)
@@ -77,6 +94,5 @@ def apportion_table(groups: DataFrame, total: int, group: str, weight: str, cap:
         open_ = F.col("__q").isNotNull() & (F.col("__a") < F.col(cap))
         step = step.withColumn("__left", F.lit(total) - F.sum("__a").over(everything))
         place = F.row_number().over(Window.partitionBy(open_).orderBy((F.col("__q") - F.floor("__q")).desc(), F.col(group)))
-        step = step.withColumn("__place", place)
         given = F.col("__a") + F.when(open_ & (F.col("__place") <= F.col("__left")), 1).otherwise(0)
-        rows = step.withColumn("allocated", given.cast("long")).drop("__q", "__a", "__left", "__place")
+        rows = written(step.withColumn("__place", place).withColumn("allocated", given.cast("long")).drop("__q", "__a", "__left", "__place"), "groups")

@@ -70,12 +70,15 @@ def hash_percent(seed: int, key: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") % 100
 
 
-def granularity(text: Column) -> Column:
-    """How detailed an answer is: a table, records, totals, a narrative, or nothing."""
-    return (
-        F.when(F.coalesce(F.trim(text), F.lit("")) == "", "none").when(F.lower(text).rlike(r"\.csv|\.xlsx?|\btable\b|\|"), "A")
-        .when(text.rlike(r"(?s)[0-9]{4}.*[0-9]{4}.*[0-9]{4}"), "B").when(text.rlike(r"[0-9]"), "C").otherwise("narrative")
-    )
+# Codes of the granularity supplied, from the finest.
+GRANULARITY = ("format_a_application_level", "format_b_monthly", "format_c_period_totals", "narrative_only", "none")
+
+
+def granularity(register_rows: Column, category_counts: Column, totals: Column, text: Column) -> Column:
+    """Code of the finest data that a response holds: rows of a register, counts by category, totals of the period, prose alone, or nothing."""
+    some = lambda c: F.coalesce(c, F.lit(0)) > 0
+    a, b, c, narrative, none = map(F.lit, GRANULARITY)
+    return F.when(some(register_rows), a).when(some(category_counts), b).when(some(totals), c).when(F.trim(F.coalesce(text, F.lit(""))) != "", narrative).otherwise(none)
 
 
 def paired_difference(reported: DataFrame, measured: DataFrame, key: str, value: str) -> DataFrame:

@@ -22,8 +22,10 @@ def blank(name: str, rows: DataFrame) -> Column:
 def flat_frame(names: DataFrame, legacy: DataFrame, code: str, state: str, portal: str) -> DataFrame:
     """Offices of a portal list with places from an older list, matched by stripped name; of repeated older rows the last counts.
 
-    In the state whose office names begin with a place, an unmatched office gets what stands before its first dash, unless that is long or lists several.
+    The older list is cut to the state where it has a column state. In the state whose office names begin with a place, an unmatched office gets what stands before its first dash, unless that is long or lists several.
     """
+    if "state" in legacy.columns:
+        legacy = legacy.filter(F.col("state") == state)
     values = F.col("portal_value_id") if "portal_value_id" in names.columns else F.lit("")
     listed = names.select("office_name", values.alias("portal_value_id"), match_key("office_name").alias("key"))
     older = legacy.select(match_key("office_name").alias("key"), *[F.col(c).alias(f"old_{c}") for c in ("district", "block")], F.col("pos"), F.lit(True).alias("matched"))
@@ -82,9 +84,12 @@ def pool_small_groups(rows: DataFrame, group: str, least: int = 5, pooled: str =
 
 
 def build_frames(states: dict[str, DataFrame], frozen: dict[str, DataFrame] | None = None) -> DataFrame:
-    """The canonical frame of all states (tables with pos); a state with a frozen frame must rebuild to it exactly."""
+    """The canonical frame of all states; a state with a frozen frame must rebuild to it exactly.
+
+    Offices of a categorised tree keep the identifiers of their nodes; those of portal lists (tables with pos) get theirs from their keys.
+    """
     built = []
     for state, rows in states.items():
-        frame = normalize_frame(rows, ["pos"])
+        frame = rows.select(FRAME_COLUMNS) if set(FRAME_COLUMNS) <= set(rows.columns) else normalize_frame(rows, ["pos"])
         built.append(assert_frozen(frame, frozen[state], state) if frozen and state in frozen else frame)
     return union_frames(built)

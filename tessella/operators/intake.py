@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessella.functions.text import form_key, hash_text, is_iso_date
-from tessella.operators.keys import DataError, assert_empty, assert_key
+from tessella.operators.keys import DataError, assert_empty, assert_key, one_of_each
 
+# Columns of the intake's tables, and those that are blank where nothing was filed.
 OUTCOME_COLUMNS = [
     "filing_outcome", "not_filed_reason", "filing_date", "registration_number", "fee_paid_inr", "payment_mode", "payment_reference", "evidence_url", "screen_recording_url", "filed_by", "due_date", "notes",
 ]
@@ -33,6 +34,7 @@ def blank_table(spark: SparkSession, columns: list[str]) -> DataFrame:
 
 def new_intake(assignments: DataFrame) -> Intake:
     """An intake without submissions; outcome columns that assignments lack are blank."""
+    assert_key(assignments, "application_id", "assignments")
     spark = assignments.sparkSession
     missing = [c for c in OUTCOME_COLUMNS if c not in assignments.columns]
     return Intake(assignments.withColumns({c: F.lit("") for c in missing}) if missing else assignments, blank_table(spark, EVENT_COLUMNS), blank_table(spark, LEDGER_COLUMNS))
@@ -44,15 +46,18 @@ def heading_key(heading: str) -> str:
 
 
 def read_form(rows: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
-    """Form columns by their aliases in order of priority; absent fields are blank, ids upper case, pos the row's place if given."""
+    """Form columns by their aliases in order of priority, then by the field's own name; absent fields are blank, ids upper case, pos the row's place if given.
+
+    Headings that compare equal fail, whether a field wants them or not.
+    """
     by_key: dict[str, list[str]] = {}
     for c in rows.columns:
         by_key.setdefault(heading_key(c), []).append(c)
+    if twice := next((c for c in by_key.values() if len(c) > 1), None):
+        raise DataError(f"ambiguous headings: {twice}")
     picked: list[Column] = []
     for field, names in aliases.items():
-        found = next((by_key[heading_key(n)] for n in [field, *names] if heading_key(n) in by_key), None)
-        if found and len(found) > 1:
-            raise DataError(f"ambiguous headings for {field}: {found}")
+        found = next((by_key[heading_key(n)] for n in [*names, field] if heading_key(n) in by_key), None)
         value = F.trim(F.coalesce(F.col(f"`{found[0]}`").cast("string"), F.lit(""))) if found else F.lit("")
         picked.append((F.upper(value) if field == "application_id" else value).alias(field))
     return rows.select(*picked, *(["pos"] if "pos" in rows.columns and "pos" not in aliases else []))
@@ -67,10 +72,10 @@ def choice_map(values: list[str], labels: dict[str, str], extra: dict[str, str]
 
 
 def coerce_choice(value: Column | str, lookup: dict[str, str]) -> Column:
-    """The controlled value; blank stays blank, unknown becomes null."""
-    key = form_key(value)
+    """The controlled value; an empty text stays empty, anything unknown (signs alone as well) becomes null."""
+    text = F.coalesce((F.col(value) if isinstance(value, str) else value).cast("string"), F.lit(""))
     table = F.create_map(*[F.lit(x) for pair in lookup.items() for x in pair])
-    return F.when(key == "", F.lit("")).otherwise(F.element_at(table, key))
+    return F.when(text == "", F.lit("")).otherwise(F.element_at(table, form_key(text)))
 
 
 def source_row_id(form: Column | str) -> Column:
@@ -97,14 +102,12 @@ def ledger_conflicts(marked: DataFrame, submissions: DataFrame) -> DataFrame:
 def new_submissions(marked: DataFrame, submissions: DataFrame) -> DataFrame:
     """Rows not in the ledger; of repeats in the export the first."""
     fresh = marked.join(submissions.select("source_row_id"), "source_row_id", "left_anti")
-    first = F.row_number().over(Window.partitionBy("source_row_id").orderBy("pos"))
-    return fresh.withColumn("__n", first).filter("__n = 1").drop("__n")
+    return one_of_each(fresh, ["source_row_id"], "pos")
 
 
 def latest_per_application(rows: DataFrame) -> DataFrame:
     """The last new submission of each application in file order."""
-    last = F.row_number().over(Window.partitionBy("application_id").orderBy(F.desc("pos")))
-    return rows.withColumn("__n", last).filter("__n = 1").drop("__n")
+    return one_of_each(rows, ["application_id"], "pos", last=True)
 
 
 def overlay(target: DataFrame, updates: DataFrame, key: str) -> DataFrame:
@@ -129,7 +132,7 @@ def apply_form(state: Intake, rows: DataFrame, form: str, rules: DataFrame, voca
     assert_empty(rows.filter("trim(application_id) = '' or trim(timestamp) = ''").select("pos"), "blank application_id or timestamp")
     assert_empty(rows.join(state.applications.select("application_id"), "application_id", "left_anti").select("application_id"), "unknown application")
     marked = mark_submissions(rows, form)
-    assert_empty(ledger_conflicts(marked, state.submissions), "Previously processed submission changed")
+    assert_empty(ledger_conflicts(marked, state.submissions), "a submission of the ledger has changed")
     fresh = new_submissions(marked, state.submissions)
     ledger = fresh.select("source_row_id", F.lit(form).alias("form"), "application_id", "timestamp", "payload_sha256")
     submissions = state.submissions.unionByName(ledger)
@@ -145,17 +148,18 @@ def _filings(state: Intake, fresh: DataFrame, rules: DataFrame, vocabulary: dict
         chosen = chosen.withColumn(name, coerce_choice(name, vocabulary[name]))
     unknown = " or ".join(f"{c} is null" for c in ("filing_outcome", "not_filed_reason", "payment_mode"))
     filed = F.col("filing_outcome") == "filed"
+    days = rules.filter("state != '_default'").select("state", F.col("statutory_days").alias("__days"))
+    default = rules.filter("state = '_default'").select(F.col("statutory_days").alias("__default"))
+    # A row for each state, and one default.
+    chosen = chosen.join(state.applications.select("application_id", "state"), "application_id").join(days, "state", "left").join(F.broadcast(default.limit(1)), F.lit(True), "left")
     problems = chosen.select(
         "application_id",
         F.when(F.expr(unknown), "unknown choice").when(F.col("filing_outcome") == "", "outcome is blank")
-        .when(filed & ~is_iso_date("filing_date", required=True), "invalid filing date").when(~filed & (F.col("not_filed_reason") == ""), "reason is blank").alias("problem"),
+        .when(filed & ~is_iso_date("filing_date", required=True), "invalid filing date").when(filed & F.coalesce("__days", "__default").isNull(), "no response period for the state").when(~filed & (F.col("not_filed_reason") == ""), "reason is blank").alias("problem"),
     )
     assert_empty(problems.filter("problem is not null"), "filing form")
-    days = rules.filter("state != '_default'").select("state", F.col("statutory_days").alias("__days"))
-    default = rules.filter("state = '_default'").select(F.col("statutory_days").alias("__default"))
-    named = chosen.join(state.applications.select("application_id", "state"), "application_id").join(days, "state", "left").join(F.broadcast(default.limit(1)), F.lit(True), "left")
     due = F.coalesce(due_date(F.col("filing_date"), F.coalesce("__days", "__default")), F.lit(""))
-    named = named.withColumn("due_date", F.when(filed, due).otherwise("")).withColumn("not_filed_reason", F.when(filed, "").otherwise(F.col("not_filed_reason")))
+    named = chosen.withColumn("due_date", F.when(filed, due).otherwise("")).withColumn("not_filed_reason", F.when(filed, "").otherwise(F.col("not_filed_reason")))
     for c in UNFILED_BLANKS:
         if c in named.columns and c != "due_date":
             named = named.withColumn(c, F.when(filed, F.col(c)).otherwise(""))

@@ -58,8 +58,14 @@ def mandatory_lookup(rows: DataFrame, parents: DataFrame, on: str, name: str) ->
 
 def lookup_keep_last(rows: DataFrame, right: DataFrame, on: list[str], order: str) -> DataFrame:
     """Left join with at most one right row for each key: the last one in order."""
-    newest = right.withColumn("__n", F.row_number().over(Window.partitionBy(*on).orderBy(F.desc(order)))).filter("__n = 1").drop("__n", order)
-    return rows.join(newest, on, "left")
+    return rows.join(one_of_each(right, on, order, last=True).drop(order), on, "left")
+
+
+def one_of_each(rows: DataFrame, by: list[str], order: str, last: bool = False) -> DataFrame:
+    """The first (or last) row in order of every group: an aggregate, which combines before the shuffle."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in rows.columns if c not in by])
+    pick = (F.max_by if last else F.min_by)(rest, order)
+    return rows.groupBy(*by).agg(pick.alias("__row")).select(*[F.col(f"`{c}`") if c in by else F.col(f"__row.`{c}`").alias(c) for c in rows.columns])
 
 
 def one_to_one(left: DataFrame, right: DataFrame, key: str, left_order: str, right_order: str) -> DataFrame:

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.text import render, safe_file_name
 from tessella.operators.keys import DataError, assert_empty
-from tessella.sources.readers import write_text_files
+from tessella.sources.shared import put_text
 
 FIELD = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
 
@@ -23,16 +23,19 @@ def render_letter(template: str, values: dict[str, str]) -> str:
     return template
 
 
-def render_letters(assignments: DataFrame, template: str, paragraph: str, filer: dict[str, str], field: str = "treatment_paragraph") -> DataFrame:
-    """assignments with `letter`; the paragraph stands in the treated arm only. Missing columns and null values fail."""
-    wanted = list(dict.fromkeys(FIELD.findall(template) + FIELD.findall(paragraph)))
-    columns = {n: F.col(n).cast("string") for n in wanted if n != field and n in assignments.columns}
-    missing = [n for n in wanted if n != field and n not in columns and n not in filer]
-    if missing:
+def render_letters(assignments: DataFrame, template: str, paragraph: str, filer: dict[str, str], config: dict[str, str] | None = None) -> DataFrame:
+    """assignments with `letter`. Fields are the assignment's columns, `authority` for its office, the filer's and the batch's values (period_start, period_end, fee);
+    `treatment_paragraph` and `legal_salience` are the paragraph, in the treated arm only. Missing columns and null values fail.
+    """
+    treated = ("treatment_paragraph", "legal_salience")
+    given = {k: str(v) for k, v in {**(config or {}), **filer}.items() if v is not None}
+    wanted = [n for n in dict.fromkeys(FIELD.findall(template) + FIELD.findall(paragraph)) if n not in treated]
+    source = {n: "office_name" if n == "authority" and n not in assignments.columns else n for n in wanted}
+    columns = {n: F.col(c).cast("string") for n, c in source.items() if n not in given and c in assignments.columns}
+    if missing := [n for n in wanted if n not in columns and n not in given]:
         raise DataError(f"missing template field {missing[0]}")
-    constants = {n: F.lit(filer[n]) for n in wanted if n in filer and n not in columns}
-    treated = F.when(F.col("treatment") == "legal_salience", F.lit(paragraph)).otherwise(F.lit(""))
-    values = {**({field: treated} if field in wanted else {}), **columns, **constants}
+    text = F.when(F.col("treatment") == "legal_salience", F.lit(paragraph)).otherwise(F.lit(""))
+    values = {**{n: text for n in treated}, **columns, **{n: F.lit(given[n]) for n in wanted if n in given}}
     lacking = F.lit(False)
     for column in columns.values():
         lacking = lacking | column.isNull()
@@ -40,10 +43,19 @@ def render_letters(assignments: DataFrame, template: str, paragraph: str, filer:
     return assignments.withColumn("letter", render(F.lit(template), values))
 
 
-def write_letters(letters: DataFrame, root: str) -> None:
-    """root/<assistant>/<application>.txt."""
+def write_letters(letters: DataFrame, path: str) -> None:
+    """A table of letters (application_id, letter) with a folder for each assistant, in any file system."""
     assert_empty(letters.filter(~safe_file_name("assigned_ra") | ~safe_file_name("application_id")).select("application_id"), "unsafe file name")
-    write_text_files(letters.withColumn("__file", F.concat("application_id", F.lit(".txt"))), "assigned_ra", "__file", "letter", root)
+    letters.select("assigned_ra", "application_id", "letter").write.partitionBy("assigned_ra").json(path)
+
+
+def export_letters(spark: SparkSession, path: str, root: str) -> int:
+    """root/<assistant>/<application>.txt for printing, from a written table of letters, which passes through the driver a partition at a time."""
+    n = 0
+    for row in spark.read.schema("assigned_ra string, application_id string, letter string").json(path).toLocalIterator():
+        put_text(spark, f"{root}/{row['assigned_ra']}/{row['application_id']}.txt", row["letter"])
+        n += 1
+    return n
 
 
 def word_count(text: str = "letter"):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import csv
+import io
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +25,8 @@ SEARCHED = r"\.(csv|txt|json|md|yaml|yml|html)$"
 
 
 def public_assignments(rows: DataFrame) -> DataFrame:
-    """The allowed columns that are there, in the allowlist's order."""
-    return rows.select([c for c in PUBLIC_COLUMNS if c in rows.columns])
+    """The allowed columns that are there, in the allowlist's order, after checking key and cells."""
+    return check_public(rows.select([c for c in PUBLIC_COLUMNS if c in rows.columns]))
 
 
 def contact_cells(rows: DataFrame) -> DataFrame:
@@ -62,12 +65,20 @@ def private_findings(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 
 def populated_private_column(text: Column) -> Column:
-    """Whether a CSV text has a private column with a value in some line (simple fields, split at commas)."""
-    lines = F.split(text, r"\r?\n")
-    header = F.split(F.element_at(lines, 1), ",")
-    tests = []
-    for name in PRIVATE_COLUMNS:
-        at = F.array_position(F.transform(header, lambda h: F.trim(F.replace(h, F.lit('"'), F.lit("")))), name).cast("int")
-        filled = F.exists(F.slice(lines, 2, F.greatest(F.size(lines) - 1, F.lit(1))), lambda line: F.coalesce(F.trim(F.replace(F.get(F.split(line, ","), at - 1), F.lit('"'), F.lit(""))), F.lit("")) != "")
-        tests.append((at > 0) & (F.size(lines) > 1) & filled)
-    return F.coalesce(reduce(lambda a, b: a | b, tests), F.lit(False))
+    """Whether a CSV text has a private column with a value in some record; quotes, commas and line ends inside fields are read as CSV has them."""
+
+    @F.pandas_udf("boolean")
+    def populated(texts: pd.Series) -> pd.Series:
+        return pd.Series([_has_private_value(t) for t in texts], dtype=bool)
+
+    # Only texts that name such a column are parsed.
+    named = reduce(lambda a, b: a | b, [text.contains(c) for c in PRIVATE_COLUMNS])
+    return F.coalesce(F.when(named, populated(text)), F.lit(False))
+
+
+def _has_private_value(text: str | None) -> bool:
+    csv.field_size_limit(2**31 - 1)
+    records = csv.reader(io.StringIO(text or "", newline=""))
+    header = [h.strip(" \t\ufeff") for h in next(records, [])]
+    private = [k for k, h in enumerate(header) if h in PRIVATE_COLUMNS]
+    return any(r[k].strip(" \t") for r in records for k in private if k < len(r))

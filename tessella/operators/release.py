@@ -8,24 +8,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.operators.keys import DataError, assert_empty, assert_key, differing_rows
-from tessella.operators.privacy import check_public, public_assignments
-from tessella.sources.readers import assert_sources, write_csv_text
+from tessella.operators.frames import FRAME_COLUMNS
+from tessella.operators.privacy import public_assignments
+from tessella.sources.readers import assert_sources, relative_digests, write_csv_text
+from tessella.sources.shared import exists
 
 DEFAULTS = {"template_version": "", "language": "", "channel": "", "randomization_stratum": "batch", "tier": "", "node_id": "", "tree_department": ""}
 
 
 def combine_batches(batches: dict[str, DataFrame], sizes: dict[str, int], frame: DataFrame) -> DataFrame:
-    """Assignments of all catalogued batches: row counts checked, defaults filled, offices looked up by exact state and name."""
+    """Assignments of all catalogued batches: ids and row counts checked, defaults filled, offices looked up by exact state and name.
+
+    Of several offices of one state and name the first in the frame's order counts (its column pos, else authority_id).
+    """
     parts = []
     for batch_id, rows in batches.items():
-        if rows.count() != sizes[batch_id]:
+        other = F.count_if(~F.col("batch_id").eqNullSafe(batch_id)) if "batch_id" in rows.columns else F.lit(0)
+        facts = rows.agg(F.count("*").alias("n"), other.alias("other")).first()
+        if facts["n"] != sizes[batch_id]:
             raise DataError(f"{batch_id}: expected {sizes[batch_id]} rows")
-        filled = rows.withColumns({c: F.lit(v) for c, v in DEFAULTS.items() if c not in rows.columns})
-        parts.append(filled.withColumn("batch_id", F.lit(batch_id)))
+        if facts["other"]:
+            raise DataError(f"{batch_id}: the catalogue differs from the batch's ids")
+        department = F.coalesce(F.col("tree_department"), F.lit("")) if "tree_department" in rows.columns else F.lit("")
+        made = {"batch_id": F.lit(batch_id), "state_code": F.regexp_extract("application_id", "^([^-]*)", 1), **({} if "dept_group" in rows.columns else {"dept_group": department})}
+        parts.append(rows.withColumns({**made, **{c: F.lit(v) for c, v in DEFAULTS.items() if c not in rows.columns}}))
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts).fillna("")
     if "authority_id" not in union.columns:
         union = union.withColumn("authority_id", F.lit(""))
-    offices = frame.select("state", "office_name", F.col("authority_id").alias("__authority")).dropDuplicates(["state", "office_name"])
+    first = F.min_by("authority_id", "pos") if "pos" in frame.columns else F.min("authority_id")
+    offices = frame.groupBy("state", "office_name").agg(first.alias("__authority"))
     joined = union.join(offices, ["state", "office_name"], "left")
     found = joined.withColumn("authority_id", F.when(F.col("authority_id") == "", F.col("__authority")).otherwise(F.col("authority_id"))).drop("__authority")
     assert_empty(found.filter("authority_id is null").select("application_id").orderBy("application_id"), "assignment without office")
@@ -34,26 +45,42 @@ def combine_batches(batches: dict[str, DataFrame], sizes: dict[str, int], frame:
 
 
 def build_release(actual_files: DataFrame, manifest: DataFrame, frame: DataFrame, assignments: DataFrame, path: str) -> DataFrame:
-    """Verify sources, check what is public, write both tables, return their digests (table, rows, sha256) over rows in any order."""
+    """Verify sources, check what is public, write both tables; returns (table, rows, sha256) over their contents. files/ holds the SHA-256 of every file written."""
     from tessella.operators.sampling import table_digest
 
     assert_sources(actual_files, manifest)
-    public = check_public(public_assignments(assignments))
-    write_csv_text(frame, f"{path}/authorities")
-    write_csv_text(public, f"{path}/assignments")
-    rows = [("authorities", frame.count(), table_digest(frame, "authority_id")), ("assignments", public.count(), table_digest(public, "application_id"))]
-    sums = frame.sparkSession.createDataFrame(rows, "table string, rows long, sha256 string")
+    spark = frame.sparkSession
+    public, offices = public_assignments(assignments), frame.select([c for c in FRAME_COLUMNS if c in frame.columns])
+    tables = {"authorities": offices, "assignments": public}
+    for name, rows in tables.items():
+        write_csv_text(rows, f"{path}/{name}")
+    sums = spark.createDataFrame([(name, rows.count(), table_digest(rows)) for name, rows in tables.items()], "table string, rows long, sha256 string")
     write_csv_text(sums, f"{path}/checksums")
+    write_csv_text(reduce(lambda a, b: a.union(b), [relative_digests(spark, f"{path}/{name}", "*.csv").withColumn("path", F.concat(F.lit(f"{name}/"), "path")) for name in tables]), f"{path}/files")
     return sums
 
 
-def build_site(release: dict[str, DataFrame], instruments: DataFrame, path: str) -> None:
-    """JSON rows of the released tables, worklists by assistant, and the catalogue of instruments of released batches."""
-    for name, rows in release.items():
-        rows.write.json(f"{path}/{name}")
-    shown = instruments.join(release["assignments"].select("batch_id"), "batch_id", "left_semi")
-    shown.withColumn("name", F.element_at(F.split("path", "/"), -1)).write.json(f"{path}/instruments")
-    write_worklists(release["assignments"], f"{path}/worklists")
+def build_site(release: dict[str, DataFrame], instruments: DataFrame, path: str, root: str | None = None) -> None:
+    """JSON rows of the public tables, worklists by assistant, and the catalogue of instruments of released batches.
+
+    Private columns stay out whatever tables are given. With root, every instrument's file must be there.
+    """
+    spark = instruments.sparkSession
+    public = public_assignments(release["assignments"])
+    public.write.json(f"{path}/assignments")
+    write_csv_text(public, f"{path}/assignments_csv")
+    if "authorities" in release:
+        release["authorities"].select([c for c in FRAME_COLUMNS if c in release["authorities"].columns]).write.json(f"{path}/authorities")
+    shown = instruments.join(public.select("batch_id"), "batch_id", "left_semi")
+    if root is not None:
+        # The catalogue has a row for each batch and arm.
+        for row in shown.select("path").distinct().toLocalIterator():
+            if not exists(spark, f"{root}/{row['path']}"):
+                raise DataError(f"instrument without file: {row['path']}")
+    named = {"treatment", "template_version"} <= set(instruments.columns)
+    name = F.concat_ws(" ", "treatment", "template_version") if named else F.element_at(F.split("path", "/"), -1)
+    shown.withColumn("name", name).withColumn("path", F.concat(F.lit("batches/"), "path")).write.json(f"{path}/instruments")
+    write_worklists(public, f"{path}/worklists")
 
 
 def write_worklists(assignments: DataFrame, path: str) -> None:

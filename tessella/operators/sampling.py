@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass, field
 from itertools import product
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tessella.functions.text import application_id
 from tessella.operators.allocate import apportion, apportion_once, apportion_table
 from tessella.operators.keys import DataError, assert_empty, assert_key, next_sequence
+from tessella.sources.shared import written
 
 
 def draw_hash(seed: int, stage: str, key: Column | str) -> Column:
@@ -20,15 +22,29 @@ def draw_hash(seed: int, stage: str, key: Column | str) -> Column:
 
 def sample_rows(rows: DataFrame, n: int, seed: int, key: str, stage: str = "select") -> DataFrame:
     """Exactly n rows without replacement; fails where there are fewer."""
-    if rows.count() < n:
+    if n < 0 or rows.limit(n).count() < n:
         raise DataError("sample larger than the frame")
     return rows.orderBy(draw_hash(seed, stage, key), key).limit(n)
 
 
-def sample_per_group(rows: DataFrame, quotas: DataFrame, group: str, seed: int, key: str, stage: str = "select") -> DataFrame:
-    """Simple random samples within groups; quotas holds (group, allocated)."""
-    place = F.row_number().over(Window.partitionBy(group).orderBy(draw_hash(seed, stage, key), key))
-    return rows.withColumn("__place", place).join(quotas.select(group, "allocated"), group).filter("__place <= allocated").drop("__place", "allocated")
+MAP_SIDE_RANK = 1000  # Spark keeps the first rows of a group on the map side up to this number
+SALTS = 256
+
+
+def sample_per_group(rows: DataFrame, quotas: DataFrame, group: str | list[str], seed: int, key: str, stage: str = "select") -> DataFrame:
+    """Simple random samples within groups; quotas holds the group's columns and `allocated`.
+
+    No task ranks a whole group: with small quotas each map task passes on no more rows of a group than the largest quota (a constant bound on
+    row_number), with large ones each of SALTS parts of a group does.
+    """
+    by = [group] if isinstance(group, str) else group
+    most = quotas.agg(F.max("allocated")).first()[0] or 0
+    hashed = rows.withColumn("__hash", draw_hash(seed, stage, key))
+    if most >= MAP_SIDE_RANK:
+        part = Window.partitionBy(*by, F.pmod(F.xxhash64(key), F.lit(SALTS))).orderBy("__hash", key)
+        hashed = hashed.withColumn("__part", F.row_number().over(part)).filter(F.col("__part") <= most).drop("__part")
+    first = hashed.withColumn("__place", F.row_number().over(Window.partitionBy(*by).orderBy("__hash", key))).filter(F.col("__place") <= most)
+    return first.join(quotas.select(*by, "allocated"), by).filter("__place <= allocated").select(rows.columns)
 
 
 def stratum(blocks: list[str]) -> Column:
@@ -37,31 +53,33 @@ def stratum(blocks: list[str]) -> Column:
 
 
 def assign_treatments(rows: DataFrame, n_treated: int, blocks: list[str], seed: int, key: str) -> DataFrame:
-    """Exactly n_treated rows in the treated arm, apportioned over strata by their sizes."""
+    """Exactly n_treated rows in the treated arm, apportioned over strata by their sizes; more than there are rows fails. key is unique."""
     marked = rows.withColumn("randomization_stratum", stratum(blocks))
     sizes = marked.groupBy("randomization_stratum").agg(F.count("*").alias("__size"))
     quotas = apportion_once(sizes, n_treated, "randomization_stratum", "__size")
-    place = F.row_number().over(Window.partitionBy("randomization_stratum").orderBy(draw_hash(seed, "treat", key), key))
-    joined = marked.withColumn("__place", place).join(quotas.select("randomization_stratum", "allocated"), "randomization_stratum")
-    return joined.withColumn("treatment", F.when(F.col("__place") <= F.col("allocated"), "legal_salience").otherwise("plain")).drop("__place", "allocated")
+    treated = sample_per_group(marked.select("randomization_stratum", key), quotas, "randomization_stratum", seed, key, "treat")
+    joined = marked.join(treated.select(key, F.lit(True).alias("__treated")), key, "left")
+    return joined.withColumn("treatment", F.when(F.col("__treated"), "legal_salience").otherwise("plain")).drop("__treated")
 
 
 def assign_assistants(rows: DataFrame, assistants: list[str], seed: int, key: str) -> DataFrame:
     """Round robin with one cursor over all cells of arm and stratum, so that loads differ by at most one.
 
-    Places are counted within cells; the cells' starts are running sums over the small table of cells, so no window holds all rows.
+    Places are counted within sections of a cell's shuffle (by the first three digits of the hash); the sections' starts are running sums over
+    the small table of sections, so no window holds a whole cell.
     """
-    if not assistants or len(set(assistants)) != len(assistants):
+    if not assistants or len(set(assistants)) != len(assistants) or not all(assistants):
         raise DataError("assistants must be distinct and not empty")
-    cell = ["treatment", "randomization_stratum"]
-    sizes = rows.groupBy(*cell).agg(F.count("*").alias("__n"))
-    before = Window.orderBy(*cell).rowsBetween(Window.unboundedPreceding, -1)
+    section = ["treatment", "randomization_stratum", "__section"]
+    hashed = rows.withColumn("__hash", draw_hash(seed, "assist", key)).withColumn("__section", F.substring("__hash", 1, 3))
+    sizes = hashed.groupBy(*section).agg(F.count("*").alias("__n"))
+    before = Window.orderBy(*section).rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.withColumn("__start", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    place = F.row_number().over(Window.partitionBy(*cell).orderBy(draw_hash(seed, "assist", key), key))
+    place = F.row_number().over(Window.partitionBy(*section).orderBy("__hash", key))
     names = F.array(*map(F.lit, assistants))
-    dealt = rows.withColumn("__place", place).join(starts, cell)
+    dealt = hashed.withColumn("__place", place).join(starts, section)
     chosen = F.element_at(names, ((F.col("__start") + F.col("__place") - 1) % len(assistants)).cast("int") + 1)
-    return dealt.withColumn("assigned_ra", chosen).drop("__place", "__start")
+    return dealt.withColumn("assigned_ra", chosen).drop("__place", "__start", "__hash", "__section")
 
 
 @dataclass(frozen=True)
@@ -93,47 +111,89 @@ def select_offices(frame: DataFrame, design: Design, seed: int, key: str = "auth
 
 def _by_tiers(frame: DataFrame, design: Design, seed: int, key: str) -> DataFrame:
     spark, group, tier = frame.sparkSession, design.group, design.tier
+    if unknown := [t for t in design.certainty_tiers if t not in design.tier_quotas]:
+        raise DataError(f"certainty tier without quota: {unknown[0]}")
     quotas = spark.createDataFrame(list(design.tier_quotas.items()), f"{tier} string, __quota int")
-    assert_empty(frame.join(quotas, tier, "left_anti").select(tier), "tier without quota")
-    certain = [F.struct(F.lit(t).alias(tier), F.lit(q).alias("__quota")) for t, q in design.tier_quotas.items() if t in design.certainty_tiers]
-    cells = frame.groupBy(group, tier).agg(F.count("*").alias("__n"))
+    # One aggregate over the frame serves all checks; the quotas are a design's few tiers.
+    cells = written(frame.groupBy(group, tier).agg(F.count("*").alias("__n")).join(F.broadcast(quotas), tier, "left"), "tier-cells")
+    assert_empty(cells.filter("__quota is null").select(tier), "tier without quota")
+    certain = [t for t in design.tier_quotas if t in design.certainty_tiers]
+    full = F.array(*[F.struct(F.lit(t).alias("tier"), F.lit(design.tier_quotas[t]).cast("long").alias("n")) for t in certain])
+    held = cells.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct(F.col(tier), "__n"))).alias("held"))  # one entry a tier
     if certain:
-        wanted = frame.select(group).distinct().select(group, F.explode(F.array(*certain)).alias("__c")).select(group, f"__c.{tier}", "__c.__quota")
-        assert_empty(wanted.join(cells, [group, tier], "left").filter("coalesce(__n, 0) != __quota"), "certainty tier")
-    place = F.row_number().over(Window.partitionBy(group, tier).orderBy(draw_hash(seed, "select", key), key))
-    chosen = frame.withColumn("__place", place).join(F.broadcast(quotas), tier).filter("__place <= __quota").select(frame.columns)
-    more = design.n - chosen.count()
+        short = F.filter(full, lambda c: F.coalesce(F.element_at("held", c["tier"]), F.lit(0)) != c["n"])
+        assert_empty(held.select(group, F.explode(short).alias("expected")), "certainty tier")
+    allocated = cells.select(group, tier, F.least("__n", F.col("__quota").cast("long")).alias("allocated"))
+    more = design.n - (allocated.agg(F.sum("allocated")).first()[0] or 0)
     if more < 0:
         raise DataError("quotas exceed the target")
+    chosen = written(sample_per_group(frame, allocated, [group, tier], seed, key), "tier-chosen")
     if not more:
         return chosen
     pool = frame.filter(F.col(tier) == design.refill_tier).join(chosen.select(key), key, "left_anti").select(frame.columns)
-    return chosen.union(sample_rows(pool, more, seed, key, "refill"))
-
-
-def draw_batch(frame: DataFrame, issued: DataFrame, design: Design, seed: int, batch_id: str, n_treated: int, blocks: list[str], assistants: list[str], stamp: dict[str, str]) -> tuple[DataFrame, dict]:
-    """Assignments of a new batch and its provenance: select among offices not issued, treat, assign, number by state, stamp."""
-    free = frame.join(issued.select("authority_id"), "authority_id", "left_anti")
-    chosen = select_offices(free, design, seed)
-    treated = assign_treatments(chosen, n_treated, blocks, seed, "authority_id")
-    assigned = assign_assistants(treated, assistants, seed, "authority_id")
-    first = next_sequence(issued, assigned.select(F.col("state_code").alias("code")).distinct()).withColumnRenamed("code", "state_code")
-    by_state = Window.partitionBy("state_code").orderBy("state", design.group, "office_name", "authority_id")
-    numbered = assigned.withColumn("__k", F.row_number().over(by_state)).join(first, "state_code")
-    numbered = numbered.withColumn("application_id", application_id(F.col("state_code"), F.col("next_number") + F.col("__k") - 1)).drop("__k", "next_number")
-    for name, value in {"batch_id": batch_id, **stamp}.items():
+    refill = written(pool.orderBy(draw_hash(seed, "refill", key), key).limit(more), "tier-refill")
+    if refill.count() < more:
+        raise DataError("sample larger than the frame")
+    return chosen.union(refill)
+
+
+STAMPED = ("template_version", "language", "channel")
+
+
+def draw_batch(
+    frame: DataFrame, issued: DataFrame, design: Design, seed: int, batch_id: str, n_treated: int, blocks: list[str], assistants: list[str], stamp: dict[str, str], state_codes: list[str]
+) -> tuple[DataFrame, dict]:
+    """Assignments of a new batch and its provenance: select among the wanted states' offices not issued yet, treat, assign, number by state, stamp."""
+    assert_key(frame, "authority_id", "frame")
+    if not state_codes or seed is None or not batch_id:
+        raise DataError("a batch needs state codes, a seed and an id")
+    if missing := [c for c in STAMPED if not stamp.get(c)]:
+        raise DataError(f"a batch needs {missing[0]}")
+    free = frame.filter(F.col("state_code").isin(list(state_codes))).join(issued.select("authority_id"), "authority_id", "left_anti")
+    chosen = written(select_offices(free, design, seed), "batch-chosen")
+    assigned = written(assign_assistants(assign_treatments(chosen, n_treated, blocks, seed, "authority_id"), assistants, seed, "authority_id"), "batch")
+    counted = assigned.groupBy("state_code").agg(F.count("*").alias("__n"))
+    before = Window.orderBy("state_code").rowsBetween(Window.unboundedPreceding, -1)  # a row for each state
+    states = counted.select(F.col("state_code").alias("code"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    first = next_sequence(issued, states.select("code")).join(states, "code").withColumnRenamed("code", "state_code")
+    ranked = with_rank(assigned, ["state_code", design.group, "office_name", "authority_id"], "__rank")
+    number = F.col("next_number") + F.col("__rank") - F.col("__before")
+    numbered = ranked.join(first, "state_code").withColumn("application_id", application_id(F.col("state_code"), number)).drop("__rank", "__before", "next_number")
+    for name, value in {**stamp, "batch_id": batch_id}.items():
         numbered = numbered.withColumn(name, F.lit(value))
     assert_key(numbered, "application_id", "assignments")
-    meta = {"engine": "tessella-hash-v1", "seed": seed, "batch_id": batch_id, "n": design.n, "frame_sha256": table_digest(frame, "authority_id"), "issued_sha256": table_digest(issued, "application_id")}
+    meta = {
+        "engine": "tessella-hash-v1", "seed": seed, "batch_id": batch_id, "n": design.n, "state_codes": list(state_codes), "frame_sha256": table_digest(frame), "issued_sha256": table_digest(issued),
+    }
     return numbered, meta
 
 
-def table_digest(rows: DataFrame, key: str) -> str:
-    """A digest of a table's rows in any order: the sum of row hashes, hashed with the row count."""
+def with_rank(rows: DataFrame, order: list[str], name: str) -> DataFrame:
+    """rows with their place (from 0) in an order: ranges of rows are sorted apart, and a range's start is the count of those before it."""
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__id", F.monotonically_increasing_id())
+    placed = written(placed, "ranks")  # a recomputed range exchange could cut elsewhere
+    part, local = F.shiftright("__id", 33), F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__rows"))
+    starts = counts.select("__part", F.coalesce(F.sum("__rows").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__first"))
+    joined = placed.withColumn("__part", part).join(F.broadcast(starts), "__part")  # a row for each shuffle partition
+    return joined.withColumn(name, F.col("__first") + local).drop("__id", "__part", "__first")
+
+
+def table_digest(rows: DataFrame) -> str:
+    """SHA-256 of a table's content in any order of rows.
+
+    Every row is hashed over its name-sorted columns with nulls told from texts; equal rows are counted; the sorted row hashes are hashed in 4096 sections
+    by their first digits, and the sections' hashes together. One hash a section reaches the driver.
+    """
     columns = sorted(rows.columns)
-    h = F.xxhash64(*[F.col(c).cast("string") for c in columns]).cast("decimal(20,0)")
-    row = rows.select(h.alias("h")).agg(F.count("*").alias("n"), F.sum("h").cast("string").alias("s")).select(F.sha2(F.concat_ws("|", F.lit(",".join(columns)), "n", "s"), 256)).first()
-    return row[0]
+    values = F.array(*[F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("-")) for c in columns])
+    row = F.sha2(F.concat_ws("|", F.transform(values, lambda v: F.concat(F.octet_length(v).cast("string"), F.lit(":"), v))), 256)
+    counted = rows.select(row.alias("h")).groupBy("h").agg(F.count("*").alias("n"))
+    sections = counted.groupBy(F.substring("h", 1, 3).alias("s")).agg(F.sum("n").alias("rows"), F.sha2(F.concat_ws(",", F.array_sort(F.collect_list(F.concat_ws(":", "h", F.col("n").cast("string"))))), 256).alias("h"))
+    found = sorted(map(tuple, sections.collect()))
+    head = "|".join(f"{len(c)}:{c}" for c in columns)
+    return hashlib.sha256("\n".join([head, *(f"{s} {n} {h}" for s, n, h in found)]).encode()).hexdigest()
 
 
 def batch_margins(assignments: DataFrame, tier: str = "tier") -> DataFrame:
@@ -150,4 +210,4 @@ def contingency(rows: DataFrame, first: str, first_levels: list[str], second: st
     return cells.join(counted, [first, second], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
-__all__ = ["Design", "apportion", "assign_assistants", "assign_treatments", "batch_margins", "contingency", "draw_batch", "draw_hash", "sample_per_group", "sample_rows", "select_offices", "table_digest"]
+__all__ = ["Design", "apportion", "assign_assistants", "assign_treatments", "batch_margins", "contingency", "draw_batch", "draw_hash", "sample_per_group", "sample_rows", "select_offices", "table_digest", "with_rank"]

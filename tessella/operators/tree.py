@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.text import hash_text
-from tessella.operators.keys import DataError
+from tessella.operators.keys import DataError, assert_key, one_of_each
 from tessella.sources.readers import OFFICE_SCHEMA, office_rows
+from tessella.sources.shared import exists, get_text, put_text, written
 
 CRAWL_SCHEMA = "node_id string, parent_id string, office_name string, address string, depth int, path string, url string, is_leaf boolean, fetched boolean"
 
@@ -25,37 +28,48 @@ def node_id(parent_id: Column, name: Column, address: Column, path: Column, is_l
     return F.when(is_leaf, hash_text(F.concat_ws("|", parent_id, F.upper(name), F.upper(address)), 16, "sha1")).otherwise(hash_text(F.upper(path), 16, "sha1"))
 
 
-def closure(edges: DataFrame, root: str = "", separator: str = " > ", longest: int = 64) -> DataFrame:
-    """(node, depth, path) of everything below the root nodes of (node, parent, name): one join a level of the tree."""
-    level = edges.filter(F.coalesce("parent", F.lit("")) == root).select("node", F.lit(0).alias("depth"), F.col("name").alias("path"))
-    levels = [level]
-    for depth in range(1, longest):
-        above = levels[-1].select(F.col("node").alias("parent"), F.col("path").alias("__path"))
-        below = edges.join(above, "parent").select("node", F.lit(depth).alias("depth"), F.concat("__path", F.lit(separator), "name").alias("path"))
-        if not below.limit(1).count():
-            break
-        levels.append(below)
-    return reduce(lambda a, b: a.union(b), levels)
-
+def closure(edges: DataFrame, root: str = "", separator: str = " > ") -> DataFrame:
+    """(node, depth, path) of the tree of (node, parent, name): one join a level, each level written once, down to the last.
 
-def start_crawl(spark: SparkSession, url: str) -> DataFrame:
-    return spark.createDataFrame([("root", "", "", "", 0, "", url, False, False)], CRAWL_SCHEMA)
+    A node with two parents, and nodes that no root leads to (a cycle, or a missing parent), fail.
+    """
+    assert_key(edges, "node", "edges")
+    level = written(edges.filter(F.coalesce("parent", F.lit("")) == root).select("node", F.lit(0).alias("depth"), F.col("name").alias("path")), "level")
+    levels, total, size = [], 0, level.count()
+    while size:
+        levels.append(level)
+        total += size
+        above = level.select(F.col("node").alias("parent"), F.col("path").alias("__path"), "depth")
+        below = edges.join(above, "parent").select("node", (F.col("depth") + 1).alias("depth"), F.concat("__path", F.lit(separator), "name").alias("path"))
+        level = written(below, "level")
+        size = level.count()
+    if total != edges.count():
+        raise DataError(f"{edges.count() - total} nodes without a root above them")
+    return reduce(lambda a, b: a.union(b), levels or [level])
+
+
+def start_crawl(spark: SparkSession, url: str, name: str = "") -> DataFrame:
+    """The root: its id is the page's name in the url, without the ending, since ids of leaves contain their parent's."""
+    page = url.split("?")[0].rstrip("/").rpartition("/")[2]
+    return spark.createDataFrame([(page.partition(".")[0] or "root", "", name, "", 0, "", url, False, False)], CRAWL_SCHEMA)
 
 
 def crawl_step(nodes: DataFrame, pages: DataFrame) -> DataFrame:
-    """nodes after their pages (url, html) were read: children added once, read nodes marked. A page without a table or offices fails before anything changes."""
+    """nodes after their pages (url, html) were read: children added once, read nodes marked. A page without a table, offices or names fails before anything changes."""
     read = nodes.filter("not is_leaf and not fetched").join(pages, "url")
     checked = read.withColumn("__offices", _offices(F.col("html"), F.col("url")))
-    bad = checked.filter(~F.lower("html").contains("<table") | (F.size("__offices") == 0)).select("url").limit(1).collect()
+    nameless = F.exists("__offices", lambda o: o["office_name"] == "")
+    bad = checked.filter(~F.lower("html").contains("<table") | (F.size("__offices") == 0) | nameless).select("url").limit(1).collect()
     if bad:
         raise DataError(f"no office table at {bad[0][0]}")
-    children = checked.select("node_id", "path", "depth", F.explode("__offices").alias("o"))
+    children = checked.select("node_id", "path", "depth", F.posexplode("__offices").alias("__place", "o"))
     path = child_path(F.col("path"), F.col("o.office_name"))
     made = children.select(
         node_id(F.col("node_id"), F.col("o.office_name"), F.col("o.address"), path, F.col("o.is_leaf")).alias("node_id"), F.col("node_id").alias("parent_id"), F.col("o.office_name").alias("office_name"),
         F.col("o.address").alias("address"), (F.col("depth") + 1).alias("depth"), path.alias("path"), F.col("o.url").alias("url"), F.col("o.is_leaf").alias("is_leaf"), F.lit(False).alias("fetched"),
+        F.struct(F.col("node_id"), "__place").alias("__order"),
     )
-    new = made.dropDuplicates(["node_id"]).join(nodes.select("node_id"), "node_id", "left_anti")
+    new = one_of_each(made, ["node_id"], "__order").drop("__order").join(nodes.select("node_id"), "node_id", "left_anti")
     done = read.select("node_id").withColumn("__done", F.lit(True))
     marked = nodes.join(done, "node_id", "left").withColumn("fetched", F.col("fetched") | F.coalesce("__done", F.lit(False))).drop("__done")
     return marked.unionByName(new.select(marked.columns))
@@ -69,22 +83,47 @@ def _offices(html: Column, url: Column) -> Column:
     return parsed(html, url)
 
 
-def crawl(nodes: DataFrame, fetch: Callable[[str], str], save: Callable[[DataFrame], DataFrame], cache: dict[str, str] | None = None, levels: int = 64) -> DataFrame:
-    """Read level after level of unread inner nodes; save() stores a state and returns it read back, so a crawl resumes after the last level.
+class PageCache:
+    """Pages kept in a folder of any file system, one file for each url, so that a crawl goes on after the last page fetched."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def _file(self, url: str) -> str:
+        return f"{self.root}/{hashlib.sha256(url.encode()).hexdigest()[:32]}.html"
+
+    def __contains__(self, url: str) -> bool:
+        return exists(self.spark, self._file(url))
+
+    def __getitem__(self, url: str) -> str:
+        return get_text(self.spark, self._file(url))
+
+    def __setitem__(self, url: str, page: str) -> None:
+        put_text(self.spark, self._file(url), page)
+
+
+def crawl(nodes: DataFrame, fetch: Callable[[str], str], save: Callable[[DataFrame], DataFrame], cache: dict[str, str] | PageCache | None = None, levels: int | None = None, pause: float = 0.0) -> DataFrame:
+    """Read level after level of unread inner nodes until none is left (or `levels` of them); save() stores a state and returns it read back.
 
-    Pages are fetched by the driver, once each; a level's urls are its queue.
+    Pages are fetched by the driver, once each, `pause` seconds apart, and kept before the next is asked for; a page without a table of named offices fails and is not kept.
     """
     spark, cache = nodes.sparkSession, {} if cache is None else cache
-    for _ in range(levels):
-        queue = [r["url"] for r in nodes.filter("not is_leaf and not fetched").select("url").distinct().toLocalIterator()]
+    while levels is None or levels > 0:
+        levels = levels if levels is None else levels - 1
+        queue = [r["url"] for r in nodes.filter("not is_leaf and not fetched").select("url").distinct().orderBy("url").toLocalIterator()]
         if not queue:
             break
         for url in queue:
-            if url not in cache:
-                page = fetch(url)
-                if "<table" not in page.lower() or not office_rows(page, url):
-                    raise DataError(f"no office table at {url}")
-                cache[url] = page
-        pages = spark.createDataFrame([(u, cache[u]) for u in queue], "url string, html string")
-        nodes = save(crawl_step(nodes, pages))
+            if url in cache:
+                continue
+            page = fetch(url)
+            offices = office_rows(page, url)
+            if "<table" not in page.lower() or not offices or not all(o["office_name"] for o in offices):
+                raise DataError(f"no office table at {url}")
+            cache[url] = page
+            time.sleep(pause)
+        # Some hundred pages at a time pass through the driver.
+        for at in range(0, len(queue), 200):
+            pages = spark.createDataFrame([(u, cache[u]) for u in queue[at : at + 200]], "url string, html string")
+            nodes = save(crawl_step(nodes, pages))
     return nodes

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions import text as tx
 from tessella.operators import allocate, analytics, browse, frames, intake, keys, letters, privacy, release, sampling, tree
-from tessella.sources import readers
+from tessella.sources import readers, shared
 from tessella.streaming import intake_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,11 +149,11 @@ def semi_batches(spark, sf_dir):
 
 
 @query(
-    "with i as (select 'N' || c_nationkey as code, c_custkey as k from customer where c_custkey % 3 != 0) select 'N' || n_nationkey as code, coalesce(max(k), 0) + 1 as next_number, printf('%s-%03d', 'N' || n_nationkey, coalesce(max(k), 0) + 1) as next_id "
+    "with i as (select 'N' || c_nationkey as code, c_custkey as k from customer) select 'N' || n_nationkey as code, coalesce(max(k), 0) + 1 as next_number, printf('%s-%03d', 'N' || n_nationkey, coalesce(max(k), 0) + 1) as next_id "
     "from nation left join i on code = 'N' || n_nationkey group by n_nationkey"
 )
 def next_sequence_ids(spark, sf_dir):
-    c = table(spark, sf_dir, "customer").filter("c_custkey % 3 != 0")
+    c = table(spark, sf_dir, "customer")
     issued = c.select(tx.application_id(F.concat(F.lit("N"), F.col("c_nationkey").cast("string")), F.col("c_custkey")).alias("application_id"))
     codes = table(spark, sf_dir, "nation").select(F.concat(F.lit("N"), F.col("n_nationkey").cast("string")).alias("code"))
     return keys.next_sequence(issued, codes).withColumn("next_id", tx.application_id(F.col("code"), F.col("next_number")))
@@ -273,6 +274,30 @@ def batch_margins(spark, sf_dir):
     return sampling.batch_margins(_drawn(spark, sf_dir), "c_mktsegment")
 
 
+BATCH_SQL = (
+    "with issued as (select c_custkey as k, c_nationkey as s from customer where c_acctbal < 0), free as (select c_custkey, c_name, c_nationkey, c_mktsegment, 'O-' || c_custkey as authority_id from customer where c_nationkey < 10 and c_acctbal >= 0), "
+    + ONCE.format(g="c_mktsegment", t="free", n=40) + ", picked as (select c_custkey, c_name, c_nationkey, c_mktsegment, authority_id from (select *, row_number() over (partition by c_mktsegment order by " + _hash_sql("select", "authority_id")
+    + ", authority_id) as k from free) join a on g = c_mktsegment where k <= allocated), s2 as (select c_mktsegment as g2, count(*) as w2 from picked group by 1), q2 as (select *, w2 / sum(w2) over ()::double * 12 as quota2 from s2), "
+    "r2 as (select *, 12 - sum(floor(quota2)) over () as rest2, row_number() over (order by quota2 - floor(quota2) desc, g2) as k2 from q2), a2 as (select g2, floor(quota2) + case when k2 <= rest2 then 1 else 0 end as n2 from r2), "
+    "treated as (select picked.*, case when row_number() over (partition by c_mktsegment order by " + _hash_sql("treat", "authority_id") + ", authority_id) <= n2 then 'legal_salience' else 'plain' end as treatment from picked join a2 on g2 = c_mktsegment), "
+    "assigned as (select *, 'RA' || ((row_number() over (order by treatment, c_mktsegment, " + _hash_sql("assist", "authority_id") + ", authority_id) - 1) % 4 + 1) as assigned_ra from treated), m as (select s, max(k) as last from issued group by 1) "
+    "select printf('N%d-%03d', c_nationkey, coalesce(last, 0) + row_number() over (partition by c_nationkey order by c_mktsegment, c_name, authority_id)) as application_id, authority_id, c_mktsegment as dept_group, treatment, assigned_ra, 'b1' as batch_id, 'en' as language "
+    "from assigned left join m on s = c_nationkey"
+)
+
+
+@query(BATCH_SQL)
+def draw_batch(spark, sf_dir):
+    """A batch of ten states' offices that are not issued: drawn, treated, assigned, numbered after the issued ones, stamped."""
+    c = table(spark, sf_dir, "customer")
+    state, office = (F.concat(F.lit(p), F.col(k).cast("string")) for p, k in (("N", "c_nationkey"), ("O-", "c_custkey")))
+    frame = c.select(office.alias("authority_id"), state.alias("state_code"), F.col("c_mktsegment").alias("dept_group"), F.col("c_name").alias("office_name"), "c_acctbal", "c_custkey")
+    issued = frame.filter("c_acctbal < 0").select(tx.application_id(F.col("state_code"), F.col("c_custkey")).alias("application_id"), "authority_id")
+    stamp = {"template_version": "v1", "language": "en", "channel": "post"}
+    rows, _ = sampling.draw_batch(frame.drop("c_acctbal", "c_custkey"), issued, sampling.Design(40), SEED, "b1", 12, ["dept_group"], ASSISTANTS, stamp, [f"N{k}" for k in range(10)])
+    return rows.select("application_id", "authority_id", "dept_group", "treatment", "assigned_ra", "batch_id", "language")
+
+
 @query("with b as (select distinct p_brand from part), t as (select distinct p_type from part union select 'UNSEEN') select p_brand, p_type, count(p_partkey) as n from b cross join t left join part using (p_brand, p_type) group by 1, 2")
 def contingency_with_zeros(spark, sf_dir):
     p = table(spark, sf_dir, "part")
@@ -372,6 +397,32 @@ def sync_added(spark, sf_dir):
     return intake.sync_intake(state, c).applications
 
 
+@query("select c_custkey::varchar as application_id, c_name, " + ", ".join(f"'' as {c}" for c in intake.OUTCOME_COLUMNS if c != "notes") + ", c_mktsegment as notes from customer")
+def intake_start(spark, sf_dir):
+    """A new intake's applications: outcome columns are blank, those at hand stay."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("application_id"), "c_name", F.col("c_mktsegment").alias("notes"))
+    return intake.new_intake(c).applications
+
+
+@query(
+    "with s as (select o_orderkey, o_custkey, strftime(o_orderdate, '%Y-%m-%d') as d, o_orderstatus = 'F' as filed from orders), l as (select o_custkey, max(o_orderkey) as m from s group by 1) "
+    "select c_custkey::varchar as application_id, case when m is null then '' when filed then 'filed' else 'not_filed' end as filing_outcome, case when filed then d else '' end as filing_date, case when m is null or filed then '' else 'portal_down' end as not_filed_reason, "
+    "case when filed then strftime(d::date + case when c_nationkey < 5 then 30 else 45 end, '%Y-%m-%d') else '' end as due_date from customer left join l on o_custkey = c_custkey left join s on s.o_orderkey = m"
+)
+def filing_intake(spark, sf_dir):
+    """Orders as a filing form put through the intake: the last of each application counts, with the response period of its state."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("application_id"), F.concat(F.lit("S"), F.col("c_nationkey").cast("string")).alias("state"))
+    filed = F.col("o_orderstatus") == "F"
+    rows = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("pos"), F.col("o_orderkey").cast("string").alias("timestamp"), F.col("o_custkey").cast("string").alias("application_id"), F.when(filed, "Yes").otherwise("Could not file").alias("filing_outcome"),
+        F.when(filed, "").otherwise("Portal - down").alias("not_filed_reason"), F.date_format("o_orderdate", "yyyy-MM-dd").alias("filing_date"), F.lit("").alias("payment_mode"),
+    )
+    words = {"filing_outcome": intake.choice_map(["filed", "not_filed"], {"Could not file": "not_filed"}, {"yes": "filed"}), "not_filed_reason": intake.choice_map(["portal_down"], {}), "payment_mode": intake.choice_map(["online"], {})}
+    rules = spark.createDataFrame([*((f"S{k}", 30) for k in range(5)), ("_default", 45)], "state string, statutory_days int")
+    done = intake.apply_form(intake.new_intake(c), rows, "filing", rules, words)
+    return done.applications.select("application_id", "filing_outcome", "filing_date", "not_filed_reason", "due_date")
+
+
 # --- release, letters, privacy -------------------------------------------------------------------------------------------------------------------
 
 
@@ -415,7 +466,7 @@ def public_projection(spark, sf_dir):
     return privacy.public_assignments(_register(spark, sf_dir).withColumn("notes", F.lit("private")))
 
 
-CONTACT_SQL = r"regexp_matches(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}') or regexp_matches(coalesce(text, ''), '(^|[^0-9A-Za-z.])(?:[6-9][0-9]{9}|0[0-9]{10})([^0-9A-Za-z]|$)')"
+CONTACT_SQL = f"regexp_matches(coalesce(text, ''), '{tx.EMAIL}') or regexp_matches(coalesce(text, ''), '{tx.PHONE}')"
 
 
 @query(f"select doc_id, {CONTACT_SQL} as has_contact from documents")
@@ -425,7 +476,7 @@ def contact_scan(spark, sf_dir):
 
 @query(
     f"with f as (select case doc_id % 3 when 0 then 'renv/' else 'docs/' end || doc_id || '.txt' as path, text, doc_id from documents where doc_id % 7 != 0) select path, 'contact details' as reason from f where path not like 'renv/%' and ({CONTACT_SQL}) "
-    "union all select path, 'registration number' from f where path not like 'renv/%' and regexp_matches(coalesce(text, ''), 'TGRTI/APP/|/R/20[0-9]{2}/[0-9]{4,}')"
+    f"union all select path, 'registration number' from f where path not like 'renv/%' and regexp_matches(coalesce(text, ''), '{tx.REGISTRATION}')"
 )
 def private_findings(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
@@ -445,13 +496,37 @@ def checksum_rows(spark, sf_dir):
 
 @query()
 def source_digests(spark, sf_dir):
-    """SHA-256 of the small dimension files, compared with a manifest that misses one and has one wrong."""
-    found = readers.file_digests(spark, sf_dir, "{region,nation}.parquet").withColumn("path", F.element_at(F.split("path", "/"), -1))
+    """SHA-256 of all table files, compared with a manifest that has one wrong and names one that is missing."""
+    found = readers.relative_digests(spark, sf_dir, "*.parquet")
     wrong = F.when(F.col("path") == "nation.parquet", F.lit("0")).otherwise(F.col("sha256"))
     gone = spark.createDataFrame([("gone.parquet", "0")], "path string, sha256 string")
     return readers.verify_manifest(found, found.withColumn("sha256", wrong).union(gone))
 
 
+@query(
+    "with a as (select 'N' || c_nationkey || '-' || c_custkey as application_id, 'N' || c_nationkey as state_code, c_name, c_mktsegment, 'b' || (c_custkey % 2) as batch_id from customer), f as (select c_name, min('O' || c_custkey) as authority_id from customer group by 1) "
+    "select application_id, state_code, authority_id, c_mktsegment as dept_group, batch_id, 'batch' as randomization_stratum from a join f using (c_name)"
+)
+def catalogued_assignments(spark, sf_dir):
+    """Two batches joined over the frame: checked, filled, offices looked up by state and name."""
+    c = table(spark, sf_dir, "customer")
+    state, key = F.concat(F.lit("N"), F.col("c_nationkey").cast("string")), F.col("c_custkey").cast("string")
+    frame = c.select(F.concat(F.lit("O"), key).alias("authority_id"), state.alias("state"), F.col("c_name").alias("office_name"))
+    rows = c.select(F.concat_ws("-", state, key).alias("application_id"), state.alias("state"), F.col("c_name").alias("office_name"), F.col("c_mktsegment").alias("tree_department"), F.concat(F.lit("b"), (F.col("c_custkey") % 2).cast("string")).alias("batch_id"))
+    parts = {b: rows.filter(F.col("batch_id") == b) for b in ("b0", "b1")}
+    sizes = {r["batch_id"]: r["n"] for r in rows.groupBy("batch_id").agg(F.count("*").alias("n")).collect()}  # two batches
+    return release.combine_batches(parts, sizes, frame).select("application_id", "state_code", "authority_id", "dept_group", "batch_id", "randomization_stratum")
+
+
+@query("select c_custkey::varchar as c_custkey, c_name, coalesce(nullif(c_mktsegment, 'BUILDING'), '') as c_mktsegment from customer")
+def csv_round_trip(spark, sf_dir):
+    """A table written as text CSV and read back: nulls are blanks, everything is text."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("c_mktsegment"))
+    place = f"{shared.shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    readers.write_csv_text(c, place)
+    return readers.read_csv_text(spark, place, c.columns)
+
+
 # --- HTML, JSON, trees, browsing -----------------------------------------------------------------------------------------------------------------
 
 
@@ -468,12 +543,12 @@ def html_select_options(spark, sf_dir):
 
 
 def _portal_pages(spark, sf_dir) -> DataFrame:
-    """A portal page for each nation: its suppliers as offices, every third with sub-offices."""
+    """Portal pages of at most 200 offices: suppliers by nation and range of keys, every third with sub-offices."""
     s = table(spark, sf_dir, "supplier").withColumn("row", F.concat(
         F.lit("<tr><td>"), F.col("s_suppkey").cast("string"), F.lit('</td><td><div class="text-primary">'), "s_name", F.lit("</div><div>Hall "), F.col("s_nationkey").cast("string"), F.lit("</div></td><td>"),
         F.when(F.col("s_suppkey") % 3 == 0, F.concat(F.lit('<a href="/show_sub_office/'), F.col("s_suppkey").cast("string"), F.lit('">more</a>'))).otherwise(""), F.lit("</td></tr>"),
     ))
-    pages = s.groupBy("s_nationkey").agg(F.concat_ws("", F.collect_list("row")).alias("rows"))
+    pages = s.groupBy("s_nationkey", F.floor(F.col("s_suppkey") / 200)).agg(F.concat_ws("", F.collect_list("row")).alias("rows"))
     return pages.select(F.col("s_nationkey").alias("nation"), F.lit("https://portal.example.org/list").alias("url"), F.concat(F.lit("<table><tr><th>No</th><th>Office</th></tr>"), "rows", F.lit("</table>")).alias("html"))
 
 
@@ -482,6 +557,31 @@ def html_office_rows(spark, sf_dir):
     return readers.parse_office_pages(_portal_pages(spark, sf_dir)).select("nation", "office_name", "address", "office_url", "is_leaf")
 
 
+@query("select 'Office ' || s_name as office_name from supplier union select 'Hall ' || s_nationkey from supplier")
+def json_page_names(spark, sf_dir):
+    """Names of JSON pages that hold raw control characters."""
+    s = table(spark, sf_dir, "supplier")
+    page = F.concat(F.lit('["Office\t'), "s_name", F.lit('", " Hall \n'), F.col("s_nationkey").cast("string"), F.lit('"]'))
+    return readers.json_names(s.select(page.alias("json")))
+
+
+@query("select distinct s_name || ' of ' || s_nationkey as office_name from supplier")
+def html_portal_rows(spark, sf_dir):
+    """Second cells of the rows of portal tables, one of them around an inner table."""
+    s = table(spark, sf_dir, "supplier")
+    row = F.concat(F.lit("<tr><td>1</td><td> "), "s_name", F.lit("  <table><tr><td>of "), F.col("s_nationkey").cast("string"), F.lit("</td></tr></table></td></tr>"))
+    return readers.portal_rows(s.select(F.concat(F.lit("<table><tr><th>No</th><th>Name</th></tr>"), row, F.lit("</table>")).alias("html")))
+
+
+@query(
+    r"select page_id, md5(regexp_replace(trim(regexp_replace(regexp_replace(regexp_replace(html, '(?s)<(script|style)[^>]*>.*?</(script|style)>', ' ', 'g'), '<[^>]*>', ' ', 'g'), '[ \t\n\r]+', ' ', 'g')), ' +', ' ', 'g')) as text_md5 from pages"
+)
+def html_text(spark, sf_dir):
+    """All readable text of pages without its markup, as a digest."""
+    bare = F.regexp_replace(F.regexp_replace("html", r"(?s)<(script|style)[^>]*>.*?</(script|style)>", " "), "<[^>]*>", " ")
+    return table(spark, sf_dir, "pages").select("page_id", F.md5(F.trim(F.regexp_replace(bare, r"[ \t\n\r]+", " ")).cast("binary")).alias("text_md5"))
+
+
 @query("select event_id, (props->>'k')::bigint as k from events")
 def json_props_extract(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k bigint")["k"].alias("k"))
@@ -551,10 +651,25 @@ def flat_frame_lookup(spark, sf_dir):
 
 
 @query(
-    "with c as (select p_brand, count(*) as n from part where p_size % 5 = 0 group by 1) select case when n < 5 then 'OTHER' else p_brand end as dept_group, sum(n)::bigint as n from c group by 1"
+    "with k as (select s_suppkey, lower('Karnataka|' || s_name || '|d' || s_nationkey || '|') as key, s_name, s_nationkey from supplier) select 'KA' as state_code, substr(sha256(key), 1, 12) as authority_id, s_name as office_name, 'd' || s_nationkey as district, '' as node_id from k "
+    "union all select 'TN', 'TN-' || p_partkey, p_name, case when p_size % 7 = 0 then '' else 'd' || p_size end, p_partkey::varchar from part"
+)
+def state_frames(spark, sf_dir):
+    """The frame of two states: one from a portal list, one from a categorised tree whose offices keep their nodes' identifiers."""
+    s, p = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "part")
+    listed = s.select(F.col("s_name").alias("office_name"), F.lit("KA").alias("state_code"), F.lit("Karnataka").alias("state"), F.concat(F.lit("d"), F.col("s_nationkey").cast("string")).alias("district"), F.col("s_suppkey").alias("pos"))
+    nodes = p.select(F.col("p_name").alias("office_name"), F.col("p_partkey").alias("node_id"), F.col("p_type").alias("tier"), F.col("p_brand").alias("tree_department"), F.col("p_partkey").alias("pos"))
+    place = F.when(F.col("p_size") % 7 == 0, "n/a").otherwise(F.concat(F.lit("d"), F.col("p_size").cast("string")))
+    places = p.select(F.concat(F.lit(" "), F.upper("p_name")).alias("office_name"), place.alias("district"), F.lit("-").alias("block"), F.col("p_partkey").alias("pos"))
+    found = frames.build_frames({"KA": listed, "TN": frames.categorized_frame(nodes, places, "TN", "Tamil Nadu", "portal")})
+    return found.select("state_code", "authority_id", "office_name", "district", "node_id")
+
+
+@query(
+    "with c as (select p_brand || ' ' || p_size as g, count(*) as n from part group by 1) select case when n < 5 then 'OTHER' else g end as dept_group, sum(n)::bigint as n from c group by 1"
 )
 def pooled_groups(spark, sf_dir):
-    p = table(spark, sf_dir, "part").filter("p_size % 5 = 0").select("p_partkey", F.col("p_brand").alias("dept_group"))
+    p = table(spark, sf_dir, "part").select("p_partkey", F.concat_ws(" ", "p_brand", F.col("p_size").cast("string")).alias("dept_group"))
     return frames.pool_small_groups(p, "dept_group").groupBy("dept_group").agg(F.count("*").alias("n"))
 
 
@@ -575,6 +690,31 @@ def days_to_event(spark, sf_dir):
     return analytics.days_to_event(e.groupBy("user_id").agg(F.min("ts").alias("start")), e, "user_id", "start", "event_type", "ts", ["click", "purchase"])
 
 
+@query(
+    "with d as (select o_orderkey, date_diff('day', o_orderdate::date, min(l_shipdate)::date) as days from orders left join lineitem on l_orderkey = o_orderkey group by o_orderkey, o_orderdate) "
+    "select o_orderkey, days, coalesce(days <= 30, false) as answered, coalesce(least(days, 90), 90)::bigint as follow_up from d"
+)
+def response_flags(spark, sf_dir):
+    """Whether an order's first line followed within 30 days, and its delay cut off at 90."""
+    first = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.min("l_shipdate").alias("shipped"))
+    o = table(spark, sf_dir, "orders").join(first, "o_orderkey", "left")
+    delays = o.select("o_orderkey", long(F.date_diff(F.to_date("shipped"), F.to_date("o_orderdate"))).alias("days"))
+    return analytics.answered_within(delays, "days", 30, 90).withColumn("follow_up", long("follow_up"))
+
+
+@query(
+    "with o as (select o_custkey, count(*) filter (where o_orderstatus = 'F') as f, count(*) filter (where o_orderstatus = 'P') as p, count(*) filter (where o_orderpriority = '1-URGENT') as u from orders group by 1) "
+    "select c_custkey, case when f > 4 then 'format_a_application_level' when p > 0 then 'format_b_monthly' when u > 0 then 'format_c_period_totals' when c_acctbal > 0 then 'narrative_only' else 'none' end as data_granularity from customer left join o on o_custkey = c_custkey"
+)
+def data_granularity(spark, sf_dir):
+    """What each customer's orders would be coded as, were they a response."""
+    n = lambda test: F.count_if(F.expr(test))
+    o = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(n("o_orderstatus = 'F'").alias("f"), n("o_orderstatus = 'P'").alias("p"), n("o_orderpriority = '1-URGENT'").alias("u"))
+    c = table(spark, sf_dir, "customer").join(o, "c_custkey", "left")
+    text = F.when(F.col("c_acctbal") > 0, F.col("c_name")).otherwise(" ")
+    return c.select("c_custkey", analytics.granularity(F.col("f") - 4, F.col("p"), F.col("u"), text).alias("data_granularity"))
+
+
 KM_SQL = (
     "with s as (select user_id, date_diff('day', min(ts)::date, max(ts)::date) as last_day, date_diff('day', min(ts)::date, (min(ts) filter (where event_type = 'purchase'))::date) as d from events group by 1), r as (select coalesce(d, last_day) as time, d is not null as ev from s), "
     "t as (select time, count(*) as l, count(*) filter (where ev) as events from r group by 1), k as (select time, sum(l) over (order by time desc)::bigint as at_risk, events from t), e as (select * from k where events > 0) "
@@ -619,10 +759,10 @@ def appeal_subsample(spark, sf_dir):
     return analytics.appeal_subsample(table(spark, sf_dir, "customer"), "c_custkey", SEED).select("c_custkey")
 
 
-@query("select doc_id, length(regexp_replace(coalesce(text, ''), '[^ ]', '', 'g')) + 1 - length(regexp_replace(coalesce(text, ''), '[^ ]', '', 'g')) as one, len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D ]+')) as n_words, len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D ]+')) <= 150 as fits from documents")
+@query("select doc_id, len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D ]+')) as n_words, len(regexp_extract_all(coalesce(text, ''), '[^\\x09-\\x0D ]+')) <= 150 as fits from documents")
 def portal_word_limit(spark, sf_dir):
     n = letters.word_count("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.lit(1).cast("long").alias("one"), F.coalesce(n, F.lit(0)).alias("n_words"), (F.coalesce(n, F.lit(0)) <= 150).alias("fits"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.coalesce(n, F.lit(0)).alias("n_words"), (F.coalesce(n, F.lit(0)) <= 150).alias("fits"))
 
 
 @query("with a as (select c_nationkey as k, avg(c_acctbal) as v from customer group by 1), b as (select s_nationkey as k, avg(s_acctbal) as v from supplier group by 1) select k, round(a.v, 6) as reported, round(b.v, 6) as measured, round(a.v - b.v, 6) as difference from a join b using (k)")
@@ -643,14 +783,10 @@ def arrivals_per_day(spark, sf_dir):
 @query()
 def ledger_stream(spark, sf_dir):
     """Events as a stream of submissions through the ledger: the first of each id."""
-    import tempfile
-    import uuid
-
     events = table(spark, sf_dir, "events")
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tessella-")
-    place = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    place = f"{shared.shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/events.parque[t]")
     rows = stream.select(F.date_format("ts", "yyyy-MM-dd").alias("timestamp"), F.concat(F.lit("U-"), F.col("user_id").cast("string")).alias("application_id"))
     rows = intake_stream.ledger_stream(rows.withColumn("source_row_id", intake.source_row_id("update")))
-    intake_stream.run_available(rows, lambda df, n: df.write.mode("append").parquet(f"{place}/out"), f"{place}/checkpoint")
-    return spark.read.schema("timestamp string, application_id string, source_row_id string").parquet(f"{place}/out")
+    intake_stream.run_available(rows, intake_stream.to_folder(f"{place}/out"), f"{place}/checkpoint")
+    return spark.read.schema("timestamp string, application_id string, source_row_id string, batch int").parquet(f"{place}/out").drop("batch")

@@ -3,19 +3,18 @@
 from __future__ import annotations
 
 import html.parser
-import json
 import os
 import re
-from collections.abc import Iterator
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessella.functions.text import match_key, normalize_text
+from tessella.functions.text import OPTION, SELECT, match_key, normalize_text
 from tessella.operators.keys import DataError, assert_empty
+from tessella.sources.shared import children, put_text, qualified
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -40,6 +39,12 @@ def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"))
 
 
+def relative_digests(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
+    """file_digests with paths relative to root."""
+    base = qualified(spark, root).rstrip("/")
+    return file_digests(spark, root, glob).withColumn("path", F.expr(f"substring(path, {len(base) + 2})"))
+
+
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """The manifest of sources: a CSV with at least path and sha256."""
     rows = read_csv_text(spark, path)
@@ -73,22 +78,31 @@ def assert_sources(actual: DataFrame, manifest: DataFrame) -> None:
     assert_empty(verify_manifest(actual, manifest).orderBy("path"), "source differs from its manifest")
 
 
-def read_json_names(spark: SparkSession, path: str, glob: str = "page_*.json") -> DataFrame:
+PAGE_NAME = r"^page_[0-9]+\.json$"
+
+
+def read_json_names(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct squeezed names of the JSON pages of a folder (files page_<number>.json); a folder without pages fails."""
+    pages = spark.read.option("pathGlobFilter", "page_*.json").text(path, wholetext=True).filter(F.col("_metadata.file_name").rlike(PAGE_NAME))
+    if pages.limit(1).count() == 0:
+        raise DataError(f"no pages in {path}")
+    return json_names(pages.select(F.col("value").alias("json")))
+
+
+def json_names(pages: DataFrame, page: str = "json") -> DataFrame:
     """Distinct squeezed names of JSON pages (arrays of strings); raw control characters, which JSON forbids, count as spaces."""
-    pages = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
-    repaired = F.regexp_replace("value", r"\p{Cntrl}", " ")
+    repaired = F.regexp_replace(page, r"\p{Cntrl}", " ")
     names = pages.select(F.explode(F.from_json(repaired, "array<string>")).alias("name"))
     return names.select(normalize_text("name").alias("office_name")).distinct()
 
 
 def select_options(page: Column, name: str = "MinistryId") -> Column:
     """array<struct<value, label>> of the options of a page's named select; entities stay as they are. Null without the select."""
-    inside = F.regexp_extract(page, rf"(?is)<select[^>]*(?:name|id)=\"{name}\"[^>]*>(.*?)</select>", 1)
-    option = r"(?s)<option[^>]*value=\"([^\"]*)\"[^>]*>(.*?)</option>"
-    values, labels = (F.regexp_extract_all(inside, F.lit(option), F.lit(k)) for k in (1, 2))
+    inside = F.regexp_extract(page, SELECT.replace("{name}", name), 1)
+    values, labels = (F.regexp_extract_all(inside, F.lit(OPTION), F.lit(k)) for k in (1, 2))
     pairs = F.zip_with(values, labels, lambda v, t: F.struct(normalize_text(v).alias("value"), normalize_text(F.regexp_replace(t, "<[^>]+>", " ")).alias("label")))
     found = F.filter(pairs, lambda o: (o["value"] != "") & (o["label"] != "") & ~o["label"].contains("--Select--"))
-    return F.when(page.rlike(rf"(?is)<select[^>]*(?:name|id)=\"{name}\""), found)
+    return F.when(page.rlike(SELECT.replace("{name}", name)), found)
 
 
 def portal_options(pages: DataFrame, page: str = "html") -> DataFrame:
@@ -96,8 +110,8 @@ def portal_options(pages: DataFrame, page: str = "html") -> DataFrame:
     found = pages.withColumn("__o", select_options(F.col(page)))
     assert_empty(found.filter("__o is null").select(F.lit(page).alias("page")), "select not found")
     options = found.select(F.explode("__o").alias("o")).select(F.col("o.label").alias("office_name"), F.col("o.value").alias("portal_value_id"))
-    first = F.row_number().over(Window.partitionBy(match_key("office_name")).orderBy("office_name", "portal_value_id"))
-    return options.withColumn("__n", first).filter("__n = 1").drop("__n")
+    first = options.groupBy(match_key("office_name").alias("key")).agg(F.min(F.struct("office_name", "portal_value_id")).alias("o"))
+    return first.select("o.office_name", "o.portal_value_id")
 
 
 def portal_rows(pages: DataFrame, page: str = "html") -> DataFrame:
@@ -110,51 +124,82 @@ def portal_rows(pages: DataFrame, page: str = "html") -> DataFrame:
     return pages.select(F.explode(cells(F.col(page))).alias("office_name")).filter("office_name != ''").distinct()
 
 
+class _Cell:
+    """One cell: kind, text, text of the primary block, text of the block after it, links."""
+
+    def __init__(self, kind: str):
+        self.kind, self.text, self.links = kind, "", []
+        self.parts: dict[str, str] = {}
+        self.block, self.depth = "", 0  # the block whose text is read, and the open div elements in it
+
+    def open_div(self, classes: list[str]) -> None:
+        if self.block:
+            self.depth += 1
+            return
+        name = "primary" if "primary" not in self.parts and "text-primary" in classes else "address" if "primary" in self.parts and "address" not in self.parts else ""
+        if name:
+            self.parts[name] = ""
+            self.block, self.depth = name, 1
+
+    def close_div(self) -> None:
+        if self.block:
+            self.depth -= 1
+            if not self.depth:
+                self.block = ""
+
+    def add(self, text: str) -> None:
+        self.text += text
+        if self.block:
+            self.parts[self.block] += text
+
+
 class _Rows(html.parser.HTMLParser):
-    """Table rows as lists of cells: kind, text, text of the primary block, text of the block after it, links."""
+    """Table rows as lists of cells, in order of their start. Tables may stand in cells: what an inner table holds counts for the outer cell as well."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows: list[list[dict]] = []
-        self.cell: dict | None = None
-        self.block, self.depth = "", 0  # the block whose text is read, and the open div elements in it
+        self.rows: list[list[_Cell]] = []
+        self.tables: list[list] = [[None, None]]  # open tables: the open row and cell of each
+
+    def _cells(self) -> list[_Cell]:
+        return [cell for _, cell in self.tables if cell is not None]
 
     def handle_starttag(self, tag, attrs):
         given = dict(attrs)
-        if tag == "tr":
-            self.rows.append([])
-            self.cell = None
-        elif tag in ("td", "th") and self.rows:
-            self.cell = {"kind": tag, "text": "", "primary": None, "address": None, "links": []}
-            self.rows[-1].append(self.cell)
-            self.block, self.depth = "", 0
-        elif tag == "div" and self.cell is not None:
-            if self.block:
-                self.depth += 1
-            else:
-                name = "primary" if self.cell["primary"] is None and "text-primary" in (given.get("class") or "").split() else "address" if self.cell["primary"] is not None and self.cell["address"] is None else ""
-                if name:
-                    self.cell[name] = ""
-                    self.block, self.depth = name, 1
-        elif tag == "a" and self.cell is not None and given.get("href"):
-            self.cell["links"].append(given["href"])
+        table = self.tables[-1]
+        if tag == "table":
+            self.tables.append([None, None])
+        elif tag == "tr":
+            table[:] = [[], None]
+            self.rows.append(table[0])
+        elif tag in ("td", "th") and table[0] is not None:
+            table[1] = _Cell(tag)
+            table[0].append(table[1])
+        elif tag == "div":
+            for cell in self._cells():
+                cell.open_div((given.get("class") or "").split())
+        elif tag == "a" and given.get("href"):
+            for cell in self._cells():
+                cell.links.append(given["href"])
 
     def handle_endtag(self, tag):
-        if tag == "div" and self.block:
-            self.depth -= 1
-            if not self.depth:
-                self.block = ""
+        table = self.tables[-1]
+        if tag == "table" and len(self.tables) > 1:
+            self.tables.pop()
+        elif tag == "tr":
+            table[:] = [None, None]
         elif tag in ("td", "th"):
-            self.cell, self.block, self.depth = None, "", 0
+            table[1] = None
+        elif tag == "div":
+            for cell in self._cells():
+                cell.close_div()
 
     def handle_data(self, data):
-        if self.cell is not None:
-            self.cell["text"] += data
-            if self.block:
-                self.cell[self.block] += data
+        for cell in self._cells():
+            cell.add(data)
 
 
-def table_rows(page: str | None) -> list[list[dict]]:
+def table_rows(page: str | None) -> list[list[_Cell]]:
     """Rows of a page's tables."""
     parser = _Rows()
     parser.feed(page or "")
@@ -164,20 +209,20 @@ def table_rows(page: str | None) -> list[list[dict]]:
 
 def second_cells(page: str | None) -> list[str]:
     """Second cells of rows with two cells or more, the heading row left out."""
-    return [" ".join(r[1]["text"].split()) for r in [r for r in table_rows(page) if len(r) > 1][1:]]
+    return [" ".join(r[1].text.split()) for r in [r for r in table_rows(page) if len(r) > 1][1:]]
 
 
 def office_rows(page: str | None, page_url: str) -> list[dict]:
     """Offices of a portal page: rows of three cells or more whose first is a number. A row whose last cell links to sub-offices is no leaf."""
     out = []
     for row in table_rows(page):
-        cells = [c for c in row if c["kind"] == "td"]
-        if len(cells) < 3 or not re.fullmatch("[0-9]+", " ".join(cells[0]["text"].split())):
+        cells = [c for c in row if c.kind == "td"]
+        if len(cells) < 3 or not re.fullmatch("[0-9]+", " ".join(cells[0].text.split())):
             continue
         office = cells[1]
-        name = office["text"] if office["primary"] is None else office["primary"]
-        link = next((h for h in cells[-1]["links"] if "show_sub_office" in h), None)
-        out.append({"office_name": " ".join(name.split()), "address": " ".join((office["address"] or "").split()), "url": urljoin(page_url, link) if link else "", "is_leaf": link is None})
+        name, address = office.parts.get("primary", office.text), office.parts.get("address", "")
+        link = next((h for h in cells[-1].links if "show_sub_office" in h), None)
+        out.append({"office_name": " ".join(name.split()), "address": " ".join(address.split()), "url": urljoin(page_url, link) if link else "", "is_leaf": link is None})
     return out
 
 
@@ -217,45 +262,29 @@ def read_yaml(path: str) -> dict:
 
 
 class VersionedState:
-    """Tables as versions of Parquet folders with a pointer file that is replaced in one step; one writer at a time."""
+    """Tables as versions of Parquet folders, in any file system; a version counts once its mark is there, and the latest one is the state.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root
+    The mark is made in one step and never replaced: of two writers of one version the second fails.
+    """
 
-    def _pointer(self) -> str:
-        return os.path.join(self.root, "current.json")
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
 
     def version(self) -> int:
-        try:
-            with open(self._pointer()) as file:
-                return json.load(file)["version"]
-        except FileNotFoundError:
-            return 0
+        """The latest complete version, 0 without any."""
+        found = [int(n[5:-5]) for n in children(self.spark, self.root) if re.fullmatch("done=[0-9]+[.]mark", n)]
+        return max(found, default=0)
 
     def save(self, tables: dict[str, DataFrame]) -> int:
-        """Write every table of the next version, then move the pointer."""
+        """Write every table of the next version, then its mark."""
         version = self.version() + 1
         for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(os.path.join(self.root, f"v={version}", name))
-        partial = self._pointer() + ".new"
-        with open(partial, "w") as file:
-            json.dump({"version": version, "tables": sorted(tables)}, file)
-        os.replace(partial, self._pointer())
+            rows.write.mode("overwrite").parquet(f"{self.root}/v={version}/{name}")
+        put_text(self.spark, f"{self.root}/done={version}.mark", " ".join(sorted(tables)), overwrite=False)
         return version
 
     def load(self) -> dict[str, DataFrame]:
-        with open(self._pointer()) as file:
-            found = json.load(file)
-        return {t: self.spark.read.parquet(os.path.join(self.root, f"v={found['version']}", t)) for t in found["tables"]}
-
-
-def write_text_files(rows: DataFrame, folder: str, name: str, text: str, root: str) -> None:
-    """One file root/<folder>/<name> for each row, written by the tasks that hold them."""
-
-    def put(part: Iterator) -> None:
-        for row in part:
-            os.makedirs(os.path.join(root, row[folder]), exist_ok=True)
-            with open(os.path.join(root, row[folder], row[name]), "w", encoding="utf-8") as file:
-                file.write(row[text])
-
-    rows.select(folder, name, text).foreachPartition(put)
+        version = self.version()
+        if not version:
+            raise DataError(f"no state in {self.root}")
+        return {t: self.spark.read.parquet(f"{self.root}/v={version}/{t}") for t in children(self.spark, f"{self.root}/v={version}")}

@@ -5,16 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tessella.operators.intake import Intake, apply_form
+from tessella.operators.sampling import with_rank
+from tessella.sources.readers import VersionedState
+from tessella.sources.shared import written
+
 CONFLICTS = "source_row_id string, first_payload string, payload string"
 
 
-def ledger_stream(submissions: DataFrame) -> DataFrame:
-    """The first submission of every source_row_id; duplicates are dropped across batches by state."""
-    return submissions.dropDuplicates(["source_row_id"])
+def ledger_stream(submissions: DataFrame, at: str | None = None, late: str = "30 days") -> DataFrame:
+    """The first submission of every source_row_id; duplicates are dropped across batches by state.
+
+    With an event-time column `at`, ids are forgotten after `late`, which bounds the state; without it all ids are remembered.
+    """
+    if at is None:
+        return submissions.dropDuplicates(["source_row_id"])
+    return submissions.withWatermark(at, late).dropDuplicatesWithinWatermark(["source_row_id"])
+
+
+def intake_batches(spark: SparkSession, root: str, form: str, rules: DataFrame, vocabulary: dict[str, dict[str, str]], outbound: list[str] = ()) -> Callable[[DataFrame, int], None]:
+    """For run_available: every batch of read form rows goes through apply_form into the next version of the state in root.
+
+    A batch that is played again, whole or in part, finds its submissions in the ledger and changes nothing; a batch that fails leaves the state as it was.
+    Rows without pos are numbered in the order of timestamp and application_id.
+    """
+    store = VersionedState(spark, root)
+
+    def apply(rows: DataFrame, batch: int) -> None:
+        if "pos" not in rows.columns:
+            rows = with_rank(rows, ["timestamp", "application_id", *[c for c in rows.columns if c not in ("timestamp", "application_id")]], "pos")
+        else:
+            rows = written(rows, "intake-batch")
+        now = Intake(**store.load())
+        done = apply_form(now, rows, form, rules, vocabulary, outbound)
+        store.save({"applications": done.applications, "events": done.events, "submissions": done.submissions})
+
+    return apply
+
+
+def to_folder(path: str) -> Callable[[DataFrame, int], None]:
+    """For run_available: a folder for each batch, overwritten when the batch is played again."""
+    return lambda rows, batch: rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
 def conflict_stream(submissions: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import hashlib
 import json
 import os
 
@@ -5,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessella.functions import text as tx
-from tessella.operators import frames, intake, keys, letters, privacy, release, sampling, tree
+from tessella.operators import allocate, frames, intake, keys, letters, privacy, release, sampling, tree
 from tessella.operators.allocate import apportion, apportion_table
 from tessella.operators.keys import DataError
 from tessella.sources import readers
@@ -24,20 +25,36 @@ def test_apportion_values():
     assert list(apportion({"a": 9, "b": 1}, 5, {"a": 3, "b": 2}).values()) == [3, 2]
     assert list(apportion({"a": 1, "b": 1, "c": 1}, 2).values()) == [1, 1, 0]
     assert sum(apportion({"a": 5, "b": 8}, 10, minimum={"a": 4, "b": 4}).values()) == 10
-    with pytest.raises(DataError, match="Infeasible"):
+    with pytest.raises(DataError, match="cannot be met"):
         apportion({"a": 1}, 2)
     with pytest.raises(DataError, match="positive weight"):
         apportion({"a": 0}, 1, {"a": 2})
 
 
 @pytest.mark.parametrize("total", [0, 1, 7, 20, 33])
-def test_apportion_table_equals_driver_form(spark, total):
+def test_apportion_table_equals_driver_form(spark, monkeypatch, total):
     groups = {"a": (9, 5, 1), "b": (1, 4, 0), "c": (30, 12, 2), "d": (0, 3, 0), "e": (7, 12, 3), "f": (7, 3, 1)}
     low, high = sum(g[2] for g in groups.values()), sum(g[1] for k, g in groups.items() if k != "d")
     total = max(low, min(total, high))
     rows = spark.createDataFrame([(k, *v) for k, v in groups.items()], "g string, w long, cap long, lo long")
-    got = {r["g"]: r["allocated"] for r in apportion_table(rows, total, "g", "w", "cap", "lo").collect()}
-    assert got == apportion({k: v[0] for k, v in groups.items()}, total, {k: v[1] for k, v in groups.items()}, {k: v[2] for k, v in groups.items()})
+    expected = apportion({k: v[0] for k, v in groups.items()}, total, {k: v[1] for k, v in groups.items()}, {k: v[2] for k, v in groups.items()})
+    assert {r["g"]: r["allocated"] for r in apportion_table(rows, total, "g", "w", "cap", "lo").collect()} == expected
+    monkeypatch.setattr(allocate, "DRIVER_GROUPS", 3)  # the rounds of a table too large for the driver
+    assert {r["g"]: r["allocated"] for r in apportion_table(rows, total, "g", "w", "cap", "lo").collect()} == expected
+
+
+@pytest.mark.parametrize("few", [1, 10_000])
+def test_infeasible_totals_fail(spark, monkeypatch, few):
+    monkeypatch.setattr(allocate, "DRIVER_GROUPS", few)
+    rows = spark.createDataFrame([("a", 1), ("b", 1)], "g string, w long")
+    for total, why in ((5, "cannot be met"), (-1, "")):
+        with pytest.raises(DataError, match=why):
+            allocate.apportion_once(rows, total, "g", "w")
+    with pytest.raises(DataError, match="duplicate key"):
+        allocate.apportion_once(rows.union(rows), 2, "g", "w")
+    ten = spark.createDataFrame([(i, "s") for i in range(10)], "k int, b string")
+    with pytest.raises(DataError):
+        sampling.assign_treatments(ten, 15, ["b"], 1, "k")
 
 
 # --- sampling
@@ -50,13 +67,38 @@ def office_frame(spark, n=100):
 def test_draw_batch(spark):
     frame = office_frame(spark)
     issued = spark.createDataFrame([("KA-180", "office-001")], "application_id string, authority_id string")
-    draw = lambda f: sampling.draw_batch(f, issued, sampling.Design(40), 7, "b1", 12, ["dept_group"], ["w", "x", "y", "z"], {"channel": "post"})[0]
+    stamp = {"template_version": "v1", "language": "en", "channel": "post"}
+    more = {"stamp": stamp, "state_codes": ["KA"]}
+    draw = lambda f, **k: sampling.draw_batch(f, issued, sampling.Design(40), 7, "b1", 12, ["dept_group"], ["w", "x", "y", "z"], **{**more, **k})[0]
     rows = draw(frame).collect()
     assert len(rows) == 40 and sum(r["treatment"] == "legal_salience" for r in rows) == 12
     assert {sum(r["assigned_ra"] == a for r in rows) for a in "wxyz"} == {10}
     assert min(r["application_id"] for r in rows) == "KA-181" and "office-001" not in {r["authority_id"] for r in rows}
     again = draw(frame.orderBy(F.desc("authority_id")).repartition(3)).collect()
     assert {(r["application_id"], r["authority_id"], r["treatment"], r["assigned_ra"]) for r in rows} == {(r["application_id"], r["authority_id"], r["treatment"], r["assigned_ra"]) for r in again}
+    both = frame.union(frame.withColumns({"authority_id": F.concat(F.lit("t"), "authority_id"), "state_code": F.lit("TN")}))
+    assert {r["authority_id"] for r in draw(both).collect()} == {r["authority_id"] for r in rows}  # other states' offices are out
+    assert {r["application_id"][:2] for r in draw(both, state_codes=["KA", "TN"]).collect()} == {"KA", "TN"}
+    for bad in ({"state_codes": []}, {"stamp": {"channel": "post"}}, {"stamp": {**stamp, "language": ""}}):
+        with pytest.raises(DataError, match="needs"):
+            draw(frame, **bad)
+    with pytest.raises(DataError, match="duplicate key"):
+        draw(frame.union(frame))
+
+
+def test_samples_by_large_quotas_are_the_same(spark, monkeypatch):
+    rows = office_frame(spark)
+    quotas = spark.createDataFrame([("A", 7), ("B", 3)], "dept_group string, allocated long")
+    pick = lambda: {r["authority_id"] for r in sampling.sample_per_group(rows, quotas, "dept_group", 5, "authority_id").collect()}
+    small = pick()
+    monkeypatch.setattr(sampling, "MAP_SIDE_RANK", 1)
+    assert pick() == small and len(small) == 10
+
+
+def test_table_digests(spark):
+    d = lambda *rows: sampling.table_digest(spark.createDataFrame(list(rows), "a string, b string"))
+    assert d(("x", None), ("y", "z")) == d(("y", "z"), ("x", None)) and len(d()) == 64
+    assert len({d(("x", None)), d((None, "x")), d(("x", "")), d(("x", None), ("x", None)), d(("=x", "-")), d()}) == 6
 
 
 def test_tier_quotas(spark):
@@ -67,6 +109,10 @@ def test_tier_quotas(spark):
     assert len(got) == 12 and got.count("Department") == 2 and got.count("Sub Office") == 8
     with pytest.raises(DataError, match="certainty tier"):
         sampling.select_offices(frame.filter("tier = 'Sub Office'"), design, 3)
+    with pytest.raises(DataError, match="certainty tier"):
+        sampling.select_offices(frame, sampling.Design(12, "department_tier_quotas", tier_quotas={"Head of Department": 1, "Sub Office": 2}), 3)
+    with pytest.raises(DataError, match="larger"):
+        sampling.select_offices(frame, sampling.Design(99, "department_tier_quotas", tier_quotas=design.tier_quotas), 3)
     with pytest.raises(DataError, match="strategy"):
         sampling.select_offices(frame, sampling.Design(1, "other"), 3)
     with pytest.raises(DataError):
@@ -129,6 +175,10 @@ def test_frames(spark):
     cats = spark.createDataFrame([("an office", 7, "T1", "D", 1), ("An Office", 9, "T2", 'Dep"t', 2)], "office_name string, node_id int, tier string, tree_department string, pos int")
     found = frames.categorized_frame(cats, places, "TN", "Tamil Nadu", "p")
     assert found.columns == frames.FRAME_COLUMNS
+    built = frames.build_frames({"TN": found, "KA": flat.withColumn("pos", F.monotonically_increasing_id())}, {"TN": found})
+    assert {"TN-7", "TN-9"} <= {r["authority_id"] for r in built.collect()} and built.count() == 6
+    elsewhere = legacy.withColumn("state", F.lit("Kerala"))
+    assert {r["district"] for r in frames.flat_frame(names, elsewhere, "TG", "Telangana", "p").collect()} == {""}
     assert [(r["authority_id"], r["tier"], r["district"], r["block"], r["dept_group"]) for r in found.orderBy("authority_id").collect()] == [("TN-7", "T1", "", "x", "D"), ("TN-9", "T2", "d", "", "Dep't")]
     with pytest.raises(DataError, match="one to one"):
         frames.categorized_frame(cats, places.limit(1), "TN", "Tamil Nadu", "p")
@@ -172,12 +222,27 @@ def test_filing_last_wins_and_replay(spark):
         intake.apply_form(done, filing(spark, ("TN-001", "two", "Filed", "", "2026-01-02", "R1", "Online")), "filing", rules(spark), VOCABULARY)
 
 
-@pytest.mark.parametrize("row", [("TN-999", "x", "filed", "", "2026-01-01", "", ""), ("TN-001", "x", "filed", "", "2026-01-01", "", "unknown option"), ("TN-001", "", "filed", "", "2026-01-01", "", ""), ("TN-001", "x", "", "", "", "", ""), ("TN-001", "x", "filed", "", "2026-02-30", "", ""), ("TN-001", "x", "no", "", "", "", "")])
+@pytest.mark.parametrize("row", [("TN-999", "x", "filed", "", "2026-01-01", "", ""), ("TN-001", "x", "filed", "", "2026-01-01", "", "unknown option"), ("TN-001", "", "filed", "", "2026-01-01", "", ""), ("TN-001", "x", "", "", "", "", ""), ("TN-001", "x", "filed", "", "2026-02-30", "", ""), ("TN-001", "x", "no", "", "", "", ""), ("TN-001", "x", "no", "???", "", "", ""), ("TN-001", "x", "filed", "", "2026-01-01", "", "-")])
 def test_bad_filings_fail(spark, row):
     with pytest.raises(DataError):
         intake.apply_form(intake_state(spark), filing(spark, row), "filing", rules(spark), VOCABULARY)
 
 
+def test_states_without_response_period_fail(spark):
+    row = filing(spark, ("TN-002", "x", "filed", "", "2026-01-01", "", ""))
+    with pytest.raises(DataError, match="response period"):
+        intake.apply_form(intake_state(spark), row, "filing", rules(spark).filter("state = 'TN'"), VOCABULARY)
+    unfiled = filing(spark, ("TN-002", "x", "no", "portal down", "", "", ""))
+    assert intake.apply_form(intake_state(spark), unfiled, "filing", rules(spark).filter("state = 'TN'"), VOCABULARY).submissions.count() == 1
+
+
+def test_aliases_come_before_the_field_name(spark):
+    raw = spark.createDataFrame([("own", "alias", "x")], "medium string, `How sent` string, other string")
+    assert intake.read_form(raw, {"medium": ["How sent"]}).first()["medium"] == "alias"
+    with pytest.raises(DataError, match="ambiguous"):
+        intake.read_form(raw.withColumn("OTHER!", F.lit("")), {"medium": ["How sent"]})
+
+
 def test_updates_and_sync(spark):
     raw = spark.createDataFrame([("a", " tn-001 ", "Response received", "2026-01-05", "Email", 0), ("b", "TN-001", "acknowledgment", "", "", 1)], "Timestamp string, `Application ID` string, `What happened` string, Date string, Medium string, pos long")
     rows = intake.read_form(raw, {"timestamp": [], "application_id": ["Application ID"], "event_type": ["What happened"], "event_date": ["Date"], "medium": [], "notes": []})
@@ -231,9 +296,24 @@ def test_release_and_worklists(spark, tmp_path):
     assert release.build_release(found, found, frame, rows, str(tmp_path / "out")).count() == 2
     with pytest.raises(DataError, match="manifest"):
         release.build_release(found, found.withColumn("sha256", F.lit("0")), frame, rows, str(tmp_path / "out2"))
-    released = {"assignments": privacy.public_assignments(rows), "authorities": frame}
-    release.build_site(released, spark.createDataFrame([("b1", "x/y.txt"), ("b2", "z.txt")], "batch_id string, path string"), str(tmp_path / "site"))
-    assert spark.read.json(str(tmp_path / "site" / "instruments")).collect()[0]["name"] == "y.txt"
+    assert {r["state_code"] for r in rows.collect()} == {"A"} and {r["batch_id"] for r in rows.collect()} == {"b1"}
+    with pytest.raises(DataError, match="catalogue"):
+        release.combine_batches({"b1": batch.withColumn("batch_id", F.lit("b2"))}, {"b1": 2}, frame)
+    doubled = frame.withColumn("pos", F.lit(2)).union(spark.createDataFrame([("o0", "S", "Office 1", 1)], "authority_id string, state string, office_name string, pos int"))
+    assert {r["authority_id"] for r in release.combine_batches({"b1": batch}, {"b1": 2}, doubled).collect()} == {"o0", "o2"}
+    sums = readers.read_csv_text(spark, str(tmp_path / "out" / "files"))
+    assert sums.count() >= 2 and all(hashlib.sha256((tmp_path / "out" / r["path"]).read_bytes()).hexdigest() == r["sha256"] for r in sums.collect())
+    instruments = spark.createDataFrame([("b1", "x/y.txt"), ("b2", "z.txt")], "batch_id string, path string")
+    (tmp_path / "given" / "x").mkdir(parents=True)
+    with pytest.raises(DataError, match="without file"):
+        release.build_site({"assignments": rows, "authorities": frame}, instruments, str(tmp_path / "site0"), str(tmp_path / "given"))
+    (tmp_path / "given" / "x" / "y.txt").write_text("letter")
+    release.build_site({"assignments": rows, "authorities": frame}, instruments, str(tmp_path / "site"), str(tmp_path / "given"))
+    assert [tuple(r) for r in spark.read.json(str(tmp_path / "site" / "instruments")).select("name", "path").collect()] == [("y.txt", "batches/x/y.txt")]
+    assert "pio_name" not in spark.read.json(str(tmp_path / "site" / "assignments")).columns
+    for secret in (release.write_worklists, lambda a, p: release.build_site({"assignments": a}, instruments, p)):
+        with pytest.raises(DataError, match="contact"):
+            secret(rows.withColumn("district", F.lit("Call 9800000123")), str(tmp_path / "secret"))
     header = spark.read.option("header", True).csv(str(tmp_path / "site" / "worklists")).columns
     assert "pio_name" not in header
     with pytest.raises(DataError, match="unsafe"):
@@ -247,8 +327,11 @@ def test_letters(spark, tmp_path):
     a = register(spark).withColumn("office_name", F.lit("O"))
     done = letters.render_letters(a, "To {office_name}. {treatment_paragraph}{filer_name}", "Law. ", {"filer_name": "Me"})
     assert {r["letter"] for r in done.collect()} == {"To O. Me", "To O. Law. Me"}
-    letters.write_letters(done, str(tmp_path))
+    letters.write_letters(done, str(tmp_path / "table"))
+    assert letters.export_letters(spark, str(tmp_path / "table"), str(tmp_path)) == 2
     assert (tmp_path / "x" / "A-2.txt").read_text() == "To O. Law. Me"
+    batch = letters.render_letters(a, "{authority}, {period_start} to {period_end}: {fee}.{legal_salience}", " Law.", {}, {"period_start": "1 May", "period_end": "9 May", "fee": 10})
+    assert {r["letter"] for r in batch.collect()} == {"O, 1 May to 9 May: 10.", "O, 1 May to 9 May: 10. Law."}
     with pytest.raises(DataError, match="missing"):
         letters.render_letters(a, "{nobody}", "", {})
     with pytest.raises(DataError, match="missing"):
@@ -262,9 +345,9 @@ def test_privacy(spark):
         privacy.check_public(rows)
     with pytest.raises(DataError, match="contact"):
         privacy.check_public(register(spark).withColumn("assigned_ra", F.lit("me@x.org")))
-    files = spark.createDataFrame([("a.csv", "application_id,filed_by\nA,Someone", "1"), ("b.csv", "application_id,filed_by\nA,", "2"), ("c.txt", "see /R/2026/12345", "3"), ("renv/d.txt", "a@b.org", "4"), ("private/e", "", "5"), ("k.txt", "a@b.org", "6"), ("l.bin", "a@b.org", "7")], "path string, text string, sha256 string")
+    files = spark.createDataFrame([("a.csv", "application_id,filed_by\nA,Someone", "1"), ("b.csv", "application_id,filed_by\nA,", "2"), ("c.txt", "see /R/2026/12345", "3"), ("renv/d.txt", "a@b.org", "4"), ("private/e", "", "5"), ("k.txt", "a@b.org", "6"), ("l.bin", "a@b.org", "7"), ("m.csv", 'office_name,filed_by\n"A,,B",Someone', "8"), ("n.csv", 'office_name,filed_by\n"A, B",', "9"), ("o.csv", 'office_name,filed_by\n"A\nB","C\n"', "10")], "path string, text string, sha256 string")
     known = files.filter("path = 'k.txt'").select("path", "sha256")
-    assert {tuple(r) for r in privacy.private_findings(files, known).collect()} == {("a.csv", "populated private column"), ("c.txt", "registration number"), ("private/e", "private path")}
+    assert {tuple(r) for r in privacy.private_findings(files, known).collect()} == {("a.csv", "populated private column"), ("m.csv", "populated private column"), ("o.csv", "populated private column"), ("c.txt", "registration number"), ("private/e", "private path")}
 
 
 # --- sources, crawl, streaming
@@ -280,7 +363,10 @@ def test_csv_and_json(spark, tmp_path):
     pages.mkdir()
     (pages / "page_1.json").write_text('["A \n B", "C"]')
     (pages / "page_2.json").write_text(json.dumps(["C ", "D"]))
+    (pages / "page_x.json").write_text('["E"]')
     assert {r[0] for r in readers.read_json_names(spark, str(pages)).collect()} == {"A B", "C", "D"}
+    with pytest.raises(DataError, match="no pages"):
+        readers.read_json_names(spark, str(tmp_path / "out"))
     options = '<select id="MinistryId"><option value="0">--Select--</option><option value="2">b &amp; c</option><option value="1">B &amp; C</option><option value="">x</option></select>'
     assert [tuple(r) for r in readers.portal_options(spark.createDataFrame([(options,)], "html string")).collect()] == [("B &amp; C", "1")]
     with pytest.raises(DataError, match="select"):
@@ -293,7 +379,7 @@ PAGE = '<table><tr><th>No</th><th>Office</th></tr><tr><td>1</td><td><div class="
 LEAF = "<table><tr><td>1</td><td>Sub</td><td></td></tr></table>"
 
 
-def test_crawl_resumes(spark):
+def test_crawl_resumes(spark, tmp_path):
     offices = readers.office_rows(PAGE, "https://x.org/a")
     assert offices == [{"office_name": "Head", "address": "Hall", "url": "https://x.org/show_sub_office/1", "is_leaf": False}, {"office_name": "Leaf", "address": "", "url": "", "is_leaf": True}]
     seen = []
@@ -303,19 +389,67 @@ def test_crawl_resumes(spark):
         return LEAF if "sub" in url else PAGE
 
     keep = lambda d: spark.createDataFrame(d.collect(), tree.CRAWL_SCHEMA)
-    cache: dict = {}
+    cache = tree.PageCache(spark, str(tmp_path / "pages"))
     first = tree.crawl(tree.start_crawl(spark, "https://x.org/a"), fetch, keep, cache, levels=1)
     done = tree.crawl(first, fetch, keep, cache)
     assert len(seen) == 2 and tree.crawl(done, fetch, keep, cache).count() == 4 and len(seen) == 2
     assert {r["path"] for r in done.collect()} == {"", "Head", "Leaf", "Head > Sub"}
-    with pytest.raises(DataError, match="table"):
-        tree.crawl(tree.start_crawl(spark, "https://x.org/b"), lambda u: "<table>login</table>", keep)
+    for login in ("<table>login</table>", "<table><tr><td>1</td><td> </td><td></td></tr></table>"):
+        with pytest.raises(DataError, match="table"):
+            tree.crawl(tree.start_crawl(spark, "https://x.org/b"), lambda u: login, keep, cache)
+        assert "https://x.org/b" not in cache
+
+    def failing(url):
+        if "sub" in url:
+            raise OSError(url)
+        return PAGE
+
+    again = tree.PageCache(spark, str(tmp_path / "other"))
+    with pytest.raises(OSError):
+        tree.crawl(tree.start_crawl(spark, "https://x.org/a"), failing, keep, again)
+    assert tree.crawl(tree.start_crawl(spark, "https://x.org/a"), lambda u: LEAF, keep, again).count() == 4  # the first page is kept
+    assert tree.start_crawl(spark, "https://x.org/displayPa.php?a=1", "ROOT").first()["node_id"] == "displayPa"
+
+
+def test_offices_of_nested_tables():
+    inner = "<table><tr><td>x</td><td>y</td></tr></table>"
+    page = f'<table><tr><td>1</td><td><div class="text-primary">Head</div><div>Hall{inner}</div></td><td>{inner}</td></tr><tr><td>2</td><td>Leaf{inner}</td><td></td></tr></table>'
+    assert [(o["office_name"], o["address"]) for o in readers.office_rows(page, "https://x.org/")] == [("Head", "Hallxy"), ("Leafxy", "")]
+
+
+def test_closure_runs_to_the_last_level(spark):
+    chain = spark.createDataFrame([(f"n{k}", f"n{k - 1}" if k else "", str(k)) for k in range(6)], "node string, parent string, name string")
+    assert {r["depth"] for r in tree.closure(chain).collect()} == set(range(6))
+    with pytest.raises(DataError, match="without a root"):
+        tree.closure(chain.union(spark.createDataFrame([("a", "b", ""), ("b", "a", "")], chain.schema)))
+    with pytest.raises(DataError, match="duplicate key"):
+        tree.closure(chain.union(spark.createDataFrame([("n5", "n1", "")], chain.schema)))
+    assert tree.closure(chain.limit(0)).count() == 0
 
 
 def test_state_versions(spark, tmp_path):
     state = readers.VersionedState(spark, str(tmp_path))
     assert state.save({"t": spark.range(3)}) == 1 and state.save({"t": spark.range(5)}) == 2
     assert state.load()["t"].count() == 5 and os.path.exists(tmp_path / "v=1")
+    spark.range(9).write.parquet(str(tmp_path / "v=3" / "t"))  # a writer that died
+    assert state.version() == 2 and state.save({"t": spark.range(4)}) == 3 and state.load()["t"].count() == 4
+
+
+def test_stream_of_forms_and_a_batch_played_again(spark, tmp_path):
+    fields = "application_id string, timestamp string, event_type string, event_date string, medium string"
+    root = str(tmp_path / "state")
+    readers.VersionedState(spark, root).save(vars(intake_state(spark)))
+    for k, rows in enumerate(([("TN-001", "a", "acknowledgment", "2026-01-05", "email"), ("TN-002", "b", "response received", "", "")], [("TN-001", "c", "response received", "2026-02-01", "")])):
+        spark.createDataFrame(rows, fields).coalesce(1).write.parquet(str(tmp_path / "in" / str(k)))
+    stream = spark.readStream.schema(fields).option("recursiveFileLookup", True).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    apply = intake_stream.intake_batches(spark, root, "update", rules(spark), VOCABULARY)
+    for checkpoint in ("c1", "c2"):  # the second run plays all batches again
+        intake_stream.run_available(stream, apply, str(tmp_path / checkpoint))
+        now = readers.VersionedState(spark, root).load()
+        assert sorted((r["event_id"], r["application_id"]) for r in now["events"].collect())[0][0] == "1" and now["events"].count() == now["submissions"].count() == 3
+    out = intake_stream.to_folder(str(tmp_path / "out"))
+    out(spark.range(3), 7), out(spark.range(3), 7)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
 def test_streaming_ledger_and_conflicts(spark, tmp_path):
