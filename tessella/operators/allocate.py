@@ -8,11 +8,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Row, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.operators.keys import DataError, assert_empty, key_violations
+from tessella.sources.shared import local_table, written
 
 DRIVER_GROUPS = 10_000
 
@@ -65,12 +66,10 @@ def apportion_table(groups: DataFrame, total: int, group: str, weight: str, cap:
     column = lambda c: {r[group]: r[c] for r in few}
     given = apportion(column(weight), total, column(cap), column(floor) if floor else None)
     schema = T.StructType([*groups.schema.fields, T.StructField("allocated", T.LongType())])
-    return groups.sparkSession.createDataFrame([Row(*r, given[r[group]]) for r in few], schema)
+    return local_table(groups.sparkSession, [(*r, given[r[group]]) for r in few], schema)
 
 
 def _apportion_rounds(groups: DataFrame, total: int, group: str, weight: str, cap: str, floor: str | None) -> DataFrame:
-    from tessella.sources.shared import written
-
     rows = written(groups.withColumn("allocated", (F.col(floor) if floor else F.lit(0)).cast("long")), "groups")
     assert_empty(key_violations(rows, group), "groups: duplicate key")
     wrong = F.col(weight).isNull() | (F.col(weight) < 0) | (F.col("allocated") < 0) | (F.col("allocated") > F.col(cap)) | (F.col(cap) != F.floor(F.col(cap)))

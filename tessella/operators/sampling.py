@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tessella.functions.text import application_id
 from tessella.operators.allocate import apportion, apportion_once, apportion_table
 from tessella.operators.keys import DataError, assert_empty, assert_key, next_sequence
-from tessella.sources.shared import written
+from tessella.sources.shared import counted, written
 
 
 def draw_hash(seed: int, stage: str, key: Column | str) -> Column:
@@ -131,8 +131,8 @@ def _by_tiers(frame: DataFrame, design: Design, seed: int, key: str) -> DataFram
     if not more:
         return chosen
     pool = frame.filter(F.col(tier) == design.refill_tier).join(chosen.select(key), key, "left_anti").select(frame.columns)
-    refill = written(pool.orderBy(draw_hash(seed, "refill", key), key).limit(more), "tier-refill")
-    if refill.count() < more:
+    refill, found = counted(pool.orderBy(draw_hash(seed, "refill", key), key).limit(more), "tier-refill")
+    if found < more:
         raise DataError("sample larger than the frame")
     return chosen.union(refill)
 

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.text import hash_text
-from tessella.operators.keys import DataError, assert_key, one_of_each
+from tessella.operators.keys import DataError, one_of_each
 from tessella.sources.readers import OFFICE_SCHEMA, office_rows
-from tessella.sources.shared import exists, get_text, put_text, written
+from tessella.sources.shared import counted, exists, get_text, put_text
 
 CRAWL_SCHEMA = "node_id string, parent_id string, office_name string, address string, depth int, path string, url string, is_leaf boolean, fetched boolean"
 
@@ -33,19 +33,20 @@ def closure(edges: DataFrame, root: str = "", separator: str = " > ") -> DataFra
 
     A node with two parents, and nodes that no root leads to (a cycle, or a missing parent), fail.
     """
-    assert_key(edges, "node", "edges")
-    level = written(edges.filter(F.coalesce("parent", F.lit("")) == root).select("node", F.lit(0).alias("depth"), F.col("name").alias("path")), "level")
-    levels, total, size = [], 0, level.count()
-    while size:
-        levels.append(level)
-        total += size
+    sizes = edges.groupBy("node").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.max_by("node", "n").alias("node")).first()
+    if (sizes["most"] or 0) > 1:
+        raise DataError(f"edges: duplicate key {sizes['node']}")
+    level, size = counted(edges.filter(F.coalesce("parent", F.lit("")) == root).select("node", F.lit(0).alias("depth"), F.col("name").alias("path")), "level")
+    levels, total = [level], size
+    while size and total < sizes["rows"]:
         above = level.select(F.col("node").alias("parent"), F.col("path").alias("__path"), "depth")
         below = edges.join(above, "parent").select("node", (F.col("depth") + 1).alias("depth"), F.concat("__path", F.lit(separator), "name").alias("path"))
-        level = written(below, "level")
-        size = level.count()
-    if total != edges.count():
-        raise DataError(f"{edges.count() - total} nodes without a root above them")
-    return reduce(lambda a, b: a.union(b), levels or [level])
+        level, size = counted(below, "level")
+        levels.append(level)
+        total += size
+    if total < (sizes["rows"] or 0):
+        raise DataError(f"{sizes['rows'] - total} nodes without a root above them")
+    return reduce(lambda a, b: a.union(b), levels)
 
 
 def start_crawl(spark: SparkSession, url: str, name: str = "") -> DataFrame:

@@ -228,7 +228,8 @@ DRAW = (
 def _drawn(spark, sf_dir) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment", "c_acctbal")
     sizes = c.groupBy("c_mktsegment").agg(F.count("*").alias("w"))
-    picked = sampling.sample_per_group(c, allocate.apportion_once(sizes, 100, "c_mktsegment", "w"), "c_mktsegment", SEED, "c_custkey")
+    # The batch's hundred rows are written once, not drawn again by each step.
+    picked = shared.written(sampling.sample_per_group(c, allocate.apportion_once(sizes, 100, "c_mktsegment", "w"), "c_mktsegment", SEED, "c_custkey"), "drawn")
     treated = sampling.assign_treatments(picked, 30, ["c_mktsegment"], SEED, "c_custkey")
     return sampling.assign_assistants(treated, ASSISTANTS, SEED, "c_custkey")
 

@@ -6,7 +6,11 @@ import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tessella.operators.keys import DataError
 
@@ -48,6 +52,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def counted(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """written(df), and its number of rows, which the write itself observes."""
+    seen = Observation()
+    found = written(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return found, seen.get["rows"]
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """A small table from driver rows as a local relation, whose size the optimizer knows."""
+    columns = [pa.array([r[k] for r in rows], to_arrow_type(f.dataType)) for k, f in enumerate(schema)]
+    return spark.createDataFrame(pa.Table.from_arrays(columns, names=schema.names), schema)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, fs = _path(spark, path)
     return fs.exists(target)
