@@ -1,50 +1,26 @@
-"""Helpers shared by the corpus operators: reading tables and cutting lineage in the cluster's shared folder."""
+"""Helpers shared by the corpus operators: reading tables, names that clash with no column, numbers of tasks."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessella.sources.shared import local_table, written as materialise
+
+__all__ = ["crc_mod", "local_table", "materialise", "partitions_of", "read_table", "unused"]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One Parquet table of a data directory, read by Spark alone (the path may be in any store)."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where that is unset (tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        found = set_dir.get() if set_dir.isDefined() else tempfile.mkdtemp(prefix="tessella-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found.rstrip("/")
-
-
-def _remove(spark: SparkSession, path: str) -> None:
-    try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session may have ended before the interpreter does
-        return
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back.
-
-    This cuts the lineage so that later jobs neither recompute df nor depend on shuffle files of a
-    lost executor. The table is removed when the driver's interpreter ends.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tessella-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+def unused(df: DataFrame, name: str) -> str:
+    """name, with underscores in front until no column of df has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
 def partitions_of(spark: SparkSession) -> int:

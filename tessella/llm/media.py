@@ -27,6 +27,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessella.llm.common import unused
+
 UNKNOWN = "application/octet-stream"
 UNIT = 64
 
@@ -363,9 +365,10 @@ def sniffed(media: DataFrame, data: str = "content", declared: str | None = None
                 rows.append((kind, length, [{"type": t, "offset": a, "length": n, "content": raw[a : a + n]} for t, a, n in inner]))
             yield pd.DataFrame(rows, columns=["detected_type", "media_length", "embedded"])
 
-    found = media.withColumn("__told", told(F.col(data).cast("binary")))
-    corrected = F.col("__told.detected_type") != (F.lower(F.trim(F.coalesce(F.col(declared), F.lit("")))) if declared else F.lit(UNKNOWN))
-    return found.withColumns({"detected_type": F.col("__told.detected_type"), "corrected": corrected, "media_length": F.col("__told.media_length"), "embedded": F.col("__told.embedded")}).drop("__told")
+    name = unused(media, "told")
+    found = media.withColumn(name, told(F.col(data).cast("binary")))
+    corrected = F.col(f"{name}.detected_type") != (F.lower(F.trim(F.coalesce(F.col(declared), F.lit("")))) if declared else F.lit(UNKNOWN))
+    return found.withColumns({"detected_type": F.col(f"{name}.detected_type"), "corrected": corrected, "media_length": F.col(f"{name}.media_length"), "embedded": F.col(f"{name}.embedded")}).drop(name)
 
 
 def text_media(docs: DataFrame) -> DataFrame:

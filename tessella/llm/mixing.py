@@ -4,13 +4,14 @@ alpha = 1 keeps the sources' token shares, alpha = 0 makes all sources equal. Th
 flattening wanted (a target entropy, as a fraction of the entropy of equal weights) and holds it back where
 a source would be repeated more often than allowed. A source's integer token budget becomes whole epochs
 over all its rows plus a last, partial epoch. Every epoch is a permutation by blocks: rows hash into blocks
-of about BLOCK_ROWS, blocks are ordered by a hash of (seed, epoch, block), rows within them by a hash of
+of about BLOCK_ROWS (rows without doc_id by their text), blocks are ordered by a hash of (seed, epoch, block), rows within them by a hash of
 (seed, epoch, doc_id); the partial epoch takes rows until its tokens are spent. `position` (0 to 1) merges
 the sources: any prefix of it holds them in the target proportions.
 
 Defined cases: a null text has no tokens; a null source is a source of its own; a source without tokens
 gets weight 0 and its rows, which cost nothing, appear once; one source gets weight 1; repeated rows are
-rows of their own; an empty table gives an empty result. Only doc_id, text and source are read.
+rows of their own; rows without doc_id are dealt by their text; an empty table gives an empty result. Only
+doc_id, text and source are read; mixed_documents keeps all columns, of any name.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessella.llm.common import materialise
+from tessella.llm.common import materialise, unused
 
 BLOCK_ROWS = 1024
 WAYS = 32  # sections of the exponent's interval that one pass tells apart
@@ -101,13 +102,14 @@ def mix_sources(
     docs: DataFrame, entropy: float = 0.98, max_repeats: float = 2.0, budget: int | None = None, seed: int = 17, tokens: Column | None = None
 ) -> DataFrame:
     """The mixture's rows: doc_id, source, tokens, weight, budget, epoch, block, position, rows of a source repeated by epoch."""
-    rows = docs.select("doc_id", "source", (tokens if tokens is not None else count_words()).alias("tokens"))
+    spread = F.when(F.col("doc_id").isNull(), F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary")))
+    rows = docs.select("doc_id", "source", (tokens if tokens is not None else count_words()).alias("tokens"), spread.alias("spread"))
     rows = materialise(rows.withColumn("source_key", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("null"))), "mixing-rows")
     plan = source_plan(rows, entropy, max_repeats, budget)
     dealt = (
         rows.join(plan, "source_key")
         .withColumn("epoch", F.explode(F.expr("sequence(0, if(rest > 0, epochs, epochs - 1))")))
-        .withColumn("block", _md5_long(F.lit(seed), F.lit("block"), F.col("doc_id")) % F.col("blocks"))
+        .withColumn("block", _md5_long(F.lit(seed), F.lit("block"), F.coalesce(F.col("doc_id").cast("string"), "spread")) % F.col("blocks"))
     )
     dealt = dealt.filter("rest > 0 or epochs > 0")
     key = ["source_key", "epoch", "block"]
@@ -116,7 +118,7 @@ def mix_sources(
     before = Window.partitionBy("source_key", "epoch").orderBy(block_hash, "block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.withColumn("block_start", F.coalesce(F.sum("block_tokens").over(before), F.lit(0))).drop("block_tokens")
     row_hash = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epoch").cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))).cast("binary"))
-    within = Window.partitionBy(*key).orderBy(row_hash, "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*key).orderBy(row_hash, "doc_id", "tokens", "spread").rowsBetween(Window.unboundedPreceding, -1)
     # Blocks of the partial epoch that begin beyond its tokens need no rows; a block holds about BLOCK_ROWS rows.
     placed = dealt.join(blocks, key).filter("epoch < epochs or block_start < rest")
     placed = placed.withColumn("start", F.col("block_start") + F.coalesce(F.sum("tokens").over(within), F.lit(0))).filter("epoch < epochs or start < rest")
@@ -128,9 +130,10 @@ def mix_sources(
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """docs themselves in the mixture: a row appears once for every epoch that takes it (doc_id must tell rows apart)."""
-    times = mix_sources(docs, **settings).groupBy("doc_id").agg(F.count("*").alias("__times"))
+    times = mix_sources(docs, **settings).groupBy("doc_id").agg(F.count("*").alias("times"))
     # Rows sharing a doc_id are each repeated as often as all of them together, divided by their number.
-    copies = docs.groupBy("doc_id").agg(F.count("*").alias("__copies"))
-    each = times.join(copies, times["doc_id"].eqNullSafe(copies["doc_id"])).select(times["doc_id"].alias("__id"), F.expr("cast(ceil(__times / __copies) as int)").alias("__times"))
-    joined = docs.join(each, docs["doc_id"].eqNullSafe(each["__id"]))
-    return joined.withColumn("__epoch", F.explode(F.expr("sequence(1, __times)"))).select(*[docs[c] for c in docs.columns])
+    copies = docs.groupBy("doc_id").agg(F.count("*").alias("copies"))
+    key, n, k = (unused(docs, c) for c in ("mix_id", "mix_times", "mix_epoch"))
+    each = times.join(copies, times["doc_id"].eqNullSafe(copies["doc_id"])).select(times["doc_id"].alias(key), F.expr("cast(ceil(times / copies) as int)").alias(n))
+    joined = docs.join(each, docs["doc_id"].eqNullSafe(each[key]))
+    return joined.withColumn(k, F.explode(F.sequence(F.lit(1), F.col(n)))).select(*[docs[c] for c in docs.columns])

@@ -40,7 +40,7 @@ def hilbert_sql(shards: int = 24) -> str:
 def mixing_sql(entropy: float = 0.98, max_repeats: float = 2.0, seed: int = 17) -> str:
     """DuckDB SQL for the mixture at its default settings: plain bisection, then budgets and block permutations."""
     return f"""
-with recursive t as (select doc_id, source, coalesce('=' || source, 'null') as source_key, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as tokens from documents),
+with recursive t as (select doc_id, source, coalesce('=' || source, 'null') as source_key, case when doc_id is null then md5(coalesce(text, '')) end as spread, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as tokens from documents),
 s as (select source_key, count(*) as source_rows, sum(tokens)::bigint as source_tokens from t group by 1),
 f as (select count(*) as n, sum(source_tokens)::double as total, min(source_tokens) / sum(source_tokens)::double as lo, max(source_tokens) / sum(source_tokens)::double as hi, list(source_tokens / (select sum(source_tokens) from s)::double) as p from s where source_tokens > 0),
 e as (select 0 as step, 0.0::double as low, 1.0::double as high union all
@@ -52,10 +52,10 @@ w as (select source_key, source_rows, source_tokens, case when source_tokens > 0
 z as (select *, raised / sum(raised) over () as weight, total * sum(raised) over () * pow(hi, 1 - alpha) as spent from w),
 b as (select source_key, source_rows, source_tokens, weight, round(weight * spent)::bigint as budget, ceil(source_rows / {BLOCK_ROWS})::bigint as blocks from z),
 pl as (select *, case when source_tokens > 0 then budget // source_tokens else 1 end as epochs, case when source_tokens > 0 then budget % source_tokens else 0 end as rest from b),
-dealt as (select doc_id, source, tokens, pl.*, unnest(range(0, epochs + case when rest > 0 then 1 else 0 end)) as epoch, ('0x' || substr(md5('{seed}|block' || coalesce('|' || doc_id, '')), 1, 8))::bigint % blocks as block from t join pl using (source_key)),
+dealt as (select doc_id, source, tokens, spread, pl.*, unnest(range(0, epochs + case when rest > 0 then 1 else 0 end)) as epoch, ('0x' || substr(md5('{seed}|block|' || coalesce(doc_id::varchar, spread)), 1, 8))::bigint % blocks as block from t join pl using (source_key)),
 bl as (select source_key, epoch, block, sum(tokens) as block_tokens from dealt group by 1, 2, 3),
 st as (select source_key, epoch, block, coalesce(sum(block_tokens) over (partition by source_key, epoch order by md5('{seed}|' || epoch || '|' || source_key || '|' || block), block rows between unbounded preceding and 1 preceding), 0) as block_start from bl),
-pd as (select dealt.*, block_start + coalesce(sum(tokens) over (partition by source_key, epoch, block order by md5('{seed}|' || epoch || '|' || coalesce(doc_id::varchar, 'null')), doc_id, tokens rows between unbounded preceding and 1 preceding), 0) as start, block_start from dealt join st using (source_key, epoch, block))
+pd as (select dealt.*, block_start + coalesce(sum(tokens) over (partition by source_key, epoch, block order by md5('{seed}|' || epoch || '|' || coalesce(doc_id::varchar, 'null')), doc_id, tokens, spread rows between unbounded preceding and 1 preceding), 0) as start, block_start from dealt join st using (source_key, epoch, block))
 select doc_id, source, tokens, round(weight, 9) as weight, budget, epoch::int as epoch, block, round(case when budget > 0 then (epoch * source_tokens + start) / budget::double else 0.0 end, 9) as position from pd where epoch < epochs or start < rest
 """
 
