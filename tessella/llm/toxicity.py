@@ -5,11 +5,12 @@ and obfuscation (digits or signs inside words that hide a lexicon word). The lex
 differs between toxic and clean labelled texts; near copies count once, by the least hash of a text's pairs of words. The trees see lexicon features
 from a lexicon that leaves out the row's own fold, so memorised words earn no trust. Calibration uses out-of-fold scores.
 
-The model is fitted on at most MAX_TOXIC + MAX_CLEAN labelled rows (those of smallest hash); scoring covers every row.
+The model is fitted on at most MAX_TOXIC + MAX_CLEAN labelled documents (those of smallest hash), with at most MAX_LEXICON lexicon entries; both classes are counted over all
+labelled documents, and each sampled one weighs as many as it stands for, so the cut at one half does not move with the sample. Scoring covers every row.
 
 Defined cases: a null text is scored as an empty one; empty texts get the score of their features (all zero); with fewer than LEAST_LABELS labelled rows of
-either class every score is the toxic share (0 without labels) and no document is filtered out; labels that contradict each other for one doc_id count as toxic; an empty table gives an empty
-result. Only doc_id and text are read; no label, lang, source or doc_id is an input of a score.
+either class every score is the toxic share (0 without labels) and no document is filtered out; labels that contradict each other for one doc_id count as toxic; of several texts of a labelled doc_id the first in byte order is learned from; a null doc_id is
+not held out and never learned from; an empty table gives an empty result. Only doc_id and text are read; no label, lang, source or doc_id is an input of a score.
 """
 
 from __future__ import annotations
@@ -125,9 +126,13 @@ class ToxicityModel:
         return self.calibration(self.trees.decision(x))
 
 
-def _sample(labels: DataFrame) -> DataFrame:
-    """At most MAX_TOXIC toxic and MAX_CLEAN clean labelled ids outside the held-out fifth, those of smallest hash."""
-    known = labels.filter("doc_id is not null and toxic in (0, 1)").filter(crc_mod("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+def known_labels(labels: DataFrame) -> DataFrame:
+    """doc_id and toxic of every labelled document outside the held-out fifth."""
+    return labels.filter("doc_id is not null and toxic in (0, 1)").filter(crc_mod("doc_id", 5) != 0).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def _sample(known: DataFrame) -> DataFrame:
+    """At most MAX_TOXIC toxic and MAX_CLEAN clean ids, those of smallest hash."""
     parts = [known.filter(f"toxic = {t}").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for t, n in ((1, MAX_TOXIC), (0, MAX_CLEAN))]
     return parts[0].union(parts[1])
 
@@ -173,9 +178,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     """Fit lexicon, trees and calibration on the bounded sample of labelled rows."""
     spark = docs.sparkSession
     # The sample's ids are bounded by MAX_TOXIC + MAX_CLEAN rows, so they are broadcast and texts are not shuffled.
-    chosen = F.broadcast(_sample(labels))
+    known = materialise(known_labels(labels), "toxicity-labels")
+    whole = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    chosen = F.broadcast(_sample(known))
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(chosen, "doc_id")
-    texts = materialise(texts.select("text", F.col("toxic").cast("int").alias("toxic")), "toxicity-sample")
+    # One text a document, so that the sample's bound holds whatever rows repeat a doc_id.
+    texts = materialise(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"), "toxicity-sample")
     classes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2 or min(classes.values()) < LEAST_LABELS:
         return ToxicityModel({}, None, None, classes.get(1, 0) / max(1, sum(classes.values())))
@@ -208,13 +216,16 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     x, y, folds = np.array(table["x"].tolist()), table["toxic"].to_numpy(float), table["fold"].to_numpy()
     order = np.lexsort((*x.T, y, folds))  # the model does not depend on the order in which rows arrive
     x, y, folds = x[order], y[order], folds[order]
+    # Documents without a text at hand are missing from both classes alike; the mean weight is one.
+    weight = np.where(y == 1, whole[1] / classes[1], whole[0] / classes[0])
+    weight /= weight.mean()
     rest = np.full(len(y), np.nan)
     for f in range(FOLDS):
         if (folds == f).any() and len(set(y[folds != f])) == 2:
-            rest[folds == f] = BoostedTrees().fit(x[folds != f], y[folds != f]).decision(x[folds == f])
-    trees = BoostedTrees().fit(x, y)
+            rest[folds == f] = BoostedTrees().fit(x[folds != f], y[folds != f], weight[folds != f]).decision(x[folds == f])
+    trees = BoostedTrees().fit(x, y, weight)
     rest = np.where(np.isnan(rest), trees.decision(x), rest)
-    return ToxicityModel(_lexicon(counts, totals, None), trees, Isotonic().fit(rest, y, np.ones(len(y))), float(y.mean()))
+    return ToxicityModel(_lexicon(counts, totals, None), trees, Isotonic().fit(rest, y, weight), float(np.average(y, weights=weight)))
 
 
 def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -236,7 +247,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of docs."""
     scored = score_documents(docs, fit(docs, labels))
-    return scored.select("doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
