@@ -5,8 +5,11 @@ at most MAX_TEXTS texts, DICTIONARY bytes in all. A text is lower-cased and enco
 end; frames keep the text's own history from drowning the dictionary); the smallest total wins, ties go to the language with more labelled texts.
 The score is the margin, 1 - smallest / second smallest total.
 
+A text of LONG bytes or more whose margin is under NARROW cannot be told between two languages, and with_known_language rejects it, as it does texts without letters; shorter
+texts often compress to the same number of bytes with several dictionaries and are kept. More than MAX_LANGUAGES labelled languages fail, since their dictionaries are broadcast.
+
 Defined cases: null, empty and letterless texts are `und` with score 0; without labelled texts every text is `und`; with one language it is
-predicted with score 1; an empty table gives an empty result. Only doc_id and text are read of scored rows, doc_id, text and lang of labelled ones.
+predicted with score 1; a null doc_id is not held out and never learned from; repeated rows are predicted alike; an empty table gives an empty result. Only doc_id and text are read of scored rows, doc_id, text and lang of labelled ones.
 """
 
 from __future__ import annotations
@@ -27,17 +30,19 @@ DICTIONARY = 65_536
 FRAME = 2048
 LEVEL = 6
 MAX_LANGUAGES = 200
-NARROW, LONG = 0.002, 400  # a text of LONG bytes or more with a smaller margin is rejected
+NARROW, LONG = 0.002, 100  # a text of LONG bytes or more with a smaller margin is rejected
 LETTER = regex.compile(r"\p{L}")
 
 
 def fit(docs: DataFrame) -> list[tuple[str, bytes, int]]:
     """(language, dictionary content, labelled texts) in order of language, from rows outside the held-out third."""
     rows = docs.filter("text is not null and lang is not null and doc_id is not null").filter(crc_mod("doc_id", 3) != 1)
-    # Partial aggregates keep the labels' number by language; languages are bounded by MAX_LANGUAGES.
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    # Partial aggregates keep the labels' number by language.
+    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).limit(MAX_LANGUAGES + 1).collect()
     if not counts:
         return []
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} labelled languages: their dictionaries would not fit into a broadcast")
     rate = {r["lang"]: min(1.0, 4.0 * MAX_TEXTS / r["n"]) for r in counts}
     # A hash thins each language to about 4 * MAX_TEXTS ids before they are ranked, so that no window is large.
     thin = F.lit(False)
@@ -89,7 +94,7 @@ def predicted(docs: DataFrame, models: list[tuple[str, bytes, int]]) -> DataFram
 
 def language_id(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
-    return predicted(docs, fit(docs)).select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return predicted(docs, fit(docs)).select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def with_known_language(docs: DataFrame) -> DataFrame:
@@ -100,7 +105,7 @@ def with_known_language(docs: DataFrame) -> DataFrame:
     def told(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tools = Compressors(shared.value)
         for texts in batches:
-            found = [(tools.predict(t), len(t or "")) for t in texts]
+            found = [(tools.predict(t), len((t or "").encode("utf-8", "replace"))) for t in texts]
             yield pd.Series([lang != "und" and (margin >= NARROW or size < LONG) for (lang, margin), size in found], dtype=bool)
 
     return docs.filter(told(F.col("text").cast("string")))
