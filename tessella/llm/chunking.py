@@ -5,10 +5,10 @@ Cuts are normalised: from MIN bytes to AVERAGE a hash must match a hard mask, fr
 the set of (chunk digest, chunk length); containment of a document in another is the length of its chunks that the other has, over its own length.
 
 Edited texts need each document's successor by doc_id: documents are dealt by ranges of doc_id to tasks that stream them in order, and the first
-document of a range is dealt to the range before as well. No task holds more than two texts and one batch.
+document of a range is dealt to the range before as well. Ranges hold about TASK_BYTES of text, and no task holds more than two texts and one batch.
 
 Defined cases: a null text is an empty one; an empty text has the empty fingerprint, likeness 1 to another empty text and 0 to any other; a single document
-follows itself; rows with one doc_id follow in order of text; null doc_ids come last; an empty table gives an empty result. Only doc_id and text are read.
+follows itself; rows with one doc_id follow in order of text; rows without doc_id come last, in the order of a hash of their texts; an empty table gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tessella.llm.common import partitions_of
+from tessella.llm.common import local_table, partitions_of
 
 MIN, AVERAGE, MAX = 16, 64, 256
 HARD, EASY = np.uint32(0xFF000000), np.uint32(0xF0000000)  # eight and four bits
@@ -100,33 +101,44 @@ def _range_of(value: Column, bounds: list[int]) -> Column:
         go = acc["lo"] < acc["hi"]
         return F.struct(F.when(go & below, middle + 1).otherwise(acc["lo"]).alias("lo"), F.when(go & ~below, middle).otherwise(acc["hi"]).alias("hi"))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step, lambda acc: acc["lo"])
-    return F.when(value.isNull(), F.lit(len(bounds))).otherwise(found)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1)), start, step, lambda acc: acc["lo"])
+
+
+TASK_BYTES = 1 << 26  # text that a task streams
+MOST_RANGES = 20_000
+
+
+def _ranges(rows: DataFrame) -> tuple[int, int]:
+    """Ranges of known doc_ids and, as a power of two, of rows without one: by the bytes of their texts, so that tasks keep their size as the table grows."""
+    size = F.octet_length("text").cast("long")
+    total = rows.agg(F.sum(F.when(F.col("doc_id").isNotNull(), size)).alias("known"), F.sum(F.when(F.col("doc_id").isNull(), size)).alias("null")).first()
+    known, null = (-(-(b or 0) // TASK_BYTES) for b in (total["known"], total["null"]))
+    return min(MOST_RANGES, max(partitions_of(rows.sparkSession), known)), (min(MOST_RANGES, null) - 1).bit_length() if null > 1 else 0
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """Rows (range, tail, doc_id, text) sorted within tasks: a range's documents in order, then the document after them (tail 1)."""
+    """Rows (range, tail, doc_id, place, text) sorted within tasks: a range's documents in order of place and text, then the document after them (tail 1).
+
+    place is the doc_id; rows without one come last, in the order of a hash of their texts, whose leading bits deal them over ranges.
+    """
+    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    parts = partitions_of(docs.sparkSession)
+    parts, bits = _ranges(rows)
     quantiles = rows.filter("doc_id is not null").approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.1 / parts) if parts > 1 else []
     bounds = sorted({int(q) for q in quantiles})
-    rows = rows.withColumn("range", _range_of(F.col("doc_id"), bounds))
-    # One head for each range: at most one row a shuffle partition reaches the driver.
-    heads = {r["range"]: r["head"] for r in rows.groupBy("range").agg(F.min("doc_id").alias("head")).collect()}
-    order = sorted(heads)
-    before = {b: order[k - 1] for k, b in enumerate(order)}  # the first range follows the last
-    if not order:
+    hashed = F.shiftrightunsigned(F.xxhash64("text"), 1)
+    null_range = F.lit(len(bounds)) + F.lit(1) + (F.shiftright(hashed, 63 - bits).cast("int") if bits else F.lit(0))
+    rows = rows.withColumns({"place": F.coalesce("doc_id", hashed), "range": F.when(F.col("doc_id").isNull(), null_range).otherwise(_range_of(F.col("doc_id"), bounds))})
+    # One head for each range: at most 2 * MOST_RANGES rows reach the driver.
+    heads = sorted((r["range"], r["head"]) for r in rows.groupBy("range").agg(F.min("place").alias("head")).collect())
+    if not heads:
         return rows.withColumn("tail", F.lit(0))
-    ids = [h for h in heads.values() if h is not None]
-    is_head = F.col("doc_id").isin(ids) if ids else F.lit(False)
-    if None in heads.values():
-        is_head = is_head | F.col("doc_id").isNull()
-    first = rows.filter(is_head).groupBy("range", "doc_id").agg(F.min("text").alias("text"))
-    # A range of null ids beside known ones begins with the known ones.
-    exact = F.coalesce(*[F.when((F.col("range") == b) & F.col("doc_id").eqNullSafe(F.lit(heads[b])), F.lit(before[b])) for b in order])
-    tails = first.withColumn("to", exact).filter("`to` is not null").select("doc_id", "text", F.col("to").cast("int").alias("range"), F.lit(1).alias("tail"))
+    schema = T.StructType([T.StructField("range", T.IntegerType()), T.StructField("place", T.LongType()), T.StructField("to", T.IntegerType())])
+    before = local_table(spark, [(r, p, heads[k - 1][0]) for k, (r, p) in enumerate(heads)], schema)  # the first range follows the last
+    first = rows.join(F.broadcast(before), ["range", "place"]).groupBy("to", "doc_id", "place").agg(F.min("text").alias("text"))
+    tails = first.select("doc_id", "text", "place", F.col("to").alias("range"), F.lit(1).alias("tail"))
     dealt = rows.withColumn("tail", F.lit(0)).unionByName(tails)
-    return dealt.repartition(parts, "range").sortWithinPartitions("range", "tail", F.col("doc_id").asc_nulls_last(), "text")
+    return dealt.repartition(max(parts, len(heads)), "range").sortWithinPartitions("range", "tail", "place", "text")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
