@@ -7,8 +7,8 @@ the merges on the same lattice: as long as two neighbouring symbols are an edge,
 Characters that are no piece become byte pieces.
 
 Documents are encoded without moving their texts: the relational lattice encodes the corpus's common words, at most HEAD of them (counted over all rows,
-broadcast); in every task they are looked up, and each remaining word goes through the same lattice and fold, once while it is remembered. Sending every word of every
-document through the join would shuffle more bytes than the texts have (see the README).
+broadcast); in every task they are looked up, and each remaining word (rarer, seen once, or of LONGEST_WORD characters and more) is folded in Python, by merges or by Viterbi, to
+the same ids, once while it is remembered. Sending every word of every document through the join would shuffle more bytes than the texts have (see the README).
 
 Defined cases: null and empty texts have no tokens; a literal space sign (U+2581) is a space, as the library has it, so such a text does not come back; an empty table
 gives an empty result. Only doc_id and text are read.
@@ -98,7 +98,7 @@ def encode_words(words: DataFrame, table: PieceTable) -> DataFrame:
     full = full.withColumn("n", F.char_length("word"))
     full = full.withColumn("scores", F.map_from_arrays(F.transform("edges", key), F.transform("edges", lambda e: e["score"])))
     full = full.withColumn("at", F.map_from_arrays(F.transform("edges", key), F.transform("edges", lambda e: e["id"])))
-    low = min(table.scores.values()) - 10.0
+    low = table.lowest - 10.0
     cuts = merge_fold(F.col("n"), F.col("scores")) if table.merges else viterbi_fold(F.col("n"), F.col("edges"), low)
     full = full.withColumn("cuts", cuts)
     byte_ids = F.array(*map(F.lit, table.bytes_at))
@@ -145,8 +145,29 @@ def _running(histogram: list) -> list[int]:
     return out
 
 
+def viterbi_word(word: str, table: PieceTable) -> list[str]:
+    """Pieces of the path with the highest sum of scores; a character that is no piece costs as in viterbi_fold."""
+    low, none = table.lowest - 10.0, float("-inf")
+    best, back = [0.0] + [none] * len(word), [0] * (len(word) + 1)
+    for end in range(1, len(word) + 1):
+        for start in range(max(0, end - table.longest), end):
+            score = table.scores.get(word[start:end], low if end - start == 1 else none)
+            if best[start] + score > best[end]:
+                best[end], back[end] = best[start] + score, start
+    out, end = [], len(word)
+    while end:
+        out.append(word[back[end] : end])
+        end = back[end]
+    return out[::-1]
+
+
 def fold_word(word: str, table: PieceTable) -> list[int]:
-    """One word through the same lattice and fold as encode_words (BPE), outside Spark."""
+    """One word to the ids that encode_words gives, outside Spark."""
+    return ids_of(merged_word(word, table) if table.merges else viterbi_word(word, table), table)
+
+
+def merged_word(word: str, table: PieceTable) -> list[str]:
+    """Symbols after replaying the merges."""
     score, none = table.scores.get, float("-inf")
     symbols = list(word)
     pairs = [score(a + b, none) for a, b in zip(symbols, symbols[1:])]  # an edge's score, or none
@@ -161,6 +182,11 @@ def fold_word(word: str, table: PieceTable) -> list[int]:
             pairs[at] = score(symbols[at] + symbols[at + 1], none)
         if at:
             pairs[at - 1] = score(symbols[at - 1] + symbols[at], none)
+    return symbols
+
+
+def ids_of(symbols: list[str], table: PieceTable) -> list[int]:
+    """Ids of pieces, of bytes where a symbol is no piece."""
     out: list[int] = []
     for symbol in symbols:
         known = table.ids.get(symbol)
@@ -239,8 +265,6 @@ class Decoder:
 def encode_documents(docs: DataFrame, path: str | None = None) -> DataFrame:
     """doc_id, n_tokens, token_ids, and round_trip: whether decoding gives the text again."""
     table = piece_table(read_model(path or model_path()))
-    if not table.merges:
-        raise ValueError("documents are encoded with BPE models; encode_words takes unigram models as well")
     if not isolated(table, "\n"):
         raise ValueError("texts cannot be cut at line feeds")
     head = encode_words(common_words(docs), table).toArrow()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import cached_property
 
 import sentencepiece
 
@@ -37,6 +38,11 @@ class PieceTable:
     longest: int
     dummy_prefix: bool
 
+    @cached_property
+    def lowest(self) -> float:
+        """The lowest score of a piece."""
+        return min(self.scores.values())
+
 
 def piece_table(model: bytes) -> PieceTable:
     from sentencepiece import sentencepiece_model_pb2

@@ -234,6 +234,57 @@ def test_toxicity_on_held_out_labels(spark):
     assert kept == set(got[got["predicted"] == 0]["doc_id"])
 
 
+def plain_features(text, lexicon):
+    """The twenty features, one by one."""
+    words = text.lower().split()
+    if not words:
+        return [0.0] * 20
+    bounds, hidden, you = [], [], []
+    for w in words:
+        plain, undone = toxicity.forms(w)
+        seen = max([lexicon.get(e, 0.0) for f in plain for e in toxicity.entries(f)], default=0.0)
+        other = max([lexicon.get(e, 0.0) for e in toxicity.entries(undone)], default=0.0) if undone else 0.0
+        bounds.append(max(seen, other)), hidden.append(other > seen)
+        you.append(not bounds[-1] and any(f in toxicity.SECOND_PERSON for f in plain))
+    n, size = len(words), len(text.encode())
+    level = [3 if b >= toxicity.STRONG else 2 if b >= toxicity.MEDIUM else 1 if b >= toxicity.WEAK else 0 for b in bounds]
+    count = [level.count(3), level.count(2), level.count(1)]
+    gaps = [min([abs(i - j) for j in range(n) if you[j]], default=50) for i in range(n) if level[i]]
+    some = gaps and any(you)
+    letters = sum(c.isascii() and c.isalpha() for c in text)
+    of = lambda chars: sum(c in chars for c in text) / size
+    return [
+        np.log1p(n), *(c / n for c in count), *(np.log1p(c) for c in count), max([0.0, *bounds, *(-1.0 for y in you if y and n < 0)]), sum(g <= toxicity.NEAR for g in gaps) / len(gaps) if some else 0.0,
+        min(50, *gaps) if some else 50.0, sum("A" <= c <= "Z" for c in text) / max(1, letters), of("!"), of("?"), of("*@$#%&"), of(".,;:'\"-"), of("0123456789"), sum(hidden) / n, sum(bounds) / n, letters / size, count[0] + count[1],
+    ]
+
+
+def test_scores_equal_plain_features_and_trees(spark):
+    docs, labels = made_labels(spark)
+    model = toxicity.fit(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, model).collect()}
+    for r in docs.collect():
+        x = plain_features(r["text"], model.lexicon)
+        raw = model.trees.base
+        for feature, cut, leaves in zip(model.trees.features, model.trees.cuts, model.trees.leaves):
+            node = 0
+            while node < len(feature):
+                node = 2 * node + 1 + (x[feature[node]] > cut[node])
+            raw += leaves[node - len(feature)]
+        at, to = model.calibration.at, model.calibration.to
+        k = int(np.searchsorted(at, raw, side="right"))
+        plain = to[0] if k == 0 else to[-1] if k == len(at) else to[k - 1] + (to[k] - to[k - 1]) * (raw - at[k - 1]) / (at[k] - at[k - 1])
+        assert abs(got[r["doc_id"]] - plain) < 1e-9
+
+
+def test_sampled_classes_weigh_as_all_of_them(spark, monkeypatch):
+    docs, labels = made_labels(spark, 900)
+    whole = toxicity.fit(docs, labels).prior
+    monkeypatch.setattr(toxicity, "MAX_CLEAN", 150)
+    model = toxicity.fit(docs.union(docs), labels)  # repeated rows do not enlarge the sample
+    assert abs(model.prior - whole) < 1e-9 and abs(whole - 0.25) < 0.03
+
+
 def test_held_out_labels_are_not_learned(spark):
     docs, labels = made_labels(spark, 200)
     turned = labels.withColumn("toxic", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0, 1 - F.col("toxic")).otherwise(F.col("toxic")))
@@ -247,6 +298,30 @@ def test_language_on_held_out_labels(docs):
     assert (held["lang_pred"] == held["lang"]).mean() > 0.96 and got["score"].between(0, 1).all()
 
 
+def test_languages_equal_plain_compression(docs):
+    import zstandard
+
+    models = langid.fit(docs)
+    learned = {r["lang"] for r in docs.collect() if r["lang"] and r["text"] and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    assert {m[0] for m in models} == learned and all(len(m[1]) <= langid.DICTIONARY for m in models)
+    got = {r["doc_id"]: r for r in langid.predicted(docs, models).collect()}
+    for r in docs.limit(150).collect():
+        low = (r["text"] or "").lower()
+        if not any(c.isalpha() for c in low):
+            assert got[r["doc_id"]]["lang_pred"] == "und"
+            continue
+        raw, sizes = low.encode(), {}
+        for lang, content, n in models:
+            dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            dictionary.precompute_compress(level=langid.LEVEL)
+            frames = (zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=dictionary, write_checksum=False, write_content_size=False).compress(raw[k : k + langid.FRAME]) for k in range(0, len(raw), langid.FRAME))
+            sizes[lang] = sum(map(len, frames))
+        first, second = sorted(sizes.values())[:2]
+        best = max((n, lang) for lang, _, n in models if sizes[lang] == first)[0]
+        assert sizes[got[r["doc_id"]]["lang_pred"]] == first and any(n == best for lang, _, n in models if lang == got[r["doc_id"]]["lang_pred"])
+        assert abs(got[r["doc_id"]]["score"] - (1 - first / second)) < 1e-12
+
+
 # --- media
 
 
@@ -533,6 +608,35 @@ def test_viterbi_fold_equals_brute_force(spark):
         assert "".join(parts) == r["word"] and abs(sum(scores.get(p, low) for p in parts) - best(r["word"])) < 1e-9
 
 
+def unigram_model(model):
+    """A unigram model of some pieces of the given one, with scores of its own."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto.FromString(model)
+    proto.trainer_spec.model_type = 1
+    rng = random.Random(3)
+    kept = [p for k, p in enumerate(proto.pieces) if p.type != p.NORMAL or len(p.piece) == 1 or k % 3]
+    for p in kept:
+        if p.type == p.NORMAL:
+            p.score = -4.0 - 8 * rng.random() - 3 / len(p.piece)
+    copies = [sentencepiece_model_pb2.ModelProto.SentencePiece.FromString(p.SerializeToString()) for p in kept]
+    del proto.pieces[:]
+    proto.pieces.extend(copies)
+    return proto.SerializeToString()
+
+
+def test_unigram_encoding_equals_the_library(spark, docs, texts, model, tmp_path):
+    made = unigram_model(model)
+    (tmp_path / "unigram.model").write_bytes(made)
+    tool = sentencepiece.SentencePieceProcessor(model_proto=made)
+    few = docs.filter("length(text) < 600").limit(60)
+    for r in lattice.encode_documents(few, str(tmp_path / "unigram.model")).collect():
+        assert r["token_ids"] == tool.encode(texts[r["doc_id"]]) and r["round_trip"]
+    table = pieces.piece_table(made)
+    for word in ("▁rivers", "▁日本", "▁abcabcabc", "xyz"):
+        assert "".join(lattice.viterbi_word(word, table)) == word
+
+
 def test_token_counts_equal_the_library(docs, texts, model):
     tool = sentencepiece.SentencePieceProcessor(model_proto=model)
     counter = token_counts.TokenCounter(model, token_counts.whole_tokens(model))

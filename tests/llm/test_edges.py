@@ -19,7 +19,7 @@ ROWS = [
     (7, "1234 !!", "en", "c", 7),
     (8, "One", "fr", "c", 7),
 ]
-CLASH = ["id", "comp", "digest", "n", "a", "b", "signature", "shingles", "tree", "p1", "p2", "range", "tail", "word", "w", "score", "place", "part", "local", "rank", "size", "tokens", "epoch", "block", "source_key", "toxic", "grp", "fold", "predicted", "piece"]
+CLASH = ["id", "comp", "digest", "n", "a", "b", "signature", "shingles", "tree", "p1", "p2", "range", "tail", "word", "w", "score", "place", "part", "local", "rank", "size", "tokens", "epoch", "block", "source_key", "toxic", "grp", "fold", "predicted", "piece", "__times", "__epoch", "__copies", "__id", "mix_id", "mix_times", "mix_epoch", "spread", "times", "copies", "told", "order", "sets", "to", "before"]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -76,6 +76,46 @@ def test_defined_values(docs, labels):
     assert found[3]["payload_bytes"] == 64 and found[3]["payload_sha256"] == found[4]["payload_sha256"] and found[3]["n_bytes"] == 0
 
 
+def test_rows_without_id_are_not_held_out(docs, labels):
+    for table in (langid.language_id(docs), toxicity.toxicity(docs, labels)):
+        assert {r["held_out"] for r in table.filter("doc_id is null").collect()} == {False}
+
+
+def test_languages_beyond_the_bound_fail(docs, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 1)
+    with pytest.raises(ValueError, match="more than 1"):
+        langid.language_id(docs)
+
+
+def test_rows_without_id_are_dealt_over_ranges(spark, monkeypatch):
+    monkeypatch.setattr(chunking, "TASK_BYTES", 200)
+    texts = [f"text {k} " * 9 for k in range(60)] + ["same text here"] * 4
+    rows = chunking.with_next(spark.createDataFrame([(None if k % 3 else k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    assert rows.filter("doc_id is null and tail = 0").select("range").distinct().count() > 8
+    got = chunking.fingerprints(spark.createDataFrame([(None, t) for t in texts], "doc_id long, text string")).collect()
+    assert len(got) == len(texts) and sum(r["near_next"] == 1.0 for r in got) == 3  # equal texts follow each other
+
+
+def test_mixing_deals_rows_without_id_by_text(spark):
+    rows = spark.createDataFrame([(None, f"text number {k}", "a") for k in range(3000)], "doc_id long, text string, source string")
+    assert mixing.mix_sources(rows).select("block").distinct().count() > 1
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_pipeline_of_odd_rows(spark, docs, tmp_path, empty):
+    import corpus_pipeline
+
+    table = docs.limit(0) if empty else docs.union(docs)
+    table.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 0), (8, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    if empty:
+        assert got == []
+        return
+    # Without letters, or one phrase repeated for half a million characters: no language. Of rows 1 and 2 the copies go; rows without doc_id stay.
+    assert {r["doc_id"] for r in got} == {1, 8, None} and all(r["round_trip"] for r in got)
+
+
 def test_mixing_edges(spark, docs):
     got = mixing.mix_sources(docs).collect()
     assert {str(r["doc_id"]) for r in got} == {str(r[0]) for r in ROWS}
