@@ -3,11 +3,14 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes each result to the shared folder as Parquet and reads it back as the next
 stage's docs. All but the last return the columns of docs.
 
-* toxicity: documents predicted toxic go; the model learns from the labels of the documents at hand.
-* language: documents without a tellable language go.
+* toxicity: documents predicted toxic go; the model learns from the labels of the documents at hand. With fewer than five labels of a class none goes.
+* language: documents without letters go, and documents of 100 bytes or more that two languages' dictionaries compress alike (a text of one phrase repeated, say).
 * near_duplicates: of each group of similarity 0.8 or more over five-word shingles the document of smallest doc_id stays.
 * mixture: no document goes; documents of small sources are repeated, up to MAX_REPEATS readings, so that weights are flatter than the sources' shares.
 * encoding: token ids of every row.
+
+Defined cases: null and empty texts, which have no language, go in the second stage; rows without doc_id are never labelled, never near-duplicates, and stay; rows
+sharing a doc_id stay or go together; further columns of any name pass through to the last stage; an empty documents table gives an empty result.
 """
 
 from __future__ import annotations
