@@ -34,7 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,6 +43,7 @@ from tessella.llm.common import materialise, partitions_of
 TREES = 24
 DEPTH = 4  # hashes a tree has of its own
 NEIGHBOURS = 8  # sets of other components on either side that a set meets in a round
+PIECE = 256  # neighbouring sets of a region that share a key where regions are joined
 FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions of three and more
 RARITY = 1 << 20  # hashed counts by which shingles are ordered; any order gives the same pairs
 BLOCK = 2048  # sets of one shingle's list that a task compares with as many others
@@ -161,7 +162,7 @@ def _similar_sizes(n: np.ndarray, i: np.ndarray, j: np.ndarray, percent: int) ->
 
 
 def first_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
-    """kind 0: candidate pairs (a, b) of adjacent rows, in regions of two and in the first trees; kind 1: the rows of regions of three and more, or cut by the partition's end (a = id)."""
+    """kind 0: candidate pairs (a, b) of adjacent rows, in regions of two and in the first trees; kind 1: the rows of regions of three and more, or cut by the partition's end (a = id, b = the id that its piece begins with)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         t = _whole(frames)
@@ -174,8 +175,10 @@ def first_candidates(rows: DataFrame, percent: int, parts: int) -> DataFrame:
         i = np.flatnonzero((region[1:] == region[:-1]) & ((tree[1:] < FIRST_TREES) | (size[1:] == 2)))
         i = i[_similar_sizes(n, i, i + 1, percent)]
         yield _pairs(ids[i], ids[i + 1])
-        left = t[(size > 2) | cut]
-        yield pd.DataFrame({"kind": np.int32(1), "a": left["id"], "b": np.int64(0), "tree": left["tree"], "p1": left["p1"]})
+        left = (size > 2) | cut
+        first = np.searchsorted(region, region)
+        piece = ids[first + (np.arange(len(t)) - first) // PIECE * PIECE]
+        yield pd.DataFrame({"kind": np.int32(1), "a": ids[left], "b": piece[left], "tree": tree[left], "p1": p1[left]})
 
     return _sorted(rows, ["tree", "p1", "p2", "id"], parts).mapInPandas(run, PAIR_SCHEMA)
 
@@ -198,16 +201,18 @@ def _pairs(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
 
 
 def mixed_regions(crowded: DataFrame, labels: DataFrame) -> DataFrame:
-    """tree, p1 and number of sets of the regions that hold several components."""
+    """tree, p1, piece and number of sets of the region, for every piece of the regions that hold several components."""
     marked = crowded.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    # Counts and bounds combine before the shuffle, so that a large region is a few rows.
-    found = marked.groupBy("tree", "p1").agg(F.count("*").alias("sets"), F.min("comp").alias("least"), F.max("comp").alias("most"))
-    return found.filter("least != most").select("tree", "p1", "sets")
+    # Only a row for each piece meets the others of its region; the sets themselves are joined by piece, so that no region is one task.
+    found = marked.groupBy("tree", "p1", "piece").agg(F.count("*").alias("sets"), F.min("comp").alias("least"), F.max("comp").alias("most"))
+    region = Window.partitionBy("tree", "p1")
+    whole = {"sets": F.sum("sets").over(region), "least": F.min("least").over(region), "most": F.max("most").over(region)}
+    return found.withColumns(whole).filter("least != most").select("tree", "p1", "piece", "sets")
 
 
 def round_rows(crowded: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """The rows of mixed regions, with component, sketch and the signature in the order of their tree."""
-    rows = crowded.join(mixed_regions(crowded, labels).select("tree", "p1"), ["tree", "p1"])
+    rows = crowded.join(mixed_regions(crowded, labels).drop("sets"), ["tree", "p1", "piece"])
     marked = rows.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")).join(classes.select("id", "n", "signature", "sketch"), "id")
     turned = F.concat(F.expr(f"substring(signature, tree * {2 * DEPTH} + 1)"), F.expr(f"substring(signature, 1, tree * {2 * DEPTH})"))
     return marked.select("tree", "p1", turned.alias("order"), "id", "comp", "n", "sketch")
@@ -475,7 +480,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     found = materialise(first_candidates(forest_rows(classes), percent, _parts(spark, classes.count() * TREES)), "candidates")
     pairs = found.filter("kind = 0").select("a", "b").distinct()
-    crowded = found.filter("kind = 1").select("tree", "p1", F.col("a").alias("id"))
+    crowded = found.filter("kind = 1").select("tree", "p1", F.col("b").alias("piece"), F.col("a").alias("id"))
     # The sets of crowded regions are kept beside those of the first candidates.
     wanted = found.select("a", F.when(F.col("kind") == 0, F.col("b")).otherwise(F.col("a")).alias("b"))
     sets = materialise(candidate_sets(docs, classes.select("id"), candidate_filter(wanted), words), "sets")
@@ -504,8 +509,8 @@ def linked_regions(crowded: DataFrame, labels: DataFrame, classes: DataFrame, se
         more = materialise(confirm(fresh, sets, percent), "links")
         if more.isEmpty():
             cut = found.filter("kind = 1").select("tree", "p1", F.lit(True).alias("cut")).distinct()
-            left = mixed_regions(crowded, labels).join(cut, ["tree", "p1"], "left").filter(f"cut or sets > {NEIGHBOURS + 1}").select("tree", "p1")
-            open_ = materialise(crowded.join(left, ["tree", "p1"]).select("id").distinct(), "open-ids")
+            left = mixed_regions(crowded, labels).join(cut, ["tree", "p1"], "left").filter(f"cut or sets > {NEIGHBOURS + 1}").select("tree", "p1", "piece")
+            open_ = materialise(crowded.join(left, ["tree", "p1", "piece"]).select("id").distinct(), "open-ids")
             if not open_.isEmpty():
                 last = materialise(exact_links(open_, labels, sets, percent), "links")
                 labels = labels if last.isEmpty() else merged(last)
