@@ -72,3 +72,39 @@ r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
 c as (select a, min(b) as b from r group by 1)
 select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) as component_id, coalesce(c.b >= d.doc_id, true) as kept from d left join n using (doc_id) left join c on c.a = d.doc_id
 """
+
+
+def similar_sets_sql(words: int = 4, percent: int = 85) -> str:
+    """DuckDB SQL for shingles of `words` words: exact intersections by a join on shingles, components by closure over the links."""
+    return f"""
+with recursive d as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:least(i + {words - 1}, len(w))], ' ') as g from (select doc_id, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) as i from d where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by 1),
+p as (select x.doc_id as a, y.doc_id as b, count(*) as common from s x join s y on x.g = y.g and x.doc_id != y.doc_id group by 1, 2),
+l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * common >= {percent} * (na.n + nb.n - common)),
+r as (select a, b from l union select r.a, l.b from r join l on r.b = l.a),
+c as (select a, min(b) as b from r group by 1)
+select d.doc_id, coalesce(n.n, 0)::bigint as n_shingles, least(d.doc_id, coalesce(c.b, d.doc_id)) as component_id from d left join n using (doc_id) left join c on c.a = d.doc_id
+"""
+
+
+def balls_sql(k: int = 16, rounds: int = 3, dimensions: int = 64, scale: int = 64) -> str:
+    """DuckDB SQL for the clusters: every vector is compared with every centroid in every round."""
+    nearest = (
+        "a{r} as materialized (select vec_id, x, q, min_by(c, (d, c)) as c, min(d) as d from (select v.vec_id, v.x, v.q, k.c, list_sum(list_transform(range(1, {n} + 1), lambda i: (v.x[i] - k.x[i]) * (v.x[i] - k.x[i])))::bigint as d "
+        "from v, k{r} k) group by 1, 2, 3)"
+    )
+    moved = (
+        "k{s} as materialized (select k{r}.c, coalesce(m.x, k{r}.x) as x from k{r} left join (select c, list(floor_mean order by i) as x from (select c, i, ((sum(e) - (((sum(e) % count(*)) + count(*)) % count(*))) // count(*))::bigint as floor_mean "
+        "from (select c, unnest(x) as e, unnest(range(1, {n} + 1)) as i from a{r}) group by c, i) group by c) m on m.c = k{r}.c)"
+    )
+    steps = []
+    for r in range(rounds):
+        steps += [nearest.format(r=r, n=dimensions), moved.format(r=r, s=r + 1, n=dimensions)]
+    steps.append(nearest.format(r=rounds, n=dimensions))
+    return (
+        f"with v as materialized (select vec_id, list_transform(embedding, lambda e: floor({scale} * e::double)::bigint) as x, row_number() over () as q from embeddings where len(embedding) = {dimensions} "
+        "and len(list_filter(embedding, lambda e: e is not null and isfinite(e::double))) = len(embedding)), "
+        f"k0 as materialized (select row_number() over (order by h nulls last, x) - 1 as c, x from (select sha256('1:' || vec_id) as h, x from v order by 1 nulls last, 2 limit {k})), {', '.join(steps)} "
+        f"select vec_id, a.c::int as cluster, d as distance, sum(d) over (partition by a.c)::bigint as cluster_inertia, sum(d) over ()::bigint as inertia, sha256(array_to_string(k.x, ',')) as centroid_sha256 from a{rounds} a join k{rounds} k on k.c = a.c"
+    )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessella.llm.balls import ball_kmeans
 from tessella.llm.chunking import fingerprints
 from tessella.llm.common import read_table
 from tessella.llm.hilbert import hilbert_shards
@@ -13,7 +14,9 @@ from tessella.llm.lattice import encode_documents
 from tessella.llm.media import text_media
 from tessella.llm.minhash import near_duplicates
 from tessella.llm.mixing import mix_sources
-from tessella.llm.oracle import hilbert_sql, mixing_sql, near_duplicates_sql
+from tessella.llm.oracle import balls_sql, hilbert_sql, mixing_sql, near_duplicates_sql, similar_sets_sql
+from tessella.llm.partenum import similar_sets
+from tessella.llm.periodic import periodic_runs
 from tessella.llm.token_counts import token_counts
 from tessella.llm.toxicity import toxicity
 
@@ -68,6 +71,21 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every document."""
+    return periodic_runs(read_table(spark, sf_dir, "documents"))
+
+
+def op12_ball_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sixteen clusters of the vectors after three rounds."""
+    return ball_kmeans(read_table(spark, sf_dir, "embeddings"), k=16, rounds=3)
+
+
+def op13_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of four-word shingles have a similarity of 0.85 or more."""
+    return similar_sets(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES = {
     "op1_hilbert_sharding": op1_hilbert_sharding,
     "op2_minhash_forest": op2_minhash_forest,
@@ -79,9 +97,14 @@ QUERIES = {
     "op8_chunk_fingerprints": op8_chunk_fingerprints,
     "op9_sentencepiece_lattice": op9_sentencepiece_lattice,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_ball_kmeans": op12_ball_kmeans,
+    "op13_partenum_join": op13_partenum_join,
 }
 ORACLE: dict[str, str] = {
     "op1_hilbert_sharding": hilbert_sql(),
     "op2_minhash_forest": near_duplicates_sql(),
     "op3_temperature_mixing": mixing_sql(),
+    "op12_ball_kmeans": balls_sql(),
+    "op13_partenum_join": similar_sets_sql(),
 }
