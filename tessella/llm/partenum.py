@@ -1,7 +1,7 @@
 """Exact similarity join of shingle sets by PartEnum signatures.
 
-Sizes are cut into bands, each reaching from l to l / similarity, so that linked sets lie in one band or in neighbouring ones; a set makes signatures for its own band
-and for the next. Linked sets of a band differ in at most k shingles, a number that the band's largest size gives. The domain of shingles is hashed into groups, and a group
+Sizes are cut into units, each reaching from l to l / similarity, so that linked sets lie in one unit or in neighbouring ones. A band is three units, and every second unit
+belongs to two bands; a set makes signatures for its one or two bands. Linked sets of a band differ in at most k shingles, a number that the band's largest size gives. The domain of shingles is hashed into groups, and a group
 into three parts (two where k is large). Of k // 2 + g groups at least g hold at most one difference, so that all their parts but one are equal: the signatures are, for
 every group, the hashes of all subsets of its parts that leave one out. Two linked sets share at least one signature, so the join loses nothing.
 
@@ -10,10 +10,11 @@ ones which a linked set shares: g or more. Such a set is hashed again with anoth
 empty subsets' signatures as well.
 
 Documents of equal sets are one class. Each map task makes the signatures of a class once, for the first of its documents there, so that a large group of copies gives
-some rows a task; those documents are linked with their class. Signatures are sorted over ranges. First the FIRST signatures of either band meet their neighbours in the
-order; the candidates are confirmed on the full sets, and components form, so that a group of near copies is one component. Then all signatures are sorted, and only buckets
-with documents of several components go on: dealt over cells of blocks, which no bucket is too large for, every pair of different components that sizes and sketches leave
-possible is confirmed.
+some rows a task; those documents are linked with their class. Signatures are sorted over ranges. In the first rounds a few signatures of every set meet their neighbours in
+the order, where those are of another component; the candidates are confirmed on the full sets, and components form, so that most of a group of near copies is one component.
+Then all signatures are sorted, and only buckets with documents of several components go on, dealt over cells of blocks, which no bucket is too large for. In a cell every
+pair of different components is tried by sizes and sketches. One possible pair of two components and task is confirmed first, since one link merges them; the rounds go on
+with eight times as many, until no possible pair between components is left out.
 
 Defined cases: null and empty texts, and texts without words, have the empty set, 0 shingles, and are linked with nothing; rows sharing a doc_id count as one document
 holding the links of all of them; a null doc_id is linked with nothing; an empty table gives an empty result. Only doc_id and text are read.
@@ -27,26 +28,29 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.llm.common import materialise, partitions_of
-from tessella.llm.minhash import _slots, candidate_filter, candidate_sets, cell_pairs, cells, components, confirm, shingle_hashes, sketch
+from tessella.llm.minhash import SKETCH, _alike, _slots, candidate_filter, cells, components, confirm, shingle_hashes, sketch
 
-FIRST = 8  # signatures of either band whose neighbours the first pass compares
+ROUNDS = (2, 8)  # signatures of a band up to which each of the first rounds compares neighbours
 THREE_PARTS = 24  # differences up to which a group has three parts; two beyond, which makes a third fewer signatures
 ATTEMPTS = 4  # seeds for sets with hollow groups
 SLICE = 4 << 20  # bytes of signatures in one record batch
 SORTED_ROWS = 2_000_000  # signatures that one task of a sorted order holds (24 bytes each)
+CELL_ROWS = 250_000  # rows with sketches that one task of the cells holds
 
 BASE = "doc_id long, n_shingles long, digest binary, sketch binary, signatures binary"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
 @lru_cache(8)
-def _bands(percent: int) -> tuple[list[int], list[int]]:
-    """The smallest and the largest size of every band."""
+def _units(percent: int) -> tuple[list[int], list[int]]:
+    """The smallest and the largest size of every unit; linked sets lie in one unit or in neighbouring ones."""
     low, high = [], []
     size = 1
     while size < 1 << 40:
@@ -56,13 +60,15 @@ def _bands(percent: int) -> tuple[list[int], list[int]]:
     return low, high
 
 
-def band_of(size: int, percent: int) -> int:
-    return bisect_right(_bands(percent)[0], size) - 1
+def bands_of(size: int, percent: int) -> list[int]:
+    """The bands of a set: band i spans the units 2i to 2i + 2, so that two neighbouring units always share a band."""
+    unit = bisect_right(_units(percent)[0], size) - 1
+    return [unit // 2] if unit % 2 or not unit else [unit // 2 - 1, unit // 2]
 
 
 def differences(band: int, percent: int) -> int:
     """The most shingles in which two linked sets of a band differ: of a + b, 100 - percent in 100 + percent."""
-    return 2 * _bands(percent)[1][band] * (100 - percent) // (100 + percent)
+    return 2 * _units(percent)[1][2 * band + 2] * (100 - percent) // (100 + percent)
 
 
 def scheme(k: int) -> tuple[int, int, int]:
@@ -105,12 +111,12 @@ def band_signatures(hashes: np.ndarray, band: int, percent: int) -> np.ndarray:
 
 
 def set_signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """All signatures of a set: those of its own band and of the next, where larger partners are; the first of either come first."""
+    """All signatures of a set, for its one or two bands; those that the first rounds take come first."""
     if not len(hashes):
         return np.empty(0, np.uint64)
-    band = band_of(len(hashes), percent)
-    own, after = band_signatures(hashes, band, percent), band_signatures(hashes, band + 1, percent)
-    return np.concatenate([own[:FIRST], after[:FIRST], own[FIRST:], after[FIRST:]])
+    found = [band_signatures(hashes, band, percent) for band in bands_of(len(hashes), percent)]
+    first = [f[lo:hi] for lo, hi in zip((0, *ROUNDS), ROUNDS) for f in found]
+    return np.concatenate([*first, *[f[ROUNDS[-1] :] for f in found]])
 
 
 def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -143,12 +149,12 @@ def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, BASE)
 
 
-def signature_rows(signed: DataFrame, first: int | None = None) -> DataFrame:
-    """sign, id and comp for every signature of (id, comp, signatures), or for the first few of each row."""
+def signature_rows(signed: DataFrame, lo: int = 0, hi: int | None = None) -> DataFrame:
+    """sign, id and comp for every signature of (id, comp, signatures), or for those of some places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signs = [np.frombuffer(s, np.int64)[:first] for s in batch.column(2).to_pylist()]
+            signs = [np.frombuffer(s, np.int64)[lo:hi] for s in batch.column(2).to_pylist()]
             if signs:
                 at = pa.array(np.repeat(np.arange(len(signs)), [len(s) for s in signs]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), batch.column(0).take(at), batch.column(1).take(at)], names=["sign", "id", "comp"])
@@ -221,31 +227,72 @@ def with_components(signed: DataFrame, labels: DataFrame) -> DataFrame:
     return joined.union(told.filter("not hit").select("id", F.col("id").alias("comp"), "signatures"))
 
 
+def bucket_pairs(dealt: DataFrame, percent: int, most: int, parts: int) -> DataFrame:
+    """a, b: possible pairs of different components in the cells, at most `most` of two components in a task; more: whether the task had others."""
+    order = ["shingle", "lo", "hi", "n", "id"]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [f for f in frames if len(f)]
+        if not held:
+            return
+        t = pd.concat(held, ignore_index=True)
+        shingle, lo, hi, salt, ids, comp, n = (t[c].to_numpy() for c in ("shingle", "lo", "hi", "salt", "id", "comp", "n"))
+        n, sketches = n.astype(np.int64), np.frombuffer(b"".join(t["sketch"]), np.uint64).reshape(len(t), SKETCH // 64)
+        cell = np.cumsum(np.r_[False, (shingle[1:] != shingle[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+        kept, more, j, step = np.empty((0, 4), np.int64), False, np.arange(len(t)), 0
+        while len(j):  # the larger set of a pair is step rows after the smaller
+            step += 1
+            j = j[j >= step]
+            j = j[(cell[j - step] == cell[j]) & (100 * n[j - step] >= percent * n[j])]  # sizes ascend in a cell: no row further up fits either
+            i = j - step
+            good = (comp[i] != comp[j]) & ((lo[i] == hi[i]) | (salt[i] != salt[j]))
+            x, y = i[good], j[good]
+            good = _alike(sketches, n, x, y, percent)
+            x, y = x[good], y[good]
+            swap = comp[x] > comp[y]
+            x, y = np.where(swap, y, x), np.where(swap, x, y)
+            kept = np.unique(np.concatenate([kept, np.stack([comp[x], comp[y], ids[x], ids[y]], axis=1)]), axis=0)
+            start = np.r_[True, np.any(kept[1:, :2] != kept[:-1, :2], axis=1)] if len(kept) else np.empty(0, bool)
+            place = np.arange(len(kept)) - np.flatnonzero(start)[np.cumsum(start) - 1] if len(kept) else np.empty(0, np.int64)
+            more |= bool((place >= most).any())
+            kept = kept[place < most]
+        pairs = np.sort(kept[:, 2:], axis=1)
+        yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "more": more})
+
+    return dealt.repartition(parts, "shingle", "lo", "hi").sortWithinPartitions(*order).mapInPandas(run, "a long, b long, more boolean")
+
+
 def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links of `percent` or more) of every row."""
     base = materialise(signed_sets(docs, words, percent), "signed")
     live = base.filter("n_shingles > 0 and doc_id is not null")
     classes = materialise(live.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
     signed = base.filter("signatures is not null").withColumnRenamed("doc_id", "id")
-    # A class's documents that stand for it in different tasks, and all texts of one doc_id, are linked through their class.
-    links = live.select("digest", "doc_id").distinct().join(classes, "digest").filter("id != doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-    held = materialise(signed.select(F.col("id").alias("a")).join(links, "a").distinct().union(_shared_ids(live, classes)), "links")
-    labels = materialise(components(held), "labels")
+    # The documents that stand for a class in different tasks, and all texts of one doc_id, are linked through their classes.
+    copies = signed.select("id", "digest").join(classes.withColumnRenamed("id", "b"), "digest").filter("id != b").select(F.col("id").alias("a"), "b").distinct()
+    labels = materialise(components(copies.union(_shared_ids(live, classes))), "labels")
 
     def merged(more: DataFrame) -> DataFrame:
         # Earlier components stand for the links that made them.
         return materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more)), "labels")
 
-    count = base.agg(F.sum(F.octet_length("signatures") / 8).cast("long")).first()[0] or 0
-    if count:
-        some = with_components(signed, labels)
-        pairs = materialise(first_pairs(signature_rows(some, 2 * FIRST), 2 * FIRST * signed.count()), "pairs")
-        labels = merged(_confirmed(docs, signed, pairs, words, percent))
-        rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), count), "buckets")
-        dealt = materialise(_dealt(rows, signed, percent), "cells")
-        pairs = materialise(cell_pairs(dealt, percent, max(partitions_of(docs.sparkSession), -(-dealt.count() // (SORTED_ROWS // 8)))).distinct(), "pairs")
-        if not pairs.isEmpty():
-            labels = merged(_confirmed(docs, signed, pairs, words, percent))
+    sizes = signed.agg(F.count("*").alias("sets"), F.sum(F.octet_length("signatures") / 8).cast("long").alias("signs")).first()
+    if sizes["signs"]:
+        for lo, hi in zip((0, *ROUNDS), ROUNDS):
+            rows = signature_rows(with_components(signed, labels), 2 * lo, 2 * hi)
+            labels = merged(_confirmed(docs, signed, first_pairs(rows, 2 * (hi - lo) * sizes["sets"]), words, percent))
+        rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), sizes["signs"]), "buckets")
+        held = materialise(_bucket_sets(rows, signed), "bucket-sets")
+        tested, most = None, 1
+        while True:
+            dealt = materialise(_dealt(rows, labels, held, percent), "cells")
+            found = materialise(bucket_pairs(dealt, percent, most, max(partitions_of(docs.sparkSession), -(-dealt.count() // CELL_ROWS))), "pairs")
+            pairs = found.select("a", "b").distinct()
+            fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+            labels = merged(_confirmed(docs, signed, fresh, words, percent))
+            if found.filter("more").isEmpty():
+                break
+            tested, most = pairs if tested is None else tested.union(fresh), 8 * most
     named = classes.join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     joined = base.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(named, "digest", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))
@@ -257,17 +304,58 @@ def _shared_ids(live: DataFrame, classes: DataFrame) -> DataFrame:
     return live.join(several, "doc_id").join(classes, "digest").filter("id != doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _dealt(rows: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """Bucket rows with sizes and sketches, dealt over cells; a signature plays the part of a shared shingle in the first place."""
+def _bucket_sets(rows: DataFrame, signed: DataFrame) -> DataFrame:
+    """id, n, key, sketch of the documents in the buckets."""
     wanted = rows.select("id").distinct()
-    sets = materialise(signed.select("id", F.col("n_shingles").cast("int").alias("n"), F.xxhash64("digest").alias("key"), "sketch").join(wanted, "id", "left_semi").distinct(), "bucket-sets")
-    narrow = rows.join(sets.select("id", "n", "key"), "id")
-    lists = narrow.select(F.col("sign").alias("shingle"), "id", "key", "comp", "n", F.lit(0).alias("place"))
-    return cells(lists, sets.select("id", "key", "sketch"), percent)
+    return signed.select("id", F.col("n_shingles").cast("int").alias("n"), F.xxhash64("digest").alias("key"), "sketch").join(wanted, "id", "left_semi").distinct()
+
+
+def _dealt(rows: DataFrame, labels: DataFrame, held: DataFrame, percent: int) -> DataFrame:
+    """Bucket rows with present components, sizes and sketches, dealt over cells; a signature plays the part of a shared shingle in the first place."""
+    now = held.select("id", "n", "key").join(labels, "id", "left").select("id", "n", "key", F.coalesce("comp", "id").alias("comp"))
+    lists = rows.select("sign", "id").join(now, "id").select(F.col("sign").alias("shingle"), "id", "key", "comp", "n", F.lit(0).alias("place"))
+    return cells(lists, held.select("id", "key", "sketch"), percent)
 
 
 def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full sets are similar enough; only the texts of candidates are read whole."""
-    keep = candidate_filter(pairs)
-    members = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    return materialise(confirm(pairs, materialise(candidate_sets(docs, members, keep, words), "sets"), percent), "links")
+    """The pairs whose full sets are similar enough; sketches go before, and only the texts of candidates are read."""
+    bits = signed.select("id", "n_shingles", "sketch")
+    left, right = (bits.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in ("a", "b"))
+    possible = pairs.distinct().join(left, "a").join(right, "b").filter(_possible("sketch_a", "sketch_b", "n_a", "n_b", F.lit(percent)))
+    pairs = materialise(possible.select("a", "b").distinct(), "possible")
+    if pairs.isEmpty():
+        return pairs
+    return materialise(confirm(pairs, materialise(_whole_sets(docs, candidate_filter(pairs), words), "sets"), percent), "links")
+
+
+@F.pandas_udf(T.BooleanType())
+def _possible(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series, percent: pd.Series) -> pd.Series:
+    if not len(a):
+        return pd.Series([], dtype=bool)
+    sketches = np.frombuffer(b"".join([*a, *b]), np.uint64).reshape(2 * len(a), SKETCH // 64)
+    n, at = np.concatenate([n_a.to_numpy(np.int64), n_b.to_numpy(np.int64)]), np.arange(len(a))
+    return pd.Series(_alike(sketches, n, at, at + len(a), int(percent.iloc[0])))
+
+
+def _whole_sets(docs: DataFrame, keep: bytes, words: int) -> DataFrame:
+    """id and full set of every document that the filter of candidates lets through (others among them meet no pair); repeated rows give some rows a task."""
+    shared = docs.sparkSession.sparkContext.broadcast(keep)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, seen = np.frombuffer(shared.value, np.uint64), set()
+        for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
+            ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
+            at = _slots(ids)
+            hit = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
+            rows = []
+            for key, text in zip(ids[hit].tolist(), batch.column(1).take(pa.array(hit)).to_pylist()):
+                found = shingle_hashes(text, words).tobytes()
+                mark = (key, hashlib.blake2b(found, digest_size=16).digest())
+                if mark not in seen:
+                    seen.add(mark)
+                    rows.append((key, found))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())], ["id", "shingles"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "id long, shingles binary")
