@@ -26,6 +26,7 @@ import hashlib
 from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from math import exp
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessella.llm import minhash
 from tessella.llm.common import materialise, partitions_of
-from tessella.llm.minhash import SKETCH, _alike, _slots, candidate_filter, cells, components, confirm, shingle_hashes, sketch
+from tessella.llm.minhash import SKETCH, _alike, _slots, candidate_filter, components, confirm, shingle_hashes, sketch
+from tessella.sources.shared import counted
 
 ROUNDS = (2, 8)  # signatures of a band up to which each of the first rounds compares neighbours
 THREE_PARTS = 24  # differences up to which a group has three parts; two beyond, which makes a third fewer signatures
@@ -44,7 +47,7 @@ SLICE = 4 << 20  # bytes of signatures in one record batch
 SORTED_ROWS = 2_000_000  # signatures that one task of a sorted order holds (24 bytes each)
 CELL_ROWS = 250_000  # rows with sketches that one task of the cells holds
 
-BASE = "doc_id long, n_shingles long, digest binary, sketch binary, signatures binary"
+BASE = "doc_id long, n_shingles long, digest binary, sketch binary, first binary, signatures binary"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -71,10 +74,22 @@ def differences(band: int, percent: int) -> int:
     return 2 * _units(percent)[1][2 * band + 2] * (100 - percent) // (100 + percent)
 
 
-def scheme(k: int) -> tuple[int, int, int]:
-    """Groups of the domain for k differences, parts of a group, and how many groups hold at most one difference at least."""
-    good = 1 + (k >= 4) + k // 100
-    return k // 2 + good, 3 if k <= THREE_PARTS else 2, good
+@lru_cache(4096)
+def scheme(band: int, percent: int) -> tuple[int, int, int]:
+    """Groups of the domain for a band, parts of a group, and how many groups hold at most one difference at least.
+
+    The last is chosen so that a set of the band's middle size seldom has as many hollow groups; any number gives right results.
+    """
+    k = differences(band, percent)
+    parts, good = 3 if k <= THREE_PARTS else 2, 1
+    low, high = _units(percent)
+    size = (low[2 * band] * high[2 * band + 2]) ** 0.5
+    while True:
+        groups = k // 2 + good
+        hollow = groups * parts * exp(-size * (parts - 1) / (groups * parts))
+        if good > hollow + 3 * hollow**0.5 or good > k // 4 + 2:
+            return groups, parts, good
+        good += 1
 
 
 def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
@@ -85,10 +100,9 @@ def _mixed(h: np.ndarray, seed: int) -> np.ndarray:
 
 def band_signatures(hashes: np.ndarray, band: int, percent: int) -> np.ndarray:
     """The signatures of a set for one band; none where linked sets of the band are equal."""
-    k = differences(band, percent)
-    if not k:
+    if not differences(band, percent):
         return np.empty(0, np.uint64)
-    groups, parts, good = scheme(k)
+    groups, parts, good = scheme(band, percent)
     tag = (np.arange(groups * parts, dtype=np.uint64) + np.uint64(band << 40)) * _MIX[0]
     out = []
     for seed in range(ATTEMPTS):
@@ -110,13 +124,12 @@ def band_signatures(hashes: np.ndarray, band: int, percent: int) -> np.ndarray:
     return np.concatenate(out)
 
 
-def set_signatures(hashes: np.ndarray, percent: int) -> np.ndarray:
-    """All signatures of a set, for its one or two bands; those that the first rounds take come first."""
+def set_signatures(hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of a set for its one or two bands: those that the first rounds take, and all."""
     if not len(hashes):
-        return np.empty(0, np.uint64)
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
     found = [band_signatures(hashes, band, percent) for band in bands_of(len(hashes), percent)]
-    first = [f[lo:hi] for lo, hi in zip((0, *ROUNDS), ROUNDS) for f in found]
-    return np.concatenate([*first, *[f[ROUNDS[-1] :] for f in found]])
+    return np.concatenate([f[lo:hi] for lo, hi in zip((0, *ROUNDS), ROUNDS) for f in found]), np.concatenate(found)
 
 
 def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -125,7 +138,7 @@ def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # classes of this task's rows
         names = [c.split()[0] for c in BASE.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
 
         def packed(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -134,12 +147,12 @@ def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
             rows, held = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 h = shingle_hashes(text.as_py(), words)
-                digest, bits, signs = hashlib.blake2b(h.tobytes(), digest_size=16).digest(), None, None
+                digest, bits, first, signs = hashlib.blake2b(h.tobytes(), digest_size=16).digest(), None, None, None
                 if len(h) and doc_id is not None and digest not in seen:
                     seen.add(digest)
-                    bits, signs = sketch(h).tobytes(), set_signatures(h, percent).tobytes()
+                    bits, (first, signs) = sketch(h).tobytes(), (x.tobytes() for x in set_signatures(h, percent))
                     held += len(signs)
-                rows.append((doc_id, len(h), digest, bits, signs))
+                rows.append((doc_id, len(h), digest, bits, first, signs))
                 if held > SLICE:
                     yield packed(rows)
                     rows, held = [], 0
@@ -211,8 +224,8 @@ def mixed_buckets(rows: DataFrame, count: int) -> DataFrame:
     return _over_ranges(rows, count).mapInArrow(run, "sign long, id long, comp long")
 
 
-def with_components(signed: DataFrame, labels: DataFrame) -> DataFrame:
-    """id, comp, signatures. Only rows that a filter of fixed size takes for labelled meet the labels, so that the signatures of the others aren't shuffled."""
+def with_components(signed: DataFrame, labels: DataFrame, column: str = "signatures") -> DataFrame:
+    """id, comp, signatures (from one of the two columns). Only rows that a filter of fixed size takes for labelled meet the labels, so that the signatures of the others aren't shuffled."""
     shared = signed.sparkSession.sparkContext.broadcast(candidate_filter(labels.select(F.col("id").alias("a"), F.col("id").alias("b"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,24 +235,24 @@ def with_components(signed: DataFrame, labels: DataFrame) -> DataFrame:
             hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit.astype(bool))], names=["id", "signatures", "hit"])
 
-    told = signed.select("id", "signatures").mapInArrow(run, "id long, signatures binary, hit boolean")
+    told = signed.select("id", F.col(column).alias("signatures")).mapInArrow(run, "id long, signatures binary, hit boolean")
     joined = told.filter("hit").join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"), "signatures")
     return joined.union(told.filter("not hit").select("id", F.col("id").alias("comp"), "signatures"))
 
 
-def bucket_pairs(dealt: DataFrame, percent: int, most: int, parts: int) -> DataFrame:
-    """a, b: possible pairs of different components in the cells, at most `most` of two components in a task; more: whether the task had others."""
-    order = ["shingle", "lo", "hi", "n", "id"]
+def bucket_pairs(cells: DataFrame, percent: int, most: int, parts: int) -> DataFrame:
+    """a, b: possible pairs of different components in the cells, at most `most` of two components in a task; sign: buckets of which pairs were left out."""
+    order = ["sign", "lo", "hi", "n", "id"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held = [f for f in frames if len(f)]
         if not held:
             return
         t = pd.concat(held, ignore_index=True)
-        shingle, lo, hi, salt, ids, comp, n = (t[c].to_numpy() for c in ("shingle", "lo", "hi", "salt", "id", "comp", "n"))
+        sign, lo, hi, salt, ids, comp, n = (t[c].to_numpy() for c in ("sign", "lo", "hi", "salt", "id", "comp", "n"))
         n, sketches = n.astype(np.int64), np.frombuffer(b"".join(t["sketch"]), np.uint64).reshape(len(t), SKETCH // 64)
-        cell = np.cumsum(np.r_[False, (shingle[1:] != shingle[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
-        kept, more, j, step = np.empty((0, 4), np.int64), False, np.arange(len(t)), 0
+        cell = np.cumsum(np.r_[False, (sign[1:] != sign[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])])
+        kept, left, j, step = np.empty((0, 5), np.int64), [np.empty(0, np.int64)], np.arange(len(t)), 0
         while len(j):  # the larger set of a pair is step rows after the smaller
             step += 1
             j = j[j >= step]
@@ -249,17 +262,31 @@ def bucket_pairs(dealt: DataFrame, percent: int, most: int, parts: int) -> DataF
             x, y = i[good], j[good]
             good = _alike(sketches, n, x, y, percent)
             x, y = x[good], y[good]
+            if not len(x):
+                continue
             swap = comp[x] > comp[y]
             x, y = np.where(swap, y, x), np.where(swap, x, y)
-            kept = np.unique(np.concatenate([kept, np.stack([comp[x], comp[y], ids[x], ids[y]], axis=1)]), axis=0)
-            start = np.r_[True, np.any(kept[1:, :2] != kept[:-1, :2], axis=1)] if len(kept) else np.empty(0, bool)
-            place = np.arange(len(kept)) - np.flatnonzero(start)[np.cumsum(start) - 1] if len(kept) else np.empty(0, np.int64)
-            more |= bool((place >= most).any())
-            kept = kept[place < most]
-        pairs = np.sort(kept[:, 2:], axis=1)
-        yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1], "more": more})
+            kept = np.concatenate([kept, np.stack([comp[x], comp[y], ids[x], ids[y], sign[x]], axis=1)])
+            kept = kept[np.lexsort(kept.T[::-1])]
+            pair, comps = _new(kept[:, :4]), _new(kept[:, :2])
+            number = np.cumsum(pair)  # of different pairs
+            place = number - number[np.flatnonzero(comps)[np.cumsum(comps) - 1]]
+            left.append(np.unique(kept[place >= most, 4]))
+            kept = kept[pair & (place < most)]
+        pairs = np.sort(kept[:, 2:4], axis=1)
+        yield pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
+        yield pd.DataFrame({"sign": np.unique(np.concatenate(left))})
+
+    def both(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in run(frames):
+            yield frame.reindex(columns=["a", "b", "sign"]).astype("Int64")
 
-    return dealt.repartition(parts, "shingle", "lo", "hi").sortWithinPartitions(*order).mapInPandas(run, "a long, b long, more boolean")
+    return cells.repartition(parts, "sign", "lo", "hi").sortWithinPartitions(*order).mapInPandas(both, "a long, b long, sign long")
+
+
+def _new(rows: np.ndarray) -> np.ndarray:
+    """Whether a row of sorted rows differs from the one before."""
+    return np.r_[True, np.any(rows[1:] != rows[:-1], axis=1)]
 
 
 def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -279,20 +306,20 @@ def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFram
     sizes = signed.agg(F.count("*").alias("sets"), F.sum(F.octet_length("signatures") / 8).cast("long").alias("signs")).first()
     if sizes["signs"]:
         for lo, hi in zip((0, *ROUNDS), ROUNDS):
-            rows = signature_rows(with_components(signed, labels), 2 * lo, 2 * hi)
+            rows = signature_rows(with_components(signed, labels, "first"), 2 * lo, 2 * hi)
             labels = merged(_confirmed(docs, signed, first_pairs(rows, 2 * (hi - lo) * sizes["sets"]), words, percent))
-        rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), sizes["signs"]), "buckets")
-        held = materialise(_bucket_sets(rows, signed), "bucket-sets")
+        rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), sizes["signs"]).select("sign", "id"), "buckets")
         tested, most = None, 1
         while True:
-            dealt = materialise(_dealt(rows, labels, held, percent), "cells")
-            found = materialise(bucket_pairs(dealt, percent, most, max(partitions_of(docs.sparkSession), -(-dealt.count() // CELL_ROWS))), "pairs")
-            pairs = found.select("a", "b").distinct()
+            narrow, n = counted(_dealt(rows, signed, labels), "cells")
+            cells = narrow.join(signed.select("id", F.xxhash64("digest").alias("key"), "sketch"), ["id", "key"])
+            found = materialise(bucket_pairs(cells, percent, most, max(partitions_of(docs.sparkSession), -(-n // CELL_ROWS))), "pairs")
+            pairs, left = found.filter("a is not null").select("a", "b").distinct(), found.filter("sign is not null").select("sign").distinct()
             fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
             labels = merged(_confirmed(docs, signed, fresh, words, percent))
-            if found.filter("more").isEmpty():
+            if left.isEmpty():
                 break
-            tested, most = pairs if tested is None else tested.union(fresh), 8 * most
+            rows, tested, most = rows.join(left, "sign", "left_semi"), pairs if tested is None else tested.union(fresh), 8 * most
     named = classes.join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     joined = base.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(named, "digest", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))
@@ -304,17 +331,14 @@ def _shared_ids(live: DataFrame, classes: DataFrame) -> DataFrame:
     return live.join(several, "doc_id").join(classes, "digest").filter("id != doc_id").select(F.col("doc_id").alias("a"), F.col("id").alias("b")).distinct()
 
 
-def _bucket_sets(rows: DataFrame, signed: DataFrame) -> DataFrame:
-    """id, n, key, sketch of the documents in the buckets."""
-    wanted = rows.select("id").distinct()
-    return signed.select("id", F.col("n_shingles").cast("int").alias("n"), F.xxhash64("digest").alias("key"), "sketch").join(wanted, "id", "left_semi").distinct()
-
-
-def _dealt(rows: DataFrame, labels: DataFrame, held: DataFrame, percent: int) -> DataFrame:
-    """Bucket rows with present components, sizes and sketches, dealt over cells; a signature plays the part of a shared shingle in the first place."""
-    now = held.select("id", "n", "key").join(labels, "id", "left").select("id", "n", "key", F.coalesce("comp", "id").alias("comp"))
-    lists = rows.select("sign", "id").join(now, "id").select(F.col("sign").alias("shingle"), "id", "key", "comp", "n", F.lit(0).alias("place"))
-    return cells(lists, held.select("id", "key", "sketch"), percent)
+def _dealt(rows: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
+    """sign, lo, hi, salt, id, key, comp, n of the buckets that hold several components, dealt over cells: each two rows of a bucket meet in exactly one."""
+    sets = signed.select("id", F.xxhash64("digest").alias("key"), F.col("n_shingles").cast("int").alias("n")).distinct().join(rows.select("id").distinct(), "id", "left_semi")
+    marked = rows.join(sets.join(labels, "id", "left").select("id", "key", "n", F.coalesce("comp", "id").alias("comp")), "id")
+    lists = marked.groupBy("sign").agg(F.count("*").alias("rows"), F.min("comp").alias("least"), F.max("comp").alias("most")).filter("least != most")
+    salted = marked.join(lists.select("sign", F.ceil(F.col("rows") / minhash.BLOCK).cast("int").alias("blocks")), "sign").withColumn("salt", F.pmod(F.xxhash64("id", "sign"), "blocks").cast("int"))
+    other = salted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return other.select("sign", F.least("salt", "other").alias("lo"), F.greatest("salt", "other").alias("hi"), "salt", "id", "key", "comp", "n")
 
 
 def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
