@@ -10,11 +10,10 @@ ones which a linked set shares: g or more. Such a set is hashed again with anoth
 empty subsets' signatures as well.
 
 Documents of equal sets are one class. Each map task makes the signatures of a class once, for the first of its documents there, so that a large group of copies gives
-some rows a task; those documents are linked with their class. Signatures are sorted over ranges. In the first rounds a few signatures of every set meet their neighbours in
-the order, where those are of another component; the candidates are confirmed on the full sets, and components form, so that most of a group of near copies is one component.
-Then all signatures are sorted, and only buckets with documents of several components go on, dealt over cells of blocks, which no bucket is too large for. In a cell every
-pair of different components is tried by sizes and sketches. One possible pair of two components and task is confirmed first, since one link merges them; the rounds go on
-with eight times as many, until no possible pair between components is left out.
+some rows a task; those documents are linked with their class. Signatures are sorted over ranges. First a few signatures of every set meet their neighbours in the order; the
+candidates are confirmed on the full sets, and components form, so that most of a group of near copies is one component. Then all signatures are sorted, and only buckets with documents of several components go on, dealt over cells of blocks, which no bucket is too large for. In a cell every
+pair of different components is tried by sizes and sketches. One possible pair of two components and task is confirmed first, since one link merges them; rounds go on with
+MORE times as many in the buckets that had others, until no possible pair between components is left out.
 
 Defined cases: null and empty texts, and texts without words, have the empty set, 0 shingles, and are linked with nothing; rows sharing a doc_id count as one document
 holding the links of all of them; a null doc_id is linked with nothing; an empty table gives an empty result. Only doc_id and text are read.
@@ -40,8 +39,9 @@ from tessella.llm.common import materialise, partitions_of
 from tessella.llm.minhash import SKETCH, _alike, _slots, candidate_filter, components, confirm, shingle_hashes, sketch
 from tessella.sources.shared import counted
 
-ROUNDS = (2, 8)  # signatures of a band up to which each of the first rounds compares neighbours
+FIRST = 8  # signatures of a band whose neighbours the first pass compares
 THREE_PARTS = 24  # differences up to which a group has three parts; two beyond, which makes a third fewer signatures
+MORE = 64  # times as many pairs of two components as in the round before
 ATTEMPTS = 4  # seeds for sets with hollow groups
 SLICE = 4 << 20  # bytes of signatures in one record batch
 SORTED_ROWS = 2_000_000  # signatures that one task of a sorted order holds (24 bytes each)
@@ -125,11 +125,11 @@ def band_signatures(hashes: np.ndarray, band: int, percent: int) -> np.ndarray:
 
 
 def set_signatures(hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The signatures of a set for its one or two bands: those that the first rounds take, and all."""
+    """The signatures of a set for its one or two bands: those that the first pass takes, and all."""
     if not len(hashes):
         return np.empty(0, np.uint64), np.empty(0, np.uint64)
     found = [band_signatures(hashes, band, percent) for band in bands_of(len(hashes), percent)]
-    return np.concatenate([f[lo:hi] for lo, hi in zip((0, *ROUNDS), ROUNDS) for f in found]), np.concatenate(found)
+    return np.concatenate([f[:FIRST] for f in found]), np.concatenate(found)
 
 
 def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -158,16 +158,17 @@ def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
                     rows, held = [], 0
             if rows:
                 yield packed(rows)
+            pa.default_memory_pool().release_unused()  # a worker's later tasks need other sizes
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, BASE)
 
 
-def signature_rows(signed: DataFrame, lo: int = 0, hi: int | None = None) -> DataFrame:
-    """sign, id and comp for every signature of (id, comp, signatures), or for those of some places."""
+def signature_rows(signed: DataFrame) -> DataFrame:
+    """sign, id and comp for every signature of (id, comp, signatures)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            signs = [np.frombuffer(s, np.int64)[lo:hi] for s in batch.column(2).to_pylist()]
+            signs = [np.frombuffer(s, np.int64) for s in batch.column(2).to_pylist()]
             if signs:
                 at = pa.array(np.repeat(np.arange(len(signs)), [len(s) for s in signs]))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(signs)), batch.column(0).take(at), batch.column(1).take(at)], names=["sign", "id", "comp"])
@@ -194,13 +195,13 @@ def _sorted_columns(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.n
 
 
 def first_pairs(rows: DataFrame, count: int) -> DataFrame:
-    """Pairs (a, b) of documents of different components next to each other in the order of signature and id."""
+    """Pairs (a, b) of documents next to each other in the order of signature and id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _sorted_columns(batches, "sign", "id", "comp")
+        found = _sorted_columns(batches, "sign", "id")
         if found is not None:
-            sign, ids, comp = found
-            i = np.flatnonzero((sign[1:] == sign[:-1]) & (comp[1:] != comp[:-1]))
+            sign, ids = found
+            i = np.flatnonzero(sign[1:] == sign[:-1])
             pairs = np.unique(np.stack([ids[i], ids[i + 1]], axis=1), axis=0)  # ids ascend in a bucket
             yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
 
@@ -224,8 +225,8 @@ def mixed_buckets(rows: DataFrame, count: int) -> DataFrame:
     return _over_ranges(rows, count).mapInArrow(run, "sign long, id long, comp long")
 
 
-def with_components(signed: DataFrame, labels: DataFrame, column: str = "signatures") -> DataFrame:
-    """id, comp, signatures (from one of the two columns). Only rows that a filter of fixed size takes for labelled meet the labels, so that the signatures of the others aren't shuffled."""
+def with_components(signed: DataFrame, labels: DataFrame) -> DataFrame:
+    """id, comp, signatures. Only rows that a filter of fixed size takes for labelled meet the labels, so that the signatures of the others aren't shuffled."""
     shared = signed.sparkSession.sparkContext.broadcast(candidate_filter(labels.select(F.col("id").alias("a"), F.col("id").alias("b"))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +236,7 @@ def with_components(signed: DataFrame, labels: DataFrame, column: str = "signatu
             hit = (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(hit.astype(bool))], names=["id", "signatures", "hit"])
 
-    told = signed.select("id", F.col(column).alias("signatures")).mapInArrow(run, "id long, signatures binary, hit boolean")
+    told = signed.select("id", "signatures").mapInArrow(run, "id long, signatures binary, hit boolean")
     joined = told.filter("hit").join(labels, "id", "left").select("id", F.coalesce("comp", "id").alias("comp"), "signatures")
     return joined.union(told.filter("not hit").select("id", F.col("id").alias("comp"), "signatures"))
 
@@ -297,29 +298,25 @@ def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFram
     signed = base.filter("signatures is not null").withColumnRenamed("doc_id", "id")
     # The documents that stand for a class in different tasks, and all texts of one doc_id, are linked through their classes.
     copies = signed.select("id", "digest").join(classes.withColumnRenamed("id", "b"), "digest").filter("id != b").select(F.col("id").alias("a"), "b").distinct()
-    labels = materialise(components(copies.union(_shared_ids(live, classes))), "labels")
-
-    def merged(more: DataFrame) -> DataFrame:
-        # Earlier components stand for the links that made them.
-        return materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(more)), "labels")
-
-    sizes = signed.agg(F.count("*").alias("sets"), F.sum(F.octet_length("signatures") / 8).cast("long").alias("signs")).first()
-    if sizes["signs"]:
-        for lo, hi in zip((0, *ROUNDS), ROUNDS):
-            rows = signature_rows(with_components(signed, labels, "first"), 2 * lo, 2 * hi)
-            labels = merged(_confirmed(docs, signed, first_pairs(rows, 2 * (hi - lo) * sizes["sets"]), words, percent))
-        rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), sizes["signs"]).select("sign", "id"), "buckets")
-        tested, most = None, 1
-        while True:
-            narrow, n = counted(_dealt(rows, signed, labels), "cells")
-            cells = narrow.join(signed.select("id", F.xxhash64("digest").alias("key"), "sketch"), ["id", "key"])
-            found = materialise(bucket_pairs(cells, percent, most, max(partitions_of(docs.sparkSession), -(-n // CELL_ROWS))), "pairs")
-            pairs, left = found.filter("a is not null").select("a", "b").distinct(), found.filter("sign is not null").select("sign").distinct()
-            fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
-            labels = merged(_confirmed(docs, signed, fresh, words, percent))
-            if left.isEmpty():
-                break
-            rows, tested, most = rows.join(left, "sign", "left_semi"), pairs if tested is None else tested.union(fresh), 8 * most
+    near = first_pairs(signature_rows(signed.select("id", F.col("id").alias("comp"), F.col("first").alias("signatures"))), 2 * FIRST * base.count())
+    labels = materialise(components(copies.union(_shared_ids(live, classes)).union(_confirmed(docs, signed, near, words, percent))), "labels")
+    count = signed.agg(F.sum(F.octet_length("signatures") / 8).cast("long")).first()[0] or 0
+    rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), count).select("sign", "id"), "buckets")
+    tested, most = None, 1
+    while True:
+        narrow, n = counted(_dealt(rows, signed, labels), "cells")
+        if not n:
+            break
+        cells = narrow.join(signed.select("id", F.xxhash64("digest").alias("key"), "sketch"), ["id", "key"])
+        found = materialise(bucket_pairs(cells, percent, most, max(partitions_of(docs.sparkSession), -(-n // CELL_ROWS))), "pairs")
+        pairs, left = found.filter("a is not null").select("a", "b").distinct(), found.filter("sign is not null").select("sign").distinct()
+        fresh = pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti")
+        links = _confirmed(docs, signed, fresh, words, percent)
+        if not links.isEmpty():  # earlier components stand for the links that made them
+            labels = materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links)), "labels")
+        if left.isEmpty():
+            break
+        rows, tested, most = rows.join(left, "sign", "left_semi"), pairs if tested is None else tested.union(fresh), MORE * most
     named = classes.join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     joined = base.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(named, "digest", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))
@@ -372,14 +369,23 @@ def _whole_sets(docs: DataFrame, keep: bytes, words: int) -> DataFrame:
             ids = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             at = _slots(ids)
             hit = np.flatnonzero((bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1))
-            rows = []
-            for key, text in zip(ids[hit].tolist(), batch.column(1).take(pa.array(hit)).to_pylist()):
-                found = shingle_hashes(text, words).tobytes()
-                mark = (key, hashlib.blake2b(found, digest_size=16).digest())
+            rows, held = [], 0
+            for at in hit.tolist():
+                found = shingle_hashes(batch.column(1)[at].as_py(), words).tobytes()
+                mark = (int(ids[at]), hashlib.blake2b(found, digest_size=16).digest())
                 if mark not in seen:
                     seen.add(mark)
-                    rows.append((key, found))
+                    rows.append((mark[0], found))
+                    held += len(found)
+                if held > SLICE:
+                    yield _set_batch(rows)
+                    rows, held = [], 0
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())], ["id", "shingles"])
+                yield _set_batch(rows)
+            pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "id long, shingles binary")
+
+
+def _set_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([k for k, _ in rows], pa.int64()), pa.array([s for _, s in rows], pa.binary())], ["id", "shingles"])

@@ -221,11 +221,12 @@ def made_texts(n, seed):
     return texts
 
 
-@pytest.mark.parametrize("first,block", [((2, 8), 2048), ((1,), 4)])
+@pytest.mark.parametrize("first,block", [(8, 2048), (1, 4)])
 def test_join_equals_brute_force(spark, monkeypatch, first, block):
-    monkeypatch.setattr(partenum, "ROUNDS", first)
+    monkeypatch.setattr(partenum, "FIRST", first)
+    monkeypatch.setattr(partenum, "MORE", 2)
     monkeypatch.setattr(minhash, "BLOCK", block)
-    texts = made_texts(260, len(first))
+    texts = made_texts(260, first)
     want = plain_components({i: minhash.shingle_hashes(t, 4) for i, t in texts.items()}, 85)
     got = partenum.similar_sets(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(6))
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
