@@ -47,7 +47,7 @@ SLICE = 4 << 20  # bytes of signatures in one record batch
 SORTED_ROWS = 2_000_000  # signatures that one task of a sorted order holds (24 bytes each)
 CELL_ROWS = 250_000  # rows with sketches that one task of the cells holds
 
-BASE = "doc_id long, n_shingles long, digest binary, sketch binary, first binary, signatures binary"
+BASE = "doc_id long, n_shingles long, digest binary, sketch binary, bits binary, first binary, signatures binary"
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93))
 
 
@@ -132,13 +132,30 @@ def set_signatures(hashes: np.ndarray, percent: int) -> tuple[np.ndarray, np.nda
     return np.concatenate([f[:FIRST] for f in found]), np.concatenate(found)
 
 
+def fine_sketch(hashes: np.ndarray) -> bytes:
+    """Whether an odd number of shingles falls on each of 1024 or more bits, at least one a shingle: a short sketch is full for sets of some thousands."""
+    width = max(SKETCH, 1 << max(len(hashes) - 1, 0).bit_length())
+    odd = np.bincount((hashes >> np.uint64(40)).astype(np.int64) % width, minlength=width) & 1
+    return np.packbits(odd.astype(bool)).tobytes()
+
+
+def least_differences(a: bytes, b: bytes) -> int:
+    """A lower bound of the shingles in which two sets differ, from their fine sketches; the longer is folded to the shorter's width."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) < len(y) else (y, x)
+        half = len(y) // 2
+        y = y[:half] ^ y[half:]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
+
+
 def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """doc_id, set size, digest, and sketch and signatures for the first row of a class in a task. Texts are read once and never shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # classes of this task's rows
         names = [c.split()[0] for c in BASE.split(", ")]
-        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 4]
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
 
         def packed(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
@@ -147,12 +164,12 @@ def signed_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
             rows, held = [], 0
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 h = shingle_hashes(text.as_py(), words)
-                digest, bits, first, signs = hashlib.blake2b(h.tobytes(), digest_size=16).digest(), None, None, None
+                digest, short, bits, first, signs = hashlib.blake2b(h.tobytes(), digest_size=16).digest(), None, None, None, None
                 if len(h) and doc_id is not None and digest not in seen:
                     seen.add(digest)
-                    bits, (first, signs) = sketch(h).tobytes(), (x.tobytes() for x in set_signatures(h, percent))
+                    short, bits, (first, signs) = sketch(h).tobytes(), fine_sketch(h), (x.tobytes() for x in set_signatures(h, percent))
                     held += len(signs)
-                rows.append((doc_id, len(h), digest, bits, first, signs))
+                rows.append((doc_id, len(h), digest, short, bits, first, signs))
                 if held > SLICE:
                     yield packed(rows)
                     rows, held = [], 0
@@ -340,9 +357,9 @@ def _dealt(rows: DataFrame, signed: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough; sketches go before, and only the texts of candidates are read."""
-    bits = signed.select("id", "n_shingles", "sketch")
-    left, right = (bits.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("sketch").alias(f"sketch_{c}")) for c in ("a", "b"))
-    possible = pairs.distinct().join(left, "a").join(right, "b").filter(_possible("sketch_a", "sketch_b", "n_a", "n_b", F.lit(percent)))
+    bits = signed.select("id", "n_shingles", "bits")
+    left, right = (bits.select(F.col("id").alias(c), F.col("n_shingles").alias(f"n_{c}"), F.col("bits").alias(f"bits_{c}")) for c in ("a", "b"))
+    possible = pairs.distinct().join(left, "a").join(right, "b").filter(_possible("bits_a", "bits_b", "n_a", "n_b", F.lit(percent)))
     pairs = materialise(possible.select("a", "b").distinct(), "possible")
     if pairs.isEmpty():
         return pairs
@@ -351,11 +368,7 @@ def _confirmed(docs: DataFrame, signed: DataFrame, pairs: DataFrame, words: int,
 
 @F.pandas_udf(T.BooleanType())
 def _possible(a: pd.Series, b: pd.Series, n_a: pd.Series, n_b: pd.Series, percent: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype=bool)
-    sketches = np.frombuffer(b"".join([*a, *b]), np.uint64).reshape(2 * len(a), SKETCH // 64)
-    n, at = np.concatenate([n_a.to_numpy(np.int64), n_b.to_numpy(np.int64)]), np.arange(len(a))
-    return pd.Series(_alike(sketches, n, at, at + len(a), int(percent.iloc[0])))
+    return pd.Series([least_differences(x, y) * (100 + p) <= (i + j) * (100 - p) for x, y, i, j, p in zip(a, b, n_a, n_b, percent)], dtype=bool)
 
 
 def _whole_sets(docs: DataFrame, keep: bytes, words: int) -> DataFrame:

@@ -186,6 +186,16 @@ def test_hollow_sets_share_a_signature(monkeypatch, attempts):
         assert len(np.intersect1d(partenum.set_signatures(a, 85)[1], partenum.set_signatures(a[1:], 85)[1]))
 
 
+def test_fine_sketches_bound_differences():
+    rng = np.random.default_rng(4)
+    for n, m in ((50, 60), (900, 1100), (1000, 5000), (5000, 5200), (9000, 9000)):
+        a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.r_[a[: n - n // 10], rng.integers(0, 1 << 63, m - n + n // 10, dtype=np.uint64)])
+        differ = len(np.setxor1d(a, b))
+        assert differ // 3 < partenum.least_differences(partenum.fine_sketch(a), partenum.fine_sketch(b)) <= differ
+    assert partenum.least_differences(partenum.fine_sketch(a), partenum.fine_sketch(a)) == 0
+
+
 def plain_components(sets, percent):
     ids, parent = sorted(sets), {i: i for i in sets}
 
