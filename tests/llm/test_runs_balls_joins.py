@@ -188,7 +188,7 @@ def test_hollow_sets_share_a_signature(monkeypatch, attempts):
 
 def test_fine_sketches_bound_differences():
     rng = np.random.default_rng(4)
-    for n, m in ((50, 60), (900, 1100), (1000, 5000), (5000, 5200), (9000, 9000)):
+    for n, m in ((50, 60), (900, 1100), (1000, 1150), (5000, 5200), (9000, 9000)):
         a = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
         b = np.unique(np.r_[a[: n - n // 10], rng.integers(0, 1 << 63, m - n + n // 10, dtype=np.uint64)])
         differ = len(np.setxor1d(a, b))
