@@ -46,7 +46,7 @@ def heading_key(heading: str) -> str:
 
 
 def read_form(rows: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
-    """Form columns by their aliases in order of priority, then by the field's own name; absent fields are blank, ids upper case, pos the row's place if given.
+    """Form columns by their aliases in order of priority, and by nothing else; absent fields are blank, ids upper case, pos the row's place if given.
 
     Headings that compare equal fail, whether a field wants them or not.
     """
@@ -57,7 +57,7 @@ def read_form(rows: DataFrame, aliases: dict[str, list[str]]) -> DataFrame:
         raise DataError(f"ambiguous headings: {twice}")
     picked: list[Column] = []
     for field, names in aliases.items():
-        found = next((by_key[heading_key(n)] for n in [*names, field] if heading_key(n) in by_key), None)
+        found = next((by_key[heading_key(n)] for n in names if heading_key(n) in by_key), None)
         value = F.trim(F.coalesce(F.col(f"`{found[0]}`").cast("string"), F.lit(""))) if found else F.lit("")
         picked.append((F.upper(value) if field == "application_id" else value).alias(field))
     return rows.select(*picked, *(["pos"] if "pos" in rows.columns and "pos" not in aliases else []))

@@ -23,24 +23,28 @@ def render_letter(template: str, values: dict[str, str]) -> str:
     return template
 
 
-def render_letters(assignments: DataFrame, template: str, paragraph: str, filer: dict[str, str], config: dict[str, str] | None = None) -> DataFrame:
+def render_letters(assignments: DataFrame, template: str, paragraph: str, filer: dict[str, str], config: dict[str, str] | None = None, own_fields: bool = False) -> DataFrame:
     """assignments with `letter`. Fields are the assignment's columns, `authority` for its office, the filer's and the batch's values (period_start, period_end, fee);
     `treatment_paragraph` and `legal_salience` are the paragraph, in the treated arm only. Missing columns and null values fail.
+
+    Fields are replaced in the order in which the template has them, so a field that a value brings along is replaced if its turn comes later. The paragraph is a value like
+    others; with own_fields its fields are replaced before it is put in.
     """
     treated = ("treatment_paragraph", "legal_salience")
     given = {k: str(v) for k, v in {**(config or {}), **filer}.items() if v is not None}
-    wanted = [n for n in dict.fromkeys(FIELD.findall(template) + FIELD.findall(paragraph)) if n not in treated]
+    wanted = [n for n in dict.fromkeys(FIELD.findall(template) + (FIELD.findall(paragraph) if own_fields else [])) if n not in treated]
     source = {n: "office_name" if n == "authority" and n not in assignments.columns else n for n in wanted}
     columns = {n: F.col(c).cast("string") for n, c in source.items() if n not in given and c in assignments.columns}
     if missing := [n for n in wanted if n not in columns and n not in given]:
         raise DataError(f"missing template field {missing[0]}")
-    text = F.when(F.col("treatment") == "legal_salience", F.lit(paragraph)).otherwise(F.lit(""))
-    values = {**{n: text for n in treated}, **columns, **{n: F.lit(given[n]) for n in wanted if n in given}}
+    plain = {**columns, **{n: F.lit(given[n]) for n in wanted if n in given}}
+    inserted = render(F.lit(paragraph), {n: plain[n] for n in dict.fromkeys(FIELD.findall(paragraph)) if n in plain}) if own_fields else F.lit(paragraph)
+    text = F.when(F.col("treatment") == "legal_salience", inserted).otherwise(F.lit(""))
     lacking = F.lit(False)
     for column in columns.values():
         lacking = lacking | column.isNull()
     assert_empty(assignments.filter(lacking).select("application_id"), "missing template value")
-    return assignments.withColumn("letter", render(F.lit(template), values))
+    return assignments.withColumn("letter", render(F.lit(template), {n: text if n in treated else plain[n] for n in dict.fromkeys(FIELD.findall(template))}))
 
 
 def write_letters(letters: DataFrame, path: str) -> None:

@@ -56,7 +56,7 @@ def private_findings(files: DataFrame, manifest: DataFrame) -> DataFrame:
     searched = F.col("__known").isNull() & F.col("path").rlike(SEARCHED) & ~F.col("path").startswith("renv/")
     checks: list[tuple[str, Column]] = [
         ("private path", F.col("path").rlike(PRIVATE_PATH)),
-        ("populated private column", searched & F.col("path").endswith(".csv") & populated_private_column(F.col("text"))),
+        ("populated private column", populated_private_column(F.when(searched & F.col("path").endswith(".csv"), F.col("text")))),
         ("contact details", searched & has_contact_details("text")),
         ("registration number", searched & F.coalesce(F.col("text").rlike(REGISTRATION), F.lit(False))),
     ]
@@ -71,9 +71,9 @@ def populated_private_column(text: Column) -> Column:
     def populated(texts: pd.Series) -> pd.Series:
         return pd.Series([_has_private_value(t) for t in texts], dtype=bool)
 
-    # Only texts that name such a column are parsed.
+    # Only texts that name such a column are parsed: a Python function sees every row, so the others reach it as null.
     named = reduce(lambda a, b: a | b, [text.contains(c) for c in PRIVATE_COLUMNS])
-    return F.coalesce(F.when(named, populated(text)), F.lit(False))
+    return F.coalesce(populated(F.when(named, text)), F.lit(False))
 
 
 def _has_private_value(text: str | None) -> bool:

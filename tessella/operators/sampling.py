@@ -8,11 +8,12 @@ from itertools import product
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessella.functions.text import application_id
 from tessella.operators.allocate import apportion, apportion_once, apportion_table
 from tessella.operators.keys import DataError, assert_empty, assert_key, next_sequence
-from tessella.sources.shared import counted, written
+from tessella.sources.shared import local_table, written
 
 
 def draw_hash(seed: int, stage: str, key: Column | str) -> Column:
@@ -20,31 +21,55 @@ def draw_hash(seed: int, stage: str, key: Column | str) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(str(seed)), F.lit(stage), (F.col(key) if isinstance(key, str) else key).cast("string")), 256)
 
 
-def sample_rows(rows: DataFrame, n: int, seed: int, key: str, stage: str = "select") -> DataFrame:
-    """Exactly n rows without replacement; fails where there are fewer."""
-    if n < 0 or rows.limit(n).count() < n:
-        raise DataError("sample larger than the frame")
-    return rows.orderBy(draw_hash(seed, stage, key), key).limit(n)
+RANKED = 100_000  # rows that one window ranks at most
+DIGITS = 3  # hexadecimal digits by which a histogram gets finer in a pass: 4096 bins
 
 
-MAP_SIDE_RANK = 1000  # Spark keeps the first rows of a group on the map side up to this number
-SALTS = 256
+def sample_rows(rows: DataFrame, n: int, seed: int, key: str, stage: str = "select") -> DataFrame:
+    """Exactly n rows without replacement; fails where there are fewer. The n smallest hashes are told by a histogram, so no task sorts them all."""
+    if n < 0 or rows.count() < n:
+        raise DataError("sample larger than the frame")
+    quota = local_table(rows.sparkSession, [(0, n)], T.StructType([T.StructField("__all", T.IntegerType()), T.StructField("allocated", T.LongType())]))
+    return sample_per_group(rows.withColumn("__all", F.lit(0)), quota, "__all", seed, key, stage).select(rows.columns)
 
 
 def sample_per_group(rows: DataFrame, quotas: DataFrame, group: str | list[str], seed: int, key: str, stage: str = "select") -> DataFrame:
     """Simple random samples within groups; quotas holds the group's columns and `allocated`.
 
-    No task ranks a whole group: with small quotas each map task passes on no more rows of a group than the largest quota (a constant bound on
-    row_number), with large ones each of SALTS parts of a group does.
+    A group's sample are the rows of smallest hashes. No task ranks a whole group: rows are counted by group and hash prefix, running counts tell the prefix at which the
+    quota is met, rows of smaller prefixes are taken unseen and only those of that prefix are ranked, at most RANKED (unless one key repeats more often). Groups of so few
+    rows are ranked as they are.
     """
     by = [group] if isinstance(group, str) else group
-    most = quotas.agg(F.max("allocated")).first()[0] or 0
     hashed = rows.withColumn("__hash", draw_hash(seed, stage, key))
-    if most >= MAP_SIDE_RANK:
-        part = Window.partitionBy(*by, F.pmod(F.xxhash64(key), F.lit(SALTS))).orderBy("__hash", key)
-        hashed = hashed.withColumn("__part", F.row_number().over(part)).filter(F.col("__part") <= most).drop("__part")
-    first = hashed.withColumn("__place", F.row_number().over(Window.partitionBy(*by).orderBy("__hash", key))).filter(F.col("__place") <= most)
-    return first.join(quotas.select(*by, "allocated"), by).filter("__place <= allocated").select(rows.columns)
+    sized = rows.groupBy(*by).agg(F.count("*").alias("__size")).join(quotas.select(*by, F.col("allocated").cast("long").alias("__left")), by).filter("__left > 0")
+    # __prefix: where the quota is met (at first the whole group); __left: how many rows of that prefix belong to the sample.
+    cuts, digits = written(sized.select(*by, F.lit("").alias("__prefix"), "__size", "__left"), "cuts"), 0
+    facts = cuts.agg(F.max("__size"), F.max("__left")).first()
+    while (facts[0] or 0) > RANKED and digits < 64:
+        digits += DIGITS
+        cuts = written(_finer(hashed, cuts, by, digits), "cuts")
+        facts = cuts.agg(F.max("__size"), F.max("__left")).first()
+    prefix = F.expr("substring(__hash, 1, length(__prefix))")
+    joined = hashed.join(cuts.drop("__size"), by)
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("__hash", key))
+    # The constant bound lets map tasks pass on no more rows of a group than the largest quota.
+    ranked = joined.filter(prefix == F.col("__prefix")).withColumn("__place", place).filter(F.col("__place") <= (facts[1] or 0)).filter("__place <= __left").select(rows.columns)
+    return ranked if not digits else ranked.union(joined.filter(prefix < F.col("__prefix")).select(rows.columns))
+
+
+def _finer(hashed: DataFrame, cuts: DataFrame, by: list[str], digits: int) -> DataFrame:
+    """cuts with prefixes of so many digits where a prefix has over RANKED rows: a histogram of those rows only, of at most 16 ** DIGITS bins a group."""
+    wide = cuts.filter(F.col("__size") > RANKED)
+    inside = hashed.join(wide.select(*by, "__prefix", "__left"), by).filter(F.expr("substring(__hash, 1, length(__prefix))") == F.col("__prefix"))
+    bins = inside.groupBy(*by, F.substring("__hash", 1, digits).alias("__bin")).agg(F.count("*").alias("__rows"), F.max("__left").alias("__left"))
+    upto = F.sum("__rows").over(Window.partitionBy(*by).orderBy("__bin").rowsBetween(Window.unboundedPreceding, 0))
+    met = bins.withColumn("__upto", upto).filter("__upto >= __left and __upto - __rows < __left")
+    finer = met.select(*by, F.col("__bin").alias("__prefix"), F.col("__rows").alias("__size"), (F.col("__left") - F.col("__upto") + F.col("__rows")).alias("__left"))
+    # A quota beyond the group takes all of it: a prefix after every digit.
+    whole = bins.groupBy(*by).agg(F.sum("__rows").alias("__rows"), F.max("__left").alias("__left")).filter("__rows < __left")
+    none = F.lit(0).cast("long")
+    return cuts.filter(F.col("__size") <= RANKED).unionByName(finer).unionByName(whole.select(*by, F.lit("g").alias("__prefix"), none.alias("__size"), none.alias("__left")))
 
 
 def stratum(blocks: list[str]) -> Column:
@@ -131,10 +156,7 @@ def _by_tiers(frame: DataFrame, design: Design, seed: int, key: str) -> DataFram
     if not more:
         return chosen
     pool = frame.filter(F.col(tier) == design.refill_tier).join(chosen.select(key), key, "left_anti").select(frame.columns)
-    refill, found = counted(pool.orderBy(draw_hash(seed, "refill", key), key).limit(more), "tier-refill")
-    if found < more:
-        raise DataError("sample larger than the frame")
-    return chosen.union(refill)
+    return chosen.union(sample_rows(pool, more, seed, key, "refill"))
 
 
 STAMPED = ("template_version", "language", "channel")

@@ -317,7 +317,7 @@ def _form_rows(spark, sf_dir) -> DataFrame:
     return e.select(F.col("event_id").alias("pos"), F.date_format("ts", "yyyy-MM-dd HH:mm").alias("TIMESTAMP"), F.concat(F.lit(" u-"), F.col("user_id").cast("string")).alias("Application  ID"), said.alias("What happened?"))
 
 
-FORM = {"timestamp": [], "application_id": ["Application ID"], "event_type": ["What happened"], "medium": ["Medium"]}
+FORM = {"timestamp": ["Timestamp"], "application_id": ["Application ID"], "event_type": ["What happened"], "medium": ["Medium"]}
 FORM_SQL = "select event_id as pos, strftime(ts, '%Y-%m-%d %H:%M') as timestamp, 'U-' || user_id as application_id, upper(replace(event_type, '_', ' - ')) || '.' as event_type, '' as medium from events"
 
 
@@ -459,7 +459,7 @@ def register_conflicts(spark, sf_dir):
 def render_letters(spark, sf_dir):
     c = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
     a = c.select("c_custkey", F.col("c_name").alias("office_name"), F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("nation"), F.format_string("%.2f", "c_acctbal").alias("balance"), F.col("c_custkey").alias("application_id"), F.when(F.col("c_custkey") % 2 == 0, "legal_salience").otherwise("plain").alias("treatment"))
-    return letters.render_letters(a, LETTER, PARAGRAPH, {"filer_name": "$1 \\1"}).select("c_custkey", "letter")
+    return letters.render_letters(a, LETTER, PARAGRAPH, {"filer_name": "$1 \\1"}, own_fields=True).select("c_custkey", "letter")
 
 
 @query("select 'A-' || c_custkey as application_id, c_name as authority_id, 'b' || c_nationkey as batch_id from customer")

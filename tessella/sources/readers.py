@@ -106,11 +106,11 @@ def select_options(page: Column, name: str = "MinistryId") -> Column:
 
 
 def portal_options(pages: DataFrame, page: str = "html") -> DataFrame:
-    """(office_name, portal_value_id) of the pages' options; of names equal but for case and signs the first in byte order stays."""
+    """(office_name, portal_value_id) of the pages' options; of names equal but for case and signs the first in byte order stays, of equal names the first of a page."""
     found = pages.withColumn("__o", select_options(F.col(page)))
     assert_empty(found.filter("__o is null").select(F.lit(page).alias("page")), "select not found")
-    options = found.select(F.explode("__o").alias("o")).select(F.col("o.label").alias("office_name"), F.col("o.value").alias("portal_value_id"))
-    first = options.groupBy(match_key("office_name").alias("key")).agg(F.min(F.struct("office_name", "portal_value_id")).alias("o"))
+    options = found.select(F.posexplode("__o").alias("place", "o")).select("place", F.col("o.label").alias("office_name"), F.col("o.value").alias("portal_value_id"))
+    first = options.groupBy(match_key("office_name").alias("key")).agg(F.min(F.struct("office_name", "place", "portal_value_id")).alias("o"))
     return first.select("o.office_name", "o.portal_value_id")
 
 

@@ -15,18 +15,20 @@ from pyspark.sql.pandas.types import to_arrow_type
 from tessella.operators.keys import DataError
 
 
+_FOLDERS: dict[str, str] = {}  # temporary folders of local sessions without the setting, by application
+
+
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir; where that is unset a local session (tests) gets a temporary folder, and a cluster an error."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
+        set_dir, app = spark.sparkContext._jsc.sc().getCheckpointDir(), spark.sparkContext.applicationId
         if set_dir.isDefined():
             found = set_dir.get()
-        elif spark.sparkContext.master.startswith("local"):
-            found = tempfile.mkdtemp(prefix="tessella-")
+        elif spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+            found = _FOLDERS[app] = _FOLDERS.get(app) or tempfile.mkdtemp(prefix="tessella-")
         else:
             raise DataError("spark.checkpoint.dir must name a folder that driver and executors share")
-        spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 

@@ -91,8 +91,25 @@ def test_samples_by_large_quotas_are_the_same(spark, monkeypatch):
     quotas = spark.createDataFrame([("A", 7), ("B", 3)], "dept_group string, allocated long")
     pick = lambda: {r["authority_id"] for r in sampling.sample_per_group(rows, quotas, "dept_group", 5, "authority_id").collect()}
     small = pick()
-    monkeypatch.setattr(sampling, "MAP_SIDE_RANK", 1)
-    assert pick() == small and len(small) == 10
+    assert len(small) == 10
+    for ranked, digits in ((1, 3), (3, 1), (20, 1)):
+        monkeypatch.setattr(sampling, "RANKED", ranked)
+        monkeypatch.setattr(sampling, "DIGITS", digits)
+        assert pick() == small
+    whole = spark.createDataFrame([("A", 10_000), ("B", 0)], "dept_group string, allocated long")
+    assert sampling.sample_per_group(rows, whole, "dept_group", 5, "authority_id").count() == rows.filter("dept_group = 'A'").count()
+
+
+def test_a_stratum_of_millions_is_not_ranked(spark):
+    """Half of one stratum is drawn; the ranked rows are those of one of 4096 hash prefixes."""
+    rows = spark.range(3_000_000).select(F.col("id").alias("k"), F.lit("s").alias("g"))
+    quotas = spark.createDataFrame([("s", 1_500_000)], "g string, allocated long")
+    drawn = sampling.sample_per_group(rows, quotas, "g", 5, "k")
+    assert drawn.count() == 1_500_000
+    ends = rows.select(F.when(F.col("k").isNotNull(), sampling.draw_hash(5, "select", "k")).alias("h"), "k")
+    cut = ends.join(drawn.select("k"), "k", "left_anti").agg(F.min("h")).first()[0]
+    assert ends.join(drawn.select("k"), "k").agg(F.max("h")).first()[0] < cut
+    assert sampling.sample_rows(rows, 1_000_000, 5, "k").count() == 1_000_000
 
 
 def test_table_digests(spark):
@@ -236,16 +253,17 @@ def test_states_without_response_period_fail(spark):
     assert intake.apply_form(intake_state(spark), unfiled, "filing", rules(spark).filter("state = 'TN'"), VOCABULARY).submissions.count() == 1
 
 
-def test_aliases_come_before_the_field_name(spark):
+def test_only_aliases_name_a_field(spark):
     raw = spark.createDataFrame([("own", "alias", "x")], "medium string, `How sent` string, other string")
     assert intake.read_form(raw, {"medium": ["How sent"]}).first()["medium"] == "alias"
+    assert intake.read_form(raw, {"medium": ["Remarks"]}).first()["medium"] == ""
     with pytest.raises(DataError, match="ambiguous"):
         intake.read_form(raw.withColumn("OTHER!", F.lit("")), {"medium": ["How sent"]})
 
 
 def test_updates_and_sync(spark):
     raw = spark.createDataFrame([("a", " tn-001 ", "Response received", "2026-01-05", "Email", 0), ("b", "TN-001", "acknowledgment", "", "", 1)], "Timestamp string, `Application ID` string, `What happened` string, Date string, Medium string, pos long")
-    rows = intake.read_form(raw, {"timestamp": [], "application_id": ["Application ID"], "event_type": ["What happened"], "event_date": ["Date"], "medium": [], "notes": []})
+    rows = intake.read_form(raw, {"timestamp": ["Timestamp"], "application_id": ["Application ID"], "event_type": ["What happened"], "event_date": ["Date"], "medium": ["Medium"], "notes": []})
     state = intake_state(spark)
     done = intake.apply_form(state, rows, "update", rules(spark), VOCABULARY, ["acknowledgment"])
     assert [(r["event_id"], r["event_type"], r["direction"], r["recorded_at"]) for r in done.events.orderBy("event_id").collect()] == [("1", "response_received", "inbound", "a"), ("2", "acknowledgment", "outbound", "b")]
@@ -332,6 +350,8 @@ def test_letters(spark, tmp_path):
     assert (tmp_path / "x" / "A-2.txt").read_text() == "To O. Law. Me"
     batch = letters.render_letters(a, "{authority}, {period_start} to {period_end}: {fee}.{legal_salience}", " Law.", {}, {"period_start": "1 May", "period_end": "9 May", "fee": 10})
     assert {r["letter"] for r in batch.collect()} == {"O, 1 May to 9 May: 10.", "O, 1 May to 9 May: 10. Law."}
+    braces = letters.render_letters(a.filter("treatment = 'legal_salience'"), "{one}{legal_salience}{two}", "<{one}{two}{three}>", {"one": "{two}{legal_salience}", "two": "2"})
+    assert braces.first()["letter"] == letters.render_letter("{one}{legal_salience}{two}", {"one": "{two}{legal_salience}", "two": "2", "legal_salience": "<{one}{two}{three}>"}) == "2<{one}2{three}><{one}2{three}>2"
     with pytest.raises(DataError, match="missing"):
         letters.render_letters(a, "{nobody}", "", {})
     with pytest.raises(DataError, match="missing"):
@@ -369,6 +389,8 @@ def test_csv_and_json(spark, tmp_path):
         readers.read_json_names(spark, str(tmp_path / "out"))
     options = '<select id="MinistryId"><option value="0">--Select--</option><option value="2">b &amp; c</option><option value="1">B &amp; C</option><option value="">x</option></select>'
     assert [tuple(r) for r in readers.portal_options(spark.createDataFrame([(options,)], "html string")).collect()] == [("B &amp; C", "1")]
+    twice = '<select name="MinistryId"><option value="9">Same</option><option value="10">Same</option></select>'
+    assert [tuple(r) for r in readers.portal_options(spark.createDataFrame([(twice,)], "html string")).collect()] == [("Same", "9")]
     with pytest.raises(DataError, match="select"):
         readers.portal_options(spark.createDataFrame([("<p>",)], "html string"))
     assert [r[0] for r in readers.portal_rows(spark.createDataFrame([("<table><tr><th>n<th>x</tr><tr><td>1</td><td> A  B</td></tr></table>",)], "html string")).collect()] == ["A B"]
