@@ -62,7 +62,7 @@ def ingest(spark: SparkSession, state: str, issued: str, form: str, export: str,
     words = {k: intake.choice_map(v["values"], v.get("labels", {}), v.get("extra")) for k, v in c["vocabulary"].items()}
     done = intake.apply_form(now, intake.read_form(raw, c["forms"][form]), form, rules, words, c.get("outbound", []))
     before = now.submissions.count()
-    store.save({"applications": done.applications, "events": done.events, "submissions": done.submissions})
+    store.save({"applications": done.applications, "events": done.events, "submissions": done.submissions}, intake.STATE_KEYS)
     return store.load()["submissions"].count() - before
 
 
@@ -82,7 +82,7 @@ def collect(spark: SparkSession, url: str, state: str, fetch=readers.fetch_porta
     store = readers.VersionedState(spark, f"{state}/nodes")
 
     def save(nodes):
-        store.save({"nodes": nodes})
+        store.save({"nodes": nodes}, {"nodes": ["node_id"]})
         return store.load()["nodes"]
 
     start = store.load()["nodes"] if store.version() else tree.start_crawl(spark, url)

@@ -28,6 +28,9 @@ class Intake:
     submissions: DataFrame
 
 
+STATE_KEYS = {"applications": ["application_id"], "events": ["event_id"], "submissions": ["source_row_id"]}  # by which a state's changes are told
+
+
 def blank_table(spark: SparkSession, columns: list[str]) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"`{c}` string" for c in columns))
 

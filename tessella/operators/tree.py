@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessella.functions.text import hash_text
 from tessella.operators.keys import DataError, one_of_each
 from tessella.sources.readers import OFFICE_SCHEMA, office_rows
-from tessella.sources.shared import counted, exists, get_text, put_text
+from tessella.sources.shared import counted, exists, get_text, put_text, written
 
 CRAWL_SCHEMA = "node_id string, parent_id string, office_name string, address string, depth int, path string, url string, is_leaf boolean, fetched boolean"
 
@@ -29,24 +29,30 @@ def node_id(parent_id: Column, name: Column, address: Column, path: Column, is_l
 
 
 def closure(edges: DataFrame, root: str = "", separator: str = " > ") -> DataFrame:
-    """(node, depth, path) of the tree of (node, parent, name): one join a level, each level written once, down to the last.
+    """(node, depth, path) of the tree of (node, parent, name), by pointer doubling.
 
-    A node with two parents, and nodes that no root leads to (a cycle, or a missing parent), fail.
+    Every node points to an ancestor and holds the names down from it; in a round its pointer jumps to where its ancestor points, so that a chain of n nodes takes log2(n)
+    rounds, each one join and one write. A node with two parents, and nodes that no root leads to (a cycle, or a missing parent), fail: a round that brings no node to its root.
     """
     sizes = edges.groupBy("node").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.max_by("node", "n").alias("node")).first()
     if (sizes["most"] or 0) > 1:
         raise DataError(f"edges: duplicate key {sizes['node']}")
-    level, size = counted(edges.filter(F.coalesce("parent", F.lit("")) == root).select("node", F.lit(0).alias("depth"), F.col("name").alias("path")), "level")
-    levels, total = [level], size
-    while size and total < sizes["rows"]:
-        above = level.select(F.col("node").alias("parent"), F.col("path").alias("__path"), "depth")
-        below = edges.join(above, "parent").select("node", (F.col("depth") + 1).alias("depth"), F.concat("__path", F.lit(separator), "name").alias("path"))
-        level, size = counted(below, "level")
-        levels.append(level)
-        total += size
-    if total < (sizes["rows"] or 0):
-        raise DataError(f"{sizes['rows'] - total} nodes without a root above them")
-    return reduce(lambda a, b: a.union(b), levels)
+    parent = F.coalesce("parent", F.lit(""))
+    top = parent == root
+    pointers, total = counted(edges.select("node", F.when(~top, parent).alias("up"), F.when(top, 0).otherwise(1).alias("depth"), F.col("name").alias("path")), "pointers")
+    done, left = [pointers.filter("up is null")], pointers.filter("up is not null")
+    open_ = left.count()
+    while open_:
+        above = reduce(lambda a, b: a.union(b), [*done, left]).select(F.col("node").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__depth"), F.col("path").alias("__path"))
+        jumped = left.join(above, "up").select("node", F.col("__up").alias("up"), (F.col("depth") + F.col("__depth")).alias("depth"), F.concat("__path", F.lit(separator), "path").alias("path"))
+        pointers = written(jumped, "pointers")
+        still = pointers.filter("up is not null").count()
+        found = pointers.count() - still
+        if not found or found + still < open_:
+            raise DataError(f"{open_ - found} nodes without a root above them")
+        done.append(pointers.filter("up is null"))
+        left, open_ = pointers.filter("up is not null"), still
+    return reduce(lambda a, b: a.union(b), done).select("node", "depth", "path")
 
 
 def start_crawl(spark: SparkSession, url: str, name: str = "") -> DataFrame:

@@ -321,6 +321,16 @@ FORM = {"timestamp": ["Timestamp"], "application_id": ["Application ID"], "event
 FORM_SQL = "select event_id as pos, strftime(ts, '%Y-%m-%d %H:%M') as timestamp, 'U-' || user_id as application_id, upper(replace(event_type, '_', ' - ')) || '.' as event_type, '' as medium from events"
 
 
+@query(
+    "with s as (select 'u' || user_id || '-' || event_type as source_row_id, sha256(props) as payload, ts, event_id from events), f as (select source_row_id, arg_min(payload, (ts, event_id)) as first_payload from s group by 1) "
+    "select source_row_id, first_payload, payload from s join f using (source_row_id) where payload != first_payload"
+)
+def payload_conflicts(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    s = e.select(F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-"), "event_type").alias("source_row_id"), F.sha2("props", 256).alias("payload_sha256"), "ts", "event_id")
+    return intake_stream.payload_conflicts(s, ["ts", "event_id"])
+
+
 @query(FORM_SQL)
 def form_alias_read(spark, sf_dir):
     return intake.read_form(_form_rows(spark, sf_dir), FORM)

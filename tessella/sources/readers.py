@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from tessella.functions.text import OPTION, SELECT, match_key, normalize_text
 from tessella.operators.keys import DataError, assert_empty
-from tessella.sources.shared import children, put_text, qualified
+from tessella.sources.shared import qualified
+from tessella.sources.state import VersionedState  # noqa: F401  where it was before
 
 
 def read_csv_text(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
@@ -259,32 +260,3 @@ def read_yaml(path: str) -> dict:
 
     with open(path) as file:
         return yaml.safe_load(file)
-
-
-class VersionedState:
-    """Tables as versions of Parquet folders, in any file system; a version counts once its mark is there, and the latest one is the state.
-
-    The mark is made in one step and never replaced: of two writers of one version the second fails.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
-
-    def version(self) -> int:
-        """The latest complete version, 0 without any."""
-        found = [int(n[5:-5]) for n in children(self.spark, self.root) if re.fullmatch("done=[0-9]+[.]mark", n)]
-        return max(found, default=0)
-
-    def save(self, tables: dict[str, DataFrame]) -> int:
-        """Write every table of the next version, then its mark."""
-        version = self.version() + 1
-        for name, rows in tables.items():
-            rows.write.mode("overwrite").parquet(f"{self.root}/v={version}/{name}")
-        put_text(self.spark, f"{self.root}/done={version}.mark", " ".join(sorted(tables)), overwrite=False)
-        return version
-
-    def load(self) -> dict[str, DataFrame]:
-        version = self.version()
-        if not version:
-            raise DataError(f"no state in {self.root}")
-        return {t: self.spark.read.parquet(f"{self.root}/v={version}/{t}") for t in children(self.spark, f"{self.root}/v={version}")}

@@ -32,7 +32,7 @@ def test_draw_issue_render_ingest(spark, tmp_path):
     assert len(written) == 20 and sum("Law. " in t for t in written) == 6
     readers.write_csv_text(register.filter("batch_id = 'b1'"), str(tmp_path / "register_csv"))
     intake_config = {
-        "statutory_days": {"_default": 30}, "forms": {"filing": {"timestamp": [], "application_id": ["Application ID"], "filing_outcome": ["Outcome"], "not_filed_reason": [], "filing_date": ["Date filed"], "payment_mode": []}},
+        "statutory_days": {"_default": 30}, "forms": {"filing": {"timestamp": ["Timestamp"], "application_id": ["Application ID"], "filing_outcome": ["Outcome"], "not_filed_reason": [], "filing_date": ["Date filed"], "payment_mode": []}},
         "vocabulary": {"filing_outcome": {"values": ["filed", "not_filed"]}, "not_filed_reason": {"values": ["portal_down"]}, "payment_mode": {"values": ["online"]}},
     }
     (tmp_path / "i.yaml").write_text(json.dumps(intake_config))

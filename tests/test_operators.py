@@ -1,6 +1,7 @@
 import hashlib
 import json
 import os
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from tessella.operators import allocate, frames, intake, keys, letters, privacy,
 from tessella.operators.allocate import apportion, apportion_table
 from tessella.operators.keys import DataError
 from tessella.sources import readers
+from tessella.sources import state as state_log
 from tessella.streaming import intake_stream
 
 
@@ -439,6 +441,15 @@ def test_offices_of_nested_tables():
     assert [(o["office_name"], o["address"]) for o in readers.office_rows(page, "https://x.org/")] == [("Head", "Hallxy"), ("Leafxy", "")]
 
 
+def test_closure_of_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    rounds, written = [], tree.written
+    monkeypatch.setattr(tree, "written", lambda df, name: rounds.append(name) or written(df, name))
+    chain = spark.range(10_000).select(F.concat(F.lit("n"), "id").alias("node"), F.when(F.col("id") > 0, F.concat(F.lit("n"), F.col("id") - 1)).alias("parent"), F.lit("x").alias("name"))
+    got = tree.closure(chain.repartition(8), separator="")
+    assert got.agg(F.max("depth"), F.count("*"), F.count_if(F.length("path") == F.col("depth") + 1)).first()[:] == (9_999, 10_000, 10_000)
+    assert len(rounds) <= 20
+
+
 def test_closure_runs_to_the_last_level(spark):
     chain = spark.createDataFrame([(f"n{k}", f"n{k - 1}" if k else "", str(k)) for k in range(6)], "node string, parent string, name string")
     assert {r["depth"] for r in tree.closure(chain).collect()} == set(range(6))
@@ -452,9 +463,47 @@ def test_closure_runs_to_the_last_level(spark):
 def test_state_versions(spark, tmp_path):
     state = readers.VersionedState(spark, str(tmp_path))
     assert state.save({"t": spark.range(3)}) == 1 and state.save({"t": spark.range(5)}) == 2
-    assert state.load()["t"].count() == 5 and os.path.exists(tmp_path / "v=1")
-    spark.range(9).write.parquet(str(tmp_path / "v=3" / "t"))  # a writer that died
-    assert state.version() == 2 and state.save({"t": spark.range(4)}) == 3 and state.load()["t"].count() == 4
+    assert state.load()["t"].count() == 5 and state.load(1)["t"].count() == 3
+    spark.range(9).write.parquet(str(tmp_path / "v=3-dead" / "t"))  # a writer that died
+    (tmp_path / "done=9.mark").write_text('{"t": [')  # a mark that was not finished
+    assert state.version() == 2 and len(state.load()) == 1 and state.save({"t": spark.range(4)}) == 3
+    assert readers.VersionedState(spark, str(tmp_path)).load()["t"].count() == 4
+
+
+def test_a_second_writer_changes_nothing(spark, tmp_path):
+    row = lambda v: {"t": spark.createDataFrame([(1, v)], "k int, v string")}
+    readers.VersionedState(spark, str(tmp_path)).save(row("start"))
+    a, b = readers.VersionedState(spark, str(tmp_path)), readers.VersionedState(spark, str(tmp_path))
+    a.load(), b.load()
+    assert a.save(row("a")) == 2
+    folders = set(os.listdir(tmp_path))
+    with pytest.raises(DataError, match="another writer"):
+        b.save(row("b"))
+    assert set(os.listdir(tmp_path)) == folders
+    c = readers.VersionedState(spark, str(tmp_path))
+    assert c.load()["t"].first()["v"] == "a" and b.load()["t"].first()["v"] == "a" and b.save(row("b")) == 3
+
+
+def test_deltas_hold_changed_rows_only(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state_log, "COMPACT", 2)
+    store = readers.VersionedState(spark, str(tmp_path))
+    want = {k: str(k) for k in range(100)}
+    table = lambda: {"t": spark.createDataFrame(sorted(want.items()), "k int, v string")}
+    store.save(table(), {"t": ["k"]})
+    sizes = []
+    for step in range(4):
+        want[step] = f"changed {step}"
+        want[100 + step] = None
+        del want[50 + step]
+        store.load()
+        version = store.save(table(), {"t": ["k"]})
+        sizes.append(json.loads((tmp_path / f"done={version}.mark").read_text())["t"][-1].get("rows"))
+        assert dict(map(tuple, readers.VersionedState(spark, str(tmp_path)).load()["t"].collect())) == want
+    assert sizes == [3, 3, None, 3]  # the third is a base again
+    store.save(table(), {"t": ["k"]})
+    assert len(json.loads((tmp_path / "done=6.mark").read_text())["t"]) == 2  # nothing changed, nothing written
+    with pytest.raises(DataError, match="duplicate key"):
+        store.save({"t": table()["t"].union(table()["t"])}, {"t": ["k"]})
 
 
 def test_stream_of_forms_and_a_batch_played_again(spark, tmp_path):
@@ -474,6 +523,23 @@ def test_stream_of_forms_and_a_batch_played_again(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def test_conflicts_forget_ids_after_the_horizon(spark, tmp_path):
+    fields = "source_row_id string, payload_sha256 string, at timestamp"
+    day = lambda n: datetime(2026, 1, 1) + timedelta(days=n)
+    batches = [[("a", "1", day(0)), ("b", "1", day(0)), ("a", "2", day(1))], [("c", "1", day(20)), ("b", "2", day(20))], [("d", "1", day(90))], [("a", "3", day(91)), ("e", "1", day(91))], [("d", "2", day(92))]]
+    out, states = [], []
+    (tmp_path / "in").mkdir()
+    stream = spark.readStream.schema(fields).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    for k, rows in enumerate(batches):  # every batch is a run of its own: a restart from the checkpoint
+        spark.createDataFrame(rows, fields).coalesce(1).write.parquet(str(tmp_path / "in" / str(k)))
+        query = intake_stream.run_available(intake_stream.conflict_stream(stream, "at"), lambda d, n: out.extend(map(tuple, d.collect())), str(tmp_path / "check"))
+        states.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert sorted(out) == [("a", "1", "2"), ("b", "1", "2"), ("d", "1", "2")]  # a's first payload is forgotten by day 91
+    assert max(states[:2]) >= 3 and states[-1] < 2 * max(states[:2])
+    rows = spark.createDataFrame(batches[0] + batches[1], fields)
+    assert sorted(map(tuple, intake_stream.payload_conflicts(rows, ["at", "payload_sha256"]).collect())) == [("a", "1", "2"), ("b", "1", "2")]
+
+
 def test_streaming_ledger_and_conflicts(spark, tmp_path):
     rows = [("a", "1"), ("a", "1"), ("a", "2"), ("b", "3")]
     spark.createDataFrame(rows, "source_row_id string, payload_sha256 string").coalesce(1).write.parquet(str(tmp_path / "in"))
