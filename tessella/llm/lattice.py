@@ -10,13 +10,14 @@ Documents are encoded without moving their texts: the relational lattice encodes
 broadcast); in every task they are looked up, and each remaining word (rarer, seen once, or of LONGEST_WORD characters and more) is folded in Python, by merges or by Viterbi, to
 the same ids, once while it is remembered. Sending every word of every document through the join would shuffle more bytes than the texts have (see the README).
 
-Defined cases: null and empty texts have no tokens; a literal space sign (U+2581) is a space, as the library has it, so such a text does not come back; an empty table
+Defined cases: null and empty texts have no tokens; a word of any length takes n * log(n) steps; a literal space sign (U+2581) is a space, as the library has it, so such a text does not come back; an empty table
 gives an empty result. Only doc_id and text are read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,7 @@ LONGEST_WORD = 32  # characters of such a word
 WIDTH = 64  # start * WIDTH + end is an edge's key
 BARE = 8  # the most frequent eighth of them also without the space sign, as they stand after a line feed
 REMEMBERED = 700_000
+HEAPED = 64  # characters of a word from which its merges are found by a heap
 SCHEMA = "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean"
 
 
@@ -167,7 +169,9 @@ def fold_word(word: str, table: PieceTable) -> list[int]:
 
 
 def merged_word(word: str, table: PieceTable) -> list[str]:
-    """Symbols after replaying the merges."""
+    """Symbols after replaying the merges. Longer words than HEAPED take n * log(n) steps by a heap, shorter ones a scan a merge."""
+    if len(word) > HEAPED:
+        return _merged_by_heap(word, table)
     score, none = table.scores.get, float("-inf")
     symbols = list(word)
     pairs = [score(a + b, none) for a, b in zip(symbols, symbols[1:])]  # an edge's score, or none
@@ -185,6 +189,31 @@ def merged_word(word: str, table: PieceTable) -> list[str]:
     return symbols
 
 
+def _merged_by_heap(word: str, table: PieceTable) -> list[str]:
+    """merged_word for words of any length: edges in a heap by score and place. An edge is out of date where its two symbols are longer by now."""
+    score, symbols, after, before = table.scores.get, list(word), list(range(1, len(word) + 1)), list(range(-1, len(word) - 1))
+    edges = [(-found, at, 2) for at, (a, b) in enumerate(zip(word, word[1:])) if (found := score(a + b)) is not None]
+    heapify(edges)
+
+    def push(at: int) -> None:
+        if at >= 0 and after[at] < len(word):
+            pair = symbols[at] + symbols[after[at]]
+            if (found := score(pair)) is not None:
+                heappush(edges, (-found, at, len(pair)))
+
+    while edges:
+        _, at, size = heappop(edges)
+        to = after[at]
+        if not symbols[at] or to >= len(word) or len(symbols[at]) + len(symbols[to]) != size:
+            continue
+        symbols[at], symbols[to], after[at] = symbols[at] + symbols[to], "", after[to]
+        if after[at] < len(word):
+            before[after[at]] = at
+        push(at)
+        push(before[at])
+    return [s for s in symbols if s]
+
+
 def ids_of(symbols: list[str], table: PieceTable) -> list[int]:
     """Ids of pieces, of bytes where a symbol is no piece."""
     out: list[int] = []

@@ -48,7 +48,8 @@ class _Counts(dict):
         if len(self) > REMEMBERED + len(self.whole):
             self.clear()
             self.update(dict.fromkeys(self.whole, 1))
-        self[segment] = n
+        if len(segment) <= 256:  # bounds what is remembered
+            self[segment] = n
         return n
 
 

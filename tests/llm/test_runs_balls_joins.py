@@ -6,9 +6,10 @@ import time
 
 import numpy as np
 import pytest
+import sentencepiece
 from pyspark.sql import functions as F
 
-from tessella.llm import balls, minhash, partenum, periodic, queries
+from tessella.llm import balls, lattice, minhash, partenum, periodic, pieces, queries, token_counts
 
 SF = "/root/testdata/sf0.001"
 
@@ -267,3 +268,42 @@ def test_odd_documents_have_runs(spark):
 def test_rows_match_their_table(spark, name):
     table = "embeddings" if "op12" in name else "documents"
     assert queries.QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
+
+
+# --- long words
+
+
+def long_words(n):
+    rng = random.Random(n)
+    alphabet = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    yield "".join(rng.choice(alphabet) for _ in range(n))
+    yield "".join(rng.choice("aeiourstln") for _ in range(n))
+    yield ("the" * n)[:n]
+    yield "\t".join(str(rng.randrange(10_000)) for _ in range(n // 5))
+    yield "a" * n
+
+
+def test_long_words_encode_as_the_library_has_them():
+    model = pieces.read_model(pieces.model_path())
+    table, tool = pieces.piece_table(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    for n in (65, 300, 3000):
+        for word in long_words(n):
+            assert lattice.fold_word(pieces.SPACE + word, table) == tool.encode(word)
+            assert lattice._merged_by_heap(word[:60], table) == lattice.merged_word(word[:60], table)
+
+
+def test_a_word_of_a_million_characters_takes_seconds():
+    table = pieces.piece_table(pieces.read_model(pieces.model_path()))
+    began = time.time()
+    word = next(long_words(1_000_000))
+    assert "".join(lattice.merged_word(word, table)) == word and time.time() - began < 60
+
+
+def test_long_segments_are_not_remembered():
+    model = pieces.read_model(pieces.model_path())
+    counter, tool = token_counts.TokenCounter(model, token_counts.whole_tokens(model)), sentencepiece.SentencePieceProcessor(model_proto=model)
+    before = len(counter.words) + len(counter.bare)
+    for seed in range(20):
+        text = " ".join(["x", *long_words(5000 + seed)])
+        assert counter(text) == len(tool.encode(text))
+    assert len(counter.words) + len(counter.bare) - before < 10_000 and max(map(len, counter.words)) <= 256
