@@ -12,8 +12,7 @@ empty subsets' signatures as well.
 Documents of equal sets are one class. Each map task makes the signatures of a class once, for the first of its documents there, so that a large group of copies gives
 some rows a task; those documents are linked with their class. Signatures are sorted over ranges. First a few signatures of every set meet their neighbours in the order; the
 candidates are confirmed on the full sets, and components form, so that most of a group of near copies is one component. Then all signatures are sorted, and only buckets with documents of several components go on, dealt over cells of blocks, which no bucket is too large for. In a cell every
-pair of different components is tried by sizes and sketches. One possible pair of two components and task is confirmed first, since one link merges them; rounds go on with
-MORE times as many in the buckets that had others, until no possible pair between components is left out.
+pair of different components is tried by sizes and sketches. One possible pair of two components and task is confirmed first, since one link merges them, in one of PART buckets and then in all; rounds go on with MORE times as many in the buckets that had others, until no possible pair between components is left out.
 
 Defined cases: null and empty texts, and texts without words, have the empty set, 0 shingles, and are linked with nothing; rows sharing a doc_id count as one document
 holding the links of all of them; a null doc_id is linked with nothing; an empty table gives an empty result. Only doc_id and text are read.
@@ -41,6 +40,7 @@ from tessella.sources.shared import counted
 
 FIRST = 8  # signatures of a band whose neighbours the first pass compares
 THREE_PARTS = 24  # differences up to which a group has three parts; two beyond, which makes a third fewer signatures
+PART = 8  # the first round takes one in so many buckets
 MORE = 64  # times as many pairs of two components as in the round before
 ATTEMPTS = 4  # seeds for sets with hollow groups
 SLICE = 4 << 20  # bytes of signatures in one record batch
@@ -319,11 +319,10 @@ def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFram
     labels = materialise(components(copies.union(_shared_ids(live, classes)).union(_confirmed(docs, signed, near, words, percent))), "labels")
     count = signed.agg(F.sum(F.octet_length("signatures") / 8).cast("long")).first()[0] or 0
     rows = materialise(mixed_buckets(signature_rows(with_components(signed, labels)), count).select("sign", "id"), "buckets")
-    tested, most = None, 1
+    # A pair meets in many buckets, so a part of them merges most components before all are gone through.
+    everything, rows, tested, most = rows, rows.filter(F.pmod("sign", F.lit(PART)) == 0), None, 1
     while True:
         narrow, n = counted(_dealt(rows, signed, labels), "cells")
-        if not n:
-            break
         cells = narrow.join(signed.select("id", F.xxhash64("digest").alias("key"), "sketch"), ["id", "key"])
         found = materialise(bucket_pairs(cells, percent, most, max(partitions_of(docs.sparkSession), -(-n // CELL_ROWS))), "pairs")
         pairs, left = found.filter("a is not null").select("a", "b").distinct(), found.filter("sign is not null").select("sign").distinct()
@@ -331,9 +330,13 @@ def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFram
         links = _confirmed(docs, signed, fresh, words, percent)
         if not links.isEmpty():  # earlier components stand for the links that made them
             labels = materialise(components(labels.select(F.col("id").alias("a"), F.col("comp").alias("b")).union(links)), "labels")
+        tested = pairs if tested is None else tested.union(fresh)
+        if everything is not None:
+            rows, everything = everything, None
+            continue
         if left.isEmpty():
             break
-        rows, tested, most = rows.join(left, "sign", "left_semi"), pairs if tested is None else tested.union(fresh), MORE * most
+        rows, most = rows.join(left, "sign", "left_semi"), MORE * most
     named = classes.join(labels, "id", "left").select("digest", F.coalesce("comp", "id").alias("comp"))
     joined = base.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("digest")).alias("digest")).join(named, "digest", "left")
     return joined.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("comp", "doc_id")).alias("component_id"))
