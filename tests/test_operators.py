@@ -1,6 +1,8 @@
 import hashlib
 import json
 import os
+import subprocess
+import sys
 from datetime import datetime, timedelta
 
 import pytest
@@ -551,3 +553,10 @@ def test_streaming_ledger_and_conflicts(spark, tmp_path):
     for _ in range(2):  # a restart processes nothing twice
         intake_stream.run_available(intake_stream.ledger_stream(stream), lambda d, n: kept.extend(d.collect()), str(tmp_path / "c2"))
     assert sorted(r["source_row_id"] for r in kept) == ["a", "b"]
+
+
+def test_a_local_session_without_a_shared_folder(tmp_path):
+    """A session of its own, since this one has the setting."""
+    code = "from tessella.session import build_session\nfrom tessella.sources import shared\ns = build_session('1', 1)\nassert shared.written(s.range(3), 'x').count() == 3 and shared.shared_dir(s) == shared.shared_dir(s)\nprint('fine')"
+    found = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120, env=os.environ | {"TMPDIR": str(tmp_path)}, cwd=tmp_path)
+    assert found.stdout.strip().endswith("fine"), found.stderr[-2000:]
