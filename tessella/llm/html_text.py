@@ -2,7 +2,8 @@
 
 A tolerant parser builds the tree of block elements (inline elements only mark text); scripts, styles, heads, form controls and other elements without
 readable content are left out. Each block element gets features: subtree text, link and tag density, tokens of its and its ancestors' tag, class, id and role,
-phrases of adverts and notices, depth, and statistics of its siblings. Tokens of the page as a whole (on html, body, and containers around the article) say how
+phrases of adverts and notices, how many of its siblings and children say the like (an article on cookies says it throughout, a notice once), whether it stands under a
+heading of readers' comments, depth, and statistics of its siblings. Tokens of the page as a whole (on html, body, and containers around the article) say how
 the page is laid out and not what the element is, so neither these elements nor those below them get them as features; words of a class name after `has`, `no`,
 `with` and the like go as well. The trees give the probability that an element's subtree is article text. Decoding picks the likeliest labelling in which an
 element is kept whole, dropped whole or mixed; below a whole element no descendant can say otherwise.
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 
 from tessella.llm.boosting import BoostedTrees
 
-TRAINING_PAGES = 600
-MIXED = 1.5  # log probability that a mixed element costs
+TRAINING_PAGES = 1200
+MIXED = 1.5  # log probability that a mixed element costs; the page itself, and a layout table around the article, cost none
 
 NAME = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)")
 SPECIAL = re.compile(r"[>\"']")
@@ -40,7 +41,7 @@ TOKEN = re.compile(r"[a-z]+")
 NAMING = frozenset(("class", "id", "role", "itemprop", "aria-label"))
 #: Elements by how the parser treats them.
 RAW = frozenset("script style textarea title xmp noembed noframes iframe".split())
-UNREAD = frozenset("head script style noscript template svg select textarea title button input embed canvas audio video iframe datalist dialog map annotation annotation-xml".split())
+UNREAD = frozenset("head script style template svg select textarea title button input embed canvas audio video iframe datalist dialog map annotation annotation-xml".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr "
@@ -74,7 +75,11 @@ PHRASES = (
     ("cookie", "privacy policy", "terms of use", "terms of service", "datenschutz", "confidentialité", "privacidad"),
     ("advertisement", "sponsored", "buy now", "buy one", "buy yours", "order now", "order yours", "shop now", "free shipping", "limited offer", "special offer", "discount", "% off", "anzeige", "werbung", "publicité", "publicidad"),
     ("subscribe", "sign up", "newsletter", "share this", "follow us", "click here", "read more", "abonnez", "suscríbete", "abonnieren"),
+    ("enable javascript", "requires javascript", "javascript is disabled", "activer javascript", "javascript aktivieren", "activar javascript", "active javascript"),
 )
+#: Words (in lower case) of the headings that readers' comments stand under.
+THREADS = ("comment", "replies", "responses", "reactions", "kommentar", "antworten", "réponses", "comentario", "respuestas")
+THREAD_WORDS = 6  # words of such a heading at most
 #: Words that name the article's own element beyond doubt.
 NAMED = frozenset("articlebody maincontent".split())
 WHOLE = 0.6  # share of the page's text from which a container with a top heading is around the article
@@ -148,6 +153,7 @@ def role_tokens(values: list[str]) -> set[str]:
 
 
 PAGE = frozenset(("#page", "html", "body"))
+TABLE = frozenset(("table", "tbody", "tr"))
 
 
 class Page:
@@ -156,6 +162,7 @@ class Page:
     def __init__(self, source: str):
         self.tag, self.parent, self.depth, self.tokens = ["#page"], [-1], [0], [frozenset()]
         self.runs: list[list] = []
+        self.free = np.zeros(1, bool)  # elements that may be mixed at no cost, told by features()
         stack, links, at, fresh = [0], 0, 0, True
         skip: list[str] = []  # open elements of an unread subtree
         opened: Counter[str] = Counter()  # open elements by name, those of an unread subtree apart
@@ -271,6 +278,7 @@ class Page:
         group = np.zeros((n, len(GROUPS)))
         up_good, up_bad = np.zeros(n), np.zeros(n)
         around = self.around_article(size)
+        self.free = np.array([t in PAGE or a and t in TABLE for t, a in zip(self.tag, around)])
         for k, tokens in enumerate(self.tokens):
             good[k], bad[k] = len(tokens & GOOD), len(tokens & BAD)
             if around[k]:
@@ -300,7 +308,11 @@ class Page:
         headed = np.bincount(up[1:], np.array([t == "h1" for t in self.tag[1:]], float), minlength=n) if n > 1 else np.zeros(n)
         beside = [(size / total)[up], (linked / safe)[up], np.log1p(paragraphs[up]), (marks / np.maximum(1, word))[up] * 10, headed[up]]
         share = said / np.maximum(1, word)[:, None] * 10
-        return np.column_stack([*x, *beside, group, share, np.minimum(said, 3)])
+        # A subject runs through the page: how many children, and how many siblings beside the element itself, say the same.
+        says = (said > 0).astype(float)
+        below = np.column_stack([np.bincount(up[1:], says[1:, g], minlength=n) for g in range(len(PHRASES))]) if n > 1 else np.zeros(said.shape)
+        others = np.where(parent[:, None] >= 0, below[up] - says, 0)
+        return np.column_stack([*x, *beside, group, share, np.minimum(said, 3), np.log1p(below), np.log1p(others), np.log1p(others[up]), self.under_thread()])
 
     def around_article(self, size: np.ndarray) -> np.ndarray:
         """Whether an element is html or body, holds LARGE of the page's text and the article's named element with at least half of its own, or a top heading and WHOLE of the page's text."""
@@ -316,12 +328,32 @@ class Page:
         share = size / max(1, size[0])
         return page | ((share >= LARGE) & (2 * largest >= np.maximum(1, size))) | (heading & (share >= WHOLE))
 
+    def under_thread(self) -> np.ndarray:
+        """Whether an element is, follows among its siblings, or lies below such a heading of readers' comments, or holds one as its first child."""
+        n = len(self.tag)
+        headings = np.zeros(n, bool)
+        for (node, _, _), t in zip(self.runs, self.texts):
+            if len(self.tag[node]) == 2 and self.tag[node][0] == "h" and self.tag[node][1].isdigit() and self.tag[node] != "h1" and t.count(" ") < THREAD_WORDS:
+                headings[node] |= any(w in t.lower() for w in THREADS)
+        out, below = np.zeros(n), np.zeros(n, bool)  # below: a heading of comments was among the children so far
+        first = np.zeros(n, bool)
+        for k in range(1, n):
+            p = self.parent[k]
+            if not first[p]:
+                first[p] = True
+                if headings[k] and p and self.tag[p] not in PAGE:
+                    out[p] = 1
+            below[p] |= headings[k]
+            out[k] = out[p] or below[p]
+        return out
+
     def decode(self, log_odds: np.ndarray) -> list[str]:
         """Texts of the likeliest labelling: every element kept whole, dropped whole or mixed."""
         n = len(self.tag)
         keep, drop = -np.logaddexp(0, -log_odds), -np.logaddexp(0, log_odds)
         own_keep, own_drop = keep.copy(), drop.copy()
         mixed = np.full(n, -MIXED)
+        mixed[np.flatnonzero(self.free)] = 0
         for k in range(n - 1, 0, -1):
             p = self.parent[k]
             keep[p] += keep[k]
@@ -359,6 +391,19 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
     appeal = lambda group: f"{_words(rng, 1, 6)} {rng.choice(PHRASES[group])} {_words(rng, 1, 8)}"
     unmarked = lambda group: f"<{(t := rng.choice(['p', 'div', 'div']))}>{appeal(group)}</{t}>"
 
+    # What the whole article speaks of, of one kind or several.
+    subject = [said for kind in rng.sample(PHRASES, rng.choice([1, 2, 3])) for said in kind] if rng.random() < 0.4 else []
+
+    def thread() -> str:
+        """Readers' comments in elements without names."""
+        tag, each = rng.choice(["div", "section", "ul", "ol"]), rng.choice(["div", "div", "p"])
+        each = "li" if tag in ("ul", "ol") else each
+        inner = lambda: _words(rng, 3, 60) if each == "p" else f"{rng.choice(['', f'<b>{_words(rng, 1, 2)}</b>', f'<p>{_words(rng, 1, 3)}</p>'])}<p>{_words(rng, 3, 60)}</p>"
+        head = f"{rng.choice(['', '3 ', '12 ', 'Reader ', 'Leave a '])}{rng.choice(THREADS)}{rng.choice(['', 's', ' (4)'])}"
+        head = f"<h{(h := rng.choice('2334'))}>{head.capitalize()}</h{h}>"
+        made = "".join(f"<{each}>{inner()}</{each}>" for _ in range(rng.randint(1, 6)))
+        return f"{head}<{tag}>{made}</{tag}>" if tag in ("ul", "ol") or rng.random() < 0.3 else f"<{tag}>{head}{made}</{tag}>"
+
     def outside(where: str) -> None:
         options = {
             "top": [
@@ -369,6 +414,7 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
                 lambda: f"<div class='{rng.choice(['breadcrumbs', 'menu', 'toolbar', 'nav-bar'])}'>{link()} {link()} {link()}</div>",
                 lambda: f"<form class=search><p>{_words(rng, 1, 5)}</p></form>",
                 lambda: unmarked(rng.choice((1, 2, 3))),
+                lambda: f"<noscript>{rng.choice(['<p>', ''])}{appeal(4)}</noscript>",
             ],
             "middle": [
                 lambda: f"<div class='{rng.choice(['ad', 'ads', 'advertisement', 'sponsored', 'promo'])}'><p>{_words(rng, 2, 40)}</p></div>",
@@ -384,6 +430,9 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
                 lambda: f"<div id='{rng.choice(['sidebar', 'related', 'recommended'])}'><ul>{links()}</ul></div>",
                 lambda: f"<{(t := rng.choice(['section', 'div']))} class='{rng.choice(['comments', 'comment-list', 'replies'])}'><h3>{_words(rng, 1, 3)}</h3>"
                 + "".join(f"<div class=comment><p>{_words(rng, 4, 60)}</p></div>" for _ in range(rng.randint(1, 4))) + f"</{t}>",
+                thread,
+                thread,
+                lambda: f"<noscript>{rng.choice(['<p>', ''])}{appeal(4)}</noscript>",
                 lambda: f"<form class={rng.choice(['login', 'signup', 'respond'])}><p>{_words(rng, 1, 8)}</p></form>",
                 lambda: f"<div class=pagination>{link()} {link()}</div>",
                 lambda: unmarked(0),
@@ -398,11 +447,16 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
             text += f" {link()} {_words(rng, 2, 20)}"
         if rng.random() < 0.05:  # an article may speak of such things
             text = f"{_words(rng, 15, 60)} {rng.choice(rng.choice(PHRASES))} {_words(rng, 15, 60)}"
+        if subject and rng.random() < 0.8:
+            said = rng.choice(subject)
+            text = f"{_words(rng, 1, 50)} {said} {_words(rng, 1, 50)}" if rng.random() < 0.5 else f"{said.capitalize()} {_words(rng, 2, 50)}"
         if rng.random() < 0.15:
             text = f"<b>{text}<br>" if rng.random() < 0.5 else f"<b>{text}</b>"
         kind = rng.random()
-        if kind < 0.8:
+        if kind < 0.78:
             out.append((f"<p>{text}</p>", 1))
+        elif kind < 0.8:
+            out.append((f"<noscript><p>{text}</p></noscript>", 1))
         elif kind < 0.86:
             out.append((f"<h2>{_words(rng, 1, 6)}</h2>", 1))
         elif kind < 0.91:
@@ -417,18 +471,31 @@ def training_page(rng: random.Random) -> list[tuple[str, int]]:
     wrap = rng.choice(["<article>", "<article>", "<article class=post>", "<main>", "<div id=content>", "<div class='entry-content'>", "<div class='article-body'>", "<section>", "<div>"])
     around = rng.choice(["", "", "<main>", "<div id=page>", "<div class=wrapper>", f"<div class={rng.choice(LAYOUTS)!r}>"])
     end = lambda t: f"</{re.match('<([a-z]+)', t)[1]}>" if t else ""
+    table = rng.random() < 0.15  # the page is one table, a menu in the cell beside the article's
+    if table:
+        around, wrap = "<table>", "<td>"
     out.append((around, -1))
+    if table:
+        out.append(("<tr>", -1))
+        cell = lambda: f"<td>{rng.choice(['<br>', ' ', '']).join(link() for _ in range(rng.randint(2, 9)))}</td>" if rng.random() < 0.6 else f"<td><ul>{links()}</ul></td>"
+        if left := rng.random() < 0.7:
+            out.append((cell(), 0))
     pure = rng.random() < 0.7
     out.append((wrap, 2 if pure else -1))
     if rng.random() < 0.8:
-        out.append((f"<h1>{_words(rng, 1, 9)}</h1>", 1))
+        out.append((f"<h1>{_words(rng, 1, 9)} {rng.choice(subject) if subject and rng.random() < 0.6 else ''}</h1>", 1))
     for _ in range(rng.choice([0, 1, 1, 2, 3, 5, 8, 14])):
         paragraph()
         if not pure and rng.random() < 0.2:
             outside("middle")
     out.append((end(wrap), -1))
-    if rng.random() < 0.4:
+    if table and (not left or rng.random() < 0.3):
+        out.append((cell(), 0))
+    if not table and rng.random() < 0.4:
         outside("end")
+    if table and rng.random() < 0.5:
+        tail = rng.choice([lambda: f"&copy; {_words(rng, 1, 6)}", lambda: appeal(rng.randrange(4)), lambda: f"{link()} {link()}"])
+        out.append((f"<tr><td{rng.choice(['', ' colspan=2'])}>{tail()}</td></tr>", 0))
     out.append((end(around), -1))
     for _ in range(rng.randint(0, 4)):
         outside("end")
@@ -455,7 +522,7 @@ def fitted_model() -> BoostedTrees:
         x = page.features()[1:]
         y = np.array(labels)
         xs.append(x[y >= 0]), ys.append((y[y >= 0] > 0).astype(float))
-    return BoostedTrees(rounds=60, depth=4, rate=0.2).fit(np.vstack(xs), np.concatenate(ys))
+    return BoostedTrees(rounds=90, depth=5, rate=0.2).fit(np.vstack(xs), np.concatenate(ys))
 
 
 def main_text(source: str | None, model: BoostedTrees) -> str:

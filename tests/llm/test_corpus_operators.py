@@ -487,6 +487,43 @@ def test_tags_end_outside_quotes():
     assert found("1 < 2 <b>x</b> <!-- <i> --><script>'</b>'<</script>") == [("b", "<b>"), ("b", "</b>"), ("", "<!-- <i> -->"), ("script", "<script>"), ("script", "</script>")]
 
 
+COOKIES = [
+    "Cookie dough should rest in the fridge for one night before it is baked.",
+    "To order now from memory: butter first, then sugar, then the eggs.",
+    "Many readers subscribe to the view that a cookie needs salt.",
+    "A cookie that is too flat had too much butter, as a rule of thumb.",
+    "You may sign up for a class where such a cookie is baked by hand.",
+]
+
+
+def test_article_on_a_subject_that_notices_speak_of():
+    inside = "<article><h1>Baking</h1>" + "".join(f"<p>{p}</p>" for p in COOKIES) + "</article>"
+    notice = "<div><p>We use cookies to improve this site. See our privacy policy.</p></div>"
+    for page in (inside, f"<html><body><nav><a href=/>Home</a></nav>{inside}{notice}<footer><p>Some city</p></footer></body></html>"):
+        assert html_text.main_text(page, html_text.fitted_model()) == "\n\n".join(["Baking", *COOKIES])
+
+
+RIVER = "<h1>The river</h1>" + "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+UNNAMED_PAGES = {
+    "comments in divs": f"<nav><a href=/>Home</a></nav><div>{RIVER}</div><div><h3>3 comments</h3><div><p>Anna</p><p>What a fine piece, I was there last year.</p></div><div><p>Ben</p><p>The bridge is of wood.</p></div></div>",
+    "comments in a list": f"<article>{RIVER}<h3>Comments</h3><ul><li>Anna: What a fine piece, I was there.</li><li>Ben: The second bridge is of wood.</li></ul></article>",
+    "menu in a cell": f"<table><tr><td><a href=/>Home</a><br><a href=/n>News</a><br><a href=/c>Contact</a></td><td>{RIVER}</td></tr></table>",
+    "menu list in a cell": f"<table><tr><td width=150><ul><li><a href=/>Home</a></li><li><a href=/n>News</a></li></ul></td><td>{RIVER}</td></tr><tr><td colspan=2>&copy; 2020 River club</td></tr></table>",
+    "notice in noscript": f"<noscript>Please enable JavaScript to use this site.</noscript><article>{RIVER}</article>",
+}
+
+
+@pytest.mark.parametrize("name", UNNAMED_PAGES)
+def test_surroundings_without_names(name):
+    page = f"<html><body>{UNNAMED_PAGES[name]}</body></html>"
+    assert html_text.main_text(page, html_text.fitted_model()) == "\n\n".join(["The river", *PARAGRAPHS])
+
+
+def test_noscript_inside_the_article_is_read():
+    page = f"<html><body><article>{RIVER}<noscript><p>The map shows the river from its source to the sea.</p></noscript></article></body></html>"
+    assert html_text.main_text(page, html_text.fitted_model()).endswith("\n\nThe map shows the river from its source to the sea.")
+
+
 def test_hierarchical_decoding_is_consistent():
     page = html_text.Page("<div><div><p>a</p><p>b</p></div><p>c</p></div>")
     keep_all = page.decode(np.full(len(page.tag), 3.0))
