@@ -399,6 +399,30 @@ def test_text_media_round_trip(docs, texts):
         assert abs(float(found["mean"]) - mean) < 1e-4 and abs(float(found["variance"]) - variance) < 1e-3 + 1e-9 * variance
 
 
+FOREIGN = {
+    "pl": "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    "ru": "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и должны поступать в отношении друг друга в духе братства.",
+    "fi": "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan hyvin.",
+}
+
+
+def test_unlearned_languages_are_rejected_and_learned_ones_kept(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    models, limits = langid.fit_with_limits(docs)
+    assert models == langid.fit(docs)
+    tools = langid.Compressors(models)
+    assert not any(langid.is_told(tools, limits, t) for t in [*FOREIGN.values(), " ".join(FOREIGN.values())])
+    assert langid.is_told(tools, limits, "Short one.") and not langid.is_told(tools, limits, "1234 " * 90) and not langid.is_told(tools, limits, None)
+    lettered = docs.filter("text rlike '[A-Za-z]'").count()
+    assert langid.with_known_language(docs).count() >= 0.995 * lettered
+
+
+def test_language_limits_fall_back_to_shorter_texts():
+    limits = {("en", 14): 0.7, ("en", 18): 0.5}
+    assert langid.limit_of(limits, "en", 2**9) == 0.5 and langid.limit_of(limits, "en", 2**8) == 0.7 and langid.limit_of(limits, "en", 10**6) == 0.5
+    assert langid.limit_of(limits, "en", 100) == float("inf") == langid.limit_of(limits, "de", 500) and langid.limit_of({}, "en", 5) == float("inf")
+
+
 # --- pages
 
 
