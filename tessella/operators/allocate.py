@@ -1,14 +1,14 @@
 """Integer apportionment by largest remainders, with floors and caps.
 
 A design's groups are few: a table of at most DRIVER_GROUPS groups is apportioned on the driver, in one job. A larger one goes through rounds of
-window steps, each written once.
+aggregated sums and distributed ranks, each written.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,6 +70,8 @@ def apportion_table(groups: DataFrame, total: int, group: str, weight: str, cap:
 
 
 def _apportion_rounds(groups: DataFrame, total: int, group: str, weight: str, cap: str, floor: str | None) -> DataFrame:
+    from tessella.operators.sampling import with_rank
+
     rows = written(groups.withColumn("allocated", (F.col(floor) if floor else F.lit(0)).cast("long")), "groups")
     assert_empty(key_violations(rows, group), "groups: duplicate key")
     wrong = F.col(weight).isNull() | (F.col(weight) < 0) | (F.col("allocated") < 0) | (F.col("allocated") > F.col(cap)) | (F.col(cap) != F.floor(F.col(cap)))
@@ -78,20 +80,20 @@ def _apportion_rounds(groups: DataFrame, total: int, group: str, weight: str, ca
         raise DataError("an allocation needs whole numbers with minimum at most capacity")
     if not (facts["low"] or 0) <= total <= (facts["high"] or 0):
         raise DataError(f"allocation of {total} cannot be met")
-    everything = Window.partitionBy(F.lit(1))
     # Every round but the last fills at least one group.
     while True:
-        state = rows.agg(F.sum("allocated").alias("given"), F.count_if((F.col("allocated") < F.col(cap)) & (F.col(weight) > 0)).alias("live")).first()
-        if (state["given"] or 0) >= total:
+        live = (F.col("allocated") < F.col(cap)) & (F.col(weight) > 0)
+        state = rows.agg(F.sum("allocated").alias("given"), F.count_if(live).alias("live"), F.sum(F.when(live, F.col(weight))).alias("mass")).first()
+        left = total - (state["given"] or 0)
+        if left <= 0:
             return rows
         if not state["live"]:
             raise DataError("no open group with positive weight")
-        live = (F.col("allocated") < F.col(cap)) & (F.col(weight) > 0)
-        left = F.lit(total) - F.sum("allocated").over(everything)
-        quota = F.when(live, F.col(weight) / F.sum(F.when(live, F.col(weight))).over(everything) * left)
-        step = rows.withColumn("__q", quota).withColumn("__a", F.col("allocated") + F.when(live, F.least(F.floor("__q"), F.col(cap) - F.col("allocated"))).otherwise(0))
-        open_ = F.col("__q").isNotNull() & (F.col("__a") < F.col(cap))
-        step = step.withColumn("__left", F.lit(total) - F.sum("__a").over(everything))
-        place = F.row_number().over(Window.partitionBy(open_).orderBy((F.col("__q") - F.floor("__q")).desc(), F.col(group)))
-        given = F.col("__a") + F.when(open_ & (F.col("__place") <= F.col("__left")), 1).otherwise(0)
-        rows = written(step.withColumn("__place", place).withColumn("allocated", given.cast("long")).drop("__q", "__a", "__left", "__place"), "groups")
+        step = rows.withColumn("__q", F.when(live, F.col(weight) / F.lit(state["mass"]) * F.lit(left)))
+        step = step.withColumn("allocated", F.col("allocated") + F.when(live, F.least(F.floor("__q"), F.col(cap) - F.col("allocated"))).otherwise(0).cast("long"))
+        step = step.withColumn("__full", F.col("__q").isNull() | (F.col("allocated") >= F.col(cap))).withColumn("__back", F.floor("__q") - F.col("__q")).drop("__q")
+        rest = total - step.agg(F.sum("allocated")).first()[0]
+        # The largest fractions take what is left; places come from ranges of groups, so no task sees them all.
+        ranked = with_rank(step, ["__full", "__back", group], "__place")
+        one = F.when(~F.col("__full") & (F.col("__place") < rest), 1).otherwise(0)
+        rows = written(ranked.withColumn("allocated", (F.col("allocated") + one).cast("long")).drop("__full", "__back", "__place"), "groups")

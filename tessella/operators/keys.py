@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+REPEATED = 65_536  # copies of a row that are put out from one array
+
+
 class DataError(ValueError):
     """A table breaks a rule; the message names the first offending value."""
 
@@ -78,9 +81,13 @@ def one_to_one(left: DataFrame, right: DataFrame, key: str, left_order: str, rig
 
 
 def differing_rows(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows that one side has more often, with the side; empty when the tables are equal."""
-    right = right.select(left.columns)
-    return left.exceptAll(right).withColumn("side", F.lit("left")).unionByName(right.exceptAll(left).withColumn("side", F.lit("right")))
+    """Rows that one side has more often, with the side, as often as it has them more; empty when the tables are equal. One shuffle of row counts."""
+    columns = [F.col(f"`{c}`") for c in left.columns]
+    both = left.select(*columns, F.lit(1).alias("__n")).union(right.select(*columns, F.lit(-1).alias("__n")))
+    counts = both.groupBy(*columns).agg(F.sum("__n").alias("__n")).filter("__n != 0")
+    blocks = counts.select(*columns, "__n", F.explode(F.sequence(F.lit(0), F.floor((F.abs("__n") - 1) / REPEATED))).alias("__block"))
+    copies = blocks.select(*columns, "__n", F.explode(F.sequence(F.lit(1), F.least(F.abs("__n") - F.col("__block") * REPEATED, F.lit(REPEATED)))))
+    return copies.select(*columns, F.when(F.col("__n") > 0, "left").otherwise("right").alias("side"))
 
 
 def assert_same_rows(left: DataFrame, right: DataFrame, what: str) -> None:

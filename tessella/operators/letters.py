@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessella.functions.text import render, safe_file_name
-from tessella.operators.keys import DataError, assert_empty
-from tessella.sources.shared import put_text
+from tessella.operators.keys import DataError, assert_empty, assert_key
+from tessella.sources.shared import qualified
+from tessella.sources.textfiles import TextFiles
 
 FIELD = re.compile(r"\{([A-Za-z_][A-Za-z0-9_]*)\}")
 
@@ -54,12 +55,13 @@ def write_letters(letters: DataFrame, path: str) -> None:
 
 
 def export_letters(spark: SparkSession, path: str, root: str) -> int:
-    """root/<assistant>/<application>.txt for printing, from a written table of letters, which passes through the driver a partition at a time."""
-    n = 0
-    for row in spark.read.schema("assigned_ra string, application_id string, letter string").json(path).toLocalIterator():
-        put_text(spark, f"{root}/{row['assigned_ra']}/{row['application_id']}.txt", row["letter"])
-        n += 1
-    return n
+    """root/<assistant>/<application>.txt for printing, from a written table of letters; the tasks write the files. Returns their number."""
+    found = spark.read.schema("assigned_ra string, application_id string, letter string").json(path)
+    assert_key(found, "application_id", "letters")
+    spark.dataSource.register(TextFiles)
+    place = F.concat_ws("/", "assigned_ra", F.concat("application_id", F.lit(".txt")))
+    found.select(place.alias("path"), F.col("letter").alias("text")).write.format("text_files").mode("append").save(qualified(spark, root))
+    return found.count()
 
 
 def word_count(text: str = "letter"):

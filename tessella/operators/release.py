@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from tessella.operators.keys import DataError, assert_empty, assert_key, differing_rows
 from tessella.operators.frames import FRAME_COLUMNS
 from tessella.operators.privacy import public_assignments
-from tessella.sources.readers import assert_sources, relative_digests, write_csv_text
+from tessella.sources.readers import assert_sources, relative_digests, write_csv_file, write_csv_text
 from tessella.sources.shared import exists
 
+KEYS = {"authorities": "authority_id", "assignments": "application_id"}
+# What a batch without these columns stands for.
 DEFAULTS = {"template_version": "", "language": "", "channel": "", "randomization_stratum": "batch", "tier": "", "node_id": "", "tree_department": ""}
 
 
@@ -45,7 +47,7 @@ def combine_batches(batches: dict[str, DataFrame], sizes: dict[str, int], frame:
 
 
 def build_release(actual_files: DataFrame, manifest: DataFrame, frame: DataFrame, assignments: DataFrame, path: str) -> DataFrame:
-    """Verify sources, check what is public, write both tables; returns (table, rows, sha256) over their contents. files/ holds the SHA-256 of every file written."""
+    """Verify sources, check what is public, write both tables, each as one CSV file in the order of its key; returns (table, rows, sha256) over their contents. files/ holds the SHA-256 of both files."""
     from tessella.operators.sampling import table_digest
 
     assert_sources(actual_files, manifest)
@@ -53,10 +55,11 @@ def build_release(actual_files: DataFrame, manifest: DataFrame, frame: DataFrame
     public, offices = public_assignments(assignments), frame.select([c for c in FRAME_COLUMNS if c in frame.columns])
     tables = {"authorities": offices, "assignments": public}
     for name, rows in tables.items():
-        write_csv_text(rows, f"{path}/{name}")
+        write_csv_file(rows, f"{path}/{name}.csv", [KEYS[name]])
     sums = spark.createDataFrame([(name, rows.count(), table_digest(rows)) for name, rows in tables.items()], "table string, rows long, sha256 string")
     write_csv_text(sums, f"{path}/checksums")
-    write_csv_text(reduce(lambda a, b: a.union(b), [relative_digests(spark, f"{path}/{name}", "*.csv").withColumn("path", F.concat(F.lit(f"{name}/"), "path")) for name in tables]), f"{path}/files")
+    digests = relative_digests(spark, path, "*.csv").filter(F.col("path").isin([f"{name}.csv" for name in tables]))
+    write_csv_text(digests, f"{path}/files")
     return sums
 
 
@@ -124,6 +127,7 @@ def register_conflicts(batch: DataFrame, issued: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.union(b), parts)
 
 
+# Columns that a batch must have.
 REQUIRED = ["application_id", "authority_id", "batch_id", "state", "treatment", "assigned_ra", "template_version", "language", "channel"]
 
 

@@ -538,6 +538,67 @@ def csv_round_trip(spark, sf_dir):
     return readers.read_csv_text(spark, place, c.columns)
 
 
+@query("select n_name || '.csv' as path, sha256(n_name) as sha256, n_regionkey::varchar as region from nation")
+def manifest_read(spark, sf_dir):
+    """A manifest written as one file and read back."""
+    place = f"{shared.shared_dir(spark)}/manifest-{uuid.uuid4().hex}.csv"
+    readers.write_csv_file(table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".csv")).alias("path"), F.sha2("n_name", 256).alias("sha256"), F.col("n_regionkey").alias("region")), place, ["path"])
+    return readers.read_manifest(spark, place)
+
+
+@query("select l_orderkey, w as weight, allocated from (with " + ONCE.format(g="l_orderkey", t="lineitem", n="(select count(*) // 3 from lineitem)") + " select g as l_orderkey, w, allocated from a)")
+def alloc_many_groups(spark, sf_dir):
+    """A third of all lines apportioned to their orders: beyond the groups that the driver takes, by distributed rounds."""
+    g = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count("*").alias("weight"))
+    return allocate.apportion_once(g, table(spark, sf_dir, "lineitem").count() // 3, "l_orderkey", "weight")
+
+
+@query(
+    "select 'A-' || c_custkey as application_id, c_name as authority_id, 'b' || c_nationkey as batch_id, c_mktsegment from customer where c_nationkey < 10 or c_nationkey in (12, 20)"
+)
+def issued_register(spark, sf_dir):
+    """Published batches and three private ones at hand, of which one is published already."""
+    r = _register(spark, sf_dir)
+    return release.read_issued(r.filter("cast(substr(batch_id, 2) as int) < 10"), [r.filter(F.col("batch_id") == b) for b in ("b9", "b12", "b20")])
+
+
+@query("select 'A-' || c_custkey as application_id, c_name as authority_id, 'RA' || (c_nationkey % 4) as assigned_ra, 'RA' || (c_nationkey % 4) as ra from customer")
+def worklists(spark, sf_dir):
+    """Worklists by assistant, written and read back."""
+    place = f"{shared.shared_dir(spark)}/worklists-{uuid.uuid4().hex}"
+    assistant = F.concat(F.lit("RA"), (F.substring("batch_id", 2, 9).cast("int") % 4).cast("string"))
+    release.write_worklists(_register(spark, sf_dir).select("application_id", "authority_id", assistant.alias("assigned_ra")), place)
+    return spark.read.option("header", True).schema("application_id string, authority_id string, assigned_ra string, ra string").csv(place)
+
+
+@query(
+    "select 'assignments' as table_name, 'A-' || c_custkey as key, c_name as name from customer union all select 'authorities', 'O-' || s_suppkey, s_name from supplier "
+    "union all select 'rows', 'assignments', count(*)::varchar from customer union all select 'rows', 'authorities', count(*)::varchar from supplier"
+)
+def release_tables(spark, sf_dir):
+    """A release built from verified table files: both published files read back, and the rows its checksums state."""
+    place = f"{shared.shared_dir(spark)}/release-{uuid.uuid4().hex}"
+    files = readers.relative_digests(spark, sf_dir, "*.parquet")
+    frame = table(spark, sf_dir, "supplier").select(F.concat(F.lit("O-"), F.col("s_suppkey").cast("string")).alias("authority_id"), F.col("s_name").alias("office_name"), F.col("s_phone").alias("pio_phone") if "s_phone" in table(spark, sf_dir, "supplier").columns else F.lit("x").alias("pio_phone"))
+    sums = release.build_release(files, files, frame, _register(spark, sf_dir), place)
+    offices, rows = (readers.read_csv_text(spark, f"{place}/{n}.csv") for n in ("authorities", "assignments"))
+    parts = [rows.select(F.lit("assignments").alias("table_name"), F.col("application_id").alias("key"), F.col("authority_id").alias("name")), offices.select(F.lit("authorities"), "authority_id", "office_name"), sums.select(F.lit("rows"), "table", F.col("rows").cast("string"))]
+    return parts[0].union(parts[1]).union(parts[2])
+
+
+@query("select s_nationkey as batch, count(*) as files, sum(length('To ' || s_name || '.'))::bigint as characters from supplier group by 1")
+def letter_files(spark, sf_dir):
+    """A letter for every supplier, put out by the tasks as a file each and read back."""
+    s = table(spark, sf_dir, "supplier")
+    place = f"{shared.shared_dir(spark)}/letters-{uuid.uuid4().hex}"
+    a = s.select(F.concat(F.lit("A-"), F.col("s_suppkey").cast("string")).alias("application_id"), F.concat(F.lit("RA"), F.col("s_nationkey").cast("string")).alias("assigned_ra"), F.col("s_name").alias("office_name"), F.lit("plain").alias("treatment"))
+    letters.write_letters(letters.render_letters(a, "To {office_name}.", "", {}), f"{place}/table")
+    letters.export_letters(spark, f"{place}/table", f"{place}/files")
+    found = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(f"{place}/files", wholetext=True)
+    batch = F.regexp_extract(F.col("_metadata.file_path"), "/RA([0-9]+)/[^/]*$", 1).cast("int")
+    return found.groupBy(batch.alias("batch")).agg(F.count("*").alias("files"), F.sum(F.char_length("value")).cast("long").alias("characters"))
+
+
 # --- HTML, JSON, trees, browsing -----------------------------------------------------------------------------------------------------------------
 
 
@@ -563,11 +624,21 @@ def _portal_pages(spark, sf_dir) -> DataFrame:
     return pages.select(F.col("s_nationkey").alias("nation"), F.lit("https://portal.example.org/list").alias("url"), F.concat(F.lit("<table><tr><th>No</th><th>Office</th></tr>"), "rows", F.lit("</table>")).alias("html"))
 
 
-@query("select s_nationkey as nation, s_name as office_name, 'Hall ' || s_nationkey as address, case when s_suppkey % 3 = 0 then 'https://portal.example.org/show_sub_office/' || s_suppkey else '' end as office_url, s_suppkey % 3 != 0 as is_leaf from supplier")
+OFFICE_SQL = "select s_nationkey as nation, s_name as office_name, 'Hall ' || s_nationkey as address, case when s_suppkey % 3 = 0 then 'https://portal.example.org/show_sub_office/' || s_suppkey else '' end as office_url, s_suppkey % 3 != 0 as is_leaf from supplier"
+
+
+@query(OFFICE_SQL)
 def html_office_rows(spark, sf_dir):
     return readers.parse_office_pages(_portal_pages(spark, sf_dir)).select("nation", "office_name", "address", "office_url", "is_leaf")
 
 
+@query(OFFICE_SQL)
+def html_office_table_function(spark, sf_dir):
+    """The same by the table function in SQL."""
+    readers.register_office_rows(spark)
+    return spark.sql("select p.nation, o.* from {pages} p, lateral office_rows(p.html, p.url) o", pages=_portal_pages(spark, sf_dir))
+
+
 @query("select 'Office ' || s_name as office_name from supplier union select 'Hall ' || s_nationkey from supplier")
 def json_page_names(spark, sf_dir):
     """Names of JSON pages that hold raw control characters."""

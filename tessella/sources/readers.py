@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import csv
+import hashlib
 import html.parser
+import io
 import os
 import re
-from urllib.parse import urljoin
+import uuid
+from urllib.parse import unquote, urljoin
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.functions.text import OPTION, SELECT, match_key, normalize_text
 from tessella.operators.keys import DataError, assert_empty
-from tessella.sources.shared import qualified
+from tessella.sources.shared import _remove, concatenate, local_table, open_store, qualified
 from tessella.sources.state import VersionedState  # noqa: F401  where it was before
 
 
@@ -34,10 +39,47 @@ def write_csv_text(rows: DataFrame, path: str) -> None:
     rows.select([F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in rows.columns]).write.option("header", True).option("emptyValue", "").option("escape", '"').csv(path)
 
 
-def file_digests(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
-    """(path, sha256) of the files below a folder, hashed where they are read."""
+def write_csv_file(rows: DataFrame, path: str, order: list[str]) -> None:
+    """One CSV file with a header: rows in the order of the given columns, then of all others, so the same rows make the same bytes at any partitioning.
+
+    Ranges are sorted and written by the tasks; the parts are joined through a buffer and renamed in one step. An existing file is an error.
+    """
+    spark = rows.sparkSession
+    texts = rows.select([F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in rows.columns])
+    places = [f"`{c}`" for c in [*order, *[c for c in rows.columns if c not in order]]]
+    head = io.StringIO()
+    csv.writer(head, lineterminator="\n").writerow(rows.columns)
+    parts = f"{path}.{uuid.uuid4().hex}.parts"
+    try:
+        texts.orderBy(*places).write.option("header", False).option("emptyValue", "").option("escape", '"').option("compression", "none").csv(parts)
+        concatenate(spark, parts, path, head.getvalue())
+    finally:
+        _remove(spark, parts)
+
+
+def file_digests(spark: SparkSession, path: str, glob: str = "*", whole: int = 256 << 20) -> DataFrame:
+    """(path, sha256) of the files below a folder, hashed where they are read: files of at most `whole` bytes as values, larger ones of any size by a stream of blocks. Scans leave empty files out; they come from the scan's own listing."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.sha2("content", 256).alias("sha256"))
+
+    def streamed(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([stream_digest(p) for p in batch.column(0).to_pylist()], pa.string())], ["path", "sha256"])
+
+    small = files.filter(F.col("length") <= whole).select("path", F.sha2("content", 256).alias("sha256"))
+    large = files.filter(F.col("length") > whole).select("path").mapInArrow(streamed, "path string, sha256 string")
+    listed = local_table(spark, [(unquote(p).replace("file:///", "file:/", 1),) for p in files.inputFiles()], T.StructType([T.StructField("path", T.StringType())]))
+    empty = listed.join(files.select("path"), "path", "left_anti").select("path", F.sha2(F.lit(b""), 256).alias("sha256"))
+    return small.union(large).union(empty)
+
+
+def stream_digest(path: str, block: int = 4 << 20) -> str:
+    """SHA-256 of a file, a block in memory at a time."""
+    store, name = open_store(path)
+    found = hashlib.sha256()
+    with store.open_input_stream(name) as stream:
+        while data := stream.read(block):
+            found.update(data)
+    return found.hexdigest()
 
 
 def relative_digests(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
@@ -239,6 +281,18 @@ def parse_office_pages(pages: DataFrame, page: str = "html", url: str = "url") -
     return pages.withColumn("__office", F.explode(parsed(F.col(page), F.col(url)))).select(*[c for c in pages.columns if c != page], F.col("__office.office_name"), F.col("__office.address"), F.col("__office.url").alias("office_url"), F.col("__office.is_leaf"))
 
 
+def register_office_rows(spark: SparkSession, name: str = "office_rows") -> None:
+    """A table function for SQL: FROM pages, LATERAL office_rows(html, url). A page without offices has no row."""
+
+    @F.udtf(returnType="office_name string, address string, office_url string, is_leaf boolean", useArrow=True)
+    class OfficeRows:
+        def eval(self, content: str, at: str):
+            for office in office_rows(content, at or ""):
+                yield office["office_name"], office["address"], office["url"], office["is_leaf"]
+
+    spark.udtf.register(name, OfficeRows)
+
+
 def fetch_portal(url: str, tries: int = 5, timeout: float = 60.0, agent: str = "tessella/1") -> str:
     """A page over HTTP with a time limit and retries; crawls take any function of this form."""
     import time

@@ -84,6 +84,42 @@ def qualified(spark: SparkSession, path: str) -> str:
     return fs.makeQualified(target).toString()
 
 
+def open_store(path: str):
+    """(file system, path in it) for Python tasks, which have no Hadoop file systems at hand."""
+    from urllib.parse import quote
+
+    from pyarrow import fs
+
+    if path.startswith(("file:", "/")):
+        return fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(quote(path.replace("s3a://", "s3://", 1), safe=":/@?&=%"))
+
+
+def concatenate(spark: SparkSession, folder: str, target: str, head: str = "") -> None:
+    """One file of a folder's part files in the order of their names, copied through a buffer and put in place by one renaming; an existing target is an error."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    place, fs = _path(spark, target)
+    beside = f"{target}.{uuid.uuid4().hex}.tmp"
+    made = _path(spark, beside)[0]
+    try:
+        out = fs.create(made, False)
+        try:
+            out.write(bytearray(head.encode("utf-8")))
+            for name in sorted(n for n in children(spark, folder) if n.startswith("part-")):
+                part, parts = _path(spark, f"{folder}/{name}")
+                stream = parts.open(part)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, conf, False)
+                finally:
+                    stream.close()
+        finally:
+            out.close()
+        if fs.exists(place) or not fs.rename(made, place):
+            raise DataError(f"{target} is there already")
+    finally:
+        _remove(spark, beside)
+
+
 def put_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
     """A small text file; without overwrite an existing one is an error."""
     target, fs = _path(spark, path)
