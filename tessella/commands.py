@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tessella.operators import intake, letters, privacy, release, sampling, tree
 from tessella.operators.keys import DataError, differing_rows
 from tessella.session import build_session
-from tessella.sources import readers, shared
+from tessella.sources import portal, readers, shared
 
 
 def draw(spark: SparkSession, frame: str, issued: str, config: str, out: str) -> dict:
@@ -77,8 +77,8 @@ def check_privacy(spark: SparkSession, root: str, manifest: str) -> int:
     return found
 
 
-def collect(spark: SparkSession, url: str, state: str, fetch=readers.fetch_portal, pause: float = 1.0) -> int:
-    """Crawl a portal, keeping every page and saving the nodes after every level; a second run goes on from there."""
+def collect(spark: SparkSession, url: str, state: str, fetch=None, pause: float = 1.0) -> int:
+    """Crawl a portal, keeping every page and saving the nodes after every level; a second run goes on from there. One task asks the portal, or the driver by `fetch`."""
     store = readers.VersionedState(spark, f"{state}/nodes")
 
     def save(nodes):
@@ -86,6 +86,8 @@ def collect(spark: SparkSession, url: str, state: str, fetch=readers.fetch_porta
         return store.load()["nodes"]
 
     start = store.load()["nodes"] if store.version() else tree.start_crawl(spark, url)
+    if fetch is None:
+        return portal.crawl_pages(start, f"{state}/pages", save, pause=str(pause)).count()
     return tree.crawl(start, fetch, save, tree.PageCache(spark, f"{state}/pages"), pause=pause).count()
 
 

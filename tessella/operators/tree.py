@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tessella.functions.text import hash_text
 from tessella.operators.keys import DataError, one_of_each
-from tessella.sources.readers import OFFICE_SCHEMA, office_rows
+from tessella.sources.readers import OFFICE_SCHEMA, assert_offices, office_rows
 from tessella.sources.shared import counted, exists, get_text, put_text, written
 
 CRAWL_SCHEMA = "node_id string, parent_id string, office_name string, address string, depth int, path string, url string, is_leaf boolean, fetched boolean"
@@ -124,9 +124,7 @@ def crawl(nodes: DataFrame, fetch: Callable[[str], str], save: Callable[[DataFra
             if url in cache:
                 continue
             page = fetch(url)
-            offices = office_rows(page, url)
-            if "<table" not in page.lower() or not offices or not all(o["office_name"] for o in offices):
-                raise DataError(f"no office table at {url}")
+            assert_offices(page, url)
             cache[url] = page
             time.sleep(pause)
         # Some hundred pages at a time pass through the driver.

@@ -269,6 +269,13 @@ def office_rows(page: str | None, page_url: str) -> list[dict]:
     return out
 
 
+def assert_offices(page: str, url: str) -> None:
+    """Raise unless a page has a table of named offices."""
+    offices = office_rows(page, url)
+    if "<table" not in page.lower() or not offices or not all(o["office_name"] for o in offices):
+        raise DataError(f"no office table at {url}")
+
+
 OFFICE_SCHEMA = "array<struct<office_name:string,address:string,url:string,is_leaf:boolean>>"
 
 
