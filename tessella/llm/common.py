@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from tessella.sources.shared import local_table, written as materialise
 
-__all__ = ["crc_mod", "local_table", "materialise", "partitions_of", "read_table", "unused"]
+__all__ = ["crc_mod", "local_table", "materialise", "partitions_of", "read_table", "small_batches", "unused"]
+
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,3 +33,9 @@ def partitions_of(spark: SparkSession) -> int:
 def crc_mod(column: str, modulus: int):
     """crc32 of a column's text form, modulo modulus (null: null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of about 4 MB where the session keeps Spark's default of 64 MB: the JVM and the Python worker hold a batch of texts several times each."""
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(4 << 20))

@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessella.llm.boosting import BoostedTrees, Isotonic
-from tessella.llm.common import crc_mod, materialise
+from tessella.llm.common import crc_mod, materialise, small_batches
 
 MAX_TOXIC, MAX_CLEAN = 4000, 8000
 MAX_LEXICON = 20_000
@@ -156,11 +157,16 @@ def group_of(text: str) -> int:
 
 def _entry_rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
-        for text, toxic in zip(frame["text"], frame["toxic"]):
+        for text, toxic, grp in zip(frame["text"], frame["toxic"], frame["grp"]):
             words = _words_of(text)
             if words:
                 found = list({e for w in words for e in entries(w)})
-                yield pd.DataFrame({"entry": found, "toxic": np.int32(toxic), "grp": group_of(text)})
+                yield pd.DataFrame({"entry": found, "toxic": np.int32(toxic), "grp": grp})
+
+
+def _grouped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        yield f.assign(grp=[group_of(t) for t in f["text"]])
 
 
 def _lexicon(counts: pd.DataFrame, totals: dict[tuple[int, int], int], without: int | None) -> dict[str, float]:
@@ -183,11 +189,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     chosen = F.broadcast(_sample(known))
     texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).join(chosen, "doc_id")
     # One text a document, so that the sample's bound holds whatever rows repeat a doc_id.
-    texts = materialise(texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic"), "toxicity-sample")
+    texts = texts.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")).select("text", "toxic")
+    # Groups are told once, as the sample is written, so that no later task needs two Python workers.
+    fold = F.pmod(F.xxhash64("grp"), F.lit(FOLDS)).cast("int")
+    texts = materialise(texts.mapInPandas(_grouped, "text string, toxic int, grp long").withColumn("fold", fold), "toxicity-sample")
     classes = {r["toxic"]: r["n"] for r in texts.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if len(classes) < 2 or min(classes.values()) < LEAST_LABELS:
         return ToxicityModel({}, None, None, classes.get(1, 0) / max(1, sum(classes.values())))
-    fold = F.pmod(F.xxhash64("grp"), F.lit(FOLDS)).cast("int")
     seen = texts.mapInPandas(_entry_rows, "entry string, toxic int, grp long").distinct().withColumn("fold", fold)
     cells = [F.count_if((F.col("fold") == f) & (F.col("toxic") == t)).alias(f"c{f}_{t}") for f in range(FOLDS) for t in (0, 1)]
     counts = seen.groupBy("entry").agg(*cells)
@@ -196,13 +204,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
     # Ordered by how surely an entry marks toxic texts; the bound is the lexicon's documented size.
     bound = F.log((toxic + 0.5) / (clean + 0.5)) - DEVIATIONS * F.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
     counts = counts.filter(toxic >= 2).orderBy(bound.desc(), "entry").limit(MAX_LEXICON).toPandas()
-
-    def grouped(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            yield pd.DataFrame({"text": f["text"], "toxic": f["toxic"], "grp": [group_of(t) for t in f["text"]]})
-
-    dealt = texts.mapInPandas(grouped, "text string, toxic int, grp long").withColumn("fold", fold)
-    totals = {(r["fold"], r["toxic"]): r["n"] for r in dealt.select("fold", "toxic", "grp").distinct().groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
+    totals = {(r["fold"], r["toxic"]): r["n"] for r in texts.select("fold", "toxic", "grp").distinct().groupBy("fold", "toxic").agg(F.count("*").alias("n")).collect()}
     lexicons = [_lexicon(counts, totals, f) for f in range(FOLDS)]
     shared = spark.sparkContext.broadcast(lexicons)
 
@@ -212,7 +214,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> ToxicityModel:
             rows = [features(t, tables[k]).tolist() for t, k in zip(f["text"], f["fold"])]
             yield pd.DataFrame({"toxic": f["toxic"], "fold": f["fold"], "x": rows})
 
-    table = dealt.mapInPandas(featured, "toxic int, fold int, x array<double>").toPandas()
+    table = texts.select("text", "toxic", "fold").mapInPandas(featured, "toxic int, fold int, x array<double>").toPandas()
     x, y, folds = np.array(table["x"].tolist()), table["toxic"].to_numpy(float), table["fold"].to_numpy()
     order = np.lexsort((*x.T, y, folds))  # the model does not depend on the order in which rows arrive
     x, y, folds = x[order], y[order], folds[order]
@@ -250,18 +252,24 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+def kept(batches: Iterator[pa.Array], model: ToxicityModel) -> Iterator[pa.Array]:
+    """Which texts are not predicted toxic; one text of a batch at a time becomes a Python string."""
+    table = _Scores(model.lexicon)
+    for texts in batches:
+        x = np.array([features(t.as_py() or "", table) for t in texts]).reshape(len(texts), N_FEATURES)
+        yield pa.array(model.score(x) < 0.5)
+
+
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs that are not predicted toxic, every column kept; texts are read and passed on, not shuffled."""
+    small_batches(docs.sparkSession)
     model = fit(docs, labels)
     if model.trees is None:
         return docs
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("boolean")
-    def keep(frames: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        table = _Scores(shared.value.lexicon)
-        for texts in frames:
-            x = np.array([features(t or "", table) for t in texts]).reshape(len(texts), N_FEATURES)
-            yield pd.Series(shared.value.score(x) < 0.5)
+    @F.arrow_udf("boolean")
+    def keep(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return kept(batches, shared.value)
 
     return docs.filter(keep(F.col("text").cast("string")))

@@ -12,6 +12,7 @@ import zlib
 import gzip
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -234,6 +235,27 @@ def test_toxicity_on_held_out_labels(spark):
     assert kept == set(got[got["predicted"] == 0]["doc_id"])
 
 
+def test_toxicity_filter_takes_small_batches(spark):
+    """A batch of texts is small where the session sets nothing; a session's own setting stays; texts of an Arrow batch are told as by their scores."""
+    docs, labels = made_labels(spark)
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    try:
+        toxicity.without_toxic(docs, labels)
+        long = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("a word "), 15_000).alias("text"))
+        sizes = long.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+        assert max(r["n"] for r in sizes) < 6 << 20
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "1000000")
+        toxicity.without_toxic(docs.limit(0), labels)
+        assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == "1000000"
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    model = toxicity.fit(docs, labels)
+    texts = [*(r["text"] for r in docs.limit(50).collect()), None, ""]
+    (kept,) = toxicity.kept(iter([pa.array(texts)]), model)
+    scores = model.score(np.array([toxicity.features(t or "", toxicity._Scores(model.lexicon)) for t in texts]))
+    assert kept.to_pylist() == (scores < 0.5).tolist()
+
+
 def plain_features(text, lexicon):
     """The twenty features, one by one."""
     words = text.lower().split()
