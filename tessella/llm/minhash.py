@@ -49,29 +49,46 @@ RARITY = 1 << 20  # hashed counts by which shingles are ordered; any order gives
 BLOCK = 2048  # sets of one shingle's list that a task compares with as many others
 SORTED_ROWS = 1_000_000  # rows of a sorted order that one task holds (48 bytes each)
 FILTER_BITS = 1 << 26  # fixed size of the filter of sets that have candidates: 8 MB
-
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+PLACES = 64  # bytes of a word that is hashed by places
+_IN_WORD = np.array([bool(WORD.match(bytes([c]))) for c in range(256)])
+_NUMBERS = np.random.default_rng(20240701).integers(0, 1 << 64, PLACES << 8, dtype=np.uint64)
 SKETCH = 1024  # bits of a set's sketch
 SIGNATURE_COLUMNS = ["doc_id", "n_shingles", "digest", "signature", "sketch"]
 SIGNATURE_SCHEMA = "doc_id long, n_shingles long, digest binary, signature binary, sketch binary"
 PAIR_SCHEMA = "kind int, a long, b long, tree int, p1 long"
 
 
+def word_hashes(text: bytes) -> np.ndarray:
+    """A 64-bit hash of every word of a text, in order: the sum of one random number for each place and byte; words of more than PLACES bytes by their digest."""
+    raw, inside = np.frombuffer(text, np.uint8), np.zeros(len(text) + 2, bool)
+    inside[1:-1] = _IN_WORD[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    out = np.empty(len(starts), np.uint64)
+    for k in range(0, len(starts), 4096):  # bounded memory for very long texts
+        at, n = starts[k : k + 4096], np.minimum(lengths[k : k + 4096], PLACES)
+        first = np.cumsum(n) - n
+        place = np.arange(n.sum()) - np.repeat(first, n)
+        out[k : k + 4096] = np.add.reduceat(_NUMBERS.take(place << 8 | raw[np.repeat(at, n) + place]), first)
+    for k in np.flatnonzero(lengths > PLACES).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(text[starts[k] : starts[k] + lengths[k]], digest_size=8).digest(), "little")
+    return out
+
+
 def shingle_hashes(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's word shingles (with fewer words, of the whole sequence)."""
-    found = WORD.findall((text or "").encode("utf-8", "surrogatepass").translate(LOWER))
-    if not found:
+    found = word_hashes((text or "").encode("utf-8", "surrogatepass").translate(LOWER))
+    if not len(found):
         return np.empty(0, np.uint64)
     k = min(words, len(found))
-    ids: dict[bytes, int] = {}
-    numbers = np.fromiter((ids.setdefault(w, len(ids)) for w in found), np.int64, len(found))
-    digests = np.frombuffer(b"".join([hashlib.blake2b(w, digest_size=8).digest() for w in ids]), np.uint64)[numbers]
     h = np.full(len(found) - k + 1, k, np.uint64)
     for i in range(k):
-        h = (h ^ digests[i : len(found) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ found[i : len(found) - k + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
-    return np.unique(h)
+    h.sort()
+    return h[np.r_[True, h[1:] != h[:-1]]]
 
 
 def _multipliers(count: int) -> tuple[np.ndarray, np.ndarray]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import time
 
 import numpy as np
@@ -307,3 +308,20 @@ def test_long_segments_are_not_remembered():
         text = " ".join(["x", *long_words(5000 + seed)])
         assert counter(text) == len(tool.encode(text))
     assert len(counter.words) + len(counter.bare) - before < 10_000 and max(map(len, counter.words)) <= 256
+
+
+def test_word_hashes_need_no_digest_a_word(monkeypatch):
+    """Equal words have equal hashes at any place, in any block; sets count the shingles of a plain split; only very long words are digested one by one."""
+    rng, made, seen = random.Random(5), [], {}
+    digest = minhash.hashlib.blake2b
+    monkeypatch.setattr(minhash.hashlib, "blake2b", lambda *a, **k: made.append(a) or digest(*a, **k))
+    for n in [*range(60), 30_000]:
+        text = "".join(rng.choice("aAbB\x00\u00e9\u00c9\u20ac \t\n\x0b\x0c\x1c\x85\u3000") for _ in range(n * 3))
+        words = [bytes(c + 32 if 65 <= c <= 90 else c for c in w) for w in re.findall(rb"[^\x20\x09-\x0D]+", text.encode()) if len(w) <= 64]
+        text = b" ".join(words).decode()
+        assert len(minhash.shingle_hashes(text, 4)) == len({tuple(words[i : i + 4]) for i in range(max(1, len(words) - 3))} if words else ())
+        for word, h in zip(words, minhash.word_hashes(text.encode()).tolist()):
+            assert seen.setdefault(word, h) == h
+    assert len(set(seen.values())) == len(seen) > 1000 and not made
+    long = ["x" * 64, "x" * 65, "x" * 64 + "y", "x" * 65, "x" * 1_000_000]
+    assert len(set(minhash.word_hashes(" ".join(long).encode()).tolist())) == 4 and len(made) == 4
