@@ -14,7 +14,7 @@ What windows of NEIGHBOURS leave out is made good exactly: the sets of regions o
 components at the end are joined on the rarest shingles of each (a prefix filter with bounds of length and position), between components only. A list
 of one shingle holding over BLOCK sets is dealt over cells of its blocks.
 
-Candidates are confirmed on the full sets; links are merged by alternating large and small stars. Sets that
+Candidates are confirmed on the full sets; links are merged within tasks, and by alternating large and small stars where they need several. Sets that
 differ in no shingle are one class from the start, so exact copies never meet in one task.
 
 A pair of similarity 0.8 shares a tree's first four hashes with probability 0.41, hence is missed by all 24
@@ -39,6 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.llm.common import materialise, partitions_of
+from tessella.sources.shared import counted
 
 TREES = 24
 DEPTH = 4  # hashes a tree has of its own
@@ -48,6 +49,7 @@ FIRST_TREES = 12  # trees whose adjacent sets the first pass compares in regions
 RARITY = 1 << 20  # hashed counts by which shingles are ordered; any order gives the same pairs
 BLOCK = 2048  # sets of one shingle's list that a task compares with as many others
 SORTED_ROWS = 1_000_000  # rows of a sorted order that one task holds (48 bytes each)
+TASK_LINKS = 500_000  # links that one task contracts (16 bytes each)
 FILTER_BITS = 1 << 26  # fixed size of the filter of sets that have candidates: 8 MB
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -461,9 +463,33 @@ def exact_links(open_: DataFrame, labels: DataFrame, sets: DataFrame, percent: i
     return confirm(cell_pairs(dealt, percent, _parts(spark, 4 * dealt.count())), marked, percent)
 
 
+def contracted(edges: DataFrame, tasks: int) -> DataFrame:
+    """a, b: in each of so many tasks, every node of its links beside the smallest one that those reach; the same nodes hang together as before."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1)]) for batch in batches if batch.num_rows]
+        if not held:
+            return
+        nodes, at = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+        x, y = at.reshape(2, -1)
+        least = np.arange(len(nodes))  # places in nodes, which ascend as the ids do
+        while len(x):
+            np.minimum.at(least, np.maximum(x, y), np.minimum(x, y))
+            while (further := least[least]).tobytes() != least.tobytes():
+                least = further
+            x, y = least[x], least[y]
+            x, y = x[x != y], y[x != y]
+        moved = np.flatnonzero(least != np.arange(len(nodes)))
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[moved]), pa.array(nodes[least[moved]])], names=["a", "b"])
+
+    dealt = edges.coalesce(1) if tasks == 1 else edges.repartitionByRange(tasks, "b", "a")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
-    """id and the smallest id that links reach, for every id in a link: alternating large and small stars.
+    """id and the smallest id that links reach, for every id in a link but those smallest: links contracted task by task, then alternating large and small stars.
 
+    A task contracts at most about TASK_LINKS links, so up to that many need one task and no star; more are dealt over more tasks.
     A star step is one aggregate and one join on the node; both sides of the join are shuffled, so that a hot
     node's rows can be split.
     """
@@ -479,7 +505,12 @@ def components(links: DataFrame) -> DataFrame:
             moved = moved.select(F.col("b").alias("x"), F.col("m").alias("y")).union(least.select(F.col("a").alias("x"), F.col("m").alias("y")))
         return moved.filter("x != y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
 
-    edges, before = materialise(links.filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "stars"), None
+    edges, count = counted(links.filter("a != b").select("a", "b"), "links")
+    tasks = max(1, -(-count // TASK_LINKS))
+    edges, before = contracted(edges, tasks), None
+    if tasks == 1:
+        return edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
+    edges = materialise(edges, "stars")
     while True:
         edges = materialise(star(star(edges, True), False), "stars")
         now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessella.llm import minhash
-from tessella.llm.common import materialise, partitions_of
+from tessella.llm.common import materialise, partitions_of, small_batches
 from tessella.llm.minhash import SKETCH, _alike, _slots, candidate_filter, components, confirm, shingle_hashes, sketch
 from tessella.sources.shared import counted
 
@@ -204,6 +204,7 @@ def _sorted_columns(batches: Iterator[pa.RecordBatch], *names: str) -> list[np.n
     if not held:
         return None
     columns = [np.concatenate([b.column(b.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for b in held]) for c in names]
+    held.clear()
     sign, ids = columns[:2]
     order = np.lexsort((ids, sign))
     sign, ids = sign[order], ids[order]
@@ -309,6 +310,7 @@ def _new(rows: np.ndarray) -> np.ndarray:
 
 def similar_sets(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links of `percent` or more) of every row."""
+    small_batches(docs.sparkSession)
     base = materialise(signed_sets(docs, words, percent), "signed")
     live = base.filter("n_shingles > 0 and doc_id is not null")
     classes = materialise(live.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
